@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, urls
+from . import chat, neardup, passages, urls
 
 #: The rules of the query on URLs: (verdict, host, path).
 URL_RULES = [("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow", "net", "/de/"), ("block", "example.net", "/de/8"), ("block", "org", "/es/")]
@@ -56,6 +56,31 @@ FROM marked GROUP BY conv_id
 """
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Remove the words of 13-word windows that earlier documents have."""
+    made = passages.repeated_passages(_read(spark, sf_dir, "documents", "doc_id", "text"), window=13)
+    gone = F.aggregate("removed", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["start"])
+    return made.select(F.col("id").alias("doc_id"), "n_words", gone.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP2_SQL = r"""
+WITH w AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents
+), g AS (
+  SELECT doc_id, i, array_to_string(words[i:i + 12], ' ') AS s FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS i FROM w)
+), late AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY s) AS least FROM g) WHERE least < doc_id
+), gone AS (
+  SELECT DISTINCT doc_id, i + k AS i FROM late, (SELECT unnest(range(0, 13)) AS k)
+), each AS (
+  SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM w
+), kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept, count(*) AS n FROM each ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+)
+SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM w LEFT JOIN kept USING (doc_id)
+"""
+
+
 def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Judge every page's URL by the five rules."""
     return urls.judge_urls(_read(spark, sf_dir, "pages", "page_id", "url"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
@@ -75,5 +100,11 @@ WITH parts AS (
 SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule, coalesce(verdict, 'allow') AS verdict FROM split LEFT JOIN hits USING (page_id)
 """
 
-QUERIES = {"op1_chat_formatting": op1_chat_formatting, "op3_url_filters": op3_url_filters}
-ORACLES = {"op1_chat_formatting": OP1_SQL, "op3_url_filters": OP3_SQL}
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group all documents whose sets of 2-word shingles are similar by 0.8 or more."""
+    made = neardup.near_duplicates(_read(spark, sf_dir, "documents", "doc_id", "text"), shingle=2)
+    return made.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", (F.col("id") == F.col("component_id")).alias("kept"))
+
+
+QUERIES = {"op1_chat_formatting": op1_chat_formatting, "op2_substring_dedup": op2_substring_dedup, "op3_url_filters": op3_url_filters, "op5_minhash_near_dedup": op5_minhash_near_dedup}
+ORACLES = {"op1_chat_formatting": OP1_SQL, "op2_substring_dedup": OP2_SQL, "op3_url_filters": OP3_SQL}

@@ -73,14 +73,50 @@ class Words:
         self.first = np.searchsorted(self.start, bound)
         self.doc = np.repeat(np.arange(len(parts)), np.diff(self.first))
 
-    def grams(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes of all n-word windows and the place of each one's first word; no window crosses texts."""
-        at = np.arange(len(self.hash) - n + 1) if len(self.hash) >= n else np.zeros(0, np.int64)
-        at = at[self.doc[at] == self.doc[at + n - 1]] if len(at) else at
-        total = np.zeros(len(at), np.uint64)
-        for k in range(n):
-            total = mix(total * _MUL + self.hash[at + k])
-        return total, at
+    def grams(self, n: int, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of all n-word windows and the place of each one's first word; no window crosses texts.
+
+        Windows are put together from halves: those of 2, 4, 8 ... words, and of these the powers of two in n.
+        """
+        count = len(self.hash) - n + 1
+        if count <= 0:
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        power, size, total, done = self.hash ^ np.uint64(seed), 1, None, 0
+        while True:
+            if n & size:
+                part = power[done : done + count]
+                total, done = part if total is None else _join(total, part), done + size
+            if done == n:
+                break
+            power, size = _join(power[: len(power) - size], power[size:]), 2 * size
+        at = np.flatnonzero(self.doc[:count] == self.doc[n - 1 :])
+        return total[at], at
+
+    def whole(self) -> np.ndarray:
+        """A hash of each text's sequence of words; 0 for texts without words."""
+        at = np.arange(len(self.hash)) - self.first[self.doc]
+        out = np.zeros(len(self.first) - 1, np.uint64)
+        full = np.flatnonzero(np.diff(self.first))
+        if len(full):
+            out[full] = mix(np.add.reduceat(mix(self.hash + mix(at.astype(np.uint64) + np.uint64(1))), self.first[full]) + np.diff(self.first)[full].astype(np.uint64))
+        return out
+
+    def joined(self, keep: np.ndarray) -> list[bytes]:
+        """The kept words of each text, joined by one space."""
+        edge = np.zeros(len(self.data) + 2, np.int8)
+        start, end = self.start[keep], self.end[keep]
+        edge[start] += 1
+        edge[end + 1] -= 1
+        data = self.data.copy()
+        data[end] = 0x20
+        out = data[np.cumsum(edge[: len(data)], dtype=np.int8) > 0].tobytes()
+        size = np.bincount(self.doc[keep], (end - start + 1), len(self.first) - 1).astype(np.int64)
+        stop = np.cumsum(size)
+        return [out[a : b - 1] if b > a else b"" for a, b in zip(stop - size, stop, strict=True)]
+
+
+def _join(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return mix(a * _MUL + b)
 
 
 def slices(ids, texts, most: int = 1_000_000) -> Iterator[tuple[list, list]]:
