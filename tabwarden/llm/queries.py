@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, neardup, passages, urls
+from . import chat, contamination, neardup, passages, quality, urls
 
 #: The rules of the query on URLs: (verdict, host, path).
 URL_RULES = [("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow", "net", "/de/"), ("block", "example.net", "/de/8"), ("block", "org", "/es/")]
@@ -100,11 +100,36 @@ WITH parts AS (
 SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule, coalesce(verdict, 'allow') AS verdict FROM split LEFT JOIN hits USING (page_id)
 """
 
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs of a document and a test item that it contains by 0.8 or more of its 5-word shingles."""
+    docs, items = _read(spark, sf_dir, "documents", "doc_id", "text"), _read(spark, sf_dir, "benchmark", "item_id", "text")
+    return contamination.contained_items(docs, items).select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "n_shared", "n_item")
+
+
+def _shingles_sql(table: str, key: str) -> str:
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    words = f"list_filter(string_split_regex({lower}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
+    return f"SELECT DISTINCT {key}, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT {key}, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM (SELECT {key}, {words} AS w FROM {table}) WHERE len(w) > 0)"
+
+
+OP4_SQL = f"""
+WITH d AS ({_shingles_sql("documents", "doc_id")}), b AS ({_shingles_sql("benchmark", "item_id")}), n AS (SELECT item_id, count(*) AS n_item FROM b GROUP BY item_id)
+SELECT doc_id, item_id, count(*) AS n_shared, any_value(n_item) AS n_item FROM d JOIN b USING (s) JOIN n USING (item_id)
+GROUP BY doc_id, item_id HAVING 10 * count(*) >= 8 * any_value(n_item)
+"""
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Group all documents whose sets of 2-word shingles are similar by 0.8 or more."""
     made = neardup.near_duplicates(_read(spark, sf_dir, "documents", "doc_id", "text"), shingle=2)
     return made.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", (F.col("id") == F.col("component_id")).alias("kept"))
 
 
-QUERIES = {"op1_chat_formatting": op1_chat_formatting, "op2_substring_dedup": op2_substring_dedup, "op3_url_filters": op3_url_filters, "op5_minhash_near_dedup": op5_minhash_near_dedup}
-ORACLES = {"op1_chat_formatting": OP1_SQL, "op2_substring_dedup": OP2_SQL, "op3_url_filters": OP3_SQL}
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts of every document, and whether the base rules and the outlier test of its language and source keep it."""
+    made = quality.judge_quality(_read(spark, sf_dir, "documents", "doc_id", "lang", "source", "text"))
+    return made.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+QUERIES = {"op1_chat_formatting": op1_chat_formatting, "op2_substring_dedup": op2_substring_dedup, "op3_url_filters": op3_url_filters, "op4_benchmark_decontamination": op4_benchmark_decontamination, "op5_minhash_near_dedup": op5_minhash_near_dedup, "op10_quality_rules": op10_quality_rules}
+ORACLES = {"op1_chat_formatting": OP1_SQL, "op2_substring_dedup": OP2_SQL, "op3_url_filters": OP3_SQL, "op4_benchmark_decontamination": OP4_SQL}
