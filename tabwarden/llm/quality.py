@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 from .common import GAP_CHARS, let, words_of, written
 
 DIMS = 4
-#: The least standard deviation of each dimension: most texts have no symbols at all.
-FLOOR = (0.05, 0.03, 0.10, 0.10)
+#: The least standard deviation of each dimension: most texts have no symbols and no repetition at all, and a
+#: first one (a quoted line, a price) is no outlier.
+FLOOR = (0.10, 0.05, 0.30, 0.60)
 _BITS = 20
 
 
@@ -143,7 +144,7 @@ def robust_distances(rows: DataFrame, support: float = 0.75, steps: int = 4, min
     return _distance(sized, model).withColumn("d2", F.col("d2") * (chi_square(q, DIMS + 2) / support)).drop("g")
 
 
-def judge_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tail: float = 1e-9, **how) -> DataFrame:
+def judge_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tail: float = 1e-11, **how) -> DataFrame:
     """(id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, distance, kept) of every row."""
     df = docs.select(F.col(id_col).alias("id"), F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"), F.col(text_col).alias("text"))
     df = with_counts(df).drop("text").withColumn("base_failed", base_failed())
