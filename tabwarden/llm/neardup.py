@@ -5,12 +5,12 @@
 lowers the variance, and ranks are taken in rounds over all elements at once: a document stops early, when
 no slot can still get less.
 
-*Links.*  Equal sets are one representative.  Representatives that agree in a band form a bucket.  First
-every member is verified against the bucket's smallest id, the hub; then, in buckets whose members are
-not all connected yet, pairs of different components are verified, unless their similarities to the
-hub differ by more than two linked sets' can (the Jaccard distance is a metric; estimates get a margin
-of four standard deviations).  No pairs are made within a component.  At similarity 0.8 the 32 bands of 4 slots
-miss a link with probability 5e-8, and the estimate's bound drops one with 2e-8.
+*Links.*  Equal sets are one representative.  Representatives that agree in a band form a bucket; its smallest
+id is its hub.  Members go to groups: those whose signature is not far from the hub's into one group for each hub, those not near
+it into one for each bucket.  A group is dealt out by a hash into chunks of bounded size; a task compares
+a chunk's full sets, one against all that are not connected to it yet.  In groups of more than one chunk, the members outside
+the component that most members belong to are then compared with all members, again chunk by chunk.  Only links leave the tasks, never pairs.
+At similarity 0.8 the 32 bands of 4 slots miss a link with probability 5e-8.
 
 Defined cases: null and blank texts have an empty set and are linked with nothing; a text with fewer words
 than a shingle is one shingle; rows with one id and equal texts share their component; rows with a null id
@@ -30,6 +30,8 @@ from .common import written
 from .words import Words, mix, slices
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+#: A member whose signature agrees with its hub's in this share of slots at least goes to the hub's group; below the other, to its bucket's.
+NOT_FAR, NEAR = 0.35, 0.6
 _LOW = np.uint64(0xFFFFFFFF)
 
 
@@ -134,19 +136,57 @@ def _likely(pairs: DataFrame, least: float) -> DataFrame:
     return pairs.mapInArrow(run, "a long, b long, near double").where(F.col("near") >= least)
 
 
-def _verified(pairs: DataFrame, percent: int) -> DataFrame:
+class Chunk:
+    """Members' sets, as one array of dense numbers and where each set's begin."""
+
+    def __init__(self, sets: list):
+        each = [np.frombuffer(x, np.uint64) for x in sets]
+        self.size = np.array([len(x) for x in each])
+        self.first = np.cumsum(self.size) - self.size
+        distinct, self.flat = np.unique(np.concatenate(each), return_inverse=True)
+        self.mark = np.zeros(len(distinct), np.int64)
+
+    def linked(self, i: int, percent: int) -> np.ndarray:
+        """Which members are similar enough to member i."""
+        own = self.flat[self.first[i] : self.first[i] + self.size[i]]
+        self.mark[own] = 1
+        both = np.add.reduceat(self.mark[self.flat], self.first)
+        self.mark[own] = 0
+        return 100 * both >= percent * (self.size[i] + self.size - both)
+
+
+def _chunk_links(rows: list, percent: int) -> Iterator[tuple[int, int]]:
+    """Links that connect a chunk's (id, set, asks, component) as all links would: from those that ask, to others."""
+    chunk, label = Chunk([r[1] for r in rows]), np.array([r[3] for r in rows])
+    label = np.unique(label, return_inverse=True)[1]
+    for i, (one, _, asks, _) in enumerate(rows):
+        if asks and (label != label[i]).any():
+            for j in np.flatnonzero(chunk.linked(i, percent) & (label != label[i])):
+                if label[j] != label[i]:
+                    label[label == label[j]] = label[i]
+                    yield max(one, rows[j][0]), min(one, rows[j][0])
+
+
+def _links(members: DataFrame, keys: list[str], percent: int) -> DataFrame:
+    """Links (a, b) within each chunk; ``members`` have the keys, id, set, asks and component."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, rows = None, []
+
+        def solved() -> pa.RecordBatch:
+            found = list(_chunk_links(rows, percent)) if len(rows) > 1 else []
+            return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], names=["a", "b"])
+
         for b in batches:
-            linked, share = [], []
-            for x, y in zip(b["set_a"], b["set_b"], strict=True):
-                x, y = (np.frombuffer(z.as_buffer(), np.uint64) for z in (x, y))
-                both = len(x) + len(y) - len(np.union1d(x, y))
-                every = len(x) + len(y) - both
-                linked.append(100 * both >= percent * every)
-                share.append(both / every)
-            yield pa.RecordBatch.from_arrays([b["a"], b["b"], pa.array(linked, pa.bool_()), pa.array(share, pa.float64())], names=["a", "b", "linked", "share"])
+            for *key, id_, set_, asks, component in zip(*[b[k].to_pylist() for k in keys], *[b[c].to_pylist() for c in ("id", "set", "asks", "component")], strict=True):
+                if key != last:
+                    yield solved()
+                    last, rows = key, []
+                rows.append((id_, set_, asks, component))
+        yield solved()
 
-    return pairs.mapInArrow(run, "a long, b long, linked boolean, share double")
+    dealt = members.select(*keys, "id", "set", "asks", "component").repartition(*keys).sortWithinPartitions(*keys)
+    return dealt.mapInArrow(run, "a long, b long")
 
 
 def _with(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
@@ -197,7 +237,7 @@ def connected(edges: DataFrame, rounds: int = 60) -> DataFrame:
     return stars.union(tops).select(F.col("a").alias("id"), F.col("b").alias("component")).groupBy("id").agg(F.min("component").alias("component"))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80, slots: int = 128, rows: int = 4) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80, slots: int = 128, rows: int = 4, chunk: int = 256) -> DataFrame:
     """(id, n_shingles, component_id) for every row."""
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     signed = written(_signed(docs, shingle, slots, rows), "signatures")
@@ -209,28 +249,33 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     banded = same.select("rep", F.explode("bands").alias("key"))
     hubs = banded.groupBy("key").agg(F.min("rep").alias("hub"), F.count("*").alias("size")).where("size > 1").select("key", "hub")
     members = written(banded.join(hubs, "key"), "buckets")
-    needed = members.select(F.col("rep").alias("id")).distinct()
-    sets = written(_sets(docs.join(needed, "id", "left_semi").dropDuplicates(["id"]), shingle), "sets")
-
-    low = percent / 100
-    sure = low - 5.5 * (low * (1 - low) / slots) ** 0.5
     pairs = members.where("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct()
     near = written(_likely(_with(pairs, signs, "sign"), 0.0), "estimates")
-    exact = written(_verified(_with(near.where(F.col("near") >= sure).select("a", "b"), sets, "set"), percent), "verified")
-    first = connected(exact.where("linked"))
-
-    known = near.join(exact, ["a", "b"], "left").select(F.col("a").alias("rep"), F.col("b").alias("hub"), F.coalesce("share", "near").alias("share"))
-    state = members.join(known, ["rep", "hub"], "left").withColumn("share", F.coalesce("share", F.lit(1.0)))
-    state = state.join(first.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    mixed = state.groupBy("key").agg((F.min("component") != F.max("component")).alias("mixed")).where("mixed").select("key")
-    state = written(state.join(mixed, "key", "left_semi").select("key", "rep", "hub", "share", "component"), "mixed")
-    x, y = state.alias("x"), state.where("rep <> hub").alias("y")
-    apart = F.abs(F.col("x.share") - F.col("y.share")) <= 1 - low + 4 * (0.5 / slots) ** 0.5
-    rest = x.where("rep <> hub").alias("x").join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") < F.col("y.component")) & apart)
-    rest = rest.select(F.greatest("x.rep", "y.rep").alias("a"), F.least("x.rep", "y.rep").alias("b")).distinct().join(near.select("a", "b"), ["a", "b"], "left_anti")
-    rest = _verified(_with(_likely(_with(rest, signs, "sign"), sure).select("a", "b"), sets, "set"), percent)
-    links = exact.where("linked").select("a", "b").union(rest.where("linked").select("a", "b"))
-    groups = connected(links)
+    alike = near.where(F.col("near") >= NOT_FAR).select(F.col("b").alias("g"), F.lit(0).cast("long").alias("k"), F.col("a").alias("id"))
+    alike = alike.union(alike.select("g", "k", F.col("g").alias("id")).distinct())
+    apart = members.join(near.where(F.col("near") < NEAR).select(F.col("a").alias("rep"), F.col("b").alias("hub")), ["rep", "hub"]).select(F.col("hub").alias("g"), F.col("key").alias("k"), F.col("rep").alias("id"))
+    groups = alike.union(apart)
+    sized = groups.groupBy("g", "k").agg(F.count("*").alias("size")).where("size > 1")
+    groups = written(groups.join(sized, ["g", "k"]), "groups")
+    needed = groups.select("id").distinct()
+    sets = written(_sets(docs.join(needed, "id", "left_semi").dropDuplicates(["id"]), shingle), "sets")
+
+    part = lambda n: F.pmod(F.xxhash64("id", "g"), F.ceil(F.col(n) / chunk))
+    dealt = groups.select("g", "k", part("size").alias("m"), "id", F.lit(True).alias("asks"), F.col("id").alias("component")).join(sets, "id")
+    links = written(_links(dealt, ["g", "k", "m"], percent), "links")
+    first = connected(links).withColumnRenamed("id", "node")
+
+    large = groups.where(F.col("size") > chunk)
+    large = large.join(first, large["id"] == first["node"], "left").select("g", "k", "size", "id", F.coalesce("component", "id").alias("component"))
+    main = large.groupBy("g", "k", "component").agg(F.count("*").alias("n")).groupBy("g", "k").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.sum("n").alias("all"), F.max("n").alias("most"))
+    large = written(large.join(main.where(F.col("all") > F.col("most")), ["g", "k"]), "mixed")
+    left = F.col("all") - F.col("most")
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(n / chunk) - 1))
+    members = large.select("g", "k", part("size").alias("m"), every(left).alias("r"), "id", F.lit(False).alias("asks"), "component")
+    asking = large.where("component <> main").withColumn("left", left)
+    asking = asking.select("g", "k", every(F.col("size")).alias("m"), part("left").alias("r"), "id", F.lit(True).alias("asks"), "component")
+    rest = _links(members.unionByName(asking).join(sets, "id"), ["g", "k", "m", "r"], percent)
+    groups = connected(links.union(rest))
 
     named = same.select("k1", "k2", "rep").join(groups.withColumnRenamed("id", "rep"), "rep", "left").select("k1", "k2", F.coalesce("component", "rep").alias("component_id"))
     out = signed.select("id", F.col("n").alias("n_shingles"), "k1", "k2").join(named, ["k1", "k2"], "left")

@@ -70,6 +70,23 @@ def test_near_duplicates_match_brute_force(spark, tmp_path):
     assert {i: (r.n_shingles, r.component_id, r.kept) for i, r in got.items()} == {i: (len(sets[i]), want[i], want[i] == i) for i in want}
 
 
+@pytest.mark.parametrize("chunk", [3, 256])
+def test_family_of_borderline_copies(spark, chunk):
+    """Most pairs are just below or above the threshold; many chunks."""
+    r = random.Random(9)
+    base = [f"t{i}" for i in range(150)]
+    texts = []
+    for i in range(120):
+        w = list(base)
+        for k in r.sample(range(150), r.choice([2, 8, 9, 10, 11, 12, 30])):
+            w[k] = f"n{r.random()}"
+        texts.append(" ".join(w))
+    sets = {i: shingles(t, 2) for i, t in enumerate(texts)}
+    want = components(sets)
+    assert 5 < len(set(want.values())) < 100
+    assert {x.id: x.component_id for x in neardup.near_duplicates(documents(spark, texts), shingle=2, chunk=chunk).collect()} == want
+
+
 def test_chain_of_links_is_one_component(spark):
     """Neighbours are similar, the ends are not; only links that miss the hub join them."""
     r = random.Random(1)
