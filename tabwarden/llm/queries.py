@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, contamination, neardup, passages, quality, urls
+from . import chat, contamination, neardup, packing, passages, quality, toxicity, urls
 
 #: The rules of the query on URLs: (verdict, host, path).
 URL_RULES = [("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow", "net", "/de/"), ("block", "example.net", "/de/8"), ("block", "org", "/es/")]
@@ -125,11 +125,30 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", (F.col("id") == F.col("component_id")).alias("kept"))
 
 
+def word_tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pack all documents into sequences of at most 4096 tokens."""
+    made = packing.packed(_read(spark, sf_dir, "documents", "doc_id", "text"), word_tokenizer(), window=4096, end=2)
+    return made.select(F.col("id").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score every document by models of the labelled ones that are not held out."""
+    docs, labels = _read(spark, sf_dir, "documents", "doc_id", "text"), _read(spark, sf_dir, "labels", "doc_id", "toxic")
+    made = toxicity.toxicity_scores(docs, labels)
+    return made.select(F.col("id").alias("doc_id"), "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts of every document, and whether the base rules and the outlier test of its language and source keep it."""
     made = quality.judge_quality(_read(spark, sf_dir, "documents", "doc_id", "lang", "source", "text"))
     return made.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-QUERIES = {"op1_chat_formatting": op1_chat_formatting, "op2_substring_dedup": op2_substring_dedup, "op3_url_filters": op3_url_filters, "op4_benchmark_decontamination": op4_benchmark_decontamination, "op5_minhash_near_dedup": op5_minhash_near_dedup, "op10_quality_rules": op10_quality_rules}
+QUERIES = {"op1_chat_formatting": op1_chat_formatting, "op2_substring_dedup": op2_substring_dedup, "op3_url_filters": op3_url_filters, "op4_benchmark_decontamination": op4_benchmark_decontamination, "op5_minhash_near_dedup": op5_minhash_near_dedup, "op6_packing": op6_packing, "op9_toxicity": op9_toxicity, "op10_quality_rules": op10_quality_rules}
 ORACLES = {"op1_chat_formatting": OP1_SQL, "op2_substring_dedup": OP2_SQL, "op3_url_filters": OP3_SQL, "op4_benchmark_decontamination": OP4_SQL}
