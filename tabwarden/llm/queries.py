@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, contamination, neardup, packing, passages, quality, toxicity, urls, warc
+from . import chat, contamination, neardup, packing, passages, pii, quality, toxicity, urls, warc
 
 #: The rules of the query on URLs: (verdict, host, path).
 URL_RULES = [("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow", "net", "/de/"), ("block", "example.net", "/de/8"), ("block", "org", "/es/")]
@@ -143,6 +143,14 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.select(F.col("id").alias("page_id"), F.col("bytes").alias("payload_bytes"), F.col("digest").alias("payload_digest"), F.col("kind").alias("record_type"), "refers_to", "url_key", "range", "place")
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents; the base spans' digest, and all spans."""
+    made = pii.find_spans(_read(spark, sf_dir, "documents", "doc_id", "text")).select("doc_id", "spans")
+    base = F.filter("spans", lambda c: c["base"])
+    count = lambda kind: F.size(F.filter(base, lambda c: c["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return made.select("doc_id", *[count(k) for k in pii.KINDS], F.sha2(pii.written_out(base), 256).alias("base_sha256"), pii.written_out(F.col("spans")).alias("spans"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score every document by models of the labelled ones that are not held out."""
     docs, labels = _read(spark, sf_dir, "documents", "doc_id", "text"), _read(spark, sf_dir, "labels", "doc_id", "toxic")
@@ -156,5 +164,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-QUERIES = {"op1_chat_formatting": op1_chat_formatting, "op2_substring_dedup": op2_substring_dedup, "op3_url_filters": op3_url_filters, "op4_benchmark_decontamination": op4_benchmark_decontamination, "op5_minhash_near_dedup": op5_minhash_near_dedup, "op6_packing": op6_packing, "op7_warc": op7_warc, "op9_toxicity": op9_toxicity, "op10_quality_rules": op10_quality_rules}
+QUERIES = {"op1_chat_formatting": op1_chat_formatting, "op2_substring_dedup": op2_substring_dedup, "op3_url_filters": op3_url_filters, "op4_benchmark_decontamination": op4_benchmark_decontamination, "op5_minhash_near_dedup": op5_minhash_near_dedup, "op6_packing": op6_packing, "op7_warc": op7_warc, "op8_pii": op8_pii, "op9_toxicity": op9_toxicity, "op10_quality_rules": op10_quality_rules}
 ORACLES = {"op1_chat_formatting": OP1_SQL, "op2_substring_dedup": OP2_SQL, "op3_url_filters": OP3_SQL, "op4_benchmark_decontamination": OP4_SQL}
