@@ -1,15 +1,69 @@
-"""From documents to packed training sequences: five stages, each an operator of tabwarden.llm."""
+"""From documents to packed training sequences: five stages, each an operator of tabwarden.llm.
+
+Every stage but the last returns the columns of the documents it got.  Rows without a doc_id cannot be named by an
+operator's verdict and stay; rows that share a doc_id are judged as one, a repeated row stays once.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tabwarden.llm import contamination, neardup, packing, pii, quality
+from tabwarden.llm.common import written
+from tabwarden.llm.queries import word_tokenizer
+
+
+def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    return docs.join(ids.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_anti").select(*docs.columns)
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rules or the outlier test of their language and source reject go."""
+    judged = written(quality.judge_quality(docs), "judged")
+    return _without(docs, judged.where(~F.col("kept")))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of documents whose 5-word shingles are similar by 0.8 or more, the one with the smallest id stays."""
+    left = _without(docs, neardup.near_duplicates(docs, shingle=5).where("id <> component_id"))
+    again = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 AND doc_id IS NOT NULL").select("doc_id")
+    once, more = left.join(again, "doc_id", "left_anti"), left.join(again, "doc_id", "left_semi")
+    return once.select(*docs.columns).unionByName(more.dropDuplicates(["doc_id", "text"]).select(*docs.columns))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain a test item by 0.8 or more of its 5-word shingles go."""
+    return contamination.decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(*docs.columns)
+
+
+def redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data becomes its kind in brackets."""
+    found = pii.find_spans(docs).withColumn("text", pii.redacted(F.col("text"), F.col("spans")))
+    found = found.withColumn("n_chars", F.when(F.size("spans") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars")))
+    return found.select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in sequences of at most 4096 tokens."""
+    return packing.packed(docs, word_tokenizer(), window=4096, end=2).withColumnRenamed("id", "doc_id")
+
 
-STAGES: list = []
+STAGES = [
+    ("quality rules", quality_rules),
+    ("near-duplicates", near_dedup),
+    ("benchmark decontamination", decontamination),
+    ("personal data", redaction),
+    ("packing", pack),
+]
+#: SQL has no word for the robust estimate, the learnt spans and the tokenizer; tests/llm/test_pipeline.py tests the stages.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for name, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
+        if name != STAGES[-1][0]:
+            docs = written(docs, name.replace(" ", "-"))
     return docs
