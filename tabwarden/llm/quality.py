@@ -25,6 +25,8 @@ DIMS = 4
 #: first one (a quoted line, a price) is no outlier.
 FLOOR = (0.10, 0.05, 0.30, 0.60)
 _BITS = 20
+#: Parts that a group's rows are dealt out to.
+SALTS = 32
 
 
 def repeated_words(words: Column) -> Column:
@@ -110,9 +112,14 @@ def _sums(rows: DataFrame) -> DataFrame:
     return df.select("g", *[f"m{i}" for i in range(DIMS)], *[f"l{i}{j}" for i in range(DIMS) for j in range(i + 1)])
 
 
+def _per_salt(model: DataFrame) -> DataFrame:
+    """A group's row once for each salt, so that a join deals a large group out."""
+    return model.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+
 def _distance(rows: DataFrame, model: DataFrame) -> DataFrame:
     """``rows`` with d2, the squared Mahalanobis distance; null for groups without a model."""
-    df, kept = rows.join(model, "g", "left"), rows.columns
+    df, kept = rows.join(_per_salt(model), ["g", "salt"], "left"), rows.columns
     for i in range(DIMS):  # forward substitution
         z = F.col(f"x{i}") - F.col(f"m{i}")
         for j in range(i):
@@ -122,33 +129,33 @@ def _distance(rows: DataFrame, model: DataFrame) -> DataFrame:
 
 
 def robust_distances(rows: DataFrame, support: float = 0.75, steps: int = 4, min_rows: int = 200) -> DataFrame:
-    """``rows`` (lang, source and x0, x1, ...) with d2, scaled so that it is chi-square for normal rows."""
+    """``rows`` (lang, source, salt and x0, x1, ...) with d2, scaled so that it is chi-square for normal rows."""
     name = lambda *c: F.to_json(F.struct(*[F.col(x).alias(x) for x in c]))
     sized = rows.withColumns({"g2": name("lang", "source"), "g1": name("lang")})
-    count = lambda g, of: of.groupBy(g).agg(F.count("*").alias(f"n_{g}"))
-    pooled = count("g2", sized).where(F.col("n_g2") >= min_rows).select("g2").withColumn("own", F.lit(True))
-    sized = sized.join(pooled, "g2", "left")
-    by_lang = count("g1", sized.where("own IS NULL")).where(F.col("n_g1") >= min_rows).select("g1").withColumn("lang_own", F.lit(True))
-    sized = sized.join(by_lang, "g1", "left").withColumn("g", F.when(F.col("own"), F.col("g2")).when(F.col("lang_own"), F.col("g1")).otherwise("rest")).drop("g1", "g2", "own", "lang_own")
+    groups = sized.groupBy("g2", "g1").agg(F.count("*").alias("n")).withColumn("own", F.col("n") >= min_rows)
+    by_lang = groups.where(~F.col("own")).groupBy("g1").agg((F.sum("n") >= min_rows).alias("lang_own"))
+    groups = _per_salt(groups.join(by_lang, "g1", "left").select("g2", "own", "lang_own"))
+    sized = sized.join(groups, ["g2", "salt"], "left").withColumn("g", F.when(F.col("own"), F.col("g2")).when(F.col("lang_own"), F.col("g1")).otherwise("rest")).drop("g1", "g2", "own", "lang_own")
     sized = written(sized, "statistics")
 
     middle = lambda c: F.percentile_approx(c, 0.5, 1000)
     start = sized.groupBy("g").agg(F.count("*").alias("n"), *[middle(f"x{i}").alias(f"m{i}") for i in range(DIMS)]).where(F.col("n") >= min_rows)
-    apart = sized.join(start, "g").groupBy("g").agg(*[F.first(f"m{i}").alias(f"m{i}") for i in range(DIMS)], *[F.greatest(1.4826 * middle(F.abs(F.col(f"x{i}") - F.col(f"m{i}"))), F.lit(FLOOR[i])).alias(f"l{i}{i}") for i in range(DIMS)])
+    apart = sized.join(_per_salt(start), ["g", "salt"]).groupBy("g").agg(*[F.first(f"m{i}").alias(f"m{i}") for i in range(DIMS)], *[F.greatest(1.4826 * middle(F.abs(F.col(f"x{i}") - F.col(f"m{i}"))), F.lit(FLOOR[i])).alias(f"l{i}{i}") for i in range(DIMS)])
     model = written(apart.select("*", *[F.lit(0.0).alias(f"l{i}{j}") for i in range(DIMS) for j in range(i)]), "model")
     for _ in range(steps):
         near = _distance(sized, model)
         cut = near.groupBy("g").agg(F.percentile_approx("d2", support, 10_000).alias("cut"))
-        model = written(_sums(near.join(cut, "g").where("d2 <= cut")), "model")
+        model = written(_sums(near.join(_per_salt(cut), ["g", "salt"]).where("d2 <= cut")), "model")
     q = chi_square_bound(support, DIMS)
-    return _distance(sized, model).withColumn("d2", F.col("d2") * (chi_square(q, DIMS + 2) / support)).drop("g")
+    return _distance(sized, model).withColumn("d2", F.col("d2") * (chi_square(q, DIMS + 2) / support)).drop("g", "salt")
 
 
 def judge_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tail: float = 1e-11, **how) -> DataFrame:
     """(id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, distance, kept) of every row."""
     df = docs.select(F.col(id_col).alias("id"), F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"), F.col(text_col).alias("text"))
     df = with_counts(df).drop("text").withColumn("base_failed", base_failed())
-    df = written(df.withColumns({f"x{i}": x for i, x in enumerate(vector())}), "counts")
+    df = df.withColumns({f"x{i}": x for i, x in enumerate(vector())}).withColumn("salt", F.floor(F.rand() * SALTS).cast("int"))
+    df = written(df, "counts")  # salts are drawn once
     judged = robust_distances(df, **how).withColumn("distance", F.sqrt("d2"))
     kept = ~F.col("base_failed") & (F.coalesce(F.col("d2"), F.lit(0.0)) <= chi_square_bound(1 - tail, DIMS))
     return judged.select("id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "distance", kept.alias("kept"))
