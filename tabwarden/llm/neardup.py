@@ -258,7 +258,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sized = groups.groupBy("g", "k").agg(F.count("*").alias("size")).where("size > 1")
     groups = written(groups.join(sized, ["g", "k"]), "groups")
     needed = groups.select("id").distinct()
-    sets = written(_sets(docs.join(needed, "id", "left_semi").dropDuplicates(["id"]), shingle), "sets")
+    # the texts are shuffled at every size, and not sorted
+    sets = written(_sets(docs.join(needed.hint("shuffle_hash"), "id", "left_semi").dropDuplicates(["id"]), shingle), "sets")
 
     part = lambda n: F.pmod(F.xxhash64("id", "g"), F.ceil(F.col(n) / chunk))
     dealt = groups.select("g", "k", part("size").alias("m"), "id", F.lit(True).alias("asks"), F.col("id").alias("component")).join(sets, "id")
