@@ -16,6 +16,7 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -31,42 +32,61 @@ SCHEMA = "id long, start long, length long, ids binary, doc_tokens long, sequenc
 class WordTokens:
     """Token ids of texts by a tokenizer that never joins across white space; ids of words are remembered."""
 
-    def __init__(self, path: str, remember: int = 400_000):
+    MARK = "\x01"
+
+    def __init__(self, path: str, remember: int = 1_200_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer, self.remember = Tokenizer.from_file(path), remember
+        self.mark, = self.tokenizer.encode(self.MARK, add_special_tokens=False).ids
         self._forget()
 
     def _forget(self) -> None:
         self.known: dict[bytes, int] = {}
-        self.ids, self.begin, self.size = [np.zeros(0, "<u4")], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        self.total = 0
+        self.ids, self.begin, self.size = np.zeros(0, "<u4"), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def _learn(self, words: list[bytes]) -> None:
+    def _find(self, words: list[bytes]) -> np.ndarray:
+        """The place of each word among the known; new ones are encoded."""
         if len(self.known) > self.remember:
             self._forget()
-        new = list({w for w in words if w not in self.known})
-        if not new:
-            return
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)]
-        size = np.array([len(x) for x in ids], np.int64)
-        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
-        self.begin.append(self.total + np.cumsum(size) - size)
-        self.size.append(size)
-        self.ids.append(np.fromiter((t for x in ids for t in x), "<u4", int(size.sum())))
-        self.total += int(size.sum())
-        self.ids, self.begin, self.size = ([np.concatenate(x)] for x in (self.ids, self.begin, self.size))
+        at = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+        missing = np.flatnonzero(at < 0).tolist()
+        if missing:
+            new = list(dict.fromkeys(words[i] for i in missing))
+            size, ids = self._encoded(new)
+            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
+            self.begin = np.concatenate([self.begin, len(self.ids) + np.cumsum(size) - size])
+            self.size = np.concatenate([self.size, size])
+            self.ids = np.concatenate([self.ids, ids])
+            at[missing] = [self.known[words[i]] for i in missing]
+        return at
+
+    def _encoded(self, words: list[bytes], together: int = 2000) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each word has, and all ids.  Words are encoded many at a time, with a mark between them."""
+        texts = [w.decode("utf-8", "replace") for w in words]
+        parts = [texts[a : a + together] for a in range(0, len(texts), together)]
+        sizes, ids = [], []
+        for part, made in zip(parts, self.tokenizer.encode_batch_fast([f" {self.MARK} ".join(p) for p in parts], add_special_tokens=False), strict=True):
+            found = np.array(made.ids, "<u4")
+            mark = np.flatnonzero(found == self.mark)
+            if len(mark) == len(part) - 1:
+                sizes.append(np.diff(np.concatenate([[-1], mark, [len(found)]])) - 1)
+                ids.append(np.delete(found, mark))
+            else:  # some word holds the mark itself
+                alone = [self.tokenizer.encode(t, add_special_tokens=False).ids for t in part]
+                sizes.append(np.array([len(x) for x in alone], np.int64))
+                ids.append(np.array([t for x in alone for t in x], "<u4"))
+        return np.concatenate(sizes), np.concatenate(ids)
 
     def encode(self, texts: list[str | None], end: int) -> list[np.ndarray]:
         """The ids of each text, then ``end``."""
         split = [(t or "").encode("utf-8", "replace").split() for t in texts]
         words = [w for s in split for w in s]
-        self._learn(words)
-        at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-        size, begin = self.size[0][at], self.begin[0][at]
+        at = self._find(words)
+        size, begin = self.size[at], self.begin[at]
         stop = np.cumsum(size)
-        flat = self.ids[0][np.repeat(begin - (stop - size), size) + np.arange(stop[-1] if len(stop) else 0)]
+        flat = self.ids[np.repeat(begin - (stop - size), size) + np.arange(stop[-1] if len(stop) else 0)]
         bound = np.concatenate([[0], stop])[np.cumsum([0] + [len(s) for s in split])]
         return [np.append(flat[a:b], np.uint32(end)) for a, b in zip(bound[:-1], bound[1:], strict=True)]
 
