@@ -29,19 +29,9 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, new_path, written
+from .common import new_path, written
 from .urls import url_host, url_path
 
-_B32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
-
-
-def base32_sha1(data: Column) -> Column:
-    """The bare upper-case base32 SHA-1 of a text: 160 bits are 32 digits of five."""
-    bits = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(37), F.lit(4)), lambda i: F.lpad(F.conv(F.substring(F.sha1(data), i, F.lit(4)), 16, 2), 16, "0")), "")
-    digits = F.transform(F.sequence(F.lit(1), F.lit(156), F.lit(5)), lambda i: F.substring(F.lit(_B32), F.conv(F.substring(bits, i, F.lit(5)), 2, 10).cast("int") + 1, F.lit(1)))
-    return F.array_join(digits, "")
-
-
 def url_key(url: Column) -> Column:
     """The host's labels from the last, then the path and query, A-Z lower-cased in the host: ``com,example)/a?b``."""
     host = url_host(url)
@@ -50,13 +40,13 @@ def url_key(url: Column) -> Column:
 
 
 def marked_revisits(pages: DataFrame, least: int = 0) -> DataFrame:
-    """(id, url, time, html) with digest, bytes and refers_to, the id of the response that the row revisits."""
+    """(id, url, time, html) with sha (hexadecimal SHA-1), bytes and refers_to, the id of the response that the row revisits."""
     df = pages.withColumn("html", F.coalesce("html", F.lit(""))).withColumn("rank", F.coalesce("id", F.lit(2**63 - 1)))
     df = df.withColumns({"sha": F.sha1("html"), "bytes": F.octet_length("html").cast("long")})
     first = df.where(F.col("bytes") >= least).groupBy("sha").agg(F.min("rank").alias("refers_to"), F.max("rank").alias("last")).where("refers_to < last").drop("last")
     late = df.select("rank", "sha").join(first, "sha").where("rank > refers_to").distinct()
     # joined by id, as a payload may be that of a third of all rows
-    return df.join(late, ["rank", "sha"], "left").select("id", "url", "time", "html", "bytes", "refers_to", base32_sha1(F.col("html")).alias("digest"))
+    return df.join(late, ["rank", "sha"], "left").select("id", "url", "time", "html", "bytes", "refers_to", "sha")
 
 
 def _record(kind: str, headers: list[tuple[str, str]], block: bytes) -> bytes:
@@ -68,7 +58,7 @@ def capture(row: dict) -> bytes:
     """The record of a row, a gzip member of its own."""
     uri = re.sub(r"[\r\n]", lambda m: f"%{ord(m[0]):02X}", row["url"] or "")
     name = lambda i: f"<urn:capture:{'none' if i is None else i}>"
-    headers = [("WARC-Record-ID", name(row["id"])), ("WARC-Target-URI", uri), ("WARC-Date", row["time"]), ("WARC-Payload-Digest", f"sha1:{row['digest']}"), ("Content-Type", "application/http;msgtype=response")]
+    headers = [("WARC-Record-ID", name(row["id"])), ("WARC-Target-URI", uri), ("WARC-Date", row["time"]), ("WARC-Payload-Digest", f"sha1:{base64.b32encode(bytes.fromhex(row['sha'])).decode()}"), ("Content-Type", "application/http;msgtype=response")]
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
     if row["refers_to"] is None:
         made = _record("response", headers, http + row["html"].encode("utf-8", "surrogatepass"))
@@ -116,10 +106,12 @@ def members(data: bytes) -> Iterator[tuple[int, int, bytes]]:
     """(offset, length, content) of each gzip member."""
     at = 0
     while at < len(data):
-        unzip = zlib.decompressobj(31)
-        content = unzip.decompress(memoryview(data)[at:])
-        end = len(data) - len(unzip.unused_data)
-        yield at, end - at, content
+        unzip, end, parts = zlib.decompressobj(31), at, []
+        while not unzip.eof and end < len(data):  # a little at a time: what follows the member is copied
+            parts.append(unzip.decompress(data[end : end + 16_384]))
+            end = min(end + 16_384, len(data))
+        end -= len(unzip.unused_data)
+        yield at, end - at, b"".join(parts)
         at = end
 
 
