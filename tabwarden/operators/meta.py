@@ -35,7 +35,7 @@ def spearman(df: DataFrame, x: str, y: str, by: list[str] | None = None, least:
     for c in ("x", "y"):
         df = df.withColumn(f"_{c}", average_rank(c, by)).withColumn(f"r{c}", F.avg(f"_{c}").over(Window.partitionBy(*by, c)))
     varied = (F.min("rx") < F.max("rx")) & (F.min("ry") < F.max("ry"))
-    made = df.groupBy(*by).agg(F.count("*").alias("n"), F.round(F.corr("rx", "ry"), 4).alias("rho"), varied.alias("varied"))
+    made = df.groupBy(*by).agg(F.count("*").alias("n"), F.round(F.covar_pop("rx", "ry") / F.nullif(F.stddev_pop("rx") * F.stddev_pop("ry"), F.lit(0.0)), 4).alias("rho"), varied.alias("varied"))
     return made.withColumn("rho", F.when((F.col("n") >= least) & F.col("varied"), F.col("rho"))).drop("varied")
 
 
