@@ -192,7 +192,7 @@ class Pipeline:
             typed, columns, self.categorical, self.label, key, history, self.config.get("training.models"), self.config.get("training.balance", "balanced"), self.config.get("training.validation", 0.2),
             self.config.get("training.preparation"), warm, self.config.get("training.names", training.ORDER),
         )
-        save_json(self.root / "ranges.json", inference.training_ranges(outcome.train, columns))
+        save_json(self.root / "ranges.json", inference.training_ranges(outcome.train, self.numeric))  # calendar features leave their range by nature
         for name, t in outcome.models.items():
             self.registry.register(name, index, t.model, t.metrics, moved.max_psi, preparation=outcome.preparation.to_json())
         self.registry.prune(self.config.get("training.keep", 5))
