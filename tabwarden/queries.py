@@ -603,3 +603,47 @@ def systematic_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     before = part.groupBy("part").agg(F.count("*").alias("n")).withColumn("before", F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)))
     at = part.join(before.select("part", F.coalesce("before", F.lit(0)).alias("before")), "part").withColumn("i", F.row_number().over(Window.partitionBy("part").orderBy("event_id")) - 1 + F.col("before"))
     return at.where(F.col("i") % 7 == 0).groupBy("event_type").agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"))
+
+
+@query("""SELECT strftime(o_orderdate, '%Y-%m') AS period, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY 1""")
+def stream_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly totals of a stream of files, until all that is there has been read."""
+    from .session import scratch
+    from .streaming.monthly import monthly_totals, run_to_table
+
+    schema = spark.read.parquet(f"{sf_dir}/orders.parquet").schema
+    live = spark.readStream.schema(schema).option("pathGlobFilter", "orders.parquet").parquet(sf_dir)
+    where = scratch(spark, "stream")
+    return run_to_table(monthly_totals(live, "o_orderdate", "o_totalprice"), f"totals_{where[-8:]}", where)
+
+
+def _trained(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Metrics of a model on the validation part of all policies.  SCORE is noise, so nothing can be learnt from it."""
+    from .plans.training import train_batch
+
+    df, _ = features.engineer(policy(spark, sf_dir).drop("SCORE", "CLAIM_PAID", "EFFECTIVE_YR"))
+    key = [F.col(c).cast("string") for c in ("ORDER_KEY", "LINE", "INSURED_VALUE", "INSR_BEGIN")]
+    made = train_batch(df, [*NUMERIC, "VEHICLE_AGE", "LOG1P_PREMIUM"], ["TYPE_VEHICLE", "USAGE"], "HAS_CLAIM", key, names=[name], models={"rf": {"trees": 20, "max_depth": 8}, "mlp": {"layers": [10], "max_iter": 30}})
+    m = made.models[name].metrics
+    rows = [(name, made.rows, *[float(m[k]) for k in ("f1", "roc_auc", "precision", "recall", "accuracy")])]
+    return spark.createDataFrame(rows, "model string, rows long, f1 double, roc_auc double, precision double, recall double, accuracy double")
+
+
+@query()
+def train_lr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _trained(spark, sf_dir, "lr")
+
+
+@query()
+def train_dt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _trained(spark, sf_dir, "dt")
+
+
+@query()
+def train_rf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _trained(spark, sf_dir, "rf")
+
+
+@query()
+def train_mlp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _trained(spark, sf_dir, "mlp")

@@ -11,3 +11,15 @@ def session(name: str = "tabwarden", **conf: str) -> SparkSession:
     for k, v in wanted.items():
         builder = builder.config(k, v)
     return builder.getOrCreate()
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder name in the folder that all nodes share, ``spark.checkpoint.dir``; set here only where it is unset."""
+    import tempfile
+    import uuid
+
+    at = spark.conf.get("spark.checkpoint.dir", None)
+    if not at:
+        at = f"file://{tempfile.mkdtemp(prefix='tabwarden-')}"
+        spark.conf.set("spark.checkpoint.dir", at)
+    return f"{at.rstrip('/')}/{name}-{uuid.uuid4().hex}"
