@@ -84,9 +84,12 @@ def fingerprint(record: Column, layouts: list[Layout] = LAYOUTS) -> Column:
     """The hash of a record's field paths: its own keys, and ``list[].key`` for the keys of a list's first item."""
     known = sorted({p for x in layouts for p in x.paths})
     lists = sorted({x.items for x in layouts if x.items})
-    inside = [F.transform(F.json_object_keys(F.get_json_object(record, f"$.{a}[0]")), lambda k, a=a: F.concat(F.lit(f"{a}[]."), k)) for a in lists]
+
+    def inside(a: str) -> Column:
+        return F.transform(F.json_object_keys(F.get_json_object(record, f"$.{a}[0]")), lambda k: F.concat(F.lit(f"{a}[]."), k))
+
     none = F.array().cast("array<string>")
-    paths = F.concat(*[F.coalesce(p, none) for p in (F.json_object_keys(record), *inside)])
+    paths = F.concat(*[F.coalesce(p, none) for p in (F.json_object_keys(record), *map(inside, lists))])
     return F.sha2(F.array_join(F.sort_array(F.array_intersect(paths, F.array(*map(F.lit, known)))), "\n"), 256)
 
 
