@@ -34,6 +34,16 @@ def _sent(df: DataFrame, most: int) -> DataFrame:
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
+def _found(every: DataFrame, items: DataFrame) -> DataFrame:
+    """Document shingles that are items' shingles.
+
+    Only hashes are join keys; strings are put together and compared where hashes agree.  Two inequalities say
+    equality, as an equality would become a join key and every string would be made.
+    """
+    items = items.withColumnRenamed("shingle", "said")
+    return every.join(items, "hash").where((F.col("shingle") <= F.col("said")) & (F.col("shingle") >= F.col("said"))).drop("said")
+
+
 def slots(n: Column, share: float) -> Column:
     """The slots of an item's size partition, and how many of them a document must hold at least."""
     miss = lambda size: F.floor(size * round(1000 * (1 - share)) / 1000)  # noqa: E731  whole thousandths, so that 0.8 misses exactly a fifth
@@ -52,9 +62,9 @@ def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
 
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("id IS NOT NULL")
     every = _shingles(docs, shingle)
-    hits = every.join(_sent(sketch, send_rows), ["hash", "shingle"]).groupBy("id", "item", "least", "hash", "shingle").agg(F.lit(1).alias("hit"))
+    hits = _found(every, _sent(sketch, send_rows)).groupBy("id", "item", "least", "hash", "shingle").agg(F.lit(1).alias("hit"))
     likely = hits.groupBy("id", "item", "least").agg(F.count("*").alias("n")).where("n >= least").select("id", "item")
-    shared = every.join(_sent(whole.select("item", "hash", "shingle", "n_item"), send_rows), ["hash", "shingle"])
+    shared = _found(every, _sent(whole.select("item", "hash", "shingle", "n_item"), send_rows))
     shared = shared.groupBy("id", "item", "n_item", "hash", "shingle").agg(F.lit(1).alias("hit")).groupBy("id", "item", "n_item").agg(F.count("*").alias("n_shared"))
     enough = F.col("n_shared") >= F.ceil(F.col("n_item") * F.lit(round(share * 1000)) / 1000)
     return shared.join(likely, ["id", "item"], "left_semi").where(enough).select("id", "item", "n_shared", "n_item")
