@@ -88,8 +88,9 @@ class RuleFile:
 
 def judge_urls(df: DataFrame, rules: list[tuple[str, str, str]], url_col: str = "url", default: str = "allow", max_rules: int = MAX_RULES) -> DataFrame:
     """``df`` with host, path, rule and verdict; rules are (verdict, host, path), and fit their host and its subdomains."""
-    made = ["host", "path", "rule", "verdict"]
-    df = df.drop(*[c for c in made if c != url_col]).select("*", url_host(F.col(url_col)).alias("host"), url_path(F.col(url_col)).alias("path")) if url_col not in made else df.withColumnRenamed(url_col, "_url").drop(*made).select("*", url_host(F.col("_url")).alias("host"), url_path(F.col("_url")).alias("path"))
+    # the result's columns replace ones of the same name, the URL's own among them only after it was read
+    df = df.withColumns({"_host": url_host(F.col(url_col)), "_path": url_path(F.col(url_col))}).drop("host", "path", "rule", "verdict")
+    df = df.withColumnsRenamed({"_host": "host", "_path": "path"})
     listed = [(host.translate(str.maketrans(UPPER, LOWER)) + path, verdict) for verdict, host, path in rules]
     shapes = sorted({(h.count(".") + 1, len(p)) for _, h, p in rules})
     df = df.withColumn("_keys", candidates(F.col("host"), F.col("path"), shapes))
