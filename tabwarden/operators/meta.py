@@ -22,18 +22,13 @@ def stats(x: Column | str) -> list[Column]:
     return [F.count(x).alias("n"), F.round(F.avg(x), 6).alias("mean"), F.round(F.percentile(x, F.lit(0.5)), 6).alias("median"), F.min(x).alias("min"), F.max(x).alias("max"), F.round(F.coalesce(F.stddev_samp(x), F.lit(0.0)), 6).alias("std")]
 
 
-def average_rank(x: str, by: list[str]) -> Column:
-    """The rank of x, averaged over ties."""
-    row = F.row_number().over(Window.partitionBy(*by).orderBy(x))
-    return row  # averaged by the caller's second window, as windows do not nest
-
-
 def spearman(df: DataFrame, x: str, y: str, by: list[str] | None = None, least: int = 3) -> DataFrame:
     """(by..., n, rho): null under ``least`` pairs or where a side is constant; four decimals."""
     by = by or []
     df = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*by, F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
-    for c in ("x", "y"):
-        df = df.withColumn(f"_{c}", average_rank(c, by)).withColumn(f"r{c}", F.avg(f"_{c}").over(Window.partitionBy(*by, c)))
+    for c in ("x", "y"):  # ranks, averaged over ties
+        place = F.row_number().over(Window.partitionBy(*by).orderBy(c))
+        df = df.withColumn(f"_{c}", place).withColumn(f"r{c}", F.avg(f"_{c}").over(Window.partitionBy(*by, c)))
     varied = (F.min("rx") < F.max("rx")) & (F.min("ry") < F.max("ry"))
     made = df.groupBy(*by).agg(F.count("*").alias("n"), F.round(F.covar_pop("rx", "ry") / F.nullif(F.stddev_pop("rx") * F.stddev_pop("ry"), F.lit(0.0)), 4).alias("rho"), varied.alias("varied"))
     return made.withColumn("rho", F.when((F.col("n") >= least) & F.col("varied"), F.col("rho"))).drop("varied")

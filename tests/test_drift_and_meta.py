@@ -59,7 +59,7 @@ def test_monitor(spark, tmp_path):
 
 
 def test_thinning_strides(spark):
-    values = stack(spark, range(1000)).withColumn("_o", stack(spark, [0]).value if False else __import__("pyspark").sql.functions.col("value"))
+    values = stack(spark, range(1000)).selectExpr("*", "value AS _o")
     assert drift.thinned(values, ["_o"], limit=300).count() == 250 and drift.thinned(values, ["_o"], extend=True, limit=300).count() == 334 and drift.thinned(values, ["_o"], limit=1000).count() == 1000
 
 
