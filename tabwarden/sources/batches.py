@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import period_name
 from ..functions.dates import parse_datetime
-from .files import dataset_hash, unzipped
+from .files import dataset_hash, load_json, save_json, unzipped
 
 log = logging.getLogger(__name__)
 PERIOD = re.compile(r"\d{4}(-\d{2}|Q[1-4])?")
@@ -150,6 +150,17 @@ class Collector:
         made.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("period").parquet(self.table)
         return period
 
+    def save(self, path: str) -> None:
+        """What the collector was made with, as JSON."""
+        save_json(path, {"kind": "collector", "table": self.table, "required": self.required, "time_col": self.time_col, "fmt": self.fmt, "size": self.size})
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> Collector:
+        data = load_json(path)
+        if not isinstance(data, dict) or data.pop("kind", None) != "collector":
+            raise ValueError(f"{path} does not describe a collector")
+        return cls(spark, **data)
+
     def describe(self) -> dict:
         counts = self.spark.read.parquet(self.table).groupBy(F.col("period").cast("string").alias("p")).agg(F.count("*").alias("n"))
         n, first, last, rows = counts.agg(F.count("*"), F.min("p"), F.max("p"), F.sum("n")).first()

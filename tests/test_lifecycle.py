@@ -72,6 +72,10 @@ def test_external_batches(trained, spark, tmp_path):
     (tmp_path / "x.csv").write_text("INSR_BEGIN,PREMIUM\n01-MAR-15,1\n02-MAR-15,2\njunk,3\n")
     assert c.append_external(str(tmp_path / "x.csv")) == "2015-03" and c.periods() == ["2015-03"]
     assert c.describe() == {"batches": 1, "first": "2015-03", "last": "2015-03", "rows": 2}
+    c.save(str(tmp_path / "c.json"))
+    assert batches.Collector.load(spark, str(tmp_path / "c.json")).describe() == c.describe()
+    with pytest.raises(ValueError):
+        batches.Collector.load(spark, str(tmp_path / "none.json"))
     with pytest.raises(FileExistsError):
         c.append_external(str(tmp_path / "x.csv"))
     c.append_external(str(tmp_path / "x.csv"), overwrite=True)
