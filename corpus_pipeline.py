@@ -15,7 +15,9 @@ from tabwarden.llm.queries import word_tokenizer
 
 
 def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    return docs.join(ids.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_anti").select(*docs.columns)
+    """The texts are shuffled at every size, and not sorted."""
+    gone = ids.select(F.col("id").alias("doc_id")).distinct()
+    return docs.join(gone.hint("shuffle_hash"), "doc_id", "left_anti").select(*docs.columns)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
