@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,12 +17,13 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; set here only where unset."""
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        at = f"file://{tempfile.mkdtemp(prefix='tabwarden-')}"
-        spark.conf.set("spark.checkpoint.dir", at)
-    return at.rstrip("/")
+    """The folder that driver and executors share: ``spark.checkpoint.dir``, or where it is unset, as in tests, one of this process."""
+    return (spark.conf.get("spark.checkpoint.dir", None) or _own_dir()).rstrip("/")
+
+
+@cache
+def _own_dir() -> str:
+    return f"file://{tempfile.mkdtemp(prefix='tabwarden-')}"
 
 
 def new_path(spark: SparkSession, name: str) -> str:
