@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+from functools import cache
+
 from pyspark.sql import SparkSession
 
 
@@ -14,12 +18,10 @@ def session(name: str = "tabwarden", **conf: str) -> SparkSession:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder name in the folder that all nodes share, ``spark.checkpoint.dir``; set here only where it is unset."""
-    import tempfile
-    import uuid
-
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        at = f"file://{tempfile.mkdtemp(prefix='tabwarden-')}"
-        spark.conf.set("spark.checkpoint.dir", at)
-    return f"{at.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new folder name in the folder that all nodes share, ``spark.checkpoint.dir``, or where it is unset in one of this process."""
+    return f"{(spark.conf.get('spark.checkpoint.dir', None) or _own_dir()).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@cache
+def _own_dir() -> str:
+    return f"file://{tempfile.mkdtemp(prefix='tabwarden-')}"
