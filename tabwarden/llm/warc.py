@@ -77,23 +77,22 @@ def write_archives(pages: DataFrame, folder: str, file_bytes: int = 16_000_000)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, path = fs.FileSystem.from_uri(uri)
-        task, number, held, size = TaskContext.get(), 0, [], 0
+        task, number, out, size = TaskContext.get(), 0, None, 0
+        part = lambda: f"{path}/_{task.taskAttemptId()}-{number}"
 
         def close() -> None:
-            nonlocal number, size
-            if held:
-                name = f"{path}/capture-{task.partitionId():06d}-{number:06d}.warc.gz"
-                with store.open_output_stream(part := f"{path}/_{task.taskAttemptId()}-{number}") as out:
-                    for member in held:
-                        out.write(member)
-                store.move(part, name)
-                number, size = number + 1, 0
-                held.clear()
+            nonlocal number, out, size
+            if out is not None:
+                out.close()
+                store.move(part(), f"{path}/capture-{task.partitionId():06d}-{number:06d}.warc.gz")
+                number, out, size = number + 1, None, 0
 
         for b in batches:
             for k in range(b.num_rows):
-                held.append(capture({c: b[c][k].as_py() for c in b.schema.names}))
-                size += len(held[-1])
+                member = capture({c: b[c][k].as_py() for c in b.schema.names})
+                out = out or store.open_output_stream(part())
+                out.write(member)
+                size += len(member)
                 if size >= file_bytes:
                     close()
         close()
@@ -215,7 +214,7 @@ def merged_index(entries: DataFrame, parts: int) -> DataFrame:
     return dealt.mapInArrow(run, schema).select(*names)
 
 
-def archive_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", time: Column | None = None, least: int = 0, file_bytes: int = 16_000_000, range_rows: int = 50_000, folder: str | None = None) -> DataFrame:
+def archive_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", time: Column | None = None, least: int = 0, file_bytes: int = 16_000_000, range_rows: int = 10_000, folder: str | None = None) -> DataFrame:
     """Write pages as WARC files into ``folder`` (by default a new one in the shared folder), read them back and return the merged index.
 
     Without ``time`` a capture's second is its id.
