@@ -8,8 +8,9 @@ A text's evidence is length-normalised: the mean over its words of log P(toxic)
 highest mean over ``window`` neighbouring words, and the mean of its three highest distinct words, as a few words are thin in a long text.
 A logistic function of these and the length, fitted on at most ``fit_rows`` labelled rows that the models have not seen, makes it a score.
 
-Counts cover all labelled rows for training.  The models are sent to the tasks with at most ``most_grams`` byte sequences;
-where there are more, the rarest count as unseen (a count cutoff).
+Counts cover all labelled rows for training, and every byte sequence counts, however many there are.  The models are Spark
+tables; tasks write them as sorted files of key ranges to the shared folder, which executors fetch once and map
+into memory.  So a model needs disk on each executor but neither the driver's memory nor the tasks'.
 
 Defined cases: null and blank texts have no evidence and get the score of none; rows without a label are only
 scored; several labels of one document all count; without labels of both classes every score is the share of toxic ones, 0.5 without any.
@@ -17,14 +18,17 @@ scored; several labels of one document all count; without labels of both classes
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
+from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import new_path, written
 from .words import Words, slices
 
 DISCOUNT = 0.75
@@ -103,53 +107,76 @@ def log_ratios(grams: DataFrame) -> tuple[DataFrame, DataFrame]:
     return full.select("gram", F.log(p("toxic", F.col("shared")) / p("ordinary", F.col("shared"))).alias("ratio")), context.select("context", F.log(back("toxic") / back("ordinary")).alias("ratio"))
 
 
-def _bounded(grams: DataFrame, most: int) -> DataFrame:
-    """``grams``, without the rarest where they are more than ``most``."""
-    seen = F.least(F.col("toxic") + F.col("ordinary"), F.lit(1000))
-    sizes = {r[0]: r[1] for r in grams.groupBy(seen.alias("seen")).count().collect()}
-    least, left = 1, sum(sizes.values())
-    while left > most and least < 1000:
-        left -= sizes.get(least, 0)
-        least += 1
-    return grams.where(F.col("toxic") + F.col("ordinary") >= least) if least > 1 else grams
-
-
-def _sorted(df: DataFrame, key: str) -> tuple[np.ndarray, np.ndarray]:
-    table = df.toArrow()
-    keys, ratio = table[key].to_numpy(), table["ratio"].to_numpy().astype(np.float32)
-    order = np.argsort(keys)
-    return keys[order], ratio[order]
+def write_ratios(df: DataFrame, key: str) -> list[tuple[int, str]]:
+    """Write (key, ratio) rows as files of key ranges and send them to all executors: the first key and the name of each, in order.
 
+    Only names pass through the driver; files of attempts that failed have other names and are not listed.
+    """
+    uri = new_path(df.sparkSession, "ratios")
 
-def word_evidence(w: Words, grams: tuple, contexts: tuple) -> np.ndarray:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        full = (b for b in batches if b.num_rows)
+        if (b := next(full, None)) is None:
+            return
+        first, name = b[0][0].as_py(), uuid.uuid4().hex
+        store, path = fs.FileSystem.from_uri(uri if "://" in uri else f"file://{uri}")
+        store.create_dir(path, recursive=True)
+        with store.open_output_stream(f"{path}/{name}.keys") as keys, store.open_output_stream(f"{path}/{name}.ratios") as ratios:
+            while b is not None:
+                keys.write(b[0].to_numpy(zero_copy_only=False).astype("<i8").tobytes())
+                ratios.write(b[1].to_numpy(zero_copy_only=False).astype("<f4").tobytes())
+                b = next(full, None)
+        yield pa.RecordBatch.from_arrays([pa.array([first], pa.int64()), pa.array([name])], names=["first", "name"])
+
+    made = df.select(key, "ratio").repartitionByRange(key).sortWithinPartitions(key).mapInArrow(run, "first long, name string")
+    parts = sorted(map(tuple, made.collect()))
+    for _, name in parts:
+        for kind in ("keys", "ratios"):
+            df.sparkSession.sparkContext.addFile(f"{uri}/{name}.{kind}")
+    return parts
+
+
+class Ratios:
+    """The memory-mapped files of :func:`write_ratios`."""
+
+    def __init__(self, parts: list[tuple[int, str]], where: Callable[[str], str] = SparkFiles.get):
+        self.first = np.array([first for first, _ in parts], np.int64)
+        self.parts = [(np.memmap(where(f"{name}.keys"), "<i8", "r"), np.memmap(where(f"{name}.ratios"), "<f4", "r")) for _, name in parts]
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the keys, which are in order, are there, and their ratios."""
+        seen, ratio = np.zeros(len(keys), bool), np.zeros(len(keys), np.float32)
+        edge = [*np.searchsorted(keys, self.first), len(keys)]
+        for (held, values), a, b in zip(self.parts, edge[:-1], edge[1:], strict=True):
+            if a < b:
+                at = np.minimum(np.searchsorted(held, keys[a:b]), len(held) - 1)
+                seen[a:b], ratio[a:b] = held[at] == keys[a:b], values[at]
+        return seen, ratio
+
+
+def word_evidence(w: Words, grams: Ratios, contexts: Ratios) -> np.ndarray:
     """The log ratio of each word; equal words are looked up once."""
     if not len(w.hash):
         return np.zeros(0)
     _, pick, inverse = np.unique(w.hash, return_index=True, return_inverse=True)
     gram, first = byte_grams(w, pick)
 
-    def look(table: tuple, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        if not len(table[0]):
-            return np.zeros(len(keys), bool), np.zeros(len(keys), np.float32)
-        at = np.minimum(np.searchsorted(table[0], keys), len(table[0]) - 1)
-        return table[0][at] == keys, table[1][at]
-
     every, where = np.unique(gram, return_inverse=True)
-    seen, ratio = look(grams, every)
-    known, rest = look(contexts, every >> 8)
+    seen, ratio = grams.find(every)
+    known, rest = contexts.find(every >> 8)
     ratio = np.where(seen, ratio, np.where(known, rest, 0))
     return np.add.reduceat(ratio[where].astype(float), first)[inverse]
 
 
-def evidence(docs: DataFrame, grams: tuple, contexts: tuple, window: int) -> DataFrame:
-    """(id, words, mean, peak, top) of (id, text)."""
-    sent = docs.sparkSession.sparkContext.broadcast((grams, contexts))
+def evidence(docs: DataFrame, grams: list[tuple[int, str]], contexts: list[tuple[int, str]], window: int) -> DataFrame:
+    """(id, words, mean, peak, top) of (id, text) and the files of the models."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        models = Ratios(grams), Ratios(contexts)
         for b in batches:
             for ids, texts in slices(b["id"].to_pylist(), (x.as_py() for x in b["text"]), 3_000_000):
                 w = Words(texts, lower=True)
-                ratio = word_evidence(w, *sent.value)
+                ratio = word_evidence(w, *models)
                 total = np.concatenate([[0.0], np.cumsum(ratio)])
                 size = np.diff(w.first)
                 mean = (total[w.first[1:]] - total[w.first[:-1]]) / np.maximum(size, 1)
@@ -193,7 +220,7 @@ def remainder(id_: Column) -> Column:
     return F.crc32(id_.cast("string")) % 5
 
 
-def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", window: int = 16, most_grams: int = 4_000_000, fit_rows: int = 50_000, send_labels: int = 2_000_000) -> DataFrame:
+def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", window: int = 16, fit_rows: int = 50_000, send_labels: int = 2_000_000) -> DataFrame:
     """(id, held_out, words, mean, peak, top, score).  Labels of rows held out (crc32 of the id divisible by 5) are never read.
 
     Remainders 1 to 3 make the models, 4 the logistic function.
@@ -204,8 +231,8 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     sent = lambda df: F.broadcast(df) if few else df
     learn, fit = labels.where(remainder(F.col("id")) != 4), labels.where(remainder(F.col("id")) == 4)
     grams = written(_counts(docs.join(sent(learn), "id").select("text", (F.col("toxic") > 0).alias("toxic"))), "grams")
-    grams, contexts = log_ratios(_bounded(grams, most_grams))
-    scored = written(evidence(docs, _sorted(grams, "gram"), _sorted(contexts, "context"), window), "evidence")
+    grams, contexts = log_ratios(grams)
+    scored = written(evidence(docs, write_ratios(written(grams, "gram-ratios"), "gram"), write_ratios(written(contexts, "context-ratios"), "context"), window), "evidence")
 
     x = {"mean": F.col("mean"), "peak": F.col("peak"), "top": F.col("top"), "size": F.log1p("words"), "top_size": F.col("top") * F.log1p("words")}
     rows = scored.join(sent(fit), "id").orderBy(F.xxhash64("id"), "mean", "toxic").limit(fit_rows).select(*[c.alias(n) for n, c in x.items()], "toxic").toArrow()

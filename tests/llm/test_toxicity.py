@@ -1,8 +1,12 @@
+import inspect
 import math
 import random
 import zlib
 from collections import Counter
 
+import numpy as np
+from pyspark import SparkFiles
+
 from tabwarden.llm import queries, toxicity
 from tabwarden.llm.words import Words
 
@@ -81,3 +85,30 @@ def test_without_labels_or_texts(spark):
     odd = spark.createDataFrame([(i, 0, None if i == 1 else i % 2) for i in range(60)] + [(None, 0, 1)], LABELS)
     got = toxicity.toxicity_scores(documents(spark, [None if i % 7 == 0 else "a b" * i for i in range(60)]), odd, send_labels=0).collect()
     assert len(got) == 60 and all(0 <= r.score <= 1 for r in got)
+
+
+def test_models_are_whole_and_read_from_files(spark):
+    assert "most_grams" not in inspect.signature(toxicity.toxicity_scores).parameters
+    r = random.Random(3)
+    texts = [(" ".join("".join(r.choice("abcdeé") for _ in range(r.randint(1, 9))) for _ in range(40)), i % 3 == 0) for i in range(60)]
+    df = spark.createDataFrame(texts, "text string, toxic boolean")
+    tables = toxicity.log_ratios(toxicity._counts(df))
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        parts = [toxicity.write_ratios(t, t.columns[0]) for t in tables]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert all(len(p) > 1 for p in parts)
+    want = [dict(map(tuple, t.collect())) for t in tables]
+    for p, w in zip(parts, want, strict=True):
+        keys = np.array(sorted({k + d for k in w for d in (-1, 0, 1)} | {-5, 2**60}), np.int64)
+        seen, ratio = toxicity.Ratios(p, SparkFiles.get).find(keys)
+        assert {int(k): float(x) for k, x, s in zip(keys, ratio, seen, strict=True) if s} == {k: float(np.float32(x)) for k, x in w.items()}
+    unseen = [("abcdxyz aaaa é", None)]
+    w = Words([t for t, _ in texts + unseen], lower=True)
+    gram, first = toxicity.byte_grams(w, np.arange(len(w.hash)))
+    one = [want[0].get(g, want[1].get(g >> 8, 0.0)) for g in gram.tolist()]
+    assert len(one) > 10_000 and np.allclose(np.add.reduceat(one, first), toxicity.word_evidence(w, *map(toxicity.Ratios, parts)), atol=1e-4)
+    none = toxicity.write_ratios(tables[0].limit(0), "gram")
+    assert none == [] and not toxicity.Ratios(none).find(np.array([1, 2]))[0].any()
