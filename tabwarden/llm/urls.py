@@ -50,7 +50,7 @@ def candidates(host: Column, path: Column, shapes: list[tuple[int, int]]) -> Col
 def write_rules(spark: SparkSession, rules: list[tuple[str, str]]) -> str:
     """Write (string, verdict) rules as one file - count, digests in order, verdicts, offsets, strings - and send it to all executors."""
     frame = spark.createDataFrame(rules, "rule string, verdict string").select("rule", "verdict", F.xxhash64("rule").alias("digest"))
-    rows = sorted(((r.digest, r.rule, r.verdict) for r in frame.collect()), key=lambda r: (r[0], r[1], VERDICTS.index(r[2])))
+    rows = sorted(((r.digest, r.rule, r.verdict) for r in frame.collect()), key=lambda r: (r[0], r[1], r[2] != "block"))  # the first of equal strings is found
     texts = [r[1].encode() for r in rows]
     head = np.array([len(rows)], "<i8").tobytes() + np.array([r[0] for r in rows], "<i8").tobytes()
     body = head + np.array([VERDICTS.index(r[2]) for r in rows], "<i8").tobytes() + np.cumsum([0, *map(len, texts)]).astype("<i8").tobytes() + b"".join(texts)

@@ -65,3 +65,11 @@ def test_digests_are_xxhash64_and_collisions_are_confirmed(spark, tmp_path):
     body = np.array([2, 7, 7, 1, 0, 0, 2, 5], "<i8").tobytes() + b"".join(texts)
     (tmp_path / "f").write_bytes(body)
     assert urls.RuleFile(str(tmp_path / "f")).find(np.array([7, 7, 7, 8]), ["bbb", "aa", "c", "aa"]).tolist() == [1, 0, -1, -1]
+
+
+@pytest.mark.parametrize("most", [urls.MAX_RULES, 0])
+def test_block_comes_before_allow_of_one_string(spark, most):
+    rules = [("allow", "a.com", "/x"), ("block", "a.com", "/x"), ("block", "B.com", "/"), ("allow", "b.com", "/"), ("allow", "a.com", "/x/y")]
+    df = spark.createDataFrame([(1, "http://a.com/x", None), (2, "http://b.com/", None), (3, "http://a.com/x/y", None)], PAGES)
+    got = urls.judge_urls(df, rules, max_rules=most).collect()
+    assert sorted((r.page_id, r.rule, r.verdict) for r in got) == [(1, "a.com/x", "block"), (2, "b.com/", "block"), (3, "a.com/x/y", "allow")]
