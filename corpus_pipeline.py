@@ -1,7 +1,7 @@
 """From documents to packed training sequences: five stages, each an operator of tabwarden.llm.
 
-Every stage but the last returns the columns of the documents it got.  Rows without a doc_id cannot be named by an
-operator's verdict and stay; rows that share a doc_id are judged as one, a repeated row stays once.
+Every stage but the last returns the columns of the documents it got.  Stages that remove documents judge each row by its
+own text: they number the rows, so rows without a doc_id and rows that share one are judged like all others.
 """
 
 from __future__ import annotations
@@ -14,29 +14,34 @@ from tabwarden.llm.common import written
 from tabwarden.llm.queries import word_tokenizer
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The texts are shuffled at every size, and not sorted."""
-    gone = ids.select(F.col("id").alias("doc_id")).distinct()
-    return docs.join(gone.hint("shuffle_hash"), "doc_id", "left_anti").select(*docs.columns)
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with _row, a number of each row; written once, so that all readings and retries agree."""
+    return written(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered", compression="zstd")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules or the outlier test of their language and source reject go."""
-    judged = written(quality.judge_quality(docs), "judged")
-    return _without(docs, judged.where(~F.col("kept")))
+    rows = _numbered(docs)
+    gone = written(quality.judge_quality(rows, "_row"), "judged").where(~F.col("kept")).select(F.col("id").alias("_row"))
+    # the texts are shuffled at every size, and not sorted
+    return rows.join(gone.hint("shuffle_hash"), "_row", "left_anti").select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents whose 5-word shingles are similar by 0.8 or more, the one with the smallest id stays."""
-    left = _without(docs, neardup.near_duplicates(docs, shingle=5).where("id <> component_id"))
-    again = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 AND doc_id IS NOT NULL").select("doc_id")
-    once, more = left.join(again, "doc_id", "left_anti"), left.join(again, "doc_id", "left_semi")
-    return once.select(*docs.columns).unionByName(more.dropDuplicates(["doc_id", "text"]).select(*docs.columns))
+    """Of each group of rows whose 5-word shingles are similar by 0.8 or more, the one with the smallest doc_id stays.
+
+    A row without a doc_id stays only if no row of its group has one; of equal ids the first row stays.  Blank texts are like no other.
+    """
+    rows = _numbered(docs)
+    found = neardup.near_duplicates(rows, "_row", shingle=5).select(F.col("id").alias("_row"), "component_id").join(rows.select("_row", "doc_id"), "_row")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "_row"))
+    stay = found.groupBy("component_id").agg(first.alias("first")).select("first._row")
+    return rows.join(stay.hint("shuffle_hash"), "_row", "left_semi").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain a test item by 0.8 or more of its 5-word shingles go."""
-    return contamination.decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(*docs.columns)
+    return contamination.decontaminated(_numbered(docs), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), "_row").select(*docs.columns)
 
 
 def redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -30,14 +30,14 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, **options: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder, which cuts its lineage; its shuffle files go when it is written."""
     spark = df.sparkSession
     path, key = new_path(spark, name), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before = spark.conf.get(key, "false")
     spark.conf.set(key, "true")
     try:
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
     finally:
         spark.conf.set(key, before)
     return spark.read.schema(df.schema).parquet(path)

@@ -59,3 +59,22 @@ def test_stages(spark, tmp_path):
 def test_run_equals_the_stages_on_nothing(spark, tmp_path):
     sf = save(spark, tmp_path, documents=spark.createDataFrame([], DOCS), benchmark=spark.createDataFrame([], "item_id long, text string"))
     assert corpus_pipeline.run(spark, sf).count() == 0
+
+
+def test_each_row_is_judged_by_its_own_text(spark, tmp_path):
+    r = random.Random(5)
+    v = ["".join(r.choice("abcdefghijklm") for _ in range(r.randint(2, 8))) for _ in range(900)]
+    text = lambda n: " ".join(r.choice(v) for _ in range(n))
+    item, one, two, three, four, five, six = [text(n) for n in (20, 90, 100, 110, 80, 95, 105)]
+    leak = f"{four} {item}"
+    rows = {
+        "quality rules": ([(None, "too short"), (None, one), (7, two), (7, "too short"), (7, three)], {(None, one), (7, two), (7, three)}),
+        "near-duplicates": ([(None, one), (3, one), (2, f"{one} end"), (None, two), (None, two), (7, three), (7, five), (8, five), (9, three), (9, six), (None, None), (4, "")], {(2, f"{one} end"), (None, two), (7, three), (7, five), (9, six), (None, None), (4, "")}),
+        "benchmark decontamination": ([(None, leak), (None, one), (7, two), (7, leak)], {(None, one), (7, two)}),
+    }
+    sf = save(spark, tmp_path, benchmark=spark.createDataFrame([(0, item)], "item_id long, text string"))
+    stages = dict(corpus_pipeline.STAGES)
+    for k, (name, (have, want)) in enumerate(rows.items()):
+        docs = save(spark, tmp_path / str(k), documents=spark.createDataFrame([(i, t, "en", "s", 1) for i, t in have], DOCS))
+        got = [(x.doc_id, x.text) for x in stages[name](spark, spark.read.parquet(f"{docs}/documents.parquet"), sf).collect()]
+        assert len(got) == len(want) and set(got) == want, name
