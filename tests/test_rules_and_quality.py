@@ -8,7 +8,7 @@ from tabwarden.functions.dates import parse_datetime
 from tabwarden.operators import association, features, profile, quality
 from tabwarden.operators.rules import Rule, RuleSet, clean_by_rules, evaluate_rules, predicate
 
-from .fixtures import RULES, sample_batch
+from .fixtures import RULES, fleet
 
 
 @pytest.fixture(scope="module")
@@ -41,21 +41,21 @@ def test_numbers_and_clipping(odd):
     assert [r.n for r in odd.select(not_below_zero(numeric(odd, "x")).alias("n")).collect()] == [1.0, None, None, 0.0, 0.0, 5.0]
 
 
-def test_sample_batch(spark):
-    df, rules = sample_batch(spark), RuleSet.from_config(RULES)
-    got = {r.rule: r for r in evaluate_rules(df, rules.rules).collect()}
-    assert (got["cargo_capacity_required"].violations, got["cargo_capacity_required"].ratio) == (7, 0.35)
-    assert got["seats"].violations == 0 and [r.name for r in rules.warn_rules] == ["make"]
-    out, report = clean_by_rules(df, rules.rules, 0.5)
-    assert out.count() == 13 and report.dropped["cargo_capacity_required"] == 7
-    out, report = clean_by_rules(df, rules.rules, 0.1)
-    assert out.count() == 20 and report.skipped == {"cargo_capacity_required": 0.35}
-    c = quality.completeness(df, ["SEATS_NUM", "CARRYING_CAPACITY", "PREMIUM"]).first()
-    assert (c.max_column, c.max_column_ratio, c.n_columns) == ("CARRYING_CAPACITY", 8 / 20, 3)
-    v = {r.rule: r for r in quality.validity(df, rules.rules).collect()}
-    assert (v["cargo_capacity_required"].checked, v["seats"].checked) == (13, 17)
-    assert rules.missing(["PREMIUM"]) == ["value", "seats", "cargo_capacity_required", "make"]
-    assert rules.rules[3].describe() == "CARRYING_CAPACITY > 0 when TYPE_VEHICLE in (Truck, Tanker, Trailers and semitrailers)"
+def test_rules_on_a_fleet(spark):
+    df, rules = fleet(spark), RuleSet.from_config(RULES)
+    got = {r.rule: (r.violations, r.rows, r.ratio) for r in evaluate_rules(df, rules.rules).collect()}
+    assert got == {"year_in_range": (1, 8, 0.125), "taxi_seats": (2, 8, 0.25), "premium_positive": (1, 8, 0.125), "known_sex": (1, 8, 0.125)}
+    assert [r.name for r in rules.warn_rules] == ["known_sex"] and len(rules.error_rules) == 3
+    out, report = clean_by_rules(df, rules.rules, 0.3)
+    assert out.count() == 4 and report.dropped == {"year_in_range": 1, "taxi_seats": 2, "premium_positive": 1} and not report.skipped
+    out, report = clean_by_rules(df, rules.rules, 0.2)  # two of the seven that the first rule leaves
+    assert out.count() == 6 and report.dropped == {"year_in_range": 1, "premium_positive": 1} and report.skipped == {"taxi_seats": 2 / 7}
+    c = quality.completeness(df, ["PROD_YEAR", "SEATS_NUM", "SEX", "PREMIUM"]).first()
+    assert (c.max_column, c.max_column_ratio, c.n_columns, c.max_row_ratio, c.total_missing_ratio) == ("SEATS_NUM", 3 / 8, 4, 0.5, 5 / 32)
+    v = {r.rule: (r.checked, r.violations) for r in quality.validity(df, rules.rules).collect()}
+    assert v == {"year_in_range": (7, 1), "taxi_seats": (4, 2), "premium_positive": (8, 1), "known_sex": (7, 1)}
+    assert rules.missing(["PREMIUM", "USAGE"]) == ["year_in_range", "taxi_seats", "known_sex"]
+    assert [r.describe() for r in rules.rules[1:]] == ["SEATS_NUM > 3 when USAGE == Taxi", "PREMIUM > 0", "SEX in (0, 1, 2)"]
 
 
 def test_cleaning_reconciles_and_is_sequential(spark):
@@ -88,9 +88,9 @@ def test_date_format_is_chosen_for_the_whole_column(spark):
 
 
 def test_profiles(spark):
-    df = sample_batch(spark)
-    n = profile.profile_numeric(df, ["CARRYING_CAPACITY"]).first()
-    assert (n.missing, n.zeros, n.zeros_ratio) == (8, 3, 3 / 20)
+    n = {r.column: r for r in profile.profile_numeric(fleet(spark), ["SEATS_NUM", "PREMIUM"]).collect()}
+    assert (n["SEATS_NUM"].missing, n["SEATS_NUM"].zeros, n["SEATS_NUM"].zeros_ratio, n["SEATS_NUM"].median) == (3, 1, 1 / 8, 3.0)
+    assert (n["PREMIUM"].missing, n["PREMIUM"].n_unique, n["PREMIUM"].max) == (0, 8, 310.0)
     skewed = spark.createDataFrame([(float(x),) for x in [1, 1, 2, 50]], "v double")
     m, k = 13.5, 4
     want = math.sqrt(k * (k - 1)) / (k - 2) * (sum((x - m) ** 3 for x in [1, 1, 2, 50]) / k) / (sum((x - m) ** 2 for x in [1, 1, 2, 50]) / k) ** 1.5
