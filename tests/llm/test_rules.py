@@ -2,6 +2,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from tabwarden.llm import contamination, quality, queries
 
@@ -64,9 +65,9 @@ def test_quality_of_nothing(spark):
     assert [(r.n_words, r.base_failed, r.kept) for r in sorted(got, key=lambda r: r.id)] == [(0, True, False), (0, True, False), (2, True, False)]
 
 
-@pytest.mark.parametrize("send", [500_000, 0])
-def test_containment_matches_brute_force(spark, send):
-    r = random.Random(8)
+def contaminated(seed=8):
+    """Items and documents that hold none, whole or damaged items."""
+    r = random.Random(seed)
     v = [f"w{i}" for i in range(300)]
     items = {i: " ".join(r.choice(v) for _ in range(r.choice([3, 5, 8, 14, 30, 59]))) for i in range(60)}
     items |= {100: None, 101: "", 102: "w1 w2", 103: "w1 w2"}
@@ -80,15 +81,46 @@ def test_containment_matches_brute_force(spark, send):
             at = r.randrange(len(w) + 1)
             w[at:at] = part
         docs.append(" ".join(w))
-    docs += [None, "", "W1 w2", items[0]]
-    want = set()
+    for _ in range(100):  # the first shingle of a long item, and no more
+        docs.append(" ".join([r.choice(v) for _ in range(40)] + items[r.choice([i for i in range(60) if len(items[i].split()) > 13])].split()[:5]))
+    docs += [None, "", "W1 w2", items[0], " ".join(r.choice(v) for _ in range(150_000)) + " " + items[1]]
+    want, near = set(), set()
+    mine = {i: shingles(x, 5) for i, x in items.items()}
     for d, t in enumerate(docs):
-        for i, x in items.items():
-            a, b = shingles(t, 5), shingles(x, 5)
+        a = shingles(t, 5)
+        for i, b in mine.items():
+            if a & b:
+                near.add((d, i))
             if b and 10 * len(a & b) >= 8 * len(b):
                 want.add((d, i, len(a & b), len(b)))
-    got = contamination.contained_items(documents(spark, docs), spark.createDataFrame(list(items.items()), "item_id long, text string"), send_rows=send)
+    return items, docs, want, near
+
+
+ITEM = "item_id long, text string"
+
+
+@pytest.mark.parametrize("send", [500_000, 0])
+def test_containment_matches_brute_force(spark, send):
+    items, docs, want, _ = contaminated()
+    # a column named as a working column, and rows without an id
+    table = documents(spark, docs).withColumnRenamed("lang", "hash").withColumnRenamed("source", "w").unionByName(spark.createDataFrame([(None, items[0], "x", "y", 0)], "doc_id long, text string, hash string, w string, n_chars long"))
+    got = contamination.contained_items(table, spark.createDataFrame([*items.items(), (None, items[0])], ITEM), send_rows=send)
     assert {tuple(x) for x in got.collect()} == want and len(want) > 60
+    left = contamination.decontaminated(table, spark.createDataFrame(list(items.items()), ITEM), send_rows=send)
+    assert left.columns == table.columns and sorted((r.doc_id for r in left.collect()), key=str) == sorted([*({*range(len(docs))} - {w[0] for w in want}), None], key=str)
+
+
+def test_sketches_prune_and_decide(spark):
+    items, docs, want, near = contaminated()
+    table = documents(spark, docs).select(F.col("doc_id").alias("id"), "text")
+    sketch = contamination.sketched(spark.createDataFrame(list(items.items()), "id long, text string"))
+    pairs = contamination.candidate_pairs(table, sketch)
+    found = {tuple(x) for x in pairs.collect()}
+    assert found >= {w[:2] for w in want} and len(found) < 0.6 * len(near), (len(found), len(near), len(want))
+    # what the search does not name is not looked at, whatever it holds
+    some = sorted(found)[::2]
+    kept = contamination.verified(table, sketch, spark.createDataFrame(some, "id long, item long"))
+    assert {tuple(x) for x in kept.collect()} == {w for w in want if w[:2] in some}
 
 
 def test_containment_of_nothing(spark):
