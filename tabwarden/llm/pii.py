@@ -1,32 +1,41 @@
-"""PII: base patterns with checks, and a span classifier learnt by weak supervision.
+r"""PII: base patterns with checks, and a span classifier learnt by weak supervision.
 
 *Base.*  Four patterns (email, ip, card, phone), leftmost and non-overlapping in each kind, whose matches must pass a check.
 
-*Weak supervision.*  Looser candidates (written-out or unchecked forms) join the base ones.  Labelers vote on every
-candidate: the base pattern and its check, the shape, a gazetteer of words that go with the kind, context before it, and
-context that speaks against it.  Expectation-maximisation estimates each labeler's reliability from how often each
-combination of votes occurs; a logistic classifier, trained on the combinations by their posteriors, decides.  The
-classifier adds spans; base ones stay.
+*Weak supervision.*  Candidates are the base matches, those that fail their check, and the matches of wider patterns:
+written-out and bracketed addresses, national and ``00`` phone numbers, other groupings of digits, IPv6, and long mixed strings
+(kind ``secret``, which has no base).  Seven labelers look at a candidate and vote for, against, or abstain: the check, the
+shape, a gazetteer, words before it that name its kind, words that name something else, its edges, and its variety of characters.
+Expectation-maximisation over the counts of vote combinations estimates how often each labeler is right when it votes, from all
+candidates of a kind; base spans are known to be true, and spans that their kind's definition rules out (a wrong checksum, a number over 255,
+a date, a spelled-out address without a top-level domain) to be false.  The posteriors are soft labels of the final classifier, logistic in the
+span's own features and those of its context (:data:`FEATURES`), which sees no vote; it adds spans, and base ones stay.
 
-Everything is a DataFrame expression.  Only counts of vote combinations, at most 4 kinds x 2**7, go to the driver.
+Texts are read once: candidates with votes and features are written, and fitting and judging read them.  To the driver go only
+counts: at most 5 x 3**7 vote combinations and 5 x 2**13 feature combinations.  Everything is a DataFrame expression.
 
-Patterns are anchored or possessive where that changes no match, so that time stays linear in the text's length.
+Patterns are anchored or possessive where that changes no match, and a candidate's context is cut from the text between it and its
+neighbours of the same pattern, so that time stays linear in the text's length.
 
 Defined cases: a null text is empty; spans are code points, end exclusive; a candidate that overlaps a base
-span of its kind is dropped; repeated rows are judged alike; an empty table gives an empty one.
+span of its kind is dropped; repeated rows are judged alike; very long texts are read whole; a column ``spans`` of the input is
+replaced, all other columns stay, whatever their names; without candidates nothing is added; an empty table gives an empty one.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, starts_of
+from .common import let, starts_of, written
 
 KINDS = ["email", "ip", "card", "phone"]
+#: All kinds of candidates; ``secret`` has no base pattern.
+EVERY = [*KINDS, "secret"]
 #: The base patterns; ``\G`` allows a start within a run after a match that ended there.
 BASE = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
@@ -34,29 +43,42 @@ BASE = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-#: Looser forms.
+_AT, _DOT = r"(?:\(at\)|\[at\]|\{at\}|<at>)", r"(?:\.|\x20?\(dot\)\x20?|\x20?\[dot\]\x20?|\x20?\{dot\}\x20?|\x20dot\x20)"
+_LABEL = r"[A-Za-z0-9-]{1,63}+"
+_BRACKETED = r"(?:\[\.\]|\(\.\)|\[dot\]|\(dot\))"
+#: Wider forms.
 LOOSE = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+ ?(?:\(at\)|\[at\]|\{at\}) ?[A-Za-z0-9-]{1,63}+(?:(?:\.| ?\(dot\) ?| ?\[dot\] ?| ?\{dot\} ?| dot )[A-Za-z0-9-]{1,63}+){1,8}+",
-    "ip": r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}+:){7}[0-9A-Fa-f]{1,4}+(?![0-9A-Fa-f:])",
-    "card": r"(?<![0-9A-Za-z-])[0-9]{4}[\x20-][0-9]{4}[\x20-][0-9]{4}[\x20-][0-9]{4}(?![0-9A-Za-z-])",
-    "phone": r"(?<![0-9A-Za-z+.-])(?:\([0-9]{2,4}\)|[0-9]{2,4})[\x20.-][0-9]{3,4}[\x20.-][0-9]{4}(?![0-9A-Za-z-])",
+    "email": rf"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{{1,64}}+(?:\x20?{_AT}\x20?{_LABEL}(?:{_DOT}{_LABEL}){{0,8}}+|\x20@\x20{_LABEL}(?:\.{_LABEL}){{1,8}}+|\x20at\x20{_LABEL}(?:\x20dot\x20{_LABEL}){{1,8}}+|@{_LABEL})",
+    "ip": rf"(?<![0-9A-Za-z.:])(?:[0-9]{{1,3}}(?:{_BRACKETED}[0-9]{{1,3}}){{3}}|(?:[0-9A-Fa-f]{{1,4}}+:){{7}}[0-9A-Fa-f]{{1,4}}+|(?:[0-9A-Fa-f]{{1,4}}+:){{1,6}}(?::[0-9A-Fa-f]{{1,4}}+){{1,6}})(?![0-9A-Za-z:])",
+    "card": r"(?<![0-9A-Za-z./_-])[0-9]{4}(?:([./_]|\x20{2})[0-9]{4}\1[0-9]{4}\1[0-9]{4}|([./_]|\x20{2})[0-9]{6}\2[0-9]{5})(?![0-9A-Za-z/_-])",
+    "phone": r"(?<![0-9A-Za-z+./_-])(?:00[1-9][0-9]{0,2}[\x20./-]?)?(?:\([0-9]{2,5}\)|[0-9]{2,5})(?:[\x20./-]{1,2}[0-9]{2,4}){2,5}+(?![0-9A-Za-z/_-])",
+    "secret": r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,256}+={0,2}(?![A-Za-z0-9+/_=-])",
 }
-#: Words of the gazetteer: they go with a kind anywhere near.
+_TOP = r"(?i)[.\x20)\]}](?:com|org|net|edu|gov|info|io|eu|de|at|ch|fr|es|uk|it|nl)$"
+#: Entries of the gazetteer, in the span or beside it: mail hosts and top-level domains, private networks, issuers' numbers, country codes, makers' prefixes.
 GAZETTEER = {
-    "email": "gmail|yahoo|hotmail|outlook|example|mail[0-9]*|com|org|net",
-    "ip": "ipv4|ipv6|localhost|router|server|subnet|gateway",
-    "card": "visa|mastercard|amex|maestro|cvv|cvc|iban",
-    "phone": "mobile|handy|portable|whatsapp|fax|ext|móvil",
+    "email": rf"(?i)(?:gmail|yahoo|hotmail|outlook|example|mail[0-9]*)|{_TOP}",
+    "ip": r"(?i)^(?:10|127|192.{1,5}168|172.{1,5}(?:1[6-9]|2[0-9]|3[01]))[.\[(]|^(?:fe80|fd[0-9a-f]{2}|2001):",
+    "card": r"^(?:4|5[1-5]|2[2-7]|3[47]|6011|65|35)",
+    "phone": r"^(?:\+|00)(?:1|7|20|27|3[0-469]|4[0-9]|5[1-8]|6[0-6]|8[1246]|9[0-58])|^\(?0[1-9]|555",
+    "secret": r"^(?:AKIA|ASIA|ghp_|gho_|sk-|sk_|pk_|xox[abp]-|AIza|eyJ|glpat-)",
 }
-#: Words before a span.
+#: Words before a span that name its kind.
 BEFORE = {
     "email": "e-?mail|mail|contact|kontakt|correo|courriel|write|address",
-    "ip": "ip|host|address|adresse|dirección|from|addr",
-    "card": "card|karte|carte|tarjeta|credit|kredit|number",
-    "phone": "phone|tel|call|telefon|téléphone|teléfono|number|nummer|anruf|llamar",
+    "ip": "ip|ipv4|ipv6|host|server|router|address|adresse|dirección|addr",
+    "card": "card|karte|carte|tarjeta|credit|kredit|visa|mastercard|amex",
+    "phone": "phone|tel|call|telefon|téléphone|teléfono|mobile|handy|fax|anruf|llamar|whatsapp",
+    "secret": "token|secret|key|api[_-]?key|apikey|passw(?:or)?d|pwd|auth|bearer|credential",
 }
-AGAINST = r"(?i)(?:version|license|licence|lizenz|isbn|issn|token|sha|id|no\.|figure|page|seite)\W{0,3}(?:\w{0,12}\W{1,3})?$"
-LABELERS = ["base", "shape", "gazetteer", "before", "against", "long"]
+#: Words before a span that say that it is something else.
+OTHER = r"(?i)\b(?:version|release|license|licence|lizenz|isbn|issn|order|invoice|bestellung|commande|pedido|page|seite|figure|fig|chapter|section|sha(?:1|256)?|md5|checksum|commit|revision|uuid|doi|score|year)\b\W{0,3}(?:\w{0,12}\W{1,3})?$"
+_DATE = r"^(?:19|20)[0-9]{2}[\x20./-][0-9]{1,2}[\x20./-][0-9]{1,2}$|^[0-9]{1,2}[\x20./-][0-9]{1,2}[\x20./-](?:19|20)[0-9]{2}$"
+LABELERS = ["check", "shape", "gazetteer", "before", "other", "edges", "variety"]
+#: What the final classifier sees; none of it is a labeler's vote.
+FEATURES = ["passes", "usual", "named", "other", "left", "right", "over 12", "over 24", "parted", "over 8 distinct", "digits", "letters", "mixed case"]
+_SPAN = "array<struct<start:bigint,end:bigint,said:string,before:string,after:string>>"
+_BLOCK = 64
 
 
 def _luhn(digits: Column) -> Column:
@@ -65,7 +87,7 @@ def _luhn(digits: Column) -> Column:
 
 
 def passes(kind: str, match: Column) -> Column:
-    """Whether a match of a base pattern passes its kind's check."""
+    """Whether a match of a base pattern passes its kind's check; for secrets, whether letters and digits mix."""
     digits = F.regexp_replace(match, "[^0-9]", "")
     if kind == "ip":
         part = "0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})?"
@@ -74,144 +96,249 @@ def passes(kind: str, match: Column) -> Column:
         return F.when(F.length(digits).between(12, 19), _luhn(digits)).otherwise(F.lit(False))
     if kind == "phone":
         return F.length(digits).between(9, 15)
+    if kind == "secret":
+        return (F.length(digits) >= 4) & match.rlike("[A-Za-z].*[A-Za-z]")
     return F.lit(True)
 
 
 def matches(text: Column, pattern: str) -> Column:
-    """array<struct<start, end, said>> of a pattern's leftmost non-overlapping matches, in code points."""
-    none = F.array().cast("array<struct<start:bigint,end:bigint,said:string>>")
+    """array<struct<start, end, said, before, after>> of a pattern's leftmost non-overlapping matches, in code points.
 
-    def placed(found: Column) -> Column:
-        gaps = F.transform(F.split(text, pattern, -1), lambda g: F.length(g))
+    ``before`` and ``after`` are up to 40 and 20 characters of the text between the match and its neighbours.
+    """
+
+    def placed(found: Column, gaps: Column) -> Column:
         sizes = F.transform(found, lambda m: F.length(m))
-        both = let(gaps, lambda g: let(sizes, lambda n: F.zip_with(g, starts_of(F.transform(g, lambda x, i: x + F.coalesce(F.get(n, i), F.lit(0)))), lambda x, s: s + x)))
-        return let(both, lambda at: F.transform(found, lambda m, i: F.struct(at[i].alias("start"), (at[i] + F.length(m)).alias("end"), m.alias("said"))))
+        lengths = F.transform(gaps, lambda g: F.length(g))
+        both = let(lengths, lambda g: let(sizes, lambda n: F.zip_with(g, starts_of(F.transform(g, lambda x, i: x + F.coalesce(F.get(n, i), F.lit(0)))), lambda x, s: s + x)))
 
-    return F.when(text.rlike(pattern), let(F.regexp_extract_all(text, F.lit(pattern), 0), placed)).otherwise(none)
+        def span(m: Column, i: Column, at: Column) -> Column:
+            return F.struct(at[i].alias("start"), (at[i] + F.length(m)).alias("end"), m.alias("said"), F.substring(gaps[i], -40, 40).alias("before"), F.substring(gaps[i + 1], 1, 20).alias("after"))
 
+        return let(both, lambda at: F.transform(found, lambda m, i: span(m, i, at)))
 
-def base_spans(text: Column, kind: str) -> Column:
+    found = let(F.regexp_extract_all(text, F.lit(pattern), 0), lambda m: let(F.split(text, pattern, -1), lambda g: placed(m, g)))
+    return F.when(text.rlike(pattern), found).otherwise(F.array().cast(_SPAN))
+
+
+def _all_base(text: Column, kind: str) -> Column:
+    """Base matches with whether they pass."""
+    found = F.transform(matches(text, BASE[kind]), lambda m: F.struct(*[m[c].alias(c) for c in ("start", "end", "said", "before", "after")], passes(kind, m["said"]).alias("base")))
     hint = {"email": "@", "phone": "+", "ip": "."}.get(kind)
-    found = F.filter(matches(text, BASE[kind]), lambda m: passes(kind, m["said"]))
-    return F.when(F.contains(text, F.lit(hint)), found).otherwise(F.array().cast("array<struct<start:bigint,end:bigint,said:string>>")) if hint else found
+    none = F.array().cast(_SPAN.replace("after:string", "after:string,base:boolean"))
+    return F.when(F.contains(text, F.lit(hint)), found).otherwise(none) if hint else found
 
 
-def _votes(text: Column, kind: str, base: bool, m: Column) -> Column:
-    """The labelers' votes as bits, in the order of LABELERS; ``against`` and ``long`` are set where they speak against."""
-    near = F.substring(text, F.greatest(m["start"].cast("int") - 39, F.lit(1)), F.least(m["start"].cast("int"), F.lit(40)))
-    around = F.concat(near, m["said"], F.substring(text, m["end"].cast("int") + 1, F.lit(20)))
-    digits = F.length(F.regexp_replace(m["said"], "[^0-9]", ""))
-    shape = {"email": m["said"].rlike(r"(?i)(?:\(at\)|\[at\]|\{at\}|@).*(?:\(dot\)|\[dot\]|\{dot\}|\.)"), "ip": m["said"].rlike(r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$|:.*:"), "card": digits.between(13, 16), "phone": digits.between(10, 13)}[kind]
-    votes = [F.lit(base), shape, around.rlike(rf"(?i)\b(?:{GAZETTEER[kind]})\b"), near.rlike(rf"(?i)\b(?:{BEFORE[kind]})\b"), near.rlike(AGAINST), F.length(m["said"]) > 40]
-    return sum((F.when(v, 1 << i).otherwise(0) for i, v in enumerate(votes)), F.lit(0))
+def base_spans(text: Column, kind: str) -> Column:
+    return F.filter(_all_base(text, kind), lambda m: m["base"])
+
+
+def _usual(kind: str, said: Column) -> Column:
+    """Whether a span has a usual form of its kind."""
+    form = {
+        "email": r"(?i)^[^@\x20]+@[^@\x20]+\.[a-z]{2,}$|(?:\(at\)|\[at\]|\{at\}|<at>|\x20at\x20).*(?:\(dot\)|\[dot\]|\{dot\}|\x20dot\x20|\.)\x20?[a-z]{2,}$|\x20@\x20.*\.[a-z]{2,}$",
+        "ip": r"^(?:0|[1-9][0-9]{0,2})(?:\W{1,5}(?:0|[1-9][0-9]{0,2})){3}$|:.*:",
+        "card": r"^[0-9]{13,16}$|^[0-9]{4}(\D{1,2})[0-9]{4}\1[0-9]{4}\1[0-9]{4}$|^[0-9]{4}(\D{1,2})[0-9]{6}\2[0-9]{5}$",
+        "phone": r"^(?:\+|00)[1-9]|^\([0-9]{2,5}\)[\x20.-]|^0[1-9]|^[0-9]{3}([\x20.-])[0-9]{3}\1[0-9]{4}$",
+        "secret": r"^[A-Za-z0-9]{20,}={0,2}$|^[A-Za-z0-9+/]{24,}={0,2}$|^[a-z]{2,4}[-_][A-Za-z0-9_-]{16,}$",
+    }
+    return said.rlike(form[kind])
+
+
+def _seen(kind: str, base: Column, m: Column) -> Column:
+    """struct<votes, features> of a candidate: votes in base 3 (0 abstains, 1 for, 2 against), features as bits."""
+    said, before, after = m["said"], m["before"], m["after"]
+    digits, size = F.length(F.regexp_replace(said, "[^0-9]", "")), F.length(said)
+    usual, named, other = _usual(kind, said), before.rlike(rf"(?i)(?:^|[^\p{{L}}])(?:{BEFORE[kind]})(?:$|[^\p{{L}}])"), before.rlike(OTHER)
+    left = (before == "") | before.rlike(r"[\s\"'(\[<{:=,;|>]$")
+    right = (after == "") | after.rlike(r"^(?:[\s\"')\]>},;:|<!?]|\.(?![0-9A-Za-z]))")
+    distinct = F.size(F.array_distinct(F.split(F.lower(said), "")))
+    # what the kind's check says, of forms that the base pattern does not have as well
+    check = {
+        "email": F.when(base, 1).when(said.rlike(r"(?i)\x20at\x20") & ~said.rlike(_TOP), 2).otherwise(0),
+        "ip": F.when(base, 1).when(said.rlike(r"^[0-9.]+$"), 2).when(said.contains(":") & said.rlike("(?i)[a-f]"), 1).otherwise(0),
+        "card": F.when(base, 1).when(digits.between(12, 19) & _luhn(F.regexp_replace(said, "[^0-9]", "")), 1).otherwise(2),
+        "phone": F.when(base, 1).when(~digits.between(7, 15) | said.rlike(_DATE), 2).otherwise(0),
+        "secret": F.when(passes(kind, said), 1).otherwise(2),
+    }[kind]
+    plenty = {"email": 6, "ip": 3, "card": 5, "phone": 4, "secret": 10}[kind]
+    votes = [check, F.when(usual, 1).otherwise(2), F.when(said.rlike(GAZETTEER[kind]), 1).otherwise(0), F.when(named, 1).otherwise(0), F.when(other, 2).otherwise(0), F.when(left & right, 1).otherwise(2), F.when(distinct >= plenty, 1).otherwise(2)]
+    bits = [
+        passes(kind, said) if kind != "email" else base, usual, named, other, left, right, size > 12, size > 24, said.rlike(r"[\x20./()-]"), distinct > 8, digits * 2 > size, said.rlike("[A-Za-z]"), said.rlike("[a-z]") & said.rlike("[A-Z]"),
+    ]
+    code = sum((v * 3**i for i, v in enumerate(votes)), F.lit(0))
+    flags = sum((F.when(b, 1 << i).otherwise(0) for i, b in enumerate(bits)), F.lit(0))
+    return F.struct(code.alias("votes"), flags.alias("features"))
+
+
+def _apart(spans: Column, from_: Column) -> Column:
+    """Those spans that overlap none of ``from_``, which are in order of their starts and are looked through in blocks."""
+    count = F.ceil(F.size(from_) / F.lit(_BLOCK)).cast("int")
+    block = lambda b: F.struct(b[0]["start"].alias("start"), F.array_max(F.transform(b, lambda x: x["end"])).alias("end"), b.alias("own"))
+    parts = F.transform(F.sequence(F.lit(0), F.greatest(count, F.lit(1)) - 1), lambda i: F.slice(from_, i * _BLOCK + 1, F.lit(_BLOCK)))
+    blocks = F.transform(F.filter(parts, lambda b: F.size(b) > 0), block)
+    meets = lambda x, m: (x["start"] < m["end"]) & (m["start"] < x["end"])
+    return let(blocks, lambda bs: F.filter(spans, lambda m: ~F.exists(bs, lambda b: meets(b, m) & F.exists(b["own"], lambda x: meets(x, m)))))
 
 
 def candidates(text: Column) -> Column:
-    """array<struct<kind, start, end, base, votes>> of a non-null text, by kind."""
-    return F.concat(*[_of_kind(text, number, kind) for number, kind in enumerate(KINDS)])
+    """array<struct<kind, start, end, base, votes, features>> of a non-null text, by kind."""
+    base = F.struct(*[_worth(kind, _all_base(text, kind)).alias(kind) for kind in KINDS])
+
+    def every(found: Column) -> Column:
+        ends = lambda kind: F.transform(F.filter(found[kind], lambda m: m["base"]), lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end")))
+        taken = F.sort_array(F.concat(*[ends(kind) for kind in KINDS]))
+        return let(taken, lambda t: F.concat(*[_of_kind(text, number, kind, found[kind] if kind in BASE else None, t) for number, kind in enumerate(EVERY)]))
+
+    return let(base, every)
+
 
+def _worth(kind: str, found: Column) -> Column:
+    """Short numbers that fail the check of cards are everywhere, and no one's."""
+    return F.filter(found, lambda m: m["base"] | (F.length(F.regexp_replace(m["said"], "[^0-9]", "")) >= 12)) if kind == "card" else found
 
-def _of_kind(text: Column, number: int, kind: str) -> Column:
-    def item(base: bool):
-        return lambda m: F.struct(F.lit(number).alias("kind"), m["start"].alias("start"), m["end"].alias("end"), F.lit(base).alias("base"), _votes(text, kind, base, m).alias("votes"))
 
-    def both(own: Column) -> Column:
-        apart = F.filter(matches(text, LOOSE[kind]), lambda m: ~F.exists(own, lambda x: (x["start"] < m["end"]) & (m["start"] < x["end"])))
-        return F.concat(F.transform(own, item(True)), F.transform(apart, item(False)))
+def _of_kind(text: Column, number: int, kind: str, own: Column | None, taken: Column) -> Column:
+    """The base spans of a kind, and its other matches apart from base spans of all kinds."""
 
-    return let(base_spans(text, kind), both)
+    def item(m: Column, base: Column) -> Column:
+        return let(_seen(kind, base, m), lambda seen: F.struct(F.lit(number).alias("kind"), m["start"].alias("start"), m["end"].alias("end"), base.alias("base"), seen["votes"].alias("votes"), seen["features"].alias("features")))
+
+    # texts that cannot have a match are not searched
+    hint = {"email": r"@|(?i:[(\[{<]at[)\]}>]|\x20dot\x20)", "ip": r"[0-9A-Fa-f]:|[0-9][\[(]", "phone": r"[0-9)][\x20./-]"}.get(kind)
+    wide = matches(text, LOOSE[kind])
+    if hint:
+        wide = F.when(text.rlike(hint), wide).otherwise(F.array().cast(_SPAN))
+    if own is None:
+        return F.transform(_apart(wide, taken), lambda m: item(m, F.lit(False)))
+    sure = F.transform(F.filter(own, lambda m: m["base"]), lambda m: item(m, F.lit(True)))
+    failed = F.transform(_apart(F.filter(own, lambda m: ~m["base"]), taken), lambda m: item(m, F.lit(False)))
+    return F.concat(sure, failed, F.transform(_apart(_apart(wide, taken), own), lambda m: item(m, F.lit(False))))
 
 
 @dataclass(frozen=True)
 class SpanModel:
-    """For each kind the constant and the weight of each labeler's vote."""
+    """For each kind the constant and the features' weights, and each labeler's share of right votes on true and false spans."""
 
     weights: tuple[tuple[float, ...], ...]
-    reliability: tuple[tuple[tuple[float, float], ...], ...]
+    right: tuple[tuple[tuple[float, float], ...], ...] = field(default=())
 
-    def accepts(self, kind: Column, votes: Column) -> Column:
+    def accepts(self, kind: Column, features: Column) -> Column:
         line = F.lit(None).cast("double")
         for k, w in enumerate(self.weights):
-            own = sum((F.when(votes.bitwiseAND(F.lit(1 << i)) > 0, F.lit(x)).otherwise(F.lit(0.0)) for i, x in enumerate(w[1:])), F.lit(w[0]))
-            line = F.when(kind == k, own).otherwise(line)
+            if w:
+                own = sum((F.when(features.bitwiseAND(F.lit(1 << i)) > 0, F.lit(x)).otherwise(F.lit(0.0)) for i, x in enumerate(w[1:])), F.lit(w[0]))
+                line = F.when(kind == k, own).otherwise(line)
         return F.coalesce(line > 0, F.lit(False))
 
 
-def estimate(counts: dict[int, int], steps: int = 60) -> tuple[dict[int, float], list[tuple[float, float]]]:
-    """Posteriors of vote combinations and, for each labeler, how often it votes for true and false spans (EM).
+def estimate(counts: dict[tuple[int, bool], int], most: int = 500, close: float = 1e-6) -> tuple[dict[tuple[int, bool], float], list[tuple[float, float]]]:
+    """Posteriors of (votes, base) and, for each labeler, how often it is for a true and for a false span when it votes (EM).
 
-    The base labeler's spans are true, and its vote says nothing about the others: no loose form has it.
+    Abstaining says nothing.  Base spans are true, and spans that the check votes against are false: the definition of their
+    kind rules them out.  At the start a labeler is right four times in five.
     """
-    others = range(1, len(LABELERS))
-    # the start: a labeler votes for more true than false spans, and one that speaks against the other way
-    rate = [(0.3, 0.5) if name in ("against", "long") else (0.8, 0.3) for name in LABELERS]
-    prior, post = 0.5, {}
-    for _ in range(steps):
+    votes = {v: [v[0] // 3**i % 3 for i in range(len(LABELERS))] for v in counts}
+    rate, prior, post = [(0.8, 0.2)] * len(LABELERS), 0.5, {}
+    for _ in range(most):
         for v in counts:
             up, down = math.log(prior), math.log(1 - prior)
-            for i in others:
-                a, b = rate[i]
-                up += math.log(a if v >> i & 1 else 1 - a)
-                down += math.log(b if v >> i & 1 else 1 - b)
-            post[v] = 1.0 if v & 1 else 1 / (1 + math.exp(min(50, max(-50, down - up))))
-        true = sum(c * post[v] for v, c in counts.items())
-        false = sum(counts.values()) - true
-        loose = sum(c for v, c in counts.items() if not v & 1)
-        prior = min(0.99, max(0.01, (sum(c * post[v] for v, c in counts.items() if not v & 1) + 1) / (loose + 2)))
-        rate = [((sum(c * post[v] for v, c in counts.items() if v >> i & 1) + 1) / (true + 2), (sum(c * (1 - post[v]) for v, c in counts.items() if v >> i & 1) + 1) / (false + 2)) for i in range(len(LABELERS))]
+            for (a, b), x in zip(rate, votes[v], strict=True):
+                if x:
+                    up, down = up + math.log(a if x == 1 else 1 - a), down + math.log(b if x == 1 else 1 - b)
+            ruled_out = votes[v][0] == 2
+            post[v] = 1.0 if v[1] else 0.0 if ruled_out else 1 / (1 + math.exp(min(50.0, max(-50.0, down - up))))
+        loose = [(v, c) for v, c in counts.items() if not v[1] and votes[v][0] != 2]
+        prior = (sum(c * post[v] for v, c in loose) + 1) / (sum(c for _, c in loose) + 2)
+        share = lambda i, of: (sum(c * of(v) for v, c in counts.items() if votes[v][i] == 1) + 8 * of(None), sum(c * of(v) for v, c in counts.items() if votes[v][i]) + 10)
+        # ten made-up votes of each class, four in five right, keep a labeler that was seen little from deciding alone
+        up = [share(i, lambda v: 1.0 if v is None else post[v]) for i in range(len(LABELERS))]
+        down = [share(i, lambda v: 0.25 if v is None else 1 - post[v]) for i in range(len(LABELERS))]
+        before, rate = rate, [(a / n, b / m) for (a, n), (b, m) in zip(up, down, strict=True)]
+        if max(abs(x - y) for old, new in zip(before, rate, strict=True) for x, y in zip(old, new, strict=True)) < close:
+            break
     return post, rate
 
 
-def train(counts: dict[int, int], post: dict[int, float], steps: int = 4000, ridge: float = 0.01) -> tuple[float, ...]:
-    """Logistic weights by gradient steps on vote combinations weighted by their counts and posteriors.
-
-    Two made-up spans, with no vote and with all votes in favour, keep both verdicts possible.
+def train(rows: list[tuple[int, float, float]], ridge: float = 0.1, most: int = 50) -> tuple[float, ...]:
+    """Logistic weights by Newton steps on (features, weight of true, weight of false); a made-up span without features is false."""
+    rows = [*rows, (0, 0.0, 1.0)]
+    x = np.array([[1.0] + [float(f >> i & 1) for i in range(len(FEATURES))] for f, _, _ in rows])
+    up, both, w = np.array([p for _, p, _ in rows]), np.array([p + q for _, p, q in rows]), np.zeros(len(FEATURES) + 1)
+    ridges = np.full(len(w), ridge)
+    ridges[0] = 1e-6
+    for _ in range(most):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        step = np.linalg.solve((x.T * (both * p * (1 - p) + 1e-12)) @ x + np.diag(ridges), x.T @ (both * p - up) + ridges * w)
+        w = w - step
+        if np.abs(step).max() < 1e-9:
+            break
+    return tuple(float(a) for a in w)
+
+
+def fit(found: DataFrame) -> SpanModel:
+    """Learn from all rows (kind, votes, features, base) of candidates."""
+    votes = found.groupBy("kind", "votes", "base").count().collect()  # at most 5 x 3**7 x 2 rows
+    fitted = []
+    for k in range(len(EVERY)):
+        fitted.append(estimate({(r["votes"], r["base"]): r["count"] for r in votes if r["kind"] == k}))
+    known = [(k, v, b, p) for k, (post, _) in enumerate(fitted) for (v, b), p in post.items()]
+    posts = found.sparkSession.createDataFrame(known, "kind int, votes int, base boolean, p double")
+    soft = found.join(F.broadcast(posts), ["kind", "votes", "base"]).groupBy("kind", "features").agg(F.sum("p").alias("p"), F.sum(1 - F.col("p")).alias("q"))
+    rows = soft.collect()  # at most 5 x 2**13
+    weights = [[(r["features"], r["p"], r["q"]) for r in rows if r["kind"] == k] for k in range(len(EVERY))]
+    return SpanModel(tuple(train(own) if own else () for own in weights), tuple(tuple(rate) for _, rate in fitted))
+
+
+def find_spans(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None, model: SpanModel | None = None) -> DataFrame:
+    """``docs`` (its columns ``keep``, by default all) with spans, an array<struct<kind, start, end, base>> by start and then kind.
+
+    The texts are read once; candidates are written with the kept columns.
     """
-    favour = sum(1 << i for i, name in enumerate(LABELERS) if name not in ("base", "against", "long"))
-    weighed = [(0, 1, 0.0), (favour, 1, 1.0)] + [(v & ~1, c, post[v]) for v, c in counts.items()]
-    total = sum(c for _, c, _ in weighed)
-    rows = [([1.0] + [float(v >> i & 1) for i in range(len(LABELERS))], c / total, p) for v, c, p in weighed]
-    w = [0.0] * (len(LABELERS) + 1)
-    for _ in range(steps):
-        slope = [ridge * x / total for x in w]
-        for x, share, want in rows:
-            p = 1 / (1 + math.exp(-sum(a * b for a, b in zip(w, x, strict=True))))
-            for i, b in enumerate(x):
-                slope[i] += share * (p - want) * b
-        w = [a - s for a, s in zip(w, slope, strict=True)]
-    return tuple(w)
-
-
-def fit(docs: DataFrame, text_col: str = "text") -> SpanModel:
-    """Learn from all candidates of ``docs``."""
-    found = docs.select(F.inline(candidates(F.coalesce(F.col(text_col), F.lit("")))))
-    counts: list[dict[int, int]] = [{} for _ in KINDS]
-    for r in found.groupBy("kind", "votes").count().collect():
-        counts[r["kind"]][r["votes"]] = r["count"]
-    fitted = [(own, *estimate(own)) for own in counts]
-    return SpanModel(tuple(train(own, post) for own, post, _ in fitted), tuple(tuple(rate) for *_, rate in fitted))
-
-
-def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: SpanModel | None = None) -> DataFrame:
-    """``docs`` with spans, an array<struct<kind, start, end, base>> by start and then kind."""
-    model = model or fit(docs, text_col)
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    kept = F.filter(candidates(text), lambda c: c["base"] | model.accepts(c["kind"], c["votes"]))
-    ordered = F.sort_array(F.transform(kept, lambda c: F.struct(c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end"), c["base"].alias("base"))))
-    names = F.array(*map(F.lit, KINDS))
-    return docs.drop("spans").select("*", F.transform(ordered, lambda c: F.struct(names[c["kind"]].alias("kind"), c["start"].alias("start"), c["end"].alias("end"), c["base"].alias("base"))).alias("spans"))
+    keep = [c for c in (docs.columns if keep is None else keep) if c != "spans"]
+    found = candidates(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    # one struct of what is kept, so that no name clashes
+    scanned = written(docs.select(F.struct(*[F.col(f"`{c}`") for c in keep], F.lit(0).alias("_")).alias("kept"), found.alias("found")), "candidates", compression="zstd")
+    if model is None:
+        model = fit(scanned.select(F.inline("found")))
+    chosen = F.filter("found", lambda c: c["base"] | model.accepts(c["kind"], c["features"]))
+    ordered = F.sort_array(F.transform(chosen, lambda c: F.struct(c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end"), c["base"].alias("base"))))
+    names = F.array(*map(F.lit, EVERY))
+    spans = F.transform(ordered, lambda c: F.struct(names[c["kind"]].alias("kind"), c["start"].alias("start"), c["end"].alias("end"), c["base"].alias("base")))
+    return scanned.select(*[F.col(f"kept.`{c}`").alias(c) for c in keep], spans.alias("spans"))
 
 
 def redacted(text: Column, spans: Column) -> Column:
-    """The text with each span replaced by its kind in brackets; a span that begins inside an earlier one is left out."""
-    zero = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("out"))
-    piece = lambda a, b: F.substring(text, a.cast("int") + 1, (b - a).cast("int"))
+    """The text with each span replaced by its kind in brackets; a span that begins inside an earlier one only lengthens it.
+
+    Spans that meet are joined first; then the text is cut in blocks of spans and each block in pieces, so that no
+    piece is searched for from the text's begin.
+    """
+    spot = lambda a, b, kind: F.struct(a.alias("start"), b.alias("end"), kind.alias("kind"))
 
     def step(s: Column, c: Column) -> Column:
-        longer = F.struct(F.greatest(c["end"], s["at"]).alias("at"), F.concat(s["out"], F.array(piece(s["at"], c["start"]), F.concat(F.lit("["), F.upper(c["kind"]), F.lit("]")))).alias("out"))
-        return F.when(c["start"] >= s["at"], longer).otherwise(F.struct(F.greatest(c["end"], s["at"]).alias("at"), s["out"].alias("out")))
+        last = F.element_at(s, -1)
+        longer = F.concat(F.slice(s, F.lit(1), F.size(s) - 1), F.array(spot(last["start"], F.greatest(last["end"], c["end"]), last["kind"])))
+        return F.when((F.size(s) > 0) & (c["start"] < F.get(s, F.size(s) - 1)["end"]), longer).otherwise(F.concat(s, F.array(spot(c["start"], c["end"], c["kind"]))))
+
+    joined = F.aggregate(spans, F.array().cast("array<struct<start:bigint,end:bigint,kind:string>>"), step)
+    cut = lambda t, a, b: F.substring(t, (a + 1).cast("int"), (b - a).cast("int"))
+
+    def block(all_: Column, k: Column) -> Column:
+        own = F.slice(all_, k * _BLOCK + 1, F.lit(_BLOCK))
+        begin = F.when(k == 0, F.lit(0).cast("bigint")).otherwise(F.get(all_, k * _BLOCK - 1)["end"])
+
+        def pieces(part: Column) -> Column:
+            before = lambda i: F.when(i == 0, begin).otherwise(F.get(own, i - 1)["end"])
+            return F.array_join(F.transform(own, lambda c, i: F.concat(cut(part, before(i) - begin, c["start"] - begin), F.lit("["), F.upper(c["kind"]), F.lit("]"))), "")
+
+        return let(cut(text, begin, F.element_at(own, -1)["end"]), pieces)
+
+    def whole(all_: Column) -> Column:
+        count = F.ceil(F.size(all_) / F.lit(_BLOCK)).cast("int")
+        return F.concat(F.array_join(F.transform(F.sequence(F.lit(0), count - 1), lambda k: block(all_, k)), ""), F.substring(text, (F.element_at(all_, -1)["end"] + 1).cast("int"), F.lit(2**31 - 1)))
 
-    return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(spans, zero, step, lambda s: F.concat(F.array_join(s["out"], ""), F.substring(text, s["at"].cast("int") + 1, F.lit(2**31 - 1)))))
+    return F.when(F.size(spans) == 0, text).otherwise(let(joined, whole))
 
 
 def written_out(spans: Column) -> Column:

@@ -145,7 +145,7 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in all documents; the base spans' digest, and all spans."""
-    made = pii.find_spans(_read(spark, sf_dir, "documents", "doc_id", "text")).select("doc_id", "spans")
+    made = pii.find_spans(_read(spark, sf_dir, "documents", "doc_id", "text"), keep=["doc_id"])
     base = F.filter("spans", lambda c: c["base"])
     count = lambda kind: F.size(F.filter(base, lambda c: c["kind"] == kind)).cast("long").alias(f"n_{kind}")
     return made.select("doc_id", *[count(k) for k in pii.KINDS], F.sha2(pii.written_out(base), 256).alias("base_sha256"), pii.written_out(F.col("spans")).alias("spans"))
