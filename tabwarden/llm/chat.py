@@ -1,28 +1,35 @@
 """Chat formatting: records of unlike layouts become canonical turns and then one marked text with a loss mask.
 
-A record is JSON.  Its *fingerprint* is the hash of its nested field paths, as far as the
-registry knows them; the fingerprint selects a declarative :class:`Layout`, which says where
-the turns are.  Everything is a DataFrame expression.
-
-Defined cases: a null text or role is empty; a record without a known layout (also broken JSON)
-has layout null and no turns; unknown extra fields are ignored; turns with equal positions are
-ordered by role, then text, so repeated rows stay as repeated turns; an empty table gives an empty one.
+A record is JSON.  Its *nested field paths* are its keys, ``list[].key`` for the keys of all items of a list, and both under a
+wrapper such as ``data``.  A declarative :class:`Layout` says which paths it must and may have, and where the turns are; it
+is selected by *fingerprint*, the hash of those of the record's paths that the layout knows.  Of several layouts the one with the
+most paths is taken, then the first of the registry.  Everything is a DataFrame expression.
+
+Defined cases: a null text or role, and an item of a list without one, is empty; content in parts is the parts' texts, one after another;
+roles are taken as they stand, but for layouts that declare other names for them; nothing is dropped silently: a record that no layout
+fits has no turns, layout null and a reason; unknown extra fields are ignored; turns with equal positions are
+ordered by role, then text, so repeated rows stay as repeated turns; very long conversations are read whole; only the two named columns
+of the input are read, so others may have any name; an empty table gives an empty one.
 """
 
 from __future__ import annotations
 
 import hashlib
 from dataclasses import dataclass
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import starts_of
+from .common import let, pieces, starts_of
 
 START, SEP, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
 #: Strings that common chat templates give a meaning; none may stand unescaped inside a turn.
 CONTROL = [START, SEP, END, "<|endoftext|>", "<|system|>", "<|user|>", "<|assistant|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>"]
-ROLES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant", "prompter": "user"}
+#: Names of roles in layouts that declare them.
+OTHER_ROLES = (("human", "user"), ("prompter", "user"), ("gpt", "assistant"), ("bot", "assistant"), ("model", "assistant"), ("chatgpt", "assistant"))
+#: Fields that may hold the whole record.
+WRAPPERS = ["data", "record", "example", "sample"]
 
 
 @dataclass(frozen=True)
@@ -30,79 +37,118 @@ class Layout:
     """Where the turns of a record are: in ``fields`` of (role, path), or in the list ``items`` with a role and a text field.
 
     ``role_field`` and ``text_field`` without ``items`` mean that a record is one turn; ``order`` is then its position.
+    A layout's other paths are required, those in ``optional`` may be there; turns of empty optional fields are left out.
     """
 
     name: str
     fields: tuple[tuple[str, str], ...] = ()
+    optional: tuple[str, ...] = ()
     items: str | None = None
     role_field: str | None = None
     text_field: str | None = None
     order: str | None = None
+    roles: tuple[tuple[str, str], ...] = ()
 
     @property
     def paths(self) -> list[str]:
+        """All paths that the layout knows."""
         if self.items:
             return sorted([self.items, f"{self.items}[].{self.role_field}", f"{self.items}[].{self.text_field}"])
         return sorted([p for _, p in self.fields] + [p for p in (self.role_field, self.text_field, self.order) if p])
 
     @property
-    def fingerprint(self) -> str:
-        return hashlib.sha256("\n".join(self.paths).encode()).hexdigest()
+    def fingerprints(self) -> list[str]:
+        """The fingerprint of the required paths with each choice of optional ones."""
+        fixed = [p for p in self.paths if p not in self.optional]
+        some = [c for n in range(len(self.optional) + 1) for c in combinations(self.optional, n)]
+        return [hashlib.sha256("\n".join(sorted([*fixed, *c])).encode()).hexdigest() for c in some]
 
     def turns(self, record: Column) -> Column:
         """array<struct<position, role, text>> of a record of this layout."""
         value = lambda path: F.get_json_object(record, f"$.{path}")
-        turn = lambda at, role, text: F.struct(at.cast("bigint").alias("position"), F.coalesce(role, F.lit("")).alias("role"), F.coalesce(text, F.lit("")).alias("text"))
+        turn = lambda at, role, text: F.struct(at.cast("bigint").alias("position"), F.coalesce(self.canonical(role), F.lit("")).alias("role"), F.coalesce(text, F.lit("")).alias("text"))
         if self.items:
-            listed = F.from_json(value(self.items), f"array<struct<`{self.role_field}`:string,`{self.text_field}`:string>>")
-            return F.transform(listed, lambda x, i: turn(i, x[self.role_field], x[self.text_field]))
+            listed = F.from_json(value(self.items), f"array<struct<`{self.role_field}`:string,`{self.text_field}`:variant>>")
+            return F.transform(listed, lambda x, i: turn(i, x[self.role_field], said(x[self.text_field])))
         if self.role_field:
             return F.array(turn(value(self.order), value(self.role_field), value(self.text_field)))
-        every = F.array(*[turn(F.lit(i), F.lit(role), value(path)) for i, (role, path) in enumerate(self.fields)])
-        return F.filter(every, lambda t: ~t["role"].isin("system", "context") | (t["text"] != ""))
+        every = F.array(*[F.struct(turn(F.lit(i), F.lit(role), value(path)).alias("turn"), F.lit(path in self.optional).alias("may")) for i, (role, path) in enumerate(self.fields)])
+        return F.transform(F.filter(every, lambda t: ~t["may"] | (t["turn"]["text"] != "")), lambda t: t["turn"])
+
+    def canonical(self, role: Column) -> Column:
+        if not self.roles:
+            return role
+        return F.coalesce(F.create_map(*[F.lit(x) for pair in self.roles for x in pair])[role], role)
+
 
+def said(content: Column) -> Column:
+    """The text of a value: itself, or the texts of its parts."""
+    parts = F.try_variant_get(content, "$", "array<struct<text:string>>")
+    joined = F.array_join(F.transform(parts, lambda p: F.coalesce(p["text"], F.lit(""))), "")
+    return F.when(F.schema_of_variant(content).startswith("ARRAY"), joined).otherwise(F.try_variant_get(content, "$", "string"))
 
-def _flat(name: str, *fields: tuple[str, str]) -> Layout:
-    return Layout(name, fields=fields)
+
+def _flat(name: str, *fields: tuple[str, str], optional: tuple[str, ...] = ("system",)) -> Layout:
+    """A record with a field for each turn, and perhaps more."""
+    first = (("system", "system"),) if "system" in optional else ()
+    return Layout(name, fields=first + fields, optional=optional)
 
 
 LAYOUTS = [
     Layout("turn rows", role_field="role", text_field="text", order="turn"),
     Layout("messages", items="messages", role_field="role", text_field="content"),
-    Layout("share", items="conversations", role_field="from", text_field="value"),
-    Layout("dialogue", items="turns", role_field="speaker", text_field="text"),
-    _flat("prompt and response", ("user", "prompt"), ("assistant", "response")),
-    _flat("system, prompt and response", ("system", "system"), ("user", "prompt"), ("assistant", "response")),
+    Layout("share", items="conversations", role_field="from", text_field="value", roles=OTHER_ROLES),
+    Layout("dialogue", items="turns", role_field="speaker", text_field="text", roles=OTHER_ROLES),
+    _flat("prompt and response", ("user", "prompt"), ("user", "input"), ("assistant", "response"), optional=("system", "input")),
     _flat("prompt and completion", ("user", "prompt"), ("assistant", "completion")),
-    _flat("instruction", ("user", "instruction"), ("assistant", "output")),
-    _flat("instruction with input", ("user", "instruction"), ("context", "input"), ("assistant", "output")),
-    _flat("question", ("user", "question"), ("assistant", "answer")),
+    _flat("instruction", ("user", "instruction"), ("user", "input"), ("assistant", "output"), optional=("system", "input")),
+    _flat("question", ("user", "context"), ("user", "question"), ("assistant", "answer"), optional=("system", "context")),
 ]
 
 
-def fingerprint(record: Column, layouts: list[Layout] = LAYOUTS) -> Column:
-    """The hash of a record's field paths: its own keys, and ``list[].key`` for the keys of a list's first item."""
-    known = sorted({p for x in layouts for p in x.paths})
+def unwrapped(record: Column, layouts: list[Layout] = LAYOUTS) -> Column:
+    """The record itself, or what its wrapper holds if it has no field of a layout of its own."""
+    tops = F.array(*[F.lit(p) for p in sorted({p.split("[")[0] for x in layouts for p in x.paths})])
+    inner = F.coalesce(*[F.get_json_object(record, f"$.{w}") for w in WRAPPERS])
+    bare = ~F.coalesce(F.arrays_overlap(F.json_object_keys(record), tops), F.lit(True))
+    return F.when(bare & F.json_object_keys(inner).isNotNull(), inner).otherwise(record)
+
+
+def field_paths(record: Column, layouts: list[Layout] = LAYOUTS) -> Column:
+    """A record's keys, and ``list[].key`` for the keys of all items of the lists that layouts have; null if it is no object."""
     lists = sorted({x.items for x in layouts if x.items})
+    keys = F.json_object_keys(record)
 
     def inside(a: str) -> Column:
-        return F.transform(F.json_object_keys(F.get_json_object(record, f"$.{a}[0]")), lambda k: F.concat(F.lit(f"{a}[]."), k))
+        each = F.from_json(F.get_json_object(record, f"$.{a}"), "array<map<string,variant>>")
+        names = F.array_distinct(F.flatten(F.transform(each, lambda m: F.coalesce(F.map_keys(m), F.array().cast("array<string>")))))
+        return F.when(F.array_contains(keys, a), F.coalesce(F.transform(names, lambda k: F.concat(F.lit(f"{a}[]."), k)), F.array().cast("array<string>"))).otherwise(F.array().cast("array<string>"))
+
+    return F.concat(keys, *map(inside, lists)) if lists else keys
+
+
+def fingerprint(paths: Column, layout: Layout) -> Column:
+    """The hash of those of a record's paths that a layout knows."""
+    return F.sha2(F.array_join(F.sort_array(F.array_intersect(paths, F.array(*map(F.lit, layout.paths)))), "\n"), 256)
+
 
-    none = F.array().cast("array<string>")
-    paths = F.concat(*[F.coalesce(p, none) for p in (F.json_object_keys(record), *map(inside, lists))])
-    return F.sha2(F.array_join(F.sort_array(F.array_intersect(paths, F.array(*map(F.lit, known)))), "\n"), 256)
+def select_layout(paths: Column, layouts: list[Layout] = LAYOUTS) -> Column:
+    """The place in the registry of the layout that fits with the most paths; null if none does."""
+    fits = [F.when(fingerprint(paths, x).isin(x.fingerprints), F.struct(F.size(F.array_intersect(paths, F.array(*map(F.lit, x.paths)))).alias("n"), F.lit(-i).alias("first"))) for i, x in enumerate(layouts)]
+    return -F.array_max(F.array_compact(F.array(*fits)))["first"]
 
 
 def canonical_turns(records: DataFrame, id_col: str, record_col: str, layouts: list[Layout] = LAYOUTS) -> DataFrame:
-    """A row (id, layout, position, role, text) per turn; a record without turns keeps one row without a position."""
-    df = records.select(F.col(id_col).alias("id"), F.col(record_col).alias("record")).withColumn("mark", fingerprint(F.col("record"), layouts))
-    layout, turns = F.lit(None).cast("string"), F.lit(None)
-    for x in layouts:
-        hit = F.col("mark") == x.fingerprint
-        layout, turns = F.when(hit, F.lit(x.name)).otherwise(layout), F.when(hit, x.turns(F.col("record"))).otherwise(turns)
-    df = df.select("id", layout.alias("layout"), F.explode_outer(turns).alias("t"))
-    same = F.create_map(*[F.lit(x) for pair in ROLES.items() for x in pair])
-    return df.select("id", "layout", "t.position", F.coalesce(same[F.col("t.role")], F.when(F.col("t.role") == "context", "user").otherwise(F.col("t.role"))).alias("role"), "t.text")
+    """A row (id, layout, reason, position, role, text) per turn; a record without turns keeps one row without a position."""
+    df = records.select(F.col(id_col).alias("id"), unwrapped(F.col(record_col), layouts).alias("record"), F.col(record_col).isNull().alias("none"))
+    df = df.withColumn("place", let(field_paths(F.col("record"), layouts), lambda p: F.struct(p.isNotNull().alias("object"), select_layout(p, layouts).alias("layout"))))
+    place, turns = F.col("place.layout"), F.lit(None)
+    for i, x in enumerate(layouts):
+        turns = F.when(place == i, x.turns(F.col("record"))).otherwise(turns)
+    name = F.get(F.array(*[F.lit(x.name) for x in layouts]), place)
+    df = df.select("id", name.alias("layout"), F.col("place.object").alias("object"), "none", turns.alias("turns"))
+    reason = F.when(F.col("none"), "no record").when(~F.col("object"), "no JSON object").when(F.col("layout").isNull(), "no layout has its fields").when(F.coalesce(F.size("turns"), F.lit(0)) <= 0, "no turns")
+    return df.select("id", "layout", reason.alias("reason"), F.explode_outer("turns").alias("t")).select("id", "layout", "reason", "t.position", "t.role", "t.text")
 
 
 def escape(text: Column) -> Column:
@@ -142,4 +188,5 @@ def read_turns(formatted: Column) -> Column:
 
 def read_loss(formatted: Column, loss: Column) -> Column:
     """The unescaped texts under the loss mask, in order, with nothing between."""
-    return F.array_join(F.transform(loss, lambda s: unescape(F.substring(formatted, s["start"].cast("int") + 1, s["length"].cast("int")))), "")
+    ends = F.transform(loss, lambda s: F.struct(s["start"].alias("start"), (s["start"] + s["length"]).alias("end")))
+    return F.array_join(F.transform(pieces(formatted, ends), unescape), "")

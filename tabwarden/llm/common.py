@@ -72,3 +72,22 @@ def starts_of(lengths: Column, chunk: int = 256) -> Column:
 
     longs = F.transform(lengths, lambda n: n.cast("bigint"))
     return F.when(F.size(lengths) == 0, F.array().cast("array<bigint>")).otherwise(let(longs, chunked))
+
+
+def pieces(text: Column, spans: Column, block: int = 64) -> Column:
+    """The text of each span (start, end; code points) of an array in order and without overlaps.
+
+    The text is cut in parts of ``block`` spans first, and each part in pieces, so that no piece is looked for from the
+    text's begin.
+    """
+    cut = lambda t, a, b: F.substring(t, (a + 1).cast("int"), (b - a).cast("int"))
+
+    def part(all_: Column, k: Column) -> Column:
+        own = F.slice(all_, k * block + 1, F.lit(block))
+        first = own[0]["start"]
+        return let(cut(text, first, F.element_at(own, -1)["end"]), lambda t: F.transform(own, lambda s: cut(t, s["start"] - first, s["end"] - first)))
+
+    def whole(all_: Column) -> Column:
+        return F.flatten(F.transform(F.sequence(F.lit(0), F.ceil(F.size(all_) / F.lit(block)).cast("int") - 1), lambda k: part(all_, k)))
+
+    return F.when(F.coalesce(F.size(spans), F.lit(0)) <= 0, F.array().cast("array<string>")).otherwise(let(spans, whole))

@@ -31,7 +31,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, starts_of, written
+from .common import let, pieces, starts_of, written
 
 KINDS = ["email", "ip", "card", "phone"]
 #: All kinds of candidates; ``secret`` has no base pattern.
@@ -322,21 +322,15 @@ def redacted(text: Column, spans: Column) -> Column:
         return F.when((F.size(s) > 0) & (c["start"] < F.get(s, F.size(s) - 1)["end"]), longer).otherwise(F.concat(s, F.array(spot(c["start"], c["end"], c["kind"]))))
 
     joined = F.aggregate(spans, F.array().cast("array<struct<start:bigint,end:bigint,kind:string>>"), step)
-    cut = lambda t, a, b: F.substring(t, (a + 1).cast("int"), (b - a).cast("int"))
-
-    def block(all_: Column, k: Column) -> Column:
-        own = F.slice(all_, k * _BLOCK + 1, F.lit(_BLOCK))
-        begin = F.when(k == 0, F.lit(0).cast("bigint")).otherwise(F.get(all_, k * _BLOCK - 1)["end"])
-
-        def pieces(part: Column) -> Column:
-            before = lambda i: F.when(i == 0, begin).otherwise(F.get(own, i - 1)["end"])
-            return F.array_join(F.transform(own, lambda c, i: F.concat(cut(part, before(i) - begin, c["start"] - begin), F.lit("["), F.upper(c["kind"]), F.lit("]"))), "")
-
-        return let(cut(text, begin, F.element_at(own, -1)["end"]), pieces)
+    end = F.length(text).cast("bigint")
 
     def whole(all_: Column) -> Column:
-        count = F.ceil(F.size(all_) / F.lit(_BLOCK)).cast("int")
-        return F.concat(F.array_join(F.transform(F.sequence(F.lit(0), count - 1), lambda k: block(all_, k)), ""), F.substring(text, (F.element_at(all_, -1)["end"] + 1).cast("int"), F.lit(2**31 - 1)))
+        # the texts before, between and after the spans
+        edge = lambda i: F.when(i == 0, F.lit(0).cast("bigint")).otherwise(F.get(all_, i - 1)["end"])
+        stop = lambda i: F.coalesce(F.get(all_, i)["start"], end)
+        gaps = F.transform(F.sequence(F.lit(0), F.size(all_)), lambda i: F.struct(edge(i).alias("start"), stop(i).alias("end")))
+        marks = F.transform(all_, lambda c: F.concat(F.lit("["), F.upper(c["kind"]), F.lit("]")))
+        return F.array_join(F.zip_with(pieces(text, gaps), F.concat(marks, F.array(F.lit(""))), lambda a, b: F.concat(a, b)), "")
 
     return F.when(F.size(spans) == 0, text).otherwise(let(joined, whole))
 

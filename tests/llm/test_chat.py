@@ -57,6 +57,14 @@ def test_layouts_by_fingerprint(spark):
         7: {"unknown": 1},
         8: {"turns": [{"speaker": "bot", "text": "hi"}]},
         9: {"system": "", "prompt": "q", "response": "a"},
+        10: {"messages": [{"role": "user"}, {"role": "tool", "content": "[1]"}, {"role": "gpt", "content": [{"type": "text", "text": "x"}, {"type": "image"}, {"type": "text", "text": "y"}]}], "prompt": "p"},
+        11: {"data": {"messages": [{"role": "user", "content": "q"}]}, "id": 1},
+        12: {"prompt": "q", "response": "a", "system": "s", "input": "i"},
+        13: {"messages": []},
+        14: {"turn": 3, "role": "gpt", "text": "verbatim"},
+        15: {"system": "s", "instruction": "do", "output": None},
+        16: {"record": {"prompt": "q", "completion": "c"}},
+        17: {"messages": "no list", "prompt": "q", "response": "a"},
     }
     del records[6]["turn"]
     df = spark.createDataFrame([(i, json.dumps(r)) for i, r in records.items()] + [(20, "{broken"), (21, None)], "id long, record string")
@@ -69,13 +77,25 @@ def test_layouts_by_fingerprint(spark):
     assert got[4][1:] == [("user", "do"), ("assistant", "a")] and got[5][1:] == [("user", "do"), ("user", "this"), ("assistant", "a")]
     assert got[6] == ["question", ("user", "q"), ("assistant", "a")] and got[8] == ["dialogue", ("assistant", "hi")] and got[9][1:] == [("user", "q"), ("assistant", "a")]
     assert got[7] == got[20] == got[21] == [None, (None, None)]
+    assert got[10] == ["messages", ("user", ""), ("tool", "[1]"), ("gpt", "xy")] and got[11] == ["messages", ("user", "q")]
+    assert got[12][1:] == [("system", "s"), ("user", "q"), ("user", "i"), ("assistant", "a")] and got[14] == ["turn rows", ("gpt", "verbatim")]
+    assert got[15][1:] == [("system", "s"), ("user", "do"), ("assistant", "")] and got[16] == ["prompt and completion", ("user", "q"), ("assistant", "c")]
+    assert got[17] == ["prompt and response", ("user", "q"), ("assistant", "a")]
+    why = {r.id: r.reason for r in chat.canonical_turns(df, "id", "record").where("reason IS NOT NULL").collect()}
+    assert why == {7: "no layout has its fields", 13: "no layout has its fields", 20: "no JSON object", 21: "no record"}
     made = {r.id: r.formatted for r in chat.format_chats(chat.canonical_turns(df, "id", "record")).collect()}
     assert made[7] == "" and made[3] == formatted([("user", "q"), ("assistant", "a")])
 
 
 def test_fingerprints_differ_and_nothing(spark):
-    assert len({x.fingerprint for x in chat.LAYOUTS}) == len(chat.LAYOUTS)
-    df = spark.createDataFrame([(json.dumps({"messages": [{"role": "r", "content": "c"}]}),)], "record string")
-    assert df.select(chat.fingerprint(F.col("record"))).first()[0] == next(x for x in chat.LAYOUTS if x.name == "messages").fingerprint
+    every = [f for x in chat.LAYOUTS for f in x.fingerprints]
+    assert len(set(every)) == len(every)
+    df = spark.createDataFrame([(json.dumps({"messages": [{"role": "r"}, {"content": "c", "more": 1}], "x": 0}),)], "record string")
+    layout = next(x for x in chat.LAYOUTS if x.name == "messages")
+    paths = chat.field_paths(F.col("record"))
+    assert sorted(df.select(paths).first()[0]) == ["messages", "messages[].content", "messages[].more", "messages[].role", "x"]
+    assert df.select(chat.fingerprint(paths, layout)).first()[0] == layout.fingerprints[0]
+    odd = df.select(F.lit(1).alias("id"), "record", F.lit("x").alias("layout"), F.lit("y").alias("place"), F.lit("z").alias("reason"))
+    assert [(r.role, r.text) for r in chat.canonical_turns(odd, "id", "record").orderBy("position").collect()] == [("r", ""), ("", "c")]
     none = spark.createDataFrame([], "id long, record string")
     assert chat.format_chats(chat.canonical_turns(none, "id", "record")).count() == 0
