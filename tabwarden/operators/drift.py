@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import finite, interpret_psi, numeric
+from .ranks import numbered, quantile, ranked
 
 LIMIT = 20_000
 
@@ -26,28 +27,41 @@ def _psi_term(a: Column, e: Column) -> Column:
     return (a - e) * F.log(a / e)
 
 
-def psi_numeric(reference: DataFrame, actual: DataFrame, bins: int = 10, eps: float = 1e-6) -> DataFrame:
-    """(column, psi) of stacked values: bins are the reference's quantiles, the outer ones open; NaN with under two bins."""
-    cuts = [i / bins for i in range(bins + 1)]
-    edges = reference.groupBy("column").agg(F.array_distinct(F.percentile("value", F.array(*map(F.lit, cuts)))).alias("edges"))
+def compared(reference: DataFrame, actual: DataFrame) -> DataFrame:
+    """:func:`ranks.ranked` of the stacked values of both sides, with weights e (expected) and a (actual)."""
+    side = lambda df, e, a: df.select("column", "value", F.lit(e).cast("long").alias("e"), F.lit(a).cast("long").alias("a"))
+    return ranked(side(reference, 1, 0).unionByName(side(actual, 0, 1)), ["e", "a"])
+
+
+def _edges(bins: int) -> Column:
+    """The reference's quantiles, each once."""
+    return F.array_distinct(F.array_compact(F.array(*[quantile(i / bins, "e") for i in range(bins + 1)])))
+
+
+def _largest_gap() -> Column:
+    share = lambda x: (F.col(f"before_{x}") + F.col(x)) / F.nullif(F.col(f"total_{x}"), F.lit(0))
+    return F.coalesce(F.max(F.abs(share("e") - share("a"))), F.lit(float("nan")))
+
+
+def _psi(both: DataFrame, edges: DataFrame, eps: float) -> DataFrame:
+    """(column, psi) of compared values and each column's edges, of which the outer ones are open."""
     inner = F.slice("edges", F.lit(2), F.greatest(F.size("edges") - 2, F.lit(0)))
-    both = reference.select("column", "value", F.lit(0).alias("side")).unionByName(actual.select("column", "value", F.lit(1).alias("side")))
-    binned = both.join(F.broadcast(edges), "column").select("column", "side", "edges", F.size(F.filter(inner, lambda e: F.col("value") >= e)).alias("bin"))
-    counts = binned.groupBy("column", "bin").agg(F.count_if(F.col("side") == 0).alias("e"), F.count_if(F.col("side") == 1).alias("a"), F.first(F.size("edges")).alias("k"))
-    total = counts.groupBy("column").agg(F.sum("e").alias("te"), F.sum("a").alias("ta"))
+    binned = both.join(F.broadcast(edges.select("column", "edges")), "column").withColumn("bin", F.size(F.filter(inner, lambda x: F.col("value") >= x)))
+    counts = binned.groupBy("column", "bin").agg(F.sum("e").alias("e"), F.sum("a").alias("a"), F.first("total_e").alias("te"), F.first("total_a").alias("ta"), F.first(F.size("edges")).alias("k"))
     share = lambda x, t: F.greatest(F.col(x) / F.nullif(F.col(t), F.lit(0)), F.lit(eps))
-    per_bin = counts.join(F.broadcast(total), "column").withColumn("term", _psi_term(share("a", "ta"), share("e", "te")))
-    made = per_bin.groupBy("column").agg(F.sum("term").alias("psi"), F.max("k").alias("k"), F.max("ta").alias("ta"))
+    made = counts.withColumn("term", _psi_term(share("a", "ta"), share("e", "te"))).groupBy("column").agg(F.sum("term").alias("psi"), F.max("k").alias("k"), F.max("ta").alias("ta"))
     return made.select("column", F.when((F.col("k") >= 3) & (F.col("ta") > 0), F.col("psi")).otherwise(F.lit(float("nan"))).alias("psi"))
 
 
+def psi_numeric(reference: DataFrame, actual: DataFrame, bins: int = 10, eps: float = 1e-6) -> DataFrame:
+    """(column, psi) of stacked values: bins are the reference's quantiles, the outer ones open; NaN with under two bins."""
+    both = compared(reference, actual)
+    return _psi(both, both.groupBy("column").agg(_edges(bins).alias("edges")), eps)
+
+
 def ks_statistic(reference: DataFrame, actual: DataFrame) -> DataFrame:
     """(column, ks): the largest difference of the two empirical distribution functions."""
-    both = reference.select("column", "value", F.lit(1).alias("e"), F.lit(0).alias("a")).unionByName(actual.select("column", "value", F.lit(0).alias("e"), F.lit(1).alias("a")))
-    counts = both.groupBy("column", "value").agg(F.sum("e").alias("e"), F.sum("a").alias("a"))
-    before, whole = Window.partitionBy("column").orderBy("value").rangeBetween(Window.unboundedPreceding, 0), Window.partitionBy("column")
-    cdf = lambda x: F.sum(x).over(before) / F.nullif(F.sum(x).over(whole), F.lit(0))
-    return counts.select("column", F.abs(cdf("e") - cdf("a")).alias("d")).groupBy("column").agg(F.coalesce(F.max("d"), F.lit(float("nan"))).alias("ks"))
+    return compared(reference, actual).groupBy("column").agg(_largest_gap().alias("ks"))
 
 
 def binary_psi(reference_rate: Column, actual_rate: Column, eps: float = 1e-6) -> Column:
@@ -96,11 +110,9 @@ def thinned(values: DataFrame, order: list[str], extend: bool = False, limit: in
 
     Setting takes k = n // limit + 1 beyond the limit, extending k = max(n // limit, 1).
     """
-    every = Window.partitionBy("column")
-    n = F.count("*").over(every)
+    n = F.col("total")
     step = F.when(n > limit, F.greatest(F.floor(n / limit), F.lit(1)) if extend else F.floor(n / limit) + 1).otherwise(1)
-    at = values.withColumns({"seq": (F.row_number().over(every.orderBy(*order)) - 1).cast("long"), "step": step})
-    return at.where(F.col("seq") % F.col("step") == 0).select("column", "seq", "value")
+    return numbered(values, "column", order).where(F.col("place") % step == 0).select("column", F.col("place").alias("seq"), "value")
 
 
 @dataclass
@@ -161,10 +173,12 @@ class DriftReport:
     target: dict = field(default_factory=dict)
 
 
-def numeric_drift(ref: DataFrame, actual: DataFrame, bins: int = 10) -> DataFrame:
-    """(column, psi, ks, level, reference_median, actual_median)."""
-    median = lambda df, name: df.groupBy("column").agg(F.round(F.percentile("value", F.lit(0.5)), 4).alias(name))
-    made = psi_numeric(ref, actual, bins).join(ks_statistic(ref, actual), "column").join(median(ref, "reference_median"), "column").join(median(actual, "actual_median"), "column", "left")
+def numeric_drift(ref: DataFrame, actual: DataFrame, bins: int = 10, eps: float = 1e-6) -> DataFrame:
+    """(column, psi, ks, level, reference_median, actual_median) of the reference's columns; values are ranked once."""
+    both = compared(ref, actual)
+    median = lambda x: F.round(quantile(0.5, x), 4)
+    each = both.groupBy("column").agg(_edges(bins).alias("edges"), _largest_gap().alias("ks"), median("e").alias("reference_median"), median("a").alias("actual_median"), F.max("total_e").alias("te"))
+    made = each.join(_psi(both, each, eps), "column").where("te > 0")
     return made.select("column", "psi", "ks", interpret_psi(F.col("psi")).alias("level"), "reference_median", "actual_median")
 
 

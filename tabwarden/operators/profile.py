@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import numeric
+from .ranks import counted, quantile
 
 QUANTILES = {"q01": 0.01, "q25": 0.25, "median": 0.5, "q75": 0.75, "q99": 0.99}
 
@@ -24,17 +25,15 @@ def profile_numeric(df: DataFrame, columns: list[str]) -> DataFrame:
         x = numeric(df, c)
         return {
             "missing": F.count_if(F.col(c).isNull()), "missing_ratio": F.avg(F.col(c).isNull().cast("int")), "non_numeric": F.count_if(F.col(c).isNotNull() & x.isNull()),
-            "zeros": F.count_if(x == 0), "zeros_ratio": F.count_if(x == 0) / F.count("*"), "n_unique": F.count_distinct(x), "min": F.min(x), "max": F.max(x), "mean": F.avg(x), "std": F.stddev_samp(x),
-            "quantiles": F.percentile(x, F.array(*map(F.lit, QUANTILES.values()))), "skew": corrected_skewness(x),
+            "zeros": F.count_if(x == 0), "zeros_ratio": F.count_if(x == 0) / F.count("*"), "min": F.min(x), "max": F.max(x), "mean": F.avg(x), "std": F.stddev_samp(x), "skew": corrected_skewness(x),
         }
 
-    # distinct counts of one column would expand each row; so each column is scanned alone when they are many
-    made = None
-    for c in columns:
-        one = stacked(df, "column", {c: measures(c)})
-        made = one if made is None else made.unionByName(one)
-    flat = [F.get("quantiles", F.lit(i)).alias(q) for i, q in enumerate(QUANTILES)]
-    return made.select("*", *flat, (F.col("skew") > 2).alias("heavy_tailed")).drop("quantiles")
+    # one scan for the measures of all columns, one for the counts by value, from which places and quantiles come
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), numeric(df, c).alias("value")) for c in columns])
+    at = counted(df.select(F.inline(pairs)).where("value IS NOT NULL"))
+    placed = at.groupBy("column").agg(F.count("*").alias("n_unique"), *[quantile(q).alias(name) for name, q in QUANTILES.items()])
+    made = stacked(df, "column", {c: measures(c) for c in columns}).join(placed, "column", "left").withColumn("n_unique", F.coalesce("n_unique", F.lit(0)))
+    return made.withColumn("heavy_tailed", F.col("skew") > 2)
 
 
 def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -48,15 +47,15 @@ def profile_categorical(df: DataFrame, columns: list[str], top: int = 5, rare: f
     from .rules import stacked
 
     base = stacked(df, "column", {c: {"missing": F.count_if(F.col(c).isNull()), "rows": F.count("*")} for c in columns})
-    counts = value_counts(df, columns).join(F.broadcast(base), "column")
+    counts = value_counts(df, columns)
+    # ranks beyond the top are cut before the shuffle
+    ranked = counts.withColumn("rank", F.row_number().over(Window.partitionBy("column").orderBy(F.desc("n"), "value"))).where(F.col("rank") <= top)
+    shown = ranked.groupBy("column").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("rank", "value", "n"))), lambda x: F.concat(x["value"], F.lit("="), x["n"].cast("string"))), "|").alias("top"))
     bound = F.greatest(F.floor(F.col("rows") * rare), F.lit(1))
-    ranked = counts.withColumn("rank", F.row_number().over(Window.partitionBy("column").orderBy(F.desc("n"), "value")))
-    made = ranked.groupBy("column").agg(
-        F.count("*").alias("n_unique"), F.count_if(F.col("n") <= bound).alias("rare_values"), F.coalesce(F.sum(F.when(F.col("n") <= bound, F.col("n"))), F.lit(0)).alias("rare_rows"),
-        F.array_join(F.transform(F.sort_array(F.collect_list(F.when(F.col("rank") <= top, F.struct("rank", "value", "n")))), lambda x: F.concat(x["value"], F.lit("="), x["n"].cast("string"))), "|").alias("top"),
-        (F.max("n") / F.max("rows")).alias("top_share"),
+    made = counts.join(F.broadcast(base.select("column", "rows")), "column").groupBy("column").agg(
+        F.count("*").alias("n_unique"), F.count_if(F.col("n") <= bound).alias("rare_values"), F.coalesce(F.sum(F.when(F.col("n") <= bound, F.col("n"))), F.lit(0)).alias("rare_rows"), (F.max("n") / F.max("rows")).alias("top_share"),
     )
-    return base.join(made, "column", "left").drop("rows")
+    return base.join(made, "column", "left").join(shown, "column", "left").drop("rows")
 
 
 def profile_target(df: DataFrame, target: str) -> DataFrame:

@@ -69,9 +69,13 @@ def timeliness(df: DataFrame, time_col: str, fmt: str | None = None) -> DataFram
     if time_col not in df.columns:
         return df.sparkSession.createDataFrame([(False, f"no column {time_col}")], "available boolean, reason string")
     times = df.select(parse_datetime(df, time_col, fmt).alias("t"))
-    # distinct days are few; neighbours need one order over them
-    distinct = times.where("t IS NOT NULL").distinct()
-    gaps = distinct.select(F.timestamp_diff("DAY", F.lag("t").over(Window.orderBy("t")), F.col("t")).alias("gap")).agg(F.max("gap").alias("max_gap_days"))
+    # gaps within a month, and between the months that have times, which are few
+    distinct = times.where("t IS NOT NULL").distinct().withColumn("month", F.trunc("t", "month"))
+    days = lambda a, b: F.timestamp_diff("DAY", a, b)
+    inside = distinct.withColumn("gap", days(F.lag("t").over(Window.partitionBy("month").orderBy("t")), F.col("t")))
+    months = inside.groupBy("month").agg(F.max("gap").alias("gap"), F.min("t").alias("first"), F.max("t").alias("last"))
+    between = months.withColumn("step", days(F.lag("last").over(Window.orderBy("month")), F.col("first")))
+    gaps = between.agg(F.max(F.greatest("gap", "step")).alias("max_gap_days"))
     span = times.agg(F.min("t").alias("first"), F.max("t").alias("last"), F.count_distinct("t").alias("n_unique"), F.count_if(F.col("t").isNull()).alias("unparsed"))
     return span.join(F.broadcast(gaps)).select(
         (F.col("n_unique") > 0).alias("available"), F.date_format("first", "yyyy-MM-dd").alias("min_date"), F.date_format("last", "yyyy-MM-dd").alias("max_date"),
@@ -135,14 +139,12 @@ class CleaningReport:
 def clean(df: DataFrame, features: list[str], rules: RuleSet, max_row_missing_ratio: float = 0.5, max_violation_ratio: float = 0.3) -> tuple[DataFrame, CleaningReport]:
     """Drop rows with too many missing features, repeated rows, and what violates rules - in this order, each on what is left."""
     columns = [c for c in features if c in df.columns]
-    report = CleaningReport(rows_in=df.count(), missing_columns=rules.missing(df.columns))
-    if columns and max_row_missing_ratio < 1.0:
-        df = df.where(_missing_in_row(columns) / len(columns) <= max_row_missing_ratio)
-        report.sparse_rows = report.rows_in - df.count()
-    df = dedupe(df).persist()
-    left = df.count()
-    report.duplicates = report.rows_in - report.sparse_rows - left
+    sparse = _missing_in_row(columns) / len(columns) > max_row_missing_ratio if columns and max_row_missing_ratio < 1.0 else F.lit(False)
+    rows, thin = df.agg(F.count("*"), F.count_if(sparse)).first()
+    report = CleaningReport(rows_in=rows, sparse_rows=thin, missing_columns=rules.missing(df.columns))
+    df = dedupe(df.where(~sparse))
     out, by_rule = clean_by_rules(df, rules.available(df.columns), max_violation_ratio)
     report.dropped_by_rule, report.skipped_by_rule = by_rule.dropped, by_rule.skipped
-    report.rows_out = left - sum(by_rule.dropped.values())
+    report.rows_out = by_rule.left if by_rule.left is not None else df.count()
+    report.duplicates = rows - thin - report.rows_out - sum(by_rule.dropped.values())
     return out, report

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import finite, numeric
+from .ranks import counted, numbered, quantile, ranked
 
 
 def confusion(df: DataFrame, label: str, predicted: str, by: list[str] | None = None) -> DataFrame:
@@ -23,10 +24,10 @@ def confusion(df: DataFrame, label: str, predicted: str, by: list[str] | None =
 
 def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
     """(roc_auc): the rank sum with ties averaged; null where a class is absent.  Equal scores are counted together first."""
-    counts = df.groupBy(F.col(score).alias("s")).agg(F.count_if(F.col(label) == 1).alias("up"), F.count_if(F.col(label) != 1).alias("down"))
-    below = F.coalesce(F.sum("down").over(Window.orderBy("s").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    won = counts.select("up", "down", ((below + F.col("down") / 2) * F.col("up")).alias("won"))
-    return won.agg((F.sum("won") / F.nullif(F.sum("up") * F.sum("down"), F.lit(0))).alias("roc_auc"))
+    up = (F.col(label) == 1).cast("long")
+    at = ranked(df.select(F.lit("").alias("column"), F.col(score).cast("double").alias("value"), up.alias("up"), (1 - up).alias("down")), ["up", "down"])
+    won = (F.col("before_down") + F.col("down") / 2) * F.col("up")
+    return at.agg((F.sum(won) / F.nullif(F.sum("up") * F.sum("down"), F.lit(0))).alias("roc_auc"))
 
 
 def class_weights(df: DataFrame, label: str, mode: str = "balanced") -> DataFrame:
@@ -39,10 +40,12 @@ def class_weights(df: DataFrame, label: str, mode: str = "balanced") -> DataFram
 
 def choose_threshold(df: DataFrame, probability: str, target_rate: float, default: float = 0.5) -> DataFrame:
     """One row: the probability that the wanted share of rows reaches, and what it achieves."""
-    p = df.select(finite(F.col(probability)).alias("p")).where("p IS NOT NULL")
-    inside = 0 < target_rate < 1
-    cut = p.agg(F.coalesce(F.percentile("p", F.lit(1.0 - target_rate)), F.lit(default)).alias("cut")) if inside else p.agg(F.lit(default).alias("cut"))
-    made = p.join(F.broadcast(cut)).agg(F.first("cut").alias("cut"), F.avg((F.col("p") >= F.col("cut")).cast("int")).alias("achieved"), F.avg((F.col("p") >= 0.5).cast("int")).alias("half"), F.percentile("p", F.lit(0.5)).alias("mid"), F.count_distinct("p").alias("n_distinct"))
+    p = df.select(F.lit("").alias("column"), finite(F.col(probability).cast("double")).alias("value")).where("value IS NOT NULL")
+    at = counted(p)
+    cut = quantile(1.0 - target_rate) if 0 < target_rate < 1 else F.lit(None).cast("double")
+    found = at.agg(F.coalesce(cut, F.lit(default)).alias("cut"), quantile(0.5).alias("mid"), F.count("*").alias("n_distinct"))
+    share = lambda of: F.sum(F.when(of, F.col("n")).otherwise(0)) / F.sum("n")
+    made = at.join(F.broadcast(found)).agg(F.first("cut").alias("cut"), share(F.col("value") >= F.col("cut")).alias("achieved"), share(F.col("value") >= 0.5).alias("half"), F.first("mid").alias("mid"), F.coalesce(F.first("n_distinct"), F.lit(0)).alias("n_distinct"))
     return made.select(
         F.round(F.coalesce("cut", F.lit(default)), 6).alias("threshold"), F.lit(round(float(target_rate), 6)).alias("target_rate"), F.round("achieved", 6).alias("achieved_rate"), F.round("half", 6).alias("raw_rate_at_half"),
         F.round("mid", 6).alias("median_probability"), "n_distinct", F.coalesce(F.col("achieved") > min(1.0, target_rate * 1.5), F.lit(False)).alias("ties_limit_calibration"),
@@ -53,11 +56,12 @@ def tukey_ranges(df: DataFrame, columns: list[str]) -> DataFrame:
     """(column, low, high): three interquartile ranges around the quartiles, within the values; quantiles where the range is 0."""
     from .drift import stacked_values
 
-    cuts = F.array(*map(F.lit, (0.005, 0.25, 0.75, 0.995)))
-    made = stacked_values(df, columns).groupBy("column").agg(F.percentile("value", cuts).alias("q"), F.min("value").alias("lo"), F.max("value").alias("hi"))
-    q = lambda i: F.get("q", F.lit(i))
-    iqr = q(2) - q(1)
-    return made.select("column", F.when(iqr > 0, F.greatest(q(1) - 3 * iqr, F.col("lo"))).otherwise(q(0)).alias("low"), F.when(iqr > 0, F.least(q(2) + 3 * iqr, F.col("hi"))).otherwise(q(3)).alias("high"))
+    q = {"a": 0.005, "q1": 0.25, "q3": 0.75, "b": 0.995}
+    made = counted(stacked_values(df, columns)).groupBy("column").agg(*[quantile(x).alias(name) for name, x in q.items()], F.min("value").alias("lo"), F.max("value").alias("hi"))
+    iqr = F.col("q3") - F.col("q1")
+    low = F.when(iqr > 0, F.greatest(F.col("q1") - 3 * iqr, F.col("lo"))).otherwise(F.col("a"))
+    high = F.when(iqr > 0, F.least(F.col("q3") + 3 * iqr, F.col("hi"))).otherwise(F.col("b"))
+    return made.select("column", low.alias("low"), high.alias("high"))
 
 
 def outliers(df: DataFrame, ranges: dict[str, tuple[float, float]]) -> Column:
@@ -76,7 +80,8 @@ def count_outliers(df: DataFrame, ranges: dict[str, tuple[float, float]]) -> Dat
 
 
 def stratified_split(df: DataFrame, label: str, order: list[Column], validation: float = 0.2) -> DataFrame:
-    """``df`` with is_validation: in each class the first rows in the given (hashed) order."""
-    per = Window.partitionBy(label)
-    n, rank = F.count("*").over(per), F.row_number().over(per.orderBy(*order))
-    return df.withColumn("is_validation", (rank <= F.round(n * validation)) & (n >= 2))
+    """``df`` with is_validation: in each class the first rows in the given (hashed) order; a class with one row has none."""
+    names = [f"_order{i}" for i in range(len(order))]
+    at = numbered(df.withColumns(dict(zip(names, order, strict=True))), label, names)
+    first = (F.col("place") < F.round(F.col("total") * validation)) & (F.col("total") >= 2)
+    return at.withColumn("is_validation", first).drop("place", "total", *names)
