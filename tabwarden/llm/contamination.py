@@ -44,11 +44,11 @@ def shingle_hashes(df: DataFrame, n: int) -> DataFrame:
 
 
 def shingles(df: DataFrame, n: int) -> DataFrame:
-    """(id, hash, shingle), each once, with the same hashes and the words joined by spaces."""
+    """(id, hash, shingle) of each shingle, with the same hashes and the words joined by spaces."""
     df = _words(df).select("id", "w", _places(n).alias("i"))
     each = [F.get("w", F.col("i") + k) for k in range(n)]
     hashes = [F.when(x.isNotNull(), F.xxhash64(x)) for x in each]  # a hash of null is not null
-    return df.select("id", F.xxhash64(*hashes).alias("hash"), F.concat_ws(" ", *each).alias("shingle")).distinct()
+    return df.select("id", F.xxhash64(*hashes).alias("hash"), F.concat_ws(" ", *each).alias("shingle"))
 
 
 def _few(df: DataFrame, most: int) -> bool:
@@ -73,7 +73,7 @@ def slots(n: Column, share: float) -> Column:
 
 def sketched(items: DataFrame, shingle: int = 5, share: float = 0.8) -> DataFrame:
     """(item, hash, shingle, n_item, least, in_sketch) of each shingle of items (id, text)."""
-    whole = shingles(items, shingle).withColumnRenamed("id", "item")
+    whole = shingles(items, shingle).distinct().withColumnRenamed("id", "item")
     own = Window.partitionBy("item")  # an item is one text
     whole = whole.withColumns({"n_item": F.count("*").over(own), "rank": F.row_number().over(own.orderBy("hash", "shingle"))})
     whole = whole.withColumn("part", slots(F.col("n_item"), share))
@@ -92,9 +92,10 @@ def verified(docs: DataFrame, items: DataFrame, pairs: DataFrame, shingle: int =
     """(id, item, n_shared, n_item) of those pairs whose document contains enough of the item's shingles."""
     ids = pairs.select("id").distinct()
     few = docs.join(F.broadcast(ids) if _few(ids, send_rows) else ids.hint("shuffle_hash"), "id", "left_semi")
-    # texts of one id are one document, and strings decide: hashes only bring shingles together
+    # strings decide: hashes only bring shingles together
     found = _join(shingles(few, shingle), items.select("item", "hash", "shingle", "n_item"), ["hash", "shingle"], send_rows)
-    shared = found.join(pairs, ["id", "item"], "left_semi").groupBy("id", "item", "n_item").agg(F.count("*").alias("n_shared"))
+    once = found.groupBy("id", "item", "n_item", "hash", "shingle").agg(F.lit(1).alias("hit"))
+    shared = once.join(pairs, ["id", "item"], "left_semi").groupBy("id", "item", "n_item").agg(F.count("*").alias("n_shared"))
     enough = F.col("n_shared") >= F.ceil(F.col("n_item") * F.lit(round(share * 1000)) / 1000)
     return shared.where(enough).select("id", "item", "n_shared", "n_item")
 
