@@ -1,14 +1,17 @@
 """Quality rules: base counts of a text, and robust multivariate outliers for each language and source.
 
 Statistic vectors (logarithms of size, word length, symbol and repetition rates) get a minimum-covariance-determinant
-estimate in each (language, source): from medians and median deviations, concentration steps keep the nearest
-``support`` of the rows by Mahalanobis distance and estimate mean and covariance anew.  Groups meet only as sums,
-so that a source with a third of all rows is no larger than another after the map side.  A document is rejected when its
-distance is beyond the chi-square bound.  Everything is a DataFrame expression.
+estimate in each (language, source).  Three deterministic starts share medians and median deviations and differ in the correlations:
+none, those of the hyperbolic tangents, and those of the spatial signs.  From each, concentration steps keep the nearest
+``support`` of the rows by Mahalanobis distance and estimate mean and covariance anew, until no group's determinant changes; of the
+three the least determinant stays.  Groups meet only as sums, so that a source with a third of all rows is no larger than
+another after the map side.  A document is rejected when its distance is beyond the chi-square bound.  Everything is a DataFrame expression.
 
 Defined cases: a null text has no words and fails the base rule; null language or source is a group of its
-own; groups under ``min_rows`` are pooled by language, and if still too small, together; a pool still too small
-rejects nothing; repeated rows count as often as they stand; an empty table gives an empty one.
+own; groups under ``min_rows`` are pooled by language, and if still too small, together (``pool`` says which); a pool still too small
+rejects nothing and has no distance; repeated rows count as often as they stand; ties in distance are kept together; very long texts are
+read whole; rows with a null id are judged like others; columns named like the counts are replaced, others of any name do no
+harm; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -22,8 +25,9 @@ from .common import GAP_CHARS, let, words_of, written
 
 DIMS = 4
 #: The least standard deviation of each dimension: most texts have no symbols and no repetition at all, and a
-#: first one (a quoted line, a price) is no outlier.
-FLOOR = (0.10, 0.05, 0.30, 0.60)
+#: first one (a quoted line, a price) is no outlier.  With the bound of 1e-11, about 9.2 deviations, each dimension can reject by itself:
+#: 16 symbols a hundred words, or 39 repeated words and lines a hundred, above what its group has.
+FLOOR = (0.10, 0.05, 0.30, 0.40)
 _BITS = 20
 #: Parts that a group's rows are dealt out to.
 SALTS = 32
@@ -32,7 +36,7 @@ SALTS = 32
 def repeated_words(words: Column) -> Column:
     """How many words lie in 3-word windows found twice or more.
 
-    Windows sort by 44 bits of their hash and then place, in one number; equal neighbours are compared word by word.  Longer
+    Windows sort by 44 bits of their hash and then place, in one number; those of equal hashes are compared word by word.  Longer
     texts than 2**20 words sort pairs of hash and place.
     """
 
@@ -47,7 +51,14 @@ def repeated_words(words: Column) -> Column:
 
         def found(items: Column, hash_of, place_of) -> Column:
             like = lambda x, y: F.coalesce(hash_of(x) == hash_of(y), F.lit(False)) & same(place_of(x), place_of(y))
-            twice = let(items, lambda a: F.filter(a, lambda x, k: like(x, F.get(a, k - 1)) | like(x, F.get(a, k + 1))))
+            def again(a: Column, x: Column, k: Column) -> Column:
+                before, after = F.get(a, k - 1), F.get(a, k + 1)
+                meets = lambda y: F.coalesce(hash_of(x) == hash_of(y), F.lit(False))
+                # different windows of one hash: the whole run is looked through
+                other = F.exists(a, lambda y: (hash_of(y) == hash_of(x)) & (place_of(y) != place_of(x)) & same(place_of(x), place_of(y)))
+                return F.when(like(x, before) | like(x, after), F.lit(True)).when(meets(before) | meets(after), other).otherwise(F.lit(False))
+
+            twice = let(items, lambda a: F.filter(a, lambda x, k: again(a, x, k)))
             return covered(F.sort_array(F.transform(twice, place_of)))
 
         packed = found(F.sort_array(F.transform(at, lambda i: F.shiftleft(code(i), _BITS).bitwiseOR(i))), lambda x: F.shiftright(x, _BITS), lambda x: x.bitwiseAND(F.lit(2**_BITS - 1)))
@@ -97,19 +108,61 @@ def chi_square_bound(p: float, d: int) -> float:
     return high
 
 
-def _sums(rows: DataFrame) -> DataFrame:
-    """Mean and covariance factor of each group's rows."""
-    x = [F.col(f"x{i}") for i in range(DIMS)]
-    sums = [F.count("*").alias("n"), *[F.sum(a).alias(f"s{i}") for i, a in enumerate(x)], *[F.sum(x[i] * x[j]).alias(f"q{i}{j}") for i in range(DIMS) for j in range(i + 1)]]
-    df = rows.groupBy("g").agg(*sums)
-    df = df.select("g", *[(F.col(f"s{i}") / F.col("n")).alias(f"m{i}") for i in range(DIMS)], *[(F.col(f"q{i}{j}") / F.col("n") - F.col(f"s{i}") / F.col("n") * F.col(f"s{j}") / F.col("n") + (FLOOR[i] ** 2 if i == j else 0.0)).alias(f"c{i}{j}") for i in range(DIMS) for j in range(i + 1)])
-    for i in range(DIMS):  # Cholesky, one column after another
+#: The starts' correlations.
+STARTS = ["none", "tanh", "signs"]
+
+
+def _factor(df: DataFrame, mean, covariance, s: str) -> DataFrame:
+    """``df`` with a column of the start's name: struct<logdet, m0.., l00..> with the Cholesky factor of a group's covariance."""
+    for i in range(DIMS):  # one column after another
         for j in range(i + 1):
-            rest = F.col(f"c{i}{j}")
+            rest = covariance(i, j)
             for k in range(j):
                 rest = rest - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
             df = df.withColumn(f"l{i}{j}", F.sqrt(F.greatest(rest, F.lit(FLOOR[i] ** 2 / 4))) if i == j else rest / F.col(f"l{j}{j}"))
-    return df.select("g", *[f"m{i}" for i in range(DIMS)], *[f"l{i}{j}" for i in range(DIMS) for j in range(i + 1)])
+    logdet = 2 * sum((F.log(f"l{i}{i}") for i in range(DIMS)), F.lit(0.0))
+    made = F.struct(logdet.alias("logdet"), *[mean(i).alias(f"m{i}") for i in range(DIMS)], *[F.col(f"l{i}{j}") for i in range(DIMS) for j in range(i + 1)])
+    return df.withColumn(s, made).drop(*[f"l{i}{j}" for i in range(DIMS) for j in range(i + 1)])
+
+
+def _pairs() -> list[tuple[int, int]]:
+    return [(i, j) for i in range(DIMS) for j in range(i + 1)]
+
+
+def _sums(rows: DataFrame) -> DataFrame:
+    """Mean and covariance factor of each group's rows within the cut of each start."""
+    x = [F.col(f"x{i}") for i in range(DIMS)]
+    sums = []
+    for s in STARTS:
+        within = lambda v, s=s: F.sum(F.when(F.col(f"d_{s}") <= F.col(f"cut_{s}"), v))
+        sums += [within(F.lit(1)).alias(f"n_{s}"), *[within(a).alias(f"s{i}_{s}") for i, a in enumerate(x)], *[within(x[i] * x[j]).alias(f"q{i}{j}_{s}") for i, j in _pairs()]]
+    df = rows.groupBy("g").agg(*sums)
+    for s in STARTS:
+        mean = lambda i, s=s: F.col(f"s{i}_{s}") / F.col(f"n_{s}")
+        df = _factor(df, mean, lambda i, j, s=s, mean=mean: F.col(f"q{i}{j}_{s}") / F.col(f"n_{s}") - mean(i) * mean(j) + (FLOOR[i] ** 2 if i == j else 0.0), s)
+    return df.select("g", *STARTS)
+
+
+def _starts(sized: DataFrame, min_rows: int) -> DataFrame:
+    """The models of the starts for groups with enough rows."""
+    middle = lambda c: F.percentile_approx(c, 0.5, 10_000)
+    centre = sized.groupBy("g").agg(F.count("*").alias("n"), *[middle(f"x{i}").alias(f"m{i}") for i in range(DIMS)]).where(F.col("n") >= min_rows)
+    spread = sized.join(_per_salt(centre), ["g", "salt"]).groupBy("g").agg(*[F.first(f"m{i}").alias(f"m{i}") for i in range(DIMS)], *[F.greatest(1.4826 * middle(F.abs(F.col(f"x{i}") - F.col(f"m{i}"))), F.lit(FLOOR[i])).alias(f"d{i}") for i in range(DIMS)])
+    spread = written(spread, "spread")
+    at = sized.join(_per_salt(spread), ["g", "salt"]).select("g", *[((F.col(f"x{i}") - F.col(f"m{i}")) / F.col(f"d{i}")).alias(f"z{i}") for i in range(DIMS)])
+    size = F.sqrt(sum((F.col(f"z{i}") * F.col(f"z{i}") for i in range(DIMS)), F.lit(0.0)))
+    way = {"tanh": lambda z: F.tanh(z), "signs": lambda z: z / F.greatest(F.col("size"), F.lit(1e-9))}
+
+    def corr(s: str, i: int, j: int) -> Column:
+        a, b = way[s](F.col(f"z{i}")), way[s](F.col(f"z{j}"))
+        return F.covar_pop(a, b) / F.nullif(F.stddev_pop(a) * F.stddev_pop(b), F.lit(0.0))
+
+    tied = at.withColumn("size", size).groupBy("g").agg(*[corr(s, i, j).alias(f"r{i}{j}_{s}") for s in way for i, j in _pairs() if i > j])
+    df = spread.join(tied, "g")
+    for s in STARTS:
+        r = lambda i, j, s=s: F.lit(float(i == j)) if i == j or s == "none" else 0.999 * F.coalesce(F.when(~F.isnan(f"r{i}{j}_{s}"), F.col(f"r{i}{j}_{s}")), F.lit(0.0))
+        df = _factor(df, lambda i: F.col(f"m{i}"), lambda i, j, r=r: r(i, j) * F.col(f"d{i}") * F.col(f"d{j}"), s)
+    return df.select("g", *STARTS)
 
 
 def _per_salt(model: DataFrame) -> DataFrame:
@@ -117,45 +170,59 @@ def _per_salt(model: DataFrame) -> DataFrame:
     return model.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
 
 
-def _distance(rows: DataFrame, model: DataFrame) -> DataFrame:
-    """``rows`` with d2, the squared Mahalanobis distance; null for groups without a model."""
+def _distances(rows: DataFrame, model: DataFrame, names: list[str]) -> DataFrame:
+    """``rows`` with d_* for each named model: the squared Mahalanobis distance; null for groups without a model."""
     df, kept = rows.join(_per_salt(model), ["g", "salt"], "left"), rows.columns
-    for i in range(DIMS):  # forward substitution
-        z = F.col(f"x{i}") - F.col(f"m{i}")
-        for j in range(i):
-            z = z - F.col(f"l{i}{j}") * F.col(f"z{j}")
-        df = df.withColumn(f"z{i}", z / F.col(f"l{i}{i}"))
-    return df.select(*kept, sum((F.col(f"z{i}") * F.col(f"z{i}") for i in range(DIMS)), F.lit(0.0)).alias("d2"))
-
-
-def robust_distances(rows: DataFrame, support: float = 0.75, steps: int = 4, min_rows: int = 200) -> DataFrame:
-    """``rows`` (lang, source, salt and x0, x1, ...) with d2, scaled so that it is chi-square for normal rows."""
+    for s in names:
+        for i in range(DIMS):  # forward substitution
+            z = F.col(f"x{i}") - F.col(f"{s}.m{i}")
+            for j in range(i):
+                z = z - F.col(f"{s}.l{i}{j}") * F.col(f"z{j}_{s}")
+            df = df.withColumn(f"z{i}_{s}", z / F.col(f"{s}.l{i}{i}"))
+    return df.select(*kept, *[sum((F.col(f"z{i}_{s}") * F.col(f"z{i}_{s}") for i in range(DIMS)), F.lit(0.0)).alias(f"d_{s}") for s in names])
+
+
+def least_determinants(sized: DataFrame, support: float, min_rows: int, most: int = 30, close: float = 1e-4) -> DataFrame:
+    """(g, best): the model of each group with enough rows.  Steps stop when no determinant changes; what has not settled by ``most`` raises."""
+    model = written(_starts(sized, min_rows), "model")
+    logs = lambda m: {r["g"]: r[1:] for r in m.select("g", *[F.col(f"{s}.logdet") for s in STARTS]).collect()}  # noqa: E731  a row a group of min_rows rows
+    was: dict = {}
+    for _ in range(most):
+        near = _distances(sized, model, STARTS)
+        cut = near.groupBy("g").agg(*[F.percentile_approx(f"d_{s}", support, 10_000).alias(f"cut_{s}") for s in STARTS])
+        model = written(_sums(near.join(_per_salt(cut), ["g", "salt"])).where(f"{STARTS[0]}.logdet IS NOT NULL"), "model")
+        now = logs(model)
+        if was and all(abs(a - b) < close for g, row in now.items() for a, b in zip(row, was[g], strict=True)):
+            break
+        if not now:
+            break
+        was = now
+    else:
+        raise RuntimeError(f"concentration steps have not settled after {most}")
+    return model.select("g", F.array_min(F.array(*STARTS)).alias("best"))
+
+
+def robust_distances(rows: DataFrame, support: float = 0.75, min_rows: int = 200) -> DataFrame:
+    """``rows`` (lang, source, salt and x0, x1, ...) with pool, and d2, scaled so that it is chi-square for normal rows."""
     name = lambda *c: F.to_json(F.struct(*[F.col(x).alias(x) for x in c]))
     sized = rows.withColumns({"g2": name("lang", "source"), "g1": name("lang")})
     groups = sized.groupBy("g2", "g1").agg(F.count("*").alias("n")).withColumn("own", F.col("n") >= min_rows)
     by_lang = groups.where(~F.col("own")).groupBy("g1").agg((F.sum("n") >= min_rows).alias("lang_own"))
     groups = _per_salt(groups.join(by_lang, "g1", "left").select("g2", "own", "lang_own"))
-    sized = sized.join(groups, ["g2", "salt"], "left").withColumn("g", F.when(F.col("own"), F.col("g2")).when(F.col("lang_own"), F.col("g1")).otherwise("rest")).drop("g1", "g2", "own", "lang_own")
+    pool = F.when(F.col("own"), F.lit("own")).when(F.col("lang_own"), F.lit("language")).otherwise("rest")
+    sized = sized.join(groups, ["g2", "salt"], "left").withColumn("pool", pool)
+    sized = sized.withColumn("g", F.when(F.col("pool") == "own", F.col("g2")).when(F.col("pool") == "language", F.col("g1")).otherwise("rest")).drop("g1", "g2", "own", "lang_own")
     sized = written(sized, "statistics")
-
-    middle = lambda c: F.percentile_approx(c, 0.5, 1000)
-    start = sized.groupBy("g").agg(F.count("*").alias("n"), *[middle(f"x{i}").alias(f"m{i}") for i in range(DIMS)]).where(F.col("n") >= min_rows)
-    apart = sized.join(_per_salt(start), ["g", "salt"]).groupBy("g").agg(*[F.first(f"m{i}").alias(f"m{i}") for i in range(DIMS)], *[F.greatest(1.4826 * middle(F.abs(F.col(f"x{i}") - F.col(f"m{i}"))), F.lit(FLOOR[i])).alias(f"l{i}{i}") for i in range(DIMS)])
-    model = written(apart.select("*", *[F.lit(0.0).alias(f"l{i}{j}") for i in range(DIMS) for j in range(i)]), "model")
-    for _ in range(steps):
-        near = _distance(sized, model)
-        cut = near.groupBy("g").agg(F.percentile_approx("d2", support, 10_000).alias("cut"))
-        model = written(_sums(near.join(_per_salt(cut), ["g", "salt"]).where("d2 <= cut")), "model")
-    q = chi_square_bound(support, DIMS)
-    return _distance(sized, model).withColumn("d2", F.col("d2") * (chi_square(q, DIMS + 2) / support)).drop("g", "salt")
+    model, q = least_determinants(sized, support, min_rows), chi_square_bound(support, DIMS)
+    return _distances(sized, model, ["best"]).withColumn("d2", F.col("d_best") * (chi_square(q, DIMS + 2) / support)).drop("g", "salt", "d_best")
 
 
 def judge_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tail: float = 1e-11, **how) -> DataFrame:
-    """(id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, distance, kept) of every row."""
+    """(id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, pool, distance, kept) of every row."""
     df = docs.select(F.col(id_col).alias("id"), F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"), F.col(text_col).alias("text"))
     df = with_counts(df).drop("text").withColumn("base_failed", base_failed())
     df = df.withColumns({f"x{i}": x for i, x in enumerate(vector())}).withColumn("salt", F.floor(F.rand() * SALTS).cast("int"))
     df = written(df, "counts")  # salts are drawn once
     judged = robust_distances(df, **how).withColumn("distance", F.sqrt("d2"))
     kept = ~F.col("base_failed") & (F.coalesce(F.col("d2"), F.lit(0.0)) <= chi_square_bound(1 - tail, DIMS))
-    return judged.select("id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "distance", kept.alias("kept"))
+    return judged.select("id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "pool", "distance", kept.alias("kept"))

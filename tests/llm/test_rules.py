@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -55,13 +56,46 @@ def test_outliers_go_and_ordinary_documents_stay(spark, tmp_path):
     assert sum(kept[i] for i in range(1200) if i % 40 > 1) >= 1138
 
 
+def concentrated(x, keep, steps=100):
+    """Concentration steps from rows to keep: the logarithm of the determinant, mean and covariance."""
+    floor, h, last = np.diag(np.array(quality.FLOOR) ** 2), int(np.ceil(0.75 * len(x))), np.inf
+    for _ in range(steps):
+        mean, cov = x[keep].mean(0), np.cov(x[keep].T, bias=True) + floor
+        d = np.einsum("ij,jk,ik->i", x - mean, np.linalg.inv(cov), x - mean)
+        keep = d <= np.sort(d)[h - 1]
+        det = np.linalg.slogdet(cov)[1]
+        if abs(last - det) < 1e-9:
+            break
+        last = det
+    return det, mean, cov
+
+
+def test_distances_are_those_of_the_least_determinant(spark):
+    """Against concentration steps from 200 random starts, on rows of which a fifth is far off along a correlated direction."""
+    rng = np.random.default_rng(3)
+    mix = np.array([[1, 0, 0, 0], [0.8, 0.6, 0, 0], [0.3, 0.2, 1.5, 0], [0, 0.9, 0.1, 0.8]])
+    x = rng.normal(size=(1200, 4)) @ mix.T + [5, 1, 0.5, 1]
+    x[::5] += [3, -4, 6, 0]
+    x[1] = x[6] = x[11]  # repeated rows
+    rows = spark.createDataFrame([("en", "s", i % quality.SALTS, *map(float, r), i) for i, r in enumerate(x)], "lang string, source string, salt int, x0 double, x1 double, x2 double, x3 double, i int")
+    got = {r.i: r for r in quality.robust_distances(rows).collect()}
+    best = min((concentrated(x, rng.choice(len(x), 60, replace=False)) for _ in range(200)), key=lambda m: m[0])
+    want = np.einsum("ij,jk,ik->i", x - best[1], np.linalg.inv(best[2]), x - best[1])
+    want *= quality.chi_square(quality.chi_square_bound(0.75, 4), 6) / 0.75
+    made = np.array([got[i].d2 for i in range(len(x))])
+    assert np.allclose(made, want, rtol=0.02) and {r.pool for r in got.values()} == {"own"}
+    assert made[::5].min() > np.quantile(made[np.arange(len(x)) % 5 > 0], 0.99)
+
+
 def test_chi_square():
     assert abs(quality.chi_square_bound(0.95, 4) - 9.487729) < 1e-5 and abs(quality.chi_square_bound(0.99, 6) - 16.811894) < 1e-5
 
 
 def test_quality_of_nothing(spark):
     assert quality.judge_quality(documents(spark, [])).count() == 0
-    got = quality.judge_quality(documents(spark, [None, "", "one two"])).collect()
+    odd = documents(spark, [None, "", "one two"]).withColumns({"salt": F.lit("x"), "g": F.lit("y"), "pool": F.lit("z"), "distance": F.lit(1)})
+    got = quality.judge_quality(odd.unionByName(odd.where("doc_id = 2").withColumn("doc_id", F.lit(None).cast("long")))).collect()
+    got = [r for r in got if r.id is not None] if sum(r.id is None for r in got) == 1 else []
     assert [(r.n_words, r.base_failed, r.kept) for r in sorted(got, key=lambda r: r.id)] == [(0, True, False), (0, True, False), (2, True, False)]
 
 
