@@ -41,12 +41,15 @@ def test_query_and_join_match_brute_force(spark, tmp_path, most):
     assert {x[4] for x in want} == {"allow", "block"} and len({x[3] for x in want}) == 6
 
 
-def test_many_rules(spark):
+@pytest.mark.parametrize("most", [urls.MAX_RULES, 0])
+def test_many_rules(spark, monkeypatch, most):
+    monkeypatch.setattr(urls, "ARRAY_RULES", 60)
     r = random.Random(2)
     rules = [(r.choice(urls.VERDICTS), f"h{i % 40}.{r.choice(['com', 'org'])}", f"/p{i}"[: r.choice([1, 2, 3, 4])]) for i in range(500)]
     rules = [(v, h, p) for (h, p), v in {(h, p): v for v, h, p in rules}.items()]
     rows = [(i, f"http://www.h{r.randrange(45)}.{r.choice(['com', 'org'])}/p{r.randrange(600)}", None) for i in range(300)]
-    got = urls.judge_urls(spark.createDataFrame(rows, PAGES), rules, default="block").collect()
+    table = spark.createDataFrame([*rules, ("block", None, None)], "verdict string, host string, path string")  # as a table, with a rule that fits nothing
+    got = urls.judge_urls(spark.createDataFrame(rows, PAGES), table, default="block", max_rules=most).collect()
     assert sorted((x.page_id, x.host, x.path, x.rule, x.verdict) for x in got) == sorted((i, *judged(u, rules, "block")) for i, u, _ in rows)
 
 
@@ -54,6 +57,10 @@ def test_no_rules_clashing_names_and_nothing(spark):
     df = spark.createDataFrame([("http://a/b", "old", "x")], "url string, host string, verdict string")
     assert urls.judge_urls(df, []).first().asDict() == {"url": "http://a/b", "host": "a", "path": "/b", "rule": None, "verdict": "allow"}
     assert urls.judge_urls(df.limit(0), queries.URL_RULES).count() == 0
+    odd = spark.createDataFrame([(7, "http://a.com/b", 1, 2, 3, 4, None)], "_keys int, url string, _digests int, keys int, digests int, row int, `a b` string")
+    for most in (urls.MAX_RULES, 0):
+        made = urls.judge_urls(odd, [("block", "com", "/b")], max_rules=most)
+        assert made.columns == [*odd.columns, "host", "path", "rule", "verdict"] and tuple(made.first()) == (7, "http://a.com/b", 1, 2, 3, 4, None, "a.com", "/b", "com/b", "block")
 
 
 def test_digests_are_xxhash64_and_collisions_are_confirmed(spark, tmp_path):
@@ -61,10 +68,10 @@ def test_digests_are_xxhash64_and_collisions_are_confirmed(spark, tmp_path):
 
     got = spark.createDataFrame([("com/en/",), ("é",)], "s string").select(F.xxhash64("s")).collect()
     assert [np.uint64(np.int64(r[0])) for r in got] == [xxhash.xxh64_intdigest(s.encode(), 42) for s in ("com/en/", "é")]
-    texts = [b"aa", b"bbb"]
-    body = np.array([2, 7, 7, 1, 0, 0, 2, 5], "<i8").tobytes() + b"".join(texts)
-    (tmp_path / "f").write_bytes(body)
-    assert urls.RuleFile(str(tmp_path / "f")).find(np.array([7, 7, 7, 8]), ["bbb", "aa", "c", "aa"]).tolist() == [1, 0, -1, -1]
+    rules = urls.Rules(np.array([7, 7]), np.array([1, 0]), np.array([0, 2, 5]), np.frombuffer(b"aabbb", np.uint8))  # two strings of one digest
+    (tmp_path / "f").write_bytes(rules.dumped())
+    for held in (rules, urls.Rules.map(str(tmp_path / "f"))):
+        assert held.find(np.array([7, 7, 7, 8]), ["bbb", "aa", "c", "aa"]).tolist() == [1, 0, -1, -1]
 
 
 @pytest.mark.parametrize("most", [urls.MAX_RULES, 0])
