@@ -1,12 +1,13 @@
 """WARC archives of pages with deduplicated payloads, read back, and a capture index merged from sorted runs.
 
 *Archives.*  Tasks write gzip members, a record each, into files of bounded size in the shared folder.  Of equal payloads
-the capture with the smallest id is a response, the others are revisits that refer to it.  File names and contents
-follow from the rows alone, and a file appears by a rename once complete, so a task that is run again does no harm.
+the capture with the smallest id is a response, the others are revisits that refer to it.  A task's rows are put in order first, so
+that its files have the same bytes whenever it runs; a file appears by a rename once complete, so a task that is run again does no harm.
 
-*External index merge.*  The captures of a file are sorted by URL key and time and are a run.  Runs are dealt out by
-ranges of (URL key, time, id), so that one URL with a third of all captures is split as well; a task merges the
-runs' parts in its range by a loser tree.  Ranges in order are globally ordered capture histories.
+*External index merge.*  The captures of a file are sorted by URL key and time and are a run; this is the only sort.  Runs are dealt out by
+ranges of (URL key, time, id), so that one URL with a third of all captures is split as well; a task gets
+each run's part of its range in order, and merges them by a loser tree over the places of its rows, which stay in Arrow.  Ranges
+in order are globally ordered capture histories.
 
 Defined cases: null HTML is an empty payload; a null URL has the empty key; a null id takes part as a capture of its own
 after all others; rows that repeat the response's id and payload are responses too; equal keys and times are ordered by id;
@@ -32,6 +33,7 @@ from pyspark.sql import functions as F
 from .common import new_path, written
 from .urls import url_host, url_path
 
+
 def url_key(url: Column) -> Column:
     """The host's labels from the last, then the path and query, A-Z lower-cased in the host: ``com,example)/a?b``."""
     host = url_host(url)
@@ -98,7 +100,8 @@ def write_archives(pages: DataFrame, folder: str, file_bytes: int = 16_000_000)
         close()
         yield pa.RecordBatch.from_arrays([pa.array([number])], names=["files"])
 
-    pages.withColumn("time", F.date_format("time", "yyyy-MM-dd'T'HH:mm:ss'Z'")).mapInArrow(run, "files long").agg(F.sum("files")).collect()
+    ordered = pages.withColumn("time", F.date_format("time", "yyyy-MM-dd'T'HH:mm:ss'Z'")).sortWithinPartitions("id", "sha", "url", "time")
+    ordered.mapInArrow(run, "files long").agg(F.sum("files")).collect()
 
 
 def members(data: bytes) -> Iterator[tuple[int, int, bytes]]:
@@ -185,36 +188,36 @@ class LoserTree:
 
 
 def merged_index(entries: DataFrame, parts: int) -> DataFrame:
-    """All entries with url_key, range and place: ordered by (range, place) they are ordered by URL key, time and id."""
+    """All entries with url_key, range and place: ordered by (range, place) they are ordered by URL key, time and id.
+
+    A task holds its range of entries: about 0.6 kB each.
+    """
     keyed = entries.withColumn("url_key", url_key(F.col("url")))
     runs = written(keyed.sortWithinPartitions("file", "url_key", "time", "id"), "runs")
     names = [*runs.columns, "range", "place"]
     schema = runs.schema.add("range", "integer").add("place", "long")
-    order = lambda r: (r["url_key"], r["time"], r["id"] is not None, r["id"] or 0, r["file"], r["offset"])  # noqa: E731  as Spark sorts, nulls first
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_file: dict[str, list] = {}
-        for b in batches:
-            for r in b.to_pylist():
-                by_file.setdefault(r["file"], []).append(r)
-        task, rows = TaskContext.get().partitionId(), []
-        tree = LoserTree([[(order(r), r) for r in by_file[f]] for f in sorted(by_file)])
-        for place, r in enumerate(tree):
-            rows.append(r | {"range": task, "place": place})
-            if len(rows) == 5000:
-                yield pa.RecordBatch.from_pylist(rows, kind)
-                rows = []
-        if rows:
-            yield pa.RecordBatch.from_pylist(rows, kind)
-
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    kind = to_arrow_schema(schema)
-    dealt = runs.repartitionByRange(parts, "url_key", "time", "id").sortWithinPartitions("file", "url_key", "time", "id", "offset")
-    return dealt.mapInArrow(run, schema).select(*names)
-
-
-def archive_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", time: Column | None = None, least: int = 0, file_bytes: int = 16_000_000, range_rows: int = 10_000, folder: str | None = None) -> DataFrame:
+        held = [b for b in batches if b.num_rows]
+        if not held:
+            return
+        table = pa.Table.from_batches(held)
+        columns = [table[c].to_pylist() for c in ("url_key", "time", "id", "file", "offset")]
+        key = [(k, t, i is not None, i or 0, f, o) for k, t, i, f, o in zip(*columns, strict=True)]  # as Spark sorts, nulls first
+        by_file: dict[str, list[int]] = {}
+        for place, f in enumerate(columns[3]):
+            by_file.setdefault(f, []).append(place)
+        for part in by_file.values():
+            part.sort(key=key.__getitem__)  # one pass, as a run comes in its order
+        merged = list(LoserTree([[(key[i], i) for i in by_file[f]] for f in sorted(by_file)]))
+        made = table.take(pa.array(merged, pa.int64()))
+        made = made.append_column("range", pa.array([TaskContext.get().partitionId()] * len(merged), pa.int32())).append_column("place", pa.array(range(len(merged)), pa.int64()))
+        yield from made.to_batches(5000)
+
+    return runs.repartitionByRange(parts, "url_key", "time", "id").mapInArrow(run, schema).select(*names)
+
+
+def archive_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", time: Column | None = None, least: int = 0, file_bytes: int = 16_000_000, range_rows: int = 50_000, folder: str | None = None) -> DataFrame:
     """Write pages as WARC files into ``folder`` (by default a new one in the shared folder), read them back and return the merged index.
 
     Without ``time`` a capture's second is its id.
