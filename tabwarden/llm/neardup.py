@@ -14,7 +14,7 @@ At similarity 0.8 the 32 bands of 4 slots miss a link with probability 5e-8.
 
 Defined cases: null and blank texts have an empty set and are linked with nothing; a text with fewer words
 than a shingle is one shingle; rows with one id and equal texts share their component; rows with a null id
-are not compared; an empty table gives an empty one.
+are not compared; very long texts are read whole; other columns of any name are ignored; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -233,6 +233,8 @@ def connected(edges: DataFrame, rounds: int = 60) -> DataFrame:
         before, state = state, digest(stars)
         if before == state:
             break
+    else:
+        raise RuntimeError(f"components have not settled after {rounds} rounds")
     tops = stars.select(F.col("b").alias("a"), "b").distinct()
     return stars.union(tops).select(F.col("a").alias("id"), F.col("b").alias("component")).groupBy("id").agg(F.min("component").alias("component"))
 
@@ -255,7 +257,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     alike = alike.union(alike.select("g", "k", F.col("g").alias("id")).distinct())
     apart = members.join(near.where(F.col("near") < NEAR).select(F.col("a").alias("rep"), F.col("b").alias("hub")), ["rep", "hub"]).select(F.col("hub").alias("g"), F.col("key").alias("k"), F.col("rep").alias("id"))
     groups = alike.union(apart)
-    sized = groups.groupBy("g", "k").agg(F.count("*").alias("size")).where("size > 1")
+    # written, so that the join is one of two tables, in which Spark splits a large group
+    sized = written(groups.groupBy("g", "k").agg(F.count("*").alias("size")).where("size > 1"), "sizes")
     groups = written(groups.join(sized, ["g", "k"]), "groups")
     needed = groups.select("id").distinct()
     # the texts are shuffled at every size, and not sorted
