@@ -5,13 +5,13 @@ have an offset d < p with i + d and j + d both in D modulo p.  So only short win
 places are hashed and shuffled; every long match shares an aligned anchor.  The matches then extend:
 only windows around an anchor that another document shares are hashed (96 bits) and compared.
 
-Three passes over blocks of documents, dealt by a hash of the id; Spark shuffles the texts once and
+Three passes over blocks of documents, dealt by a hash of id and text; Spark shuffles the texts once and
 reads that shuffle three times.  What a block sends out has each key once, so that a passage in a third of
 all documents costs one entry a block.
 
 Defined cases: null and blank texts have no words and are kept as empty; rows with one id are
-judged alike and none of them is "earlier" than the other; a null id counts as the latest; an empty table
-gives an empty one.
+judged alike and none of them is "earlier" than the other; a null id counts as the latest, and stays null; very long texts are read whole;
+other columns of any name are ignored; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -81,7 +81,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     df = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     total = df.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
     blocks, buckets = total // block_bytes + 1, total // (12 * bucket_rows) + 1
-    df = df.withColumn("_block", F.pmod(F.xxhash64("_id"), F.lit(blocks)))
+    df = df.withColumn("_block", F.pmod(F.xxhash64("_id", "_text"), F.lit(blocks)))  # rows without an id, or with one, are many blocks
 
     def emit(table: pa.Table) -> pa.Table:
         codes = [np.unique(c) for _, _, _, c in _anchors(table, window, buckets)]

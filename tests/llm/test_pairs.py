@@ -107,7 +107,13 @@ def test_empty_null_and_clashing(spark):
     assert neardup.near_duplicates(nothing).count() == 0 and passages.repeated_passages(nothing).count() == 0
     odd = spark.createDataFrame([(1, "a b c", "x"), (1, "a b c", "y"), (None, "a b c", "z"), (2, None, None)], "doc_id long, text string, set string")
     assert sorted(map(tuple, neardup.near_duplicates(odd).collect()), key=str) == sorted([(1, 1, 1), (1, 1, 1), (None, 1, None), (2, 0, 2)], key=str)
-    assert sorted((r.id, r.n_words) for r in passages.repeated_passages(odd.na.drop(subset=["doc_id"])).collect()) == [(1, 3), (1, 3), (2, 0)]
+    assert sorted(((r.id, r.n_words) for r in passages.repeated_passages(odd).collect()), key=str) == sorted([(1, 3), (1, 3), (2, 0), (None, 3)], key=str)
+    # rows without an id are the latest, and none of them is earlier than another; columns with the names of working ones do no harm
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(None, text, 1, "a"), (None, text, 2, "b"), (5, text, 3, "c"), (None, text + " more", 4, "d")]
+    for size in (4_000_000, 100):
+        got = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string, _block int, bucket string"), block_bytes=size).collect()
+        assert sorted(((r.id, r.n_words, r.kept) for r in got), key=str) == sorted([(None, 40, ""), (None, 40, ""), (5, 40, text), (None, 41, "more")], key=str)
 
 
 def test_superminhash_estimates_similarity():
