@@ -20,6 +20,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--out", default="out")
     p.add_argument("--describe", action="store_true")
     p.add_argument("--append")
+    p.add_argument("--save", help="write what the collector was made with to this file")
     p.add_argument("--overwrite", action="store_true")
     p.add_argument("--json", action="store_true")
     return p
@@ -45,9 +46,12 @@ def main(args: list[str] | None = None, spark=None) -> int:
             out = default_views().render_all(pipeline, a.out, ["site"] if a.mode == "publish" else None)
         else:
             c = Collector(pipeline.spark, pipeline.table, pipeline.config.get("schema.required_columns", []), pipeline.time_col, pipeline.fmt, pipeline.config.get("batching.size", "month"))
-            if not (a.describe or a.append):
+            if not (a.describe or a.append or a.save):
                 return 2
-            out = {"appended": c.append_external(a.append, a.overwrite)} if a.append else c.describe()
+            out = {"appended": c.append_external(a.append, a.overwrite)} if a.append else c.describe() if a.describe else {}
+            if a.save:
+                c.save(a.save)
+                out["saved"] = a.save
     except Exception as e:
         logging.error("%s", e)
         return 1

@@ -53,6 +53,21 @@ def interpret_psi(x: Column) -> Column:
     return F.when(finite(x).isNull(), "unknown").when(x < 0.10, "stable").when(x < 0.25, "moderate").otherwise("significant")
 
 
-def json_text(row: Column) -> Column:
-    """JSON of a struct of columns; NaN and infinity become null."""
-    return F.to_json(row, {"ignoreNullFields": "false"})
+#: Names of batch files: a prefix, a period, an ending.
+BATCH_FILE = r"^(.*?)(\d{4}(?:-\d{2}|Q[1-4])?)\.[a-z]+$"
+
+
+def batch_prefix(name: Column) -> Column:
+    """The prefix in a batch file's name; empty where it is no such name."""
+    return F.regexp_extract(name, BATCH_FILE, 1)
+
+
+def batch_period(name: Column) -> Column:
+    """The period in a batch file's name; null where it is no such name."""
+    return F.nullif(F.regexp_extract(name, BATCH_FILE, 2), F.lit(""))
+
+
+def json_text(df: DataFrame, columns: list[str]) -> Column:
+    """JSON of the columns; NaN and infinity become null."""
+    real = lambda c: isinstance(df.schema[c].dataType, T.DoubleType | T.FloatType)
+    return F.to_json(F.struct(*[(finite(F.col(c)) if real(c) else F.col(c)).alias(c) for c in columns]), {"ignoreNullFields": "false"})

@@ -30,6 +30,26 @@ def itemsets(df: DataFrame, columns: list[str], min_support: float, max_len: int
     return counts.withColumn("rows", F.lit(rows).cast("long")).withColumn("support", F.col("n") / F.lit(float(max(rows, 1)))).where(F.col("support") >= min_support)
 
 
+def apriori_itemsets(df: DataFrame, columns: list[str], min_support: float, max_len: int) -> DataFrame:
+    """The same level by level: a row makes only those sets of k values whose parts of k - 1 values are all frequent.
+
+    The frequent sets of a level are at most 1 / min_support for each choice of columns, which bounds what is broadcast.
+    """
+    rows = df.count()
+    items = df.select(F.monotonically_increasing_id().alias("_row"), *[_item(c).alias(c) for c in columns])
+    found, last = None, None
+    for k in range(1, max_len + 1):
+        each = [F.array(*[F.col(c) for c in some]) for some in itertools.combinations(columns, k)]
+        made = items.select(F.explode(F.array(*each)).alias("items"))
+        if last is not None:
+            known = last.agg(F.collect_set("items").alias("known"))
+            parts = F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.filter("items", lambda x, j: j != i))
+            made = made.join(F.broadcast(known)).where(F.forall(parts, lambda p: F.array_contains("known", p))).select("items")
+        level = made.groupBy("items").agg(F.count("*").alias("n")).where(F.col("n") / F.lit(float(max(rows, 1))) >= min_support)
+        found, last = level if found is None else found.unionByName(level), level.select("items")
+    return found.select("items", "n", F.lit(rows).cast("long").alias("rows"), (F.col("n") / F.lit(float(max(rows, 1)))).alias("support"))
+
+
 def fpgrowth_itemsets(df: DataFrame, columns: list[str], min_support: float, max_len: int) -> DataFrame:
     """The same by FP-growth, for longer itemsets."""
     from pyspark.ml.fpm import FPGrowth
@@ -71,12 +91,15 @@ def mine_rules(
 ) -> DataFrame:
     """The best rules by lift, confidence and support (then label)."""
     columns = [c for c in columns if c in df.columns]
-    sets = {"counts": itemsets, "fpgrowth": fpgrowth_itemsets}[algorithm](df, columns, min_support, max_len).persist()
+    sets = {"counts": itemsets, "apriori": apriori_itemsets, "fpgrowth": fpgrowth_itemsets}[algorithm](df, columns, min_support, max_len).persist()
     made = rules_of(sets).where(F.col("confidence") >= min_confidence)
     if exclude_majority_consequent:
         usual = F.broadcast(majority_items(df, columns).agg(F.collect_set("item").alias("_usual")))  # one item a column
         made = made.join(usual).where(~F.arrays_overlap("consequents", "_usual")).drop("_usual")
-    return made.where(F.col("lift") >= min_lift).orderBy(F.desc("lift"), F.desc("confidence"), F.desc("support"), "label").limit(n_rules)
+    best = made.where(F.col("lift") >= min_lift).orderBy(F.desc("lift"), F.desc("confidence"), F.desc("support"), "label").limit(n_rules)
+    rows = best.collect()  # n_rules at most
+    sets.unpersist()
+    return df.sparkSession.createDataFrame(rows, best.schema)
 
 
 def rule_statistics(rules: DataFrame) -> DataFrame:

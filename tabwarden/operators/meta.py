@@ -45,6 +45,27 @@ def feature_influence(runs: DataFrame, setting: str, metric: str = "f1") -> Data
     return made.select("model", "n_values", "best", "worst", "spread", verdict.alias("verdict"))
 
 
+def rank_settings(runs: DataFrame, settings: list[str], metric: str = "f1") -> DataFrame:
+    """(rank, setting, spread, n_values, verdict): settings by the largest spread within a model, all in one pass.
+
+    Settings that vary in no model come last, in order of their names.
+    """
+    pairs = F.array(*[F.struct(F.lit(c).alias("setting"), F.col(c).cast("string").alias("value")) for c in settings])
+    long = runs.where(F.col(metric).isNotNull()).select("model", F.col(metric).alias("_m"), F.inline(pairs)).where("value IS NOT NULL")
+    means = long.groupBy("model", "setting", "value").agg(F.count("*").alias("n"), F.avg("_m").alias("mean"))
+    each = means.groupBy("model", "setting").agg(F.count("*").alias("k"), F.min("n").alias("least"), (F.max("mean") - F.min("mean")).alias("spread"))
+    made = each.groupBy("setting").agg(F.round(F.max("spread"), 6).alias("spread"), F.max("k").alias("n_values"), F.bool_or((F.col("k") > 1) & (F.col("least") >= MIN_GROUP)).alias("varied"))
+    verdict = F.when(F.col("n_values") < 2, "constant").when(F.col("varied"), "varied").otherwise("insufficient")
+    rank = F.row_number().over(Window.orderBy(F.desc("spread"), "setting"))  # a row a setting
+    return made.select(rank.cast("long").alias("rank"), "setting", "spread", "n_values", verdict.alias("verdict"))
+
+
+def roll_up(rows: DataFrame, key: str, count: str = "violations", total: str = "rows") -> DataFrame:
+    """(key, count, batches, mean_ratio) of rows by batch: the sum, in how many batches there were any, and the mean share."""
+    ratio = F.avg(F.col(count) / F.nullif(F.col(total), F.lit(0)))
+    return rows.groupBy(key).agg(F.sum(count).alias(count), F.count_if(F.col(count) > 0).alias("batches"), ratio.alias("mean_ratio"))
+
+
 def overall_verdict(runs: DataFrame, setting: str, metric: str = "f1") -> str:
     """no_data, constant, confounded (values differ between models only), insufficient or varied."""
     per = feature_influence(runs, setting, metric).collect()

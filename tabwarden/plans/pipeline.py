@@ -15,7 +15,7 @@ from ..functions.columns import numeric
 from ..operators import association, drift, features, profile, quality
 from ..operators.rules import RuleSet
 from ..sources import batches
-from ..sources.files import load_json, read_artifacts, save_json
+from ..sources.files import load_json, prune_none, read_artifacts, save_json
 from ..streaming.state import RunState
 from . import inference, training
 from .config import Config
@@ -46,6 +46,13 @@ def peak_memory_mb() -> float:
     return round(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss / 1024, 1)
 
 
+def environment(spark: SparkSession) -> dict:
+    """Where a run took place."""
+    import platform
+
+    return {"python": platform.python_version(), "spark": spark.version, "system": platform.system(), "master": spark.sparkContext.master, "application": spark.sparkContext.applicationId}
+
+
 def format_duration(seconds: float) -> str:
     m, s = divmod(int(round(seconds)), 60)
     h, m = divmod(m, 60)
@@ -141,7 +148,8 @@ class Pipeline:
                 "metrics": {n: t.metrics for n, t in outcome.models.items()}, "hyperparameters": {n: {**t.params, "mode": t.mode} for n, t in outcome.models.items()}, "n_features": len(outcome.preparation.feature_names()),
                 "explanation": {n: training.explain(n, t.model, outcome.preparation.feature_names()) for n, t in outcome.models.items()}, "fingerprint": outcome.preparation.fingerprint(), "seconds": watch.seconds, "peak_mb": peak_memory_mb(),
             }
-            save_json(self.meta / f"manifest_{index}.json", manifest)
+            manifest |= {"environment": environment(self.spark), "registry": self.registry.summary(), "store": {"parts": len(self.store.indices())}}
+            save_json(self.meta / f"manifest_{index}.json", prune_none(manifest))
             self.state.mark_processed(name, rows=cleaning.rows_out, status=moved.status)
             return manifest
         finally:
@@ -236,11 +244,19 @@ def _rows(df: DataFrame) -> list[dict[str, Any]]:
     return [r.asDict(recursive=True) for r in df.collect()]
 
 
+def setting_names(manifests: list[dict]) -> list[str]:
+    """All hyperparameters that the manifests name, and mode."""
+    return sorted({k for m in manifests for x in (m.get("hyperparameters") or {}).values() for k in x} | {"mode"})
+
+
 def runs(spark: SparkSession, manifests: list[dict]) -> DataFrame:
-    """(batch_idx, model, metrics..., conditions...) of manifests."""
-    rows = [
-        (m["batch_idx"], name, *[x.get(k) for k in ("f1", "roc_auc", "precision", "recall", "predicted_positive_rate", "actual_positive_rate")], m.get("rows_used"), m.get("rows_clean"), (m.get("target") or {}).get("rate"), m.get("n_features"), str((m.get("hyperparameters") or {}).get(name, {}).get("mode")))
-        for m in manifests for name, x in m["metrics"].items()
-    ]
-    names = "f1 double, roc_auc double, precision double, recall double, predicted_positive_rate double, actual_positive_rate double, rows_used long, rows_clean long, positive_rate double, n_features long, mode string"
-    return spark.createDataFrame(rows, f"batch_idx long, model string, {names}")
+    """(batch_idx, model, metrics..., conditions..., settings...) of manifests; settings are texts."""
+    metrics = ["f1", "roc_auc", "precision", "recall", "predicted_positive_rate", "actual_positive_rate"]
+    settings, rows = setting_names(manifests), []
+    for m in manifests:
+        for name, x in m["metrics"].items():
+            own = (m.get("hyperparameters") or {}).get(name, {})
+            conditions = [m.get("rows_used"), m.get("rows_clean"), (m.get("target") or {}).get("rate"), m.get("n_features")]
+            rows.append((m["batch_idx"], name, *[x.get(k) for k in metrics], *conditions, *[None if own.get(k) is None else str(own[k]) for k in settings]))
+    kinds = [*[f"{k} double" for k in metrics], "rows_used long", "rows_clean long", "positive_rate double", "n_features long", *[f"`{k}` string" for k in settings]]
+    return spark.createDataFrame(rows, f"batch_idx long, model string, {', '.join(kinds)}")

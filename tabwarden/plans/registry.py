@@ -68,13 +68,20 @@ class Registry:
         better = now is None or metrics["f1"] > now["metrics"]["f1"]
         status = "rejected" if not verdict["passed"] else "production" if better else "candidate"
         version = {"model": model, "batch_idx": batch_idx, "metrics": metrics, "gate": verdict, "status": status, "files": True, **info}
-        fitted.write().overwrite().save(f"file://{self.path(version).resolve()}")
+        self._save_model(fitted, self.path(version))
         if status == "production" and now:
             now["status"] = "previous"
         self.data["versions"].append(version)
         self.refresh_pointers()
         return version
 
+    def _save_model(self, fitted: Any, path: Path) -> None:
+        """Save beside the target and rename when complete, so that a reader never sees half a model."""
+        part = path.with_name(f"{path.name}.part")
+        fitted.write().overwrite().save(f"file://{part.resolve()}")
+        shutil.rmtree(path, ignore_errors=True)
+        part.rename(path)
+
     def refresh_pointers(self) -> None:
         """Name the production version of each model, the best of these, and the latest version."""
         on = [v for v in self.data["versions"] if v["status"] == "production"]

@@ -12,7 +12,7 @@ from pyspark.sql import SparkSession
 
 from ..operators import meta
 from ..sources.files import read_artifacts, save_json
-from .pipeline import Pipeline, format_duration, runs
+from .pipeline import Pipeline, format_duration, runs, setting_names
 from .training import ORDER
 
 log = logging.getLogger(__name__)
@@ -28,17 +28,28 @@ def analyse(spark: SparkSession, manifests: list[dict], least: int = 3) -> dict:
     conditions = ["rows_used", "rows_clean", "positive_rate", "n_features", "batch_idx"]
     out = {
         "available": True, "batches": len(manifests), "dynamics": rows(meta.dynamics(df)), "winners": rows(meta.winners(df, ORDER).orderBy("batch_idx")), "calibration": rows(meta.calibration(df)),
-        "conditions": rows(meta.condition_influence(df, conditions)), "settings": {"mode": {"verdict": meta.overall_verdict(df, "mode"), "models": rows(meta.feature_influence(df, "mode"))}},
+        "conditions": rows(meta.condition_influence(df, conditions)), "settings": rows(meta.rank_settings(df, setting_names(manifests)).orderBy("rank")),
+        "mode": {"verdict": meta.overall_verdict(df, "mode"), "models": rows(meta.feature_influence(df, "mode"))}, "consensus": consensus(spark, manifests[-1]),
     }
     out["findings"] = findings(out)
     df.unpersist()
     return out
 
 
+def consensus(spark: SparkSession, manifest: dict) -> list[dict]:
+    """The features that several models of a batch hold for strong."""
+    weights = [(model, x["feature"], float(x["weight"])) for model, e in manifest.get("explanation", {}).items() for x in e.get("features", [])]
+    if not weights:
+        return []
+    return [r.asDict() for r in meta.consensus(spark.createDataFrame(weights, "model string, feature string, weight double")).where("models > 1").collect()]
+
+
 def findings(report: dict) -> list[str]:
     """The report in sentences."""
     said = [f"{d['model']}: mean f1 {d['mean']:.4f} over {d['n']} batches, {d['trend']}" for d in sorted(report["dynamics"], key=lambda d: -d["mean"])]
     said += [f"{c['model']} predicts {c['ratio']:.2f} times the actual share of positives" for c in report["calibration"] if c["ratio"] and not 0.67 <= c["ratio"] <= 1.5]
+    said += [f"{s['setting']}: the values differ by {s['spread']:.4f} in f1" for s in report["settings"] if s["verdict"] == "varied"]
+    said += [f"{c['feature']} is strong in {c['models']} models" for c in report["consensus"][:5]]
     said += [f"{c['model']}: f1 goes with {c['condition']} (rho {c['rho']:+.2f}, n {c['n']})" for c in report["conditions"] if abs(c["rho"]) >= 0.5]
     return said
 
@@ -74,7 +85,7 @@ def sections(pipeline: Pipeline, analysis: dict | None = None) -> dict[str, list
         "Types": [f"{c}: {n} values are no numbers" for c, n in sorted(types.items())],
         "Mined rules": [f"{r}: mean violation {sum(x) / len(x):.4f} in {len(x)} batches" for r, x in sorted(mined.items())],
         "Drift": [f"{s}: {status.count(s)}" for s in ("ok", "warn", "alert") if s in status],
-        "Models": [f"{n}: f1 {x['f1']:.4f}" + (f", roc auc {x['roc_auc']:.4f}" if x["roc_auc"] is not None else "") for n, x in (last["metrics"].items() if last else ())],
+        "Models": [f"{n}: f1 {x['f1']:.4f}" + (f", roc auc {x['roc_auc']:.4f}" if x.get("roc_auc") is not None else "") for n, x in (last["metrics"].items() if last else ())],
         "Registry": [f"{n}: {x['versions']} versions, {x['rejected']} rejected, {x['pruned']} pruned" for n, x in summary["models"].items()] + [f"best: {summary['best']}"],
         "Time": [f"{k}: {format_duration(s)}" for k, s in sorted(seconds.items(), key=lambda x: -x[1])],
         "Findings": (analysis or {}).get("findings", []),

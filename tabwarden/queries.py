@@ -7,11 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .functions.columns import NUMBER, interpret_psi, json_text, numeric, period_name
+from .functions.columns import NUMBER, batch_period, interpret_psi, json_text, period_name
 from .functions.dates import parse_datetime
-from .operators import association, drift, features, meta, preparation, profile, quality, rules, scoring
+from .operators import association, drift, features, meta, preparation, profile, quality, ranks, rules, scoring
 from .operators.rules import Condition, Rule, RuleSet
+from .session import scratch
+from .sources import batches, files
 from .sources.policy import CATEGORICAL, FEATURES, NUMERIC, POLICY_SQL, policy
+from .streaming.state import RunState
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -208,6 +211,11 @@ def assoc_rule_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round(association.rule_statistics(_rules(spark, sf_dir)), 9)
 
 
+@query(f"{_RULES_CTE} SELECT {_SHOWN} FROM r WHERE confidence >= 0.1 AND r.lift >= 1.0 ORDER BY r.lift DESC, r.confidence DESC, r.support DESC, label LIMIT 5")
+def assoc_apriori(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _shown(_rules(spark, sf_dir, algorithm="apriori"))
+
+
 @query(f"{_RULES_CTE} SELECT {_SHOWN} FROM r WHERE confidence >= 0.1 AND r.lift >= 1.0 ORDER BY r.lift DESC, r.confidence DESC, r.support DESC, label LIMIT 5")
 def assoc_fpgrowth(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(_rules(spark, sf_dir, algorithm="fpgrowth"))
@@ -267,13 +275,18 @@ def ks_statistic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""{_PSI_CTE}, m AS (SELECT "column", round(quantile_cont(value, 0.5), 4) AS reference_median FROM e GROUP BY 1), m2 AS (SELECT "column", round(quantile_cont(value, 0.5), 4) AS actual_median FROM a GROUP BY 1),
-x AS (SELECT max(psi) FILTER (NOT isnan(psi)) AS p, max(ks) AS k FROM psi JOIN ks USING ("column"))
-SELECT "column", round(psi, 6) AS psi, round(ks, 6) AS ks, {_LEVEL} AS level, reference_median, actual_median, CASE WHEN p >= 0.25 THEN 'alert' WHEN p >= 0.10 OR k >= 0.20 THEN 'warn' ELSE 'ok' END AS status FROM psi JOIN ks USING ("column") JOIN m USING ("column") JOIN m2 USING ("column"), x""")
+lr AS (SELECT avg(HAS_CLAIM) AS e FROM policy WHERE {_REF}), la AS (SELECT avg(HAS_CLAIM) AS a FROM policy WHERE {_ACT}), lab AS (SELECT (a - e) * ln(a / e) + ((1 - a) - (1 - e)) * ln((1 - a) / (1 - e)) AS lp FROM lr, la),
+x AS (SELECT greatest(max(psi) FILTER (NOT isnan(psi)), any_value(lp)) AS p, max(ks) AS k FROM psi JOIN ks USING ("column"), lab)
+SELECT "column", round(psi, 6) AS psi, round(ks, 6) AS ks, {_LEVEL} AS level, reference_median, actual_median, CASE WHEN p >= 0.25 THEN 'alert' WHEN p >= 0.10 OR k >= 0.20 THEN 'warn' ELSE 'ok' END AS status,
+(SELECT round(lp, 6) FROM lab) AS target_psi FROM psi JOIN ks USING ("column") JOIN m USING ("column") JOIN m2 USING ("column"), x""")
 def drift_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ref, act = (drift.stacked_values(x, _DRIFT) for x in _sides(spark, sf_dir))
-    made = drift.numeric_drift(ref, act)
-    worst = made.agg(F.max(F.when(~F.isnan("psi"), F.col("psi"))).alias("p"), F.max("ks").alias("k"))
-    return _round(made.join(F.broadcast(worst)).withColumn("status", drift.status_of(F.col("p"), F.col("k"))).drop("p", "k"))
+    """The monitor's check of a batch against a reference that holds all earlier values."""
+    first, batch = _sides(spark, sf_dir)
+    rate = first.agg(F.avg("HAS_CLAIM")).first()[0]
+    ref = drift.Reference(drift.stacked_values(first, _DRIFT), drift.category_shares(first, ["USAGE"]), rate)
+    report = drift.check(ref, batch, "HAS_CLAIM")
+    rows = [(*[r[c] for c in ("column", "psi", "ks", "level", "reference_median", "actual_median")], report.status, report.target["psi"]) for r in report.numeric]
+    return _round(spark.createDataFrame(rows, "column string, psi double, ks double, level string, reference_median double, actual_median double, status string, target_psi double"))
 
 
 _RATE = "(SELECT avg(HAS_CLAIM) FROM policy WHERE {})"
@@ -319,32 +332,53 @@ def new_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _ORDER = ["ORDER_KEY", "LINE", "PREMIUM"]
-_THIN_SQL = """SELECT seq, value FROM (SELECT value, row_number() OVER (ORDER BY ORDER_KEY, LINE, PREMIUM) - 1 AS seq, count(*) OVER () AS n FROM (SELECT ORDER_KEY, LINE, PREMIUM, PREMIUM AS value FROM policy WHERE {} AND PREMIUM IS NOT NULL)) WHERE seq % {} = 0"""
+_LIMIT, _WINDOW = drift.LIMIT, 12
+_MIDDLE = "INSR_BEGIN >= TIMESTAMP '1998-01-01' AND INSR_BEGIN < TIMESTAMP '2000-01-01'"
 
 
-@query(f"SELECT count(*) AS n, min(seq) AS first, max(seq) AS last, round(sum(value), 2) AS total FROM ({_THIN_SQL.format(_REF, 'CASE WHEN n > 5000 THEN n // 5000 + 1 ELSE 1 END')})")
-def drift_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The thinned reference: every k-th value in a stated order."""
-    ref, _ = _sides(spark, sf_dir)
-    values = drift.stacked_values(ref, ["PREMIUM"], *[F.col(c).alias(f"_{c}") for c in _ORDER])
-    return drift.thinned(values, [f"_{c}" for c in _ORDER], limit=5000).agg(F.count("*").alias("n"), F.min("seq").alias("first"), F.max("seq").alias("last"), F.round(F.sum("value"), 2).alias("total"))
+def _thin_sql(where: str, extend: bool) -> str:
+    """Every k-th value of all numeric columns in the stated order."""
+    each = _union(f"SELECT '{c}' AS \"column\", ORDER_KEY, LINE, PREMIUM, CAST({c} AS DOUBLE) AS value FROM policy WHERE {where} AND {c} IS NOT NULL" for c in _DRIFT)
+    k = f"greatest(n // {_LIMIT}, 1)" if extend else f"n // {_LIMIT} + 1"
+    places = f'SELECT "column", value, row_number() OVER (PARTITION BY "column" ORDER BY ORDER_KEY, LINE, PREMIUM NULLS FIRST) - 1 AS seq, count(*) OVER (PARTITION BY "column") AS n FROM ({each})'
+    return f'SELECT "column", seq, value FROM ({places}) WHERE seq % CASE WHEN n > {_LIMIT} THEN {k} ELSE 1 END = 0'
+
+
+_KEPT = 'SELECT "column", count(*) AS n, min(seq) AS first, max(seq) AS last, round(sum(value), 2) AS total'
+
+
+def _kept(values: DataFrame) -> DataFrame:
+    return values.groupBy("column").agg(F.count("*").alias("n"), F.min("seq").alias("first"), F.max("seq").alias("last"), F.round(F.sum("value"), 2).alias("total"))
 
 
-_WIN = 2
+def _first_reference(spark: SparkSession, sf_dir: str) -> drift.Reference:
+    first = policy(spark, sf_dir).where(_REF.replace("TIMESTAMP ", "TIMESTAMP_NTZ "))
+    return drift.set_reference(first, _DRIFT, list(_SHIFTED), None, _ORDER)
 
 
-@query(f"""WITH r AS ({_THIN_SQL.format(_REF, 'CASE WHEN n > 5000 THEN n // 5000 + 1 ELSE 1 END')}), x AS ({_THIN_SQL.format("INSR_BEGIN >= TIMESTAMP '1998-01-01' AND INSR_BEGIN < TIMESTAMP '2000-01-01'", 'CASE WHEN n > 5000 THEN greatest(n // 5000, 1) ELSE 1 END')}),
-b AS (SELECT * FROM r UNION ALL SELECT seq + (SELECT max(seq) + 1 FROM r), value FROM x), k AS (SELECT * FROM b ORDER BY seq DESC LIMIT {5000 * _WIN})
-SELECT count(*) AS n, min(seq) AS first, max(seq) AS last, round(sum(value), 2) AS total FROM k""")
+def _extended(spark: SparkSession, sf_dir: str) -> drift.Reference:
+    batch = policy(spark, sf_dir).where(_MIDDLE.replace("TIMESTAMP ", "TIMESTAMP_NTZ ")).withColumn("MAKE", F.expr(_ACT_MAKE))
+    return drift.extend_reference(_first_reference(spark, sf_dir), batch, _ORDER, _WINDOW)
+
+
+@query(f'{_KEPT} FROM ({_thin_sql(_REF, False)}) GROUP BY 1')
+def drift_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The thinned reference: every k-th value in a stated order."""
+    return _kept(_first_reference(spark, sf_dir).numeric)
+
+
+@query(f"""WITH r AS ({_thin_sql(_REF, False)}), x AS ({_thin_sql(_MIDDLE, True)}), b AS (SELECT * FROM r UNION ALL SELECT x."column", x.seq + l.base, x.value FROM x JOIN (SELECT "column", max(seq) + 1 AS base FROM r GROUP BY 1) l USING ("column")),
+k AS (SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY seq DESC) AS i FROM b) {_KEPT} FROM k WHERE i <= {_LIMIT * _WINDOW} GROUP BY 1""")
 def drift_reference_extended(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rolling reference after one more batch: the newest values within the window."""
-    df = policy(spark, sf_dir)
-    ref = df.where(_REF.replace("TIMESTAMP ", "TIMESTAMP_NTZ "))
-    values = drift.stacked_values(ref, ["PREMIUM"], *[F.col(c).alias(f"_{c}") for c in _ORDER])
-    start = drift.Reference(drift.thinned(values, [f"_{c}" for c in _ORDER], limit=5000), drift.category_shares(ref, ["USAGE"]))
-    batch = df.where("INSR_BEGIN >= TIMESTAMP_NTZ '1998-01-01' AND INSR_BEGIN < TIMESTAMP_NTZ '2000-01-01'")
-    made = drift.extend_reference(start, batch, _ORDER, _WIN, 5000)
-    return made.numeric.agg(F.count("*").alias("n"), F.min("seq").alias("first"), F.max("seq").alias("last"), F.round(F.sum("value"), 2).alias("total"))
+    return _kept(_extended(spark, sf_dir).numeric)
+
+
+@query(f"""WITH r AS ({_shares_sql(_REF, 'MAKE')}), c AS ({_shares_sql(_MIDDLE, _ACT_MAKE)})
+SELECT "column", value, round(CASE WHEN r.share IS NULL THEN c.share WHEN c.share IS NULL THEN r.share ELSE (r.share + c.share) / 2 END, 9) AS share FROM r FULL JOIN c USING ("column", value)""")
+def drift_reference_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The categorical side of the extended reference: the mean over the sides that have a value."""
+    return _round(_extended(spark, sf_dir).categorical, 9)
 
 
 _DERIVED = {
@@ -363,37 +397,70 @@ def features_derived(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT strftime(INSR_BEGIN, '%Y-%m') AS month, year(INSR_BEGIN) || 'Q' || quarter(INSR_BEGIN) AS quarter, CAST(year(INSR_BEGIN) AS VARCHAR) AS year, count(*) AS rows FROM policy WHERE INSR_BEGIN IS NOT NULL GROUP BY 1, 2, 3")
 def period_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ts = F.col("INSR_BEGIN")
-    df = policy(spark, sf_dir).where(ts.isNotNull())
-    return df.groupBy(*[period_name(ts, s).alias(s) for s in ("month", "quarter", "year")]).agg(F.count("*").alias("rows"))
+    df = policy(spark, sf_dir).select("INSR_BEGIN")
+    for size in ("month", "quarter", "year"):
+        df = batches.split_by_period(df, "INSR_BEGIN", None, size).withColumnRenamed("period", size)
+    return df.groupBy("month", "quarter", "year").agg(F.count("*").alias("rows"))
 
 
-@query("SELECT strftime(INSR_BEGIN, '%Y-%m') AS period, count(*) AS rows FROM policy GROUP BY 1 ORDER BY 1 DESC LIMIT 12")
+@query("SELECT batch_idx, count(*) AS rows FROM (SELECT year(o_orderdate) - (SELECT min(year(o_orderdate)) FROM orders) AS batch_idx FROM orders) WHERE batch_idx > (SELECT max(year(o_orderdate)) - min(year(o_orderdate)) - 3 FROM orders) GROUP BY 1")
 def latest_n_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = policy(spark, sf_dir).groupBy(period_name(F.col("INSR_BEGIN")).alias("period")).agg(F.count("*").alias("rows"))
-    return counts.orderBy(F.desc("period")).limit(12)
+    """The last three parts of a training store of yearly batches; a repeated batch adds nothing."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.year("o_orderdate").alias("year"))
+    store, years = batches.TrainingStore(spark, scratch(spark, "store")), sorted(r[0] for r in orders.distinct().collect())
+    for year in [*years, years[-1]]:
+        store.append(year - years[0], orders.where(F.col("year") == year))
+    return store.load(3).groupBy(F.col("batch_idx").cast("long").alias("batch_idx")).agg(F.count("*").alias("rows"))
+
 
+def _order_table(spark: SparkSession, sf_dir: str) -> str:
+    """Orders as a table partitioned by month."""
+    table = scratch(spark, "batches")
+    batches.write_periods(batches.split_by_period(spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_orderdate"), "o_orderdate", None), table)
+    return table
 
-@query("SELECT count(DISTINCT p) AS batches, min(p) AS first, max(p) AS last, sum(n)::BIGINT AS rows FROM (SELECT strftime(INSR_BEGIN, '%Y-%m') AS p, count(*) AS n FROM policy GROUP BY 1)")
+
+@query("SELECT count(DISTINCT p) AS batches, min(p) AS first, max(p) AS last, sum(n)::BIGINT AS rows FROM (SELECT strftime(o_orderdate, '%Y-%m') AS p, count(*) AS n FROM orders GROUP BY 1)")
 def collector_describe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = policy(spark, sf_dir).groupBy(period_name(F.col("INSR_BEGIN")).alias("p")).agg(F.count("*").alias("n"))
-    return counts.agg(F.count("*").alias("batches"), F.min("p").alias("first"), F.max("p").alias("last"), F.sum("n").alias("rows"))
+    made = batches.Collector(spark, _order_table(spark, sf_dir), ["o_orderkey"], "o_orderdate").describe()
+    return spark.createDataFrame([(made["batches"], made["first"], made["last"], made["rows"])], "batches long, first string, last string, rows long")
+
+
+@query("SELECT p AS period, 'period=' || p AS folder FROM (SELECT DISTINCT strftime(o_orderdate, '%Y-%m') AS p FROM orders)")
+def collector_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The periods that a collector finds, and their folders."""
+    found = batches.Collector(spark, _order_table(spark, sf_dir), [], "o_orderdate").batch_paths()
+    return spark.createDataFrame([(p, path.rpartition("/")[2]) for p, path in found.items()], "period string, folder string")
 
 
 @query("""SELECT strftime(o_orderdate, '%Y-%m') AS period, count(*) AS rows FROM orders WHERE strftime(o_orderdate, '%Y-%m') NOT IN (SELECT strftime(l_shipdate, '%Y-%m') FROM lineitem WHERE l_orderkey % 3 = 0 AND year(l_shipdate) > 1997) GROUP BY 1""")
 def unprocessed_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Discovered periods that the state does not have."""
-    done = spark.read.parquet(f"{sf_dir}/lineitem.parquet").where("l_orderkey % 3 = 0 AND year(l_shipdate) > 1997").select(period_name(F.col("l_shipdate")).alias("period")).distinct()
-    found = spark.read.parquet(f"{sf_dir}/orders.parquet").groupBy(period_name(F.col("o_orderdate")).alias("period")).agg(F.count("*").alias("rows"))
-    return found.join(done, "period", "left_anti")
+    """Discovered periods that the run's state has not processed, each read from its own partition."""
+    table, state = _order_table(spark, sf_dir), RunState(None)
+    state.init_batches(batches.periods(spark, table), "orders")
+    done = spark.read.parquet(f"{sf_dir}/lineitem.parquet").where("l_orderkey % 3 = 0 AND year(l_shipdate) > 1997").select(period_name(F.col("l_shipdate"))).distinct().collect()
+    for (name,) in done:  # a row a period
+        if name in state.batches:
+            state.mark_processed(name)
+    rest = spark.read.parquet(table).withColumn("period", F.col("period").cast("string")).where(F.col("period").isin(state.remaining))
+    return rest.groupBy("period").agg(F.count("*").alias("rows"))
+
+
+@query("""WITH p AS (SELECT strftime(o_orderdate, '%Y-%m') AS period FROM orders) SELECT source, period, count(*) AS rows FROM p, (VALUES ('again'), ('orders')) AS s(source) GROUP BY 1, 2""")
+def merged_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two sources, and a broken one that is left out, as one table partitioned by period."""
+    found = batches.sources_from_config({"sources": [{"name": n, "path": f"{sf_dir}/{file}.parquet", "prefix": f"{n}_"} for n, file in (("orders", "orders"), ("again", "orders"), ("broken", "none"))]})
+    table = scratch(spark, "merged")
+    batches.split_sources(spark, found, table, "o_orderdate", None, required=["o_orderkey"])
+    return spark.read.parquet(table).groupBy("source", F.col("period").cast("string").alias("period")).agg(F.count("*").alias("rows"))
 
 
-@query("SELECT 'part' AS source, strftime(o_orderdate, '%Y-%m') AS period, count(*) AS rows FROM orders WHERE o_orderstatus = 'F' GROUP BY 2 UNION ALL SELECT 'rest', strftime(o_orderdate, '%Y-%m'), count(*) FROM orders WHERE o_orderstatus <> 'F' GROUP BY 2")
-def merged_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Several sources as one stream, ordered by period and then source."""
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    both = orders.where("o_orderstatus = 'F'").withColumn("source", F.lit("part")).unionByName(orders.where("o_orderstatus <> 'F'").withColumn("source", F.lit("rest")))
-    return both.groupBy("source", period_name(F.col("o_orderdate")).alias("period")).agg(F.count("*").alias("rows")).orderBy("period", "source")
+@query("SELECT 'orders_' AS prefix, max(strftime(o_orderdate, '%Y-%m')) AS period, 'orders_' || max(strftime(o_orderdate, '%Y-%m')) || '.csv' AS name FROM orders UNION ALL SELECT 'parts_', max(strftime(o_orderdate, '%Y')), 'parts_' || max(strftime(o_orderdate, '%Y')) || '.csv' FROM orders")
+def latest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last file of each prefix by its name."""
+    at = F.col("o_orderdate")
+    names = F.array(F.concat(F.lit("orders_"), period_name(at), F.lit(".csv")), F.concat(F.lit("parts_"), period_name(at, "year"), F.lit(".csv")), F.lit("notes.txt"))
+    return files.latest_by_name(spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.explode(names).alias("name")))
 
 
 @query("""WITH t AS (SELECT strftime(o_orderdate, '%d-%b-%y') AS s, o_orderdate AS d FROM orders) SELECT count(*) AS rows, count(*) AS parsed, count(DISTINCT d) AS days, strftime(min(d), '%Y-%m-%d') AS first FROM t""")
@@ -407,23 +474,21 @@ def date_format_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""SELECT p_partkey, round(ln(p_retailprice), 9) AS log, round(sqrt(p_retailprice), 9) AS root, CASE WHEN p_size < 0 THEN 0 ELSE p_size END AS clipped, round(p_retailprice / nullif(p_size - 10, 0), 9) AS ratio, split_part(p_brand || '=x=y', '=', 1) AS head, lower(p_brand) AS folded,
-regexp_extract('batch_2015-08.csv', '^batch_(\\d{4}-\\d{2})\\.csv$', 1) AS name, substr(sha256(p_name), 1, 16) AS digest, p_size > 5 AS flag, list_sort(list_distinct([p_size, 5, 5]))[1] AS least, array_to_string([p_brand, p_type], ' ∧ ') AS label FROM part""")
+(1960 + p_size) || '-0' || (1 + p_size % 9) AS name, substr(sha256(p_name), 1, 16) AS digest, p_size > 5 AS flag, list_sort(list_distinct([p_size, 5, 5]))[1] AS least, array_to_string([p_brand, p_type], ' ∧ ') AS label FROM part""")
 def scalar_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = spark.read.parquet(f"{sf_dir}/part.parquet")
     return part.select(
         "p_partkey", F.round(F.log("p_retailprice"), 9).alias("log"), F.round(F.sqrt("p_retailprice"), 9).alias("root"), F.when(F.col("p_size") < 0, 0).otherwise(F.col("p_size")).alias("clipped"), F.round(F.col("p_retailprice") / F.nullif(F.col("p_size") - 10, F.lit(0)), 9).alias("ratio"),
-        F.split(F.concat("p_brand", F.lit("=x=y")), "=", 2)[0].alias("head"), F.lower("p_brand").alias("folded"), F.regexp_extract(F.lit("batch_2015-08.csv"), r"^batch_(\d{4}-\d{2})\.csv$", 1).alias("name"), F.substring(F.sha2("p_name", 256), 1, 16).alias("digest"), (F.col("p_size") > 5).alias("flag"),
+        F.split(F.concat("p_brand", F.lit("=x=y")), "=", 2)[0].alias("head"), F.lower("p_brand").alias("folded"), batch_period(F.concat(F.lit("batch_"), (1960 + F.col("p_size")).cast("string"), F.lit("-0"), (1 + F.col("p_size") % 9).cast("string"), F.lit(".csv"))).alias("name"), F.substring(F.sha2("p_name", 256), 1, 16).alias("digest"), (F.col("p_size") > 5).alias("flag"),
         F.array_sort(F.array_distinct(F.array("p_size", F.lit(5), F.lit(5))))[0].alias("least"), F.array_join(F.array("p_brand", "p_type"), " ∧ ").alias("label"),
     )
 
 
 @query("""SELECT l_returnflag AS flag, '{"share":' || CASE WHEN count(*) FILTER (l_tax > 1) = 0 THEN 'null' ELSE '1' END || ',"rows":' || count(*) || '}' AS json FROM lineitem GROUP BY 1""")
 def json_without_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .functions.columns import finite
-
     share = F.when(F.count_if(F.col("l_tax") > 1) == 0, F.lit(float("nan"))).otherwise(F.lit(1.0))
-    made = spark.read.parquet(f"{sf_dir}/lineitem.parquet").groupBy(F.col("l_returnflag").alias("flag")).agg(share.alias("s"), F.count("*").alias("rows"))
-    return made.select("flag", json_text(F.struct(finite(F.col("s")).alias("share"), "rows")).alias("json"))
+    made = spark.read.parquet(f"{sf_dir}/lineitem.parquet").groupBy(F.col("l_returnflag").alias("flag")).agg(share.alias("share"), F.count("*").alias("rows"))
+    return made.select("flag", json_text(made, ["share", "rows"]).alias("json"))
 
 
 # Runs: four made-up models score every month; their metrics are the runs that the meta queries read.
@@ -466,6 +531,23 @@ h AS (SELECT model, max(n) AS n, avg(f1) FILTER (i <= greatest(n // 4, 1)) AS he
 trend AS (SELECT *, CASE WHEN n < 8 THEN 'not enough' WHEN abs(tail - head) / greatest(abs(head), 1e-9) < 0.10 THEN 'stable' WHEN tail > head THEN 'rising' ELSE 'falling' END AS trend FROM h)"""
 
 
+@query(f"""{_RUNS_CTE}, l AS (SELECT model, f1, 'mode' AS setting, mode AS value FROM runs2 UNION ALL SELECT model, f1, 'half', CAST(batch_idx % 2 AS VARCHAR) FROM runs UNION ALL SELECT model, f1, 'same', 'x' FROM runs),
+g AS (SELECT model, setting, value, count(*) AS n, avg(f1) AS mean FROM l GROUP BY 1, 2, 3), e AS (SELECT model, setting, count(*) AS k, min(n) AS least, max(mean) - min(mean) AS spread FROM g GROUP BY 1, 2),
+z AS (SELECT setting, round(max(spread), 6) AS spread, max(k) AS n_values, bool_or(k > 1 AND least >= 3) AS varied FROM e GROUP BY 1)
+SELECT row_number() OVER (ORDER BY spread DESC, setting) AS rank, setting, spread, n_values, CASE WHEN n_values < 2 THEN 'constant' WHEN varied THEN 'varied' ELSE 'insufficient' END AS verdict FROM z""")
+def settings_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = _runs(spark, sf_dir).withColumns({"half": F.col("batch_idx") % 2, "same": F.lit("x")})
+    return meta.rank_settings(runs, ["mode", "half", "same"])
+
+
+@query(f"{_RUNS_CTE} SELECT batch_idx, model, f1, CAST(batch_idx % 3 AS VARCHAR) AS setting FROM runs")
+def manifest_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifests with a map of metrics and one of settings by model, taken apart into a row a model."""
+    each = _runs(spark, sf_dir).select("batch_idx", "model", F.struct("f1").alias("m"), F.create_map(F.lit("setting"), (F.col("batch_idx") % 3).cast("string")).alias("s"))
+    maps = [F.map_from_entries(F.collect_list(F.struct("model", c))).alias(name) for c, name in (("m", "metrics"), ("s", "hyperparameters"))]
+    return meta.observations(each.groupBy("batch_idx").agg(*maps)).select("batch_idx", "model", "f1", F.col("settings")["setting"].alias("setting"))
+
+
 @query(f"{_RUNS_CTE}, {_TREND} SELECT model, n, round(head, 9) AS head, round(tail, 9) AS tail, trend FROM trend")
 def trend_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round(meta.trends(_runs(spark, sf_dir), "f1", ["model"]), 9)
@@ -496,7 +578,7 @@ def consensus_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH m AS ({_union(f"SELECT strftime(INSR_BEGIN, '%Y-%m') AS period, '{r}' AS rule, count(*) FILTER ({sql}) AS violations, count(*) AS rows FROM policy GROUP BY 1" for r, sql in _BAD.items())})
 SELECT rule, sum(violations)::BIGINT AS violations, count(*) FILTER (violations > 0) AS batches, round(avg(violations / rows), 9) AS mean_ratio FROM m GROUP BY 1""")
 def report_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rule_violations_by_month(spark, sf_dir).groupBy("rule").agg(F.sum("violations").alias("violations"), F.count_if(F.col("violations") > 0).alias("batches"), F.round(F.avg(F.col("violations") / F.col("rows")), 9).alias("mean_ratio"))
+    return _round(meta.roll_up(rule_violations_by_month(spark, sf_dir), "rule"), 9)
 
 
 _PREDICTED = "SCORE < 0.25"
@@ -588,6 +670,27 @@ def one_hot_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.stacked(df, "feature", {n: {"ones": F.sum(x).cast("long")} for n, x in prep.columns(df).items()})
 
 
+_GAPPY = "CASE WHEN LINE % 4 = 0 THEN NULL ELSE USAGE END"
+
+
+@query(f"""WITH g AS (SELECT {_GAPPY} AS u FROM policy), m AS (SELECT u FROM (SELECT u, count(*) AS n FROM g WHERE u IS NOT NULL GROUP BY 1) ORDER BY n DESC, u LIMIT 1),
+f AS (SELECT 'most_frequent' AS imputer, coalesce(u, (SELECT u FROM m)) AS v FROM g UNION ALL SELECT 'constant', coalesce(u, 'missing') FROM g) SELECT imputer, 'U_' || v AS feature, count(*) AS ones FROM f GROUP BY 1, 2""")
+def one_hot_imputed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plain one-hot columns of a column with missing values, by both imputers."""
+    df, made = policy(spark, sf_dir).select(F.expr(_GAPPY).alias("U")), None
+    for how in ("most_frequent", "constant"):
+        prep = preparation.Preparation([], ["U"], categorical_imputer=how).fit(df)
+        one = rules.stacked(df, "feature", {n: {"ones": F.sum(x).cast("long")} for n, x in prep.columns(df).items()}).withColumn("imputer", F.lit(how))
+        made = one if made is None else made.unionByName(one)
+    return made
+
+
+@query("WITH m AS (SELECT S AS v FROM (SELECT CASE WHEN LINE % 5 = 0 THEN NULL ELSE CAST(SEATS_NUM AS DOUBLE) END AS S FROM policy) WHERE S IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) SELECT v AS fill FROM m")
+def impute_most_frequent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = policy(spark, sf_dir).select(F.expr("CASE WHEN LINE % 5 = 0 THEN NULL ELSE CAST(SEATS_NUM AS DOUBLE) END").alias("S"))
+    return spark.createDataFrame([(preparation.Preparation(["S"], [], "most_frequent").fit(df).fill["S"],)], "fill double")
+
+
 @query("""WITH k AS (SELECT DISTINCT MAKE AS v FROM policy WHERE MAKE NOT IN ('Brand#3', 'Brand#4', 'brand#11')) SELECT 'MAKE' AS "column", MAKE AS value, count(*) AS n FROM policy WHERE MAKE NOT IN (SELECT v FROM k) GROUP BY 2 ORDER BY n DESC, value LIMIT 10""")
 def unknown_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = policy(spark, sf_dir)
@@ -598,17 +701,13 @@ def unknown_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""WITH t AS (SELECT *, row_number() OVER (ORDER BY event_id) - 1 AS i FROM events) SELECT event_type, count(*) AS n, sum(event_id)::BIGINT AS ids FROM t WHERE i % 7 = 0 GROUP BY 1""")
 def systematic_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every seventh event in id order; places come from counts before each range of ids, not from one sorted partition."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    part = events.withColumn("part", F.floor(F.col("event_id") / 1000))
-    before = part.groupBy("part").agg(F.count("*").alias("n")).withColumn("before", F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)))
-    at = part.join(before.select("part", F.coalesce("before", F.lit(0)).alias("before")), "part").withColumn("i", F.row_number().over(Window.partitionBy("part").orderBy("event_id")) - 1 + F.col("before"))
-    return at.where(F.col("i") % 7 == 0).groupBy("event_type").agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"))
+    at = ranks.numbered(spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("all", F.lit(0)), "all", ["event_id"], part_rows=1000)
+    return at.where(F.col("place") % 7 == 0).groupBy("event_type").agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"))
 
 
 @query("""SELECT strftime(o_orderdate, '%Y-%m') AS period, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY 1""")
 def stream_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly totals of a stream of files, until all that is there has been read."""
-    from .session import scratch
     from .streaming.monthly import monthly_totals, run_to_table
 
     schema = spark.read.parquet(f"{sf_dir}/orders.parquet").schema
@@ -617,33 +716,43 @@ def stream_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_to_table(monthly_totals(live, "o_orderdate", "o_totalprice"), f"totals_{where[-8:]}", where)
 
 
+#: A label that can be learnt, but for the noise that SCORE adds; no feature holds it.
+_LABEL = "CASE WHEN coalesce(PREMIUM, 0) / 1000 + SEATS_NUM / 4.0 + SCORE > 3.5 THEN 1 ELSE 0 END"
+
+
+def _trained_sql(name: str) -> str:
+    return f"""WITH c AS (SELECT {_LABEL} AS y, count(*) AS n FROM policy GROUP BY 1)
+SELECT '{name}' AS model, sum(n - CAST(round(n * 0.2) AS BIGINT))::BIGINT AS rows, sum(CAST(round(n * 0.2) AS BIGINT))::BIGINT AS validated, sum(CAST(round(n * 0.2) AS BIGINT)) FILTER (y = 1)::BIGINT AS positives, true AS learnt FROM c"""
+
+
 def _trained(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Metrics of a model on the validation part of all policies.  SCORE is noise, so nothing can be learnt from it."""
+    """A model with its defaults on all features of all policies: rows used, rows and positives validated, and whether its ROC AUC is 0.9 or more."""
     from .plans.training import train_batch
 
-    df, _ = features.engineer(policy(spark, sf_dir).drop("SCORE", "CLAIM_PAID", "EFFECTIVE_YR"))
-    key = [F.col(c).cast("string") for c in ("ORDER_KEY", "LINE", "INSURED_VALUE", "INSR_BEGIN")]
-    made = train_batch(df, [*NUMERIC, "VEHICLE_AGE", "LOG1P_PREMIUM"], ["TYPE_VEHICLE", "USAGE"], "HAS_CLAIM", key, names=[name], models={"rf": {"trees": 20, "max_depth": 8}, "mlp": {"layers": [10], "max_iter": 30}})
+    df = policy(spark, sf_dir).withColumn("HIGH", F.expr(_LABEL)).drop("SCORE", "CLAIM_PAID", "HAS_CLAIM", "EFFECTIVE_YR")
+    numbers, kinds = features.feature_list(df, NUMERIC, CATEGORICAL)
+    df, _ = features.engineer(df)
+    made = train_batch(df, numbers, kinds, "HIGH", [F.col(c).cast("string") for c in ("ORDER_KEY", "LINE", "INSURED_VALUE", "INSR_BEGIN")], names=[name])
     m = made.models[name].metrics
-    rows = [(name, made.rows, *[float(m[k]) for k in ("f1", "roc_auc", "precision", "recall", "accuracy")])]
-    return spark.createDataFrame(rows, "model string, rows long, f1 double, roc_auc double, precision double, recall double, accuracy double")
+    row = (name, made.rows, m["tp"] + m["fp"] + m["fn"] + m["tn"], m["tp"] + m["fn"], m["roc_auc"] >= 0.9)
+    return spark.createDataFrame([row], "model string, rows long, validated long, positives long, learnt boolean")
 
 
-@query()
+@query(_trained_sql("lr"))
 def train_lr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _trained(spark, sf_dir, "lr")
 
 
-@query()
+@query(_trained_sql("dt"))
 def train_dt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _trained(spark, sf_dir, "dt")
 
 
-@query()
+@query(_trained_sql("rf"))
 def train_rf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _trained(spark, sf_dir, "rf")
 
 
-@query()
+@query(_trained_sql("mlp"))
 def train_mlp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _trained(spark, sf_dir, "mlp")

@@ -50,7 +50,7 @@ def prepare(sources: list[Source]) -> dict[str, Path]:
     for s in sources:
         if s.enabled:
             try:
-                out[s.name] = unzipped(s.path, s.extracted_to, log.warning)
+                out[s.name] = s.path if "://" in s.path else unzipped(s.path, s.extracted_to, log.warning)
             except (OSError, ValueError) as e:
                 log.error("source %s is left out: %s", s.name, e)
     return out
@@ -82,7 +82,7 @@ def split_by_period(df: DataFrame, time_col: str, fmt: str | None, size: str = "
 def split_sources(spark: SparkSession, sources: list[Source], table: str, time_col: str, fmt: str | None, size: str = "month", required: list[str] = ()) -> list[str]:
     """Write all sources as one table partitioned by period; the periods in order.
 
-    Rows of one period come from one shuffle by period and a salt, so that a large month is several files.
+    Rows are dealt out by period once, and a large period to as many tasks as its size asks for.
     """
     parts = [split_by_period(require(read_raw(spark, p, n), list(required)), time_col, fmt, size) for n, p in prepare(sources).items()]
     if not parts:
@@ -90,10 +90,15 @@ def split_sources(spark: SparkSession, sources: list[Source], table: str, time_c
     both = parts[0]
     for p in parts[1:]:
         both = both.unionByName(p, allowMissingColumns=True)
-    both.repartition("period", F.floor(F.rand(0) * 4)).write.mode("overwrite").partitionBy("period").parquet(table)
+    write_periods(both, table)
     return periods(spark, table)
 
 
+def write_periods(df: DataFrame, table: str) -> None:
+    """Write rows with a period as a table partitioned by it; Spark splits large periods into files of even size, and joins small ones' rows."""
+    df.hint("rebalance", "period").write.mode("overwrite").partitionBy("period").parquet(table)
+
+
 def periods(spark: SparkSession, table: str) -> list[str]:
     """The periods a table has, from its partitions."""
     return [r[0] for r in spark.read.parquet(table).select(F.col("period").cast("string")).distinct().orderBy("period").collect()]
@@ -113,6 +118,16 @@ class Collector:
     def periods(self) -> list[str]:
         return [p for p in periods(self.spark, self.table) if PERIOD.fullmatch(p)] if self.exists() else []
 
+    def path_for(self, period: str) -> str:
+        """The folder of a period, whether it is there or not."""
+        if not PERIOD.fullmatch(period):
+            raise ValueError(f"{period!r} is no period")
+        return f"{self.table}/period={period}"
+
+    def batch_paths(self) -> dict[str, str]:
+        """The folders of all periods that are there, in order."""
+        return {p: self.path_for(p) for p in self.periods()}
+
     def exists(self) -> bool:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.table)
         return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)

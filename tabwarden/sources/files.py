@@ -11,6 +11,11 @@ import zipfile
 from pathlib import Path
 from typing import Any
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..functions.columns import batch_period, batch_prefix
+
 
 def clean_json(x: Any) -> Any:
     """NaN and infinity become null, times become ISO text."""
@@ -54,6 +59,22 @@ def read_artifacts(folder: str | Path, prefix: str) -> list[tuple[int, Any]]:
     return sorted(found, key=lambda x: x[0])
 
 
+def latest_by_name(names: DataFrame, name: str = "name") -> DataFrame:
+    """(prefix, period, name) of the last file of each prefix, by the period in its name; other names are left out."""
+    at = names.select(F.col(name).alias("name"), batch_period(F.col(name)).alias("period"), batch_prefix(F.col(name)).alias("prefix")).where("period IS NOT NULL")
+    return at.groupBy("prefix").agg(F.max(F.struct("period", "name")).alias("last")).select("prefix", "last.period", "last.name")
+
+
+def prune_none(x: Any) -> Any:
+    """``x`` without None, empty dictionaries and empty lists, at any depth."""
+    if isinstance(x, dict):
+        made = {k: prune_none(v) for k, v in x.items()}
+        return {k: v for k, v in made.items() if v is not None and v != {} and v != []}
+    if isinstance(x, list):
+        return [v for v in map(prune_none, x) if v is not None and v != {} and v != []]
+    return x
+
+
 def file_hash(path: str | Path) -> str:
     digest = hashlib.sha256()
     with open(path, "rb") as f:

@@ -10,9 +10,11 @@ VERSION = 2
 
 
 class RunState:
-    def __init__(self, path: str | Path):
-        self.path = Path(path)
-        data = load_json(self.path) or {"schema_version": VERSION}
+    """``path`` is the control file; without one the state lives in memory only."""
+
+    def __init__(self, path: str | Path | None):
+        self.path = Path(path) if path is not None else None
+        data = (load_json(self.path) if self.path else None) or {"schema_version": VERSION}
         if data.get("schema_version") != VERSION:
             raise ValueError(f"state of version {data.get('schema_version')}, not {VERSION}")
         self.batches: list[str] = data.get("batches", [])
@@ -22,6 +24,8 @@ class RunState:
         self.source_hash: str | None = data.get("source_hash")
 
     def save(self) -> None:
+        if self.path is None:
+            return
         save_json(self.path, {"schema_version": VERSION, "batches": self.batches, "done": self.done, "history": self.history, "runs": self.runs, "source_hash": self.source_hash})
 
     @property
