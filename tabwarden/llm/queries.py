@@ -100,6 +100,7 @@ WITH parts AS (
 SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule, coalesce(verdict, 'allow') AS verdict FROM split LEFT JOIN hits USING (page_id)
 """
 
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pairs of a document and a test item that it contains by 0.8 or more of its 5-word shingles."""
     docs, items = _read(spark, sf_dir, "documents", "doc_id", "text"), _read(spark, sf_dir, "benchmark", "item_id", "text")
@@ -125,6 +126,31 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", (F.col("id") == F.col("component_id")).alias("kept"))
 
 
+_LOWER_SQL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+OP5_SQL = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex({_LOWER_SQL}, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, hash(array_to_string(words[i:i + 1], ' ')) AS h, array_to_string(words[i:i + 1], ' ') AS s
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 1, 1) + 1)) AS i FROM w WHERE len(words) > 0)
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY 1
+), shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.h = b.h AND a.s = b.s AND a.doc_id > b.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT x, y FROM shared JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 80 * (a.n + b.n - c)
+), edges AS (
+  SELECT x, y FROM links UNION ALL SELECT y, x FROM links
+), reach(x, y) AS (
+  SELECT x, y FROM edges UNION SELECT r.x, e.y FROM reach r JOIN edges e ON r.y = e.x
+), least AS (
+  SELECT x, min(y) AS y FROM reach GROUP BY 1
+)
+SELECT w.doc_id, coalesce(n, 0) AS n_shingles, least(w.doc_id, coalesce(y, w.doc_id)) AS component_id, w.doc_id <= coalesce(y, w.doc_id) AS kept
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN least ON x = w.doc_id
+"""
+
+
 def word_tokenizer() -> str:
     import public_tokenizers
 
@@ -138,9 +164,28 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Write all pages as WARC records, read the archives back, and merge their index."""
-    index = warc.archive_pages(_read(spark, sf_dir, "pages", "page_id", "url", "html"))
-    return index.select(F.col("id").alias("page_id"), F.col("bytes").alias("payload_bytes"), F.col("digest").alias("payload_digest"), F.col("kind").alias("record_type"), "refers_to", "url_key", "range", "place")
+    """Write all pages as WARC records, read the archives back, and merge their index: position is a record's place in it."""
+    index = warc.positioned(warc.archive_pages(_read(spark, sf_dir, "pages", "page_id", "url", "html")))
+    return index.select(F.col("id").alias("page_id"), F.col("bytes").alias("payload_bytes"), F.col("digest").alias("payload_digest"), F.col("kind").alias("record_type"), "refers_to", "position")
+
+
+OP7_SQL = r"""
+WITH p AS (
+  SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS sha FROM pages
+), u AS (
+  SELECT *, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM p
+), h AS (
+  SELECT *, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path, regexp_extract(split_part(url, '#', 1), '\?.*$') AS tail FROM u
+), k AS (
+  SELECT *, CASE WHEN host = '' THEN url ELSE array_to_string(list_reverse(string_split(host, '.')), ',') || ')' || path || tail END AS url_key,
+    min(page_id) OVER (PARTITION BY html) AS first, CAST(unhex(sha) AS BIT)::VARCHAR AS bits FROM h
+)
+SELECT page_id, octet_length(encode(html)) AS payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + list_sum(list_transform(range(0, 5), lambda b: CAST(substr(bits, CAST(5 * i + b + 1 AS BIGINT), 1) AS INT) * (16 >> b)))::BIGINT, 1)), '') AS payload_digest,
+  CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN first < page_id THEN first END AS refers_to,
+  row_number() OVER (ORDER BY url_key, page_id) - 1 AS position FROM k
+"""
 
 
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,5 +209,59 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-QUERIES = {"op1_chat_formatting": op1_chat_formatting, "op2_substring_dedup": op2_substring_dedup, "op3_url_filters": op3_url_filters, "op4_benchmark_decontamination": op4_benchmark_decontamination, "op5_minhash_near_dedup": op5_minhash_near_dedup, "op6_packing": op6_packing, "op7_warc": op7_warc, "op8_pii": op8_pii, "op9_toxicity": op9_toxicity, "op10_quality_rules": op10_quality_rules}
-ORACLES = {"op1_chat_formatting": OP1_SQL, "op2_substring_dedup": OP2_SQL, "op3_url_filters": OP3_SQL, "op4_benchmark_decontamination": OP4_SQL}
+def quality_base_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part of the quality rules that SQL can say: base counts and the base verdict of every document."""
+    made = quality.with_counts(_read(spark, sf_dir, "documents", "doc_id", "text"))
+    return made.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", quality.base_failed().alias("base_failed"))
+
+
+BASE_COUNTS_SQL = r"""
+WITH w AS (
+  SELECT doc_id, coalesce(text, '') AS text, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents
+), g AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, s) AS n
+  FROM (SELECT doc_id, i, array_to_string(words[i:i + 2], ' ') AS s FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM w))
+), r AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM g, (SELECT unnest(range(0, 3)) AS k) WHERE n > 1 GROUP BY 1
+), l AS (
+  SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM w) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY 1
+), c AS (
+  SELECT doc_id, len(words) AS n_words, coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::BIGINT AS word_chars,
+    length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words
+  FROM w LEFT JOIN r USING (doc_id) LEFT JOIN l USING (doc_id)
+)
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM c
+"""
+
+
+def pii_base_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part of the search for personal data that SQL can say: the base spans of every document."""
+    return op8_pii(spark, sf_dir).drop("spans")
+
+
+def _base_spans_sql() -> str:
+    """Matches and the texts between them, from which places follow; patterns as the contract has them."""
+    digits = "regexp_replace(m, '[^0-9]', '', 'g')"
+    double = f"CAST(substr(reverse({digits}), i, 1) AS INT) * (2 - i % 2)"
+    luhn = f"list_sum(list_transform(range(1, length({digits}) + 1), lambda i: {double} - CASE WHEN {double} > 9 THEN 9 ELSE 0 END)) % 10 = 0"
+    kinds = {
+        "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "true"),
+        "ip": (r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)", "list_max(list_transform(string_split(m, '.'), lambda x: coalesce(try_cast(x AS BIGINT), 999))) <= 255"),
+        "card": (r"[0-9](?:[\x20-]?[0-9])+", f"length({digits}) BETWEEN 12 AND 19 AND {luhn}"),
+        "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", f"length({digits}) BETWEEN 9 AND 15"),
+    }
+    total = lambda part: f"coalesce(list_sum(list_transform({part}, lambda x: length(x))), 0)"
+    each = [
+        f"SELECT doc_id, {k} AS number, '{kind}' AS kind, m, {total('gaps[1:i]')} + {total('found[1:i - 1]')} AS start FROM (SELECT doc_id, found, gaps, unnest(found) AS m, unnest(range(1, len(found) + 1)) AS i FROM"
+        f" (SELECT doc_id, regexp_extract_all(text, '{pattern}') AS found, string_split_regex(text, '{pattern}') AS gaps FROM t WHERE regexp_matches(text, '{pattern}'))) WHERE {check}"
+        for k, (kind, (pattern, check)) in enumerate(kinds.items())
+    ]
+    counts = ", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in kinds)
+    said = "kind || ':' || CAST(start AS BIGINT) || ':' || CAST(start + length(m) AS BIGINT)"
+    return f"""WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents), s AS ({" UNION ALL ".join(each)}),
+a AS (SELECT doc_id, {counts}, sha256(string_agg({said}, ',' ORDER BY start, number)) AS base_sha256 FROM s GROUP BY 1)
+SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in kinds)}, coalesce(base_sha256, sha256('')) AS base_sha256 FROM t LEFT JOIN a USING (doc_id)"""
+
+
+QUERIES = {"op1_chat_formatting": op1_chat_formatting, "op2_substring_dedup": op2_substring_dedup, "op3_url_filters": op3_url_filters, "op4_benchmark_decontamination": op4_benchmark_decontamination, "op5_minhash_near_dedup": op5_minhash_near_dedup, "op6_packing": op6_packing, "op7_warc": op7_warc, "op8_pii": op8_pii, "op9_toxicity": op9_toxicity, "op10_quality_rules": op10_quality_rules, "quality_base_counts": quality_base_counts, "pii_base_spans": pii_base_spans}
+ORACLES = {"op1_chat_formatting": OP1_SQL, "op2_substring_dedup": OP2_SQL, "op3_url_filters": OP3_SQL, "op4_benchmark_decontamination": OP4_SQL, "op5_minhash_near_dedup": OP5_SQL, "op7_warc": OP7_SQL, "quality_base_counts": BASE_COUNTS_SQL, "pii_base_spans": _base_spans_sql()}

@@ -231,6 +231,17 @@ def archive_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     return merged_index(entries, max(1, -(-rows.count() // range_rows)))
 
 
+def positioned(index: DataFrame) -> DataFrame:
+    """The index with position, a record's place in the whole of it; the ranges' sizes are a row a range.
+
+    The index is written first: ranges are drawn anew each time it is computed.
+    """
+    index = written(index, "index")
+    sizes = index.groupBy("range").agg(F.count("*").alias("n"))
+    before = sizes.select("range", F.coalesce(F.sum("n").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    return index.join(before, "range").withColumn("position", F.col("place") + F.col("before")).drop("before")
+
+
 def histories(index: DataFrame) -> DataFrame:
     """The index with each capture's number among those of its URL key."""
     return index.withColumn("capture", F.row_number().over(Window.partitionBy("url_key").orderBy("range", "place")))
