@@ -60,16 +60,22 @@ def format_duration(seconds: float) -> str:
 
 
 class Pipeline:
-    """All state lies under ``paths.root``: the batch table, the control file, references, models and metadata."""
+    """Control files lie under ``paths.root`` on the driver; tables and models under ``paths.tables``, a folder or URI that all nodes see.
+
+    Without ``paths.tables`` they lie under the root as well, which only a local session may do.
+    """
 
     def __init__(self, spark: SparkSession, config: Config):
         self.spark, self.config = spark, config
         self.root = Path(config.get("paths.root", "work"))
-        at = lambda name: str((self.root / name).resolve())
+        shared = config.get("paths.tables")
+        if not shared and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("paths.tables has to name a folder that driver and executors share")
+        at = lambda name: f"{shared.rstrip('/')}/{name}" if shared else str((self.root / name).resolve())
         self.table, self.meta, self.reference_path = at("batches"), self.root / "metadata", at("reference")
         self.state = RunState(self.root / "state.json")
         self.store = batches.TrainingStore(spark, at("store"))
-        self.registry = Registry(self.root / "models", QualityGate(**config.get("training.gate", {})))
+        self.registry = Registry(self.root / "models", QualityGate(**config.get("training.gate", {})), at("models") if shared else None)
         self.rules = RuleSet.from_config(config.get("quality.rules", []))
         self.numeric, self.categorical = config.get("features.numeric", []), config.get("features.categorical", [])
         self.time_col, self.fmt, self.label = config.get("dataset.time_column"), config.get("dataset.time_format"), config.get("target.name", "TARGET")

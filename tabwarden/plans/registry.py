@@ -7,6 +7,9 @@ from dataclasses import dataclass, field
 from pathlib import Path
 from typing import Any
 
+from pyspark.sql import SparkSession
+
+from ..session import delete, rename
 from ..sources.files import load_json, save_json
 
 VERSION = 1
@@ -38,10 +41,14 @@ class QualityGate:
 
 @dataclass
 class Registry:
-    """A folder of saved models and one record file; versions are keyed by batch and model, so a repeated batch adds none."""
+    """A folder of saved models and one record file; versions are keyed by batch and model, so a repeated batch adds none.
+
+    ``files`` is the folder or URI of the models, which all nodes see; by default they lie beside the record file.
+    """
 
     folder: Path
     gate: QualityGate = field(default_factory=QualityGate)
+    files: str | None = None
 
     def __post_init__(self):
         self.folder = Path(self.folder)
@@ -57,8 +64,13 @@ class Registry:
         return next((v for v in self.versions(model) if v["status"] == "production"), None)
 
     def path(self, version: dict) -> Path:
+        """The local folder of a version's files."""
         return self.folder / version["model"] / f"v{version['batch_idx']:05d}"
 
+    def uri(self, version: dict) -> str:
+        name = f"{version['model']}/v{version['batch_idx']:05d}"
+        return f"{self.files.rstrip('/')}/{name}" if self.files else f"file://{self.path(version).resolve()}"
+
     def register(self, model: str, batch_idx: int, fitted: Any, metrics: dict, max_psi: float | None = None, **info) -> dict:
         known = next((v for v in self.versions(model) if v["batch_idx"] == batch_idx), None)
         if known:
@@ -68,19 +80,31 @@ class Registry:
         better = now is None or metrics["f1"] > now["metrics"]["f1"]
         status = "rejected" if not verdict["passed"] else "production" if better else "candidate"
         version = {"model": model, "batch_idx": batch_idx, "metrics": metrics, "gate": verdict, "status": status, "files": True, **info}
-        self._save_model(fitted, self.path(version))
+        self._save_model(fitted, version)
         if status == "production" and now:
             now["status"] = "previous"
         self.data["versions"].append(version)
         self.refresh_pointers()
         return version
 
-    def _save_model(self, fitted: Any, path: Path) -> None:
+    def _save_model(self, fitted: Any, version: dict) -> None:
         """Save beside the target and rename when complete, so that a reader never sees half a model."""
-        part = path.with_name(f"{path.name}.part")
-        fitted.write().overwrite().save(f"file://{part.resolve()}")
-        shutil.rmtree(path, ignore_errors=True)
-        part.rename(path)
+        target = self.uri(version)
+        fitted.write().overwrite().save(f"{target}.part")
+        if self.files:
+            spark = SparkSession.getActiveSession()
+            delete(spark, target)
+            rename(spark, f"{target}.part", target)
+        else:
+            path = self.path(version)
+            shutil.rmtree(path, ignore_errors=True)
+            path.with_name(f"{path.name}.part").rename(path)
+
+    def _delete_model(self, version: dict) -> None:
+        if self.files:
+            delete(SparkSession.getActiveSession(), self.uri(version))
+        else:
+            shutil.rmtree(self.path(version), ignore_errors=True)
 
     def refresh_pointers(self) -> None:
         """Name the production version of each model, the best of these, and the latest version."""
@@ -98,7 +122,7 @@ class Registry:
             for model in {v["model"] for v in self.data["versions"]}:
                 for v in sorted(self.versions(model), key=lambda v: v["batch_idx"])[:-keep]:
                     if v["files"] and v["status"] != "production":
-                        shutil.rmtree(self.path(v), ignore_errors=True)
+                        self._delete_model(v)
                         v["files"], gone = False, gone + 1
             self._save()
         return gone
@@ -110,7 +134,7 @@ class Registry:
         version = version or self.production(model)
         if not version or not version["files"]:
             raise FileNotFoundError(f"no saved version of {model}")
-        return kinds[model].load(f"file://{self.path(version).resolve()}")
+        return kinds[model].load(self.uri(version))
 
     def summary(self) -> dict:
         by: dict[str, dict] = {}

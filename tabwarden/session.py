@@ -17,9 +17,33 @@ def session(name: str = "tabwarden", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share, ``spark.checkpoint.dir``.
+
+    Where it is unset, a local session gets a folder of this process, and any other is refused: its executors would not see one.
+    """
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return (found or _own_dir()).rstrip("/")
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder name in the folder that all nodes share, ``spark.checkpoint.dir``, or where it is unset in one of this process."""
-    return f"{(spark.conf.get('spark.checkpoint.dir', None) or _own_dir()).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new folder name in the shared folder."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder or file of any store that Spark writes to."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def rename(spark: SparkSession, old: str, new: str) -> None:
+    """Rename a folder of any store that Spark writes to."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    if not path(old).getFileSystem(spark._jsc.hadoopConfiguration()).rename(path(old), path(new)):
+        raise OSError(f"{old} could not be renamed")
 
 
 @cache
