@@ -2,32 +2,26 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
-from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import delete, scratch
+
 #: A run of the bytes that separate words, as a character class of Java and of SQL.
 GAP = r"[\x20\x09-\x0D]+"
 GAP_CHARS = " \t\n\x0b\f\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or where it is unset, as in tests, one of this process."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or _own_dir()).rstrip("/")
-
-
-@cache
-def _own_dir() -> str:
-    return f"file://{tempfile.mkdtemp(prefix='tabwarden-')}"
+def new_path(spark: SparkSession, name: str) -> str:
+    """A new name in the folder that driver and executors share."""
+    return scratch(spark, name)
 
 
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+#: Where tables of :func:`written` lie, until :func:`discard` or :func:`discard_all`.
+_PATHS: set[str] = set()
 
 
 def written(df: DataFrame, name: str, **options: str) -> DataFrame:
@@ -40,7 +34,25 @@ def written(df: DataFrame, name: str, **options: str) -> DataFrame:
         df.write.options(**options).parquet(path)
     finally:
         spark.conf.set(key, before)
-    return spark.read.schema(df.schema).parquet(path)
+    made = spark.read.schema(df.schema).parquet(path)
+    _PATHS.add(path)
+    made._written = path
+    return made
+
+
+def discard(table: DataFrame) -> None:
+    """Delete a table of :func:`written` that nothing reads any more."""
+    path = getattr(table, "_written", None)
+    if path:
+        delete(table.sparkSession, path)
+        _PATHS.discard(path)
+
+
+def discard_all(spark: SparkSession) -> None:
+    """Delete all tables that this process has written for the operators; results that were not saved elsewhere go with them."""
+    for path in list(_PATHS):
+        delete(spark, path)
+    _PATHS.clear()
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

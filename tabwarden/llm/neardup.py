@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import discard, written
 from .words import Words, mix, slices
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -229,7 +229,8 @@ def connected(edges: DataFrame, rounds: int = 60) -> DataFrame:
         down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         least = down.groupBy("a").agg(F.min("b").alias("m"))
         small = pick(down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b"))))
-        stars = written(small, "stars")
+        old, stars = stars, written(small, "stars")
+        discard(old)
         before, state = state, digest(stars)
         if before == state:
             break

@@ -8,7 +8,7 @@ fullest.  What is left at the very end is cut into windows whose lengths are pow
 Each task packs its own documents in the order in which they come, so a task that is run again does the same.
 
 Defined cases: null and blank texts are the end token alone; rows with one id are packed as often as
-they stand; a null id stays null; an empty table gives no pieces.
+they stand; a null id stays null; very long texts are read whole; other columns of any name are ignored; an empty table gives no pieces.
 """
 
 from __future__ import annotations

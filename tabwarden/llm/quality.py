@@ -2,9 +2,9 @@
 
 Statistic vectors (logarithms of size, word length, symbol and repetition rates) get a minimum-covariance-determinant
 estimate in each (language, source).  Three deterministic starts share medians and median deviations and differ in the correlations:
-none, those of the hyperbolic tangents, and those of the spatial signs.  From each, concentration steps keep the nearest
-``support`` of the rows by Mahalanobis distance and estimate mean and covariance anew, until no group's determinant changes; of the
-three the least determinant stays.  Groups meet only as sums, so that a source with a third of all rows is no larger than
+none, those of the hyperbolic tangents, and those of the spatial signs.  Concentration steps keep the nearest
+``support`` of the rows by Mahalanobis distance and estimate mean and covariance anew; after two steps from each start the one with the
+least determinant goes on until no group's determinant changes.  Groups meet only as sums, so that a source with a third of all rows is no larger than
 another after the map side.  A document is rejected when its distance is beyond the chi-square bound.  Everything is a DataFrame expression.
 
 Defined cases: a null text has no words and fails the base rule; null language or source is a group of its
@@ -21,7 +21,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import GAP_CHARS, let, words_of, written
+from .common import GAP_CHARS, discard, let, words_of, written
 
 DIMS = 4
 #: The least standard deviation of each dimension: most texts have no symbols and no repetition at all, and a
@@ -129,18 +129,18 @@ def _pairs() -> list[tuple[int, int]]:
     return [(i, j) for i in range(DIMS) for j in range(i + 1)]
 
 
-def _sums(rows: DataFrame) -> DataFrame:
-    """Mean and covariance factor of each group's rows within the cut of each start."""
+def _sums(rows: DataFrame, names: list[str]) -> DataFrame:
+    """Mean and covariance factor of each group's rows within the cut of each named model."""
     x = [F.col(f"x{i}") for i in range(DIMS)]
     sums = []
-    for s in STARTS:
+    for s in names:
         within = lambda v, s=s: F.sum(F.when(F.col(f"d_{s}") <= F.col(f"cut_{s}"), v))
         sums += [within(F.lit(1)).alias(f"n_{s}"), *[within(a).alias(f"s{i}_{s}") for i, a in enumerate(x)], *[within(x[i] * x[j]).alias(f"q{i}{j}_{s}") for i, j in _pairs()]]
-    df = rows.groupBy("g").agg(*sums)
-    for s in STARTS:
+    df = rows.groupBy("g").agg(*sums).where(f"n_{names[0]} > 0")
+    for s in names:
         mean = lambda i, s=s: F.col(f"s{i}_{s}") / F.col(f"n_{s}")
         df = _factor(df, mean, lambda i, j, s=s, mean=mean: F.col(f"q{i}{j}_{s}") / F.col(f"n_{s}") - mean(i) * mean(j) + (FLOOR[i] ** 2 if i == j else 0.0), s)
-    return df.select("g", *STARTS)
+    return df.select("g", *names)
 
 
 def _starts(sized: DataFrame, min_rows: int) -> DataFrame:
@@ -182,24 +182,31 @@ def _distances(rows: DataFrame, model: DataFrame, names: list[str]) -> DataFrame
     return df.select(*kept, *[sum((F.col(f"z{i}_{s}") * F.col(f"z{i}_{s}") for i in range(DIMS)), F.lit(0.0)).alias(f"d_{s}") for s in names])
 
 
-def least_determinants(sized: DataFrame, support: float, min_rows: int, most: int = 30, close: float = 1e-4) -> DataFrame:
-    """(g, best): the model of each group with enough rows.  Steps stop when no determinant changes; what has not settled by ``most`` raises."""
+def _step(sized: DataFrame, model: DataFrame, names: list[str], support: float) -> DataFrame:
+    """The models estimated from the rows that are nearest to the named models."""
+    near = _distances(sized, model, names)
+    cut = near.groupBy("g").agg(*[F.percentile_approx(f"d_{s}", support, 10_000).alias(f"cut_{s}") for s in names])
+    return written(_sums(near.join(_per_salt(cut), ["g", "salt"]), names), "model")
+
+
+def least_determinants(sized: DataFrame, support: float, min_rows: int, most: int = 40, close: float = 1e-3) -> DataFrame:
+    """(g, best): the model of each group with enough rows.
+
+    Two steps from each start, then the start with the least determinant goes on until no group's determinant changes by
+    more than a thousandth; what has not settled after ``most`` steps raises.
+    """
     model = written(_starts(sized, min_rows), "model")
-    logs = lambda m: {r["g"]: r[1:] for r in m.select("g", *[F.col(f"{s}.logdet") for s in STARTS]).collect()}  # noqa: E731  a row a group of min_rows rows
-    was: dict = {}
+    for _ in range(2):
+        model = _step(sized, model, STARTS, support)
+    model = model.select("g", F.array_min(F.array(*STARTS)).alias("best"))
     for _ in range(most):
-        near = _distances(sized, model, STARTS)
-        cut = near.groupBy("g").agg(*[F.percentile_approx(f"d_{s}", support, 10_000).alias(f"cut_{s}") for s in STARTS])
-        model = written(_sums(near.join(_per_salt(cut), ["g", "salt"])).where(f"{STARTS[0]}.logdet IS NOT NULL"), "model")
-        now = logs(model)
-        if was and all(abs(a - b) < close for g, row in now.items() for a, b in zip(row, was[g], strict=True)):
-            break
-        if not now:
-            break
-        was = now
-    else:
-        raise RuntimeError(f"concentration steps have not settled after {most}")
-    return model.select("g", F.array_min(F.array(*STARTS)).alias("best"))
+        made = _step(sized, model, ["best"], support)
+        moved = made.select("g", F.col("best.logdet").alias("now")).join(model.select("g", F.col("best.logdet").alias("was")), "g").agg(F.max(F.abs(F.col("now") - F.col("was")))).first()[0]
+        last, model = model, made
+        discard(last)
+        if moved is None or moved < close:
+            return model
+    raise RuntimeError(f"concentration steps have not settled after {most}")
 
 
 def robust_distances(rows: DataFrame, support: float = 0.75, min_rows: int = 200) -> DataFrame:

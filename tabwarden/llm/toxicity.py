@@ -13,7 +13,8 @@ tables; tasks write them as sorted files of key ranges to the shared folder, whi
 into memory.  So a model needs disk on each executor but neither the driver's memory nor the tasks'.
 
 Defined cases: null and blank texts have no evidence and get the score of none; rows without a label are only
-scored; several labels of one document all count; without labels of both classes every score is the share of toxic ones, 0.5 without any.
+scored; rows with a null id are scored and never held out; rows that repeat an id are scored each by their own text; ties of the highest words
+are broken by hash; very long texts are read whole; other columns of any name are ignored; several labels of one document all count; without labels of both classes every score is the share of toxic ones, 0.5 without any.
 """
 
 from __future__ import annotations

@@ -70,3 +70,12 @@ def test_forgotten_words_and_nothing(spark):
     for text in ("a b c d e", "f g a", None):
         assert words.encode([text], 2)[0].tolist() == packing.WordTokens(queries.word_tokenizer()).encode([text], 2)[0].tolist()
     assert packing.packed(documents(spark, []), queries.word_tokenizer()).count() == 0
+
+
+def test_rows_without_an_id_and_clashing_columns(spark):
+    rows = [(None, "a b c", 1, b"x"), (None, "a b c", 2, b"y"), (5, None, 3, None), (5, "d", 4, None)]
+    got = packing.packed(spark.createDataFrame(rows, "doc_id long, text string, start int, ids binary").coalesce(1), queries.word_tokenizer()).collect()
+    whole = {}
+    for r in sorted(got, key=lambda r: (r.sequence_id, r.offset)):
+        whole.setdefault((r.id, r.doc_tokens), []).append(r.length)
+    assert {k: sum(v) for k, v in whole.items()} == {k: k[1] * (2 if k[0] is None else 1) for k in whole} and {k[0] for k in whole} == {None, 5}

@@ -6,11 +6,12 @@ from collections import Counter
 
 import numpy as np
 from pyspark import SparkFiles
+from pyspark.sql import functions as F
 
 from tabwarden.llm import queries, toxicity
 from tabwarden.llm.words import Words
 
-from .helpers import documents, save
+from .helpers import documents, save, words
 
 LABELS = "doc_id long, quality int, toxic int"
 
@@ -112,3 +113,46 @@ def test_models_are_whole_and_read_from_files(spark):
     assert len(one) > 10_000 and np.allclose(np.add.reduceat(one, first), toxicity.word_evidence(w, *map(toxicity.Ratios, parts)), atol=1e-4)
     none = toxicity.write_ratios(tables[0].limit(0), "gram")
     assert none == [] and not toxicity.Ratios(none).find(np.array([1, 2]))[0].any()
+
+
+def test_scores_match_brute_force(spark):
+    """Mean, peak and top of each text by plain loops over the models' ratios, and the logistic function fitted on them."""
+    r = random.Random(5)
+    word = lambda: "".join(r.choice("abcdeé") for _ in range(r.randint(1, 7)))
+    some = [word() for _ in range(60)]
+    texts = [" ".join([r.choice(some) for _ in range(r.choice([0, 1, 5, 40, 300]))] + ["vile"] * (i % 3 == 0)) for i in range(150)] + [None, "", "\u2003", "a " * 60_000 + "vile"]
+    toxic = {i: int(i % 3 == 0) for i in range(150)}
+    # columns with the names of working ones, and rows with no id or the same one
+    docs = documents(spark, texts).withColumnsRenamed({"lang": "mean", "source": "words"})
+    again = next(i for i in range(150) if held(i))
+    docs = docs.unionByName(docs.where(f"doc_id = {again}")).unionByName(docs.where("doc_id = 4").withColumn("doc_id", F.lit(None).cast("long")))
+    labels = spark.createDataFrame([(i, 0, y) for i, y in toxic.items()], LABELS)
+    got = toxicity.toxicity_scores(docs, labels).collect()
+
+    group = lambda i: zlib.crc32(str(i).encode()) % 5
+    learn = spark.createDataFrame([(texts[i], bool(y)) for i, y in toxic.items() if group(i) in (1, 2, 3)], "text string, toxic boolean")
+    ratio, rest = (dict(map(tuple, x.collect())) for x in toxicity.log_ratios(toxicity._counts(learn)))
+
+    def one(w):
+        b, total = b" " + w.lower().encode() + b" ", 0.0
+        for k in range(1, len(b)):
+            g = int.from_bytes(b[max(0, k - 6) : k + 1], "big")
+            total += ratio.get(g, rest.get(g >> 8, 0.0))
+        return total
+
+    def features(t):
+        each = [one(w) for w in words(t)]
+        n = len(each)
+        peak = max((sum(each[i : i + 16]) / 16 for i in range(n)), default=0.0)
+        top = sorted({w.lower(): x for w, x in zip(words(t), each, strict=True)}.values(), reverse=True)[:3]
+        mean, top = sum(each) / max(n, 1), sum(top) / 3
+        return [mean, peak, top, math.log1p(n), top * math.log1p(n)]
+
+    made = {i: features(t) for i, t in enumerate(texts)}
+    fit = [(made[i], y) for i, y in toxic.items() if group(i) == 4]
+    centre, scale, weights = toxicity.fit_logistic(np.array([f for f, _ in fit]), np.array([float(y) for _, y in fit]))
+    for x in got:
+        i = 4 if x.id is None else x.id
+        want = 1 / (1 + math.exp(-(sum((f - c) / s * w for f, c, s, w in zip(made[i], centre, scale, weights, strict=False)) + weights[-1])))
+        assert math.isclose(x.score, want, abs_tol=2e-3), (x, want)
+    assert sum(x.id == again for x in got) == 2 and [x.held_out for x in got if x.id is None] == [False]
