@@ -186,7 +186,10 @@ def _step(sized: DataFrame, model: DataFrame, names: list[str], support: float)
     """The models estimated from the rows that are nearest to the named models."""
     near = _distances(sized, model, names)
     cut = near.groupBy("g").agg(*[F.percentile_approx(f"d_{s}", support, 10_000).alias(f"cut_{s}") for s in names])
-    return written(_sums(near.join(_per_salt(cut), ["g", "salt"]), names), "model")
+    cut = written(cut, "cut")  # of known size, so that Spark need not shuffle the rows to join it
+    made = written(_sums(near.join(_per_salt(cut), ["g", "salt"]), names), "model")
+    discard(cut)
+    return made
 
 
 def least_determinants(sized: DataFrame, support: float, min_rows: int, most: int = 40, close: float = 1e-3) -> DataFrame:
