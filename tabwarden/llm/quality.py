@@ -112,17 +112,22 @@ def chi_square_bound(p: float, d: int) -> float:
 STARTS = ["none", "tanh", "signs"]
 
 
-def _factor(df: DataFrame, mean, covariance, s: str) -> DataFrame:
-    """``df`` with a column of the start's name: struct<logdet, m0.., l00..> with the Cholesky factor of a group's covariance."""
-    for i in range(DIMS):  # one column after another
-        for j in range(i + 1):
-            rest = covariance(i, j)
-            for k in range(j):
-                rest = rest - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
-            df = df.withColumn(f"l{i}{j}", F.sqrt(F.greatest(rest, F.lit(FLOOR[i] ** 2 / 4))) if i == j else rest / F.col(f"l{j}{j}"))
-    logdet = 2 * sum((F.log(f"l{i}{i}") for i in range(DIMS)), F.lit(0.0))
-    made = F.struct(logdet.alias("logdet"), *[mean(i).alias(f"m{i}") for i in range(DIMS)], *[F.col(f"l{i}{j}") for i in range(DIMS) for j in range(i + 1)])
-    return df.withColumn(s, made).drop(*[f"l{i}{j}" for i in range(DIMS) for j in range(i + 1)])
+def _factored(df: DataFrame, parts: dict) -> DataFrame:
+    """(g, names...): for each name and its (mean, covariance) the struct<logdet, m0.., l00..> with the Cholesky factor.
+
+    All names go through a column of the factor together, so that the plan stays short.
+    """
+    for j in range(DIMS):
+        rest = lambda s, i, j=j: parts[s][1](i, j) - sum((F.col(f"l{i}{k}_{s}") * F.col(f"l{j}{k}_{s}") for k in range(j)), F.lit(0.0))
+        df = df.withColumns({f"l{j}{j}_{s}": F.sqrt(F.greatest(rest(s, j), F.lit(FLOOR[j] ** 2 / 4))) for s in parts})
+        if j + 1 < DIMS:
+            df = df.withColumns({f"l{i}{j}_{s}": rest(s, i) / F.col(f"l{j}{j}_{s}") for s in parts for i in range(j + 1, DIMS)})
+
+    def whole(s: str) -> Column:
+        logdet = 2 * sum((F.log(f"l{i}{i}_{s}") for i in range(DIMS)), F.lit(0.0))
+        return F.struct(logdet.alias("logdet"), *[parts[s][0](i).alias(f"m{i}") for i in range(DIMS)], *[F.col(f"l{i}{j}_{s}").alias(f"l{i}{j}") for i, j in _pairs()])
+
+    return df.select("g", *[whole(s).alias(s) for s in parts])
 
 
 def _pairs() -> list[tuple[int, int]]:
@@ -137,10 +142,9 @@ def _sums(rows: DataFrame, names: list[str]) -> DataFrame:
         within = lambda v, s=s: F.sum(F.when(F.col(f"d_{s}") <= F.col(f"cut_{s}"), v))
         sums += [within(F.lit(1)).alias(f"n_{s}"), *[within(a).alias(f"s{i}_{s}") for i, a in enumerate(x)], *[within(x[i] * x[j]).alias(f"q{i}{j}_{s}") for i, j in _pairs()]]
     df = rows.groupBy("g").agg(*sums).where(f"n_{names[0]} > 0")
-    for s in names:
-        mean = lambda i, s=s: F.col(f"s{i}_{s}") / F.col(f"n_{s}")
-        df = _factor(df, mean, lambda i, j, s=s, mean=mean: F.col(f"q{i}{j}_{s}") / F.col(f"n_{s}") - mean(i) * mean(j) + (FLOOR[i] ** 2 if i == j else 0.0), s)
-    return df.select("g", *names)
+    mean = lambda s: lambda i: F.col(f"s{i}_{s}") / F.col(f"n_{s}")
+    spread = lambda s: lambda i, j: F.col(f"q{i}{j}_{s}") / F.col(f"n_{s}") - mean(s)(i) * mean(s)(j) + (FLOOR[i] ** 2 if i == j else 0.0)
+    return _factored(df, {s: (mean(s), spread(s)) for s in names})
 
 
 def _starts(sized: DataFrame, min_rows: int) -> DataFrame:
@@ -159,10 +163,15 @@ def _starts(sized: DataFrame, min_rows: int) -> DataFrame:
 
     tied = at.withColumn("size", size).groupBy("g").agg(*[corr(s, i, j).alias(f"r{i}{j}_{s}") for s in way for i, j in _pairs() if i > j])
     df = spread.join(tied, "g")
-    for s in STARTS:
-        r = lambda i, j, s=s: F.lit(float(i == j)) if i == j or s == "none" else 0.999 * F.coalesce(F.when(~F.isnan(f"r{i}{j}_{s}"), F.col(f"r{i}{j}_{s}")), F.lit(0.0))
-        df = _factor(df, lambda i: F.col(f"m{i}"), lambda i, j, r=r: r(i, j) * F.col(f"d{i}") * F.col(f"d{j}"), s)
-    return df.select("g", *STARTS)
+
+    def covariance(s: str):
+        def of(i: int, j: int) -> Column:
+            r = F.lit(float(i == j)) if i == j or s == "none" else 0.999 * F.coalesce(F.col(f"r{i}{j}_{s}"), F.lit(0.0))
+            return r * F.col(f"d{i}") * F.col(f"d{j}")
+
+        return of
+
+    return _factored(df, {s: (lambda i: F.col(f"m{i}"), covariance(s)) for s in STARTS})
 
 
 def _per_salt(model: DataFrame) -> DataFrame:
@@ -173,12 +182,9 @@ def _per_salt(model: DataFrame) -> DataFrame:
 def _distances(rows: DataFrame, model: DataFrame, names: list[str]) -> DataFrame:
     """``rows`` with d_* for each named model: the squared Mahalanobis distance; null for groups without a model."""
     df, kept = rows.join(_per_salt(model), ["g", "salt"], "left"), rows.columns
-    for s in names:
-        for i in range(DIMS):  # forward substitution
-            z = F.col(f"x{i}") - F.col(f"{s}.m{i}")
-            for j in range(i):
-                z = z - F.col(f"{s}.l{i}{j}") * F.col(f"z{j}_{s}")
-            df = df.withColumn(f"z{i}_{s}", z / F.col(f"{s}.l{i}{i}"))
+    for i in range(DIMS):  # forward substitution
+        z = lambda s, i=i: F.col(f"x{i}") - F.col(f"{s}.m{i}") - sum((F.col(f"{s}.l{i}{j}") * F.col(f"z{j}_{s}") for j in range(i)), F.lit(0.0))
+        df = df.withColumns({f"z{i}_{s}": z(s) / F.col(f"{s}.l{i}{i}") for s in names})
     return df.select(*kept, *[sum((F.col(f"z{i}_{s}") * F.col(f"z{i}_{s}") for i in range(DIMS)), F.lit(0.0)).alias(f"d_{s}") for s in names])
 
 
