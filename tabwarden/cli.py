@@ -23,6 +23,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--save", help="write what the collector was made with to this file")
     p.add_argument("--overwrite", action="store_true")
     p.add_argument("--json", action="store_true")
+    p.add_argument("--log", help="write the log to this file, too")
     return p
 
 
@@ -34,6 +35,10 @@ def main(args: list[str] | None = None, spark=None) -> int:
 
     a = parser().parse_args(args)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s")
+    if a.log:
+        handler = logging.FileHandler(a.log, encoding="utf-8")
+        handler.setFormatter(logging.Formatter("%(asctime)s %(levelname)s %(name)s %(message)s"))
+        logging.getLogger().addHandler(handler)
     try:
         pipeline = Pipeline(spark or session(), Config.load(a.config))
         if a.mode == "init":

@@ -69,3 +69,16 @@ def case_conflicts(df: DataFrame, columns: list[str], most: int = 10) -> DataFra
     distinct = value_counts(df, columns)
     groups = distinct.groupBy("column", F.lower("value").alias("folded")).agg(F.array_join(F.sort_array(F.collect_list("value")), "|").alias("spellings"), F.count("*").alias("n")).where("n > 1")
     return groups.withColumn("_r", F.row_number().over(Window.partitionBy("column").orderBy("folded"))).where(F.col("_r") <= most).drop("_r")
+
+
+def profile_frame(df: DataFrame, numeric_columns: list[str], categorical_columns: list[str], target: str | None = None) -> dict[str, DataFrame]:
+    """The whole profile of a table as small tables by name; columns and a target that are not there are left out."""
+    numbers, kinds = [c for c in numeric_columns if c in df.columns], [c for c in categorical_columns if c in df.columns]
+    out = {}
+    if numbers:
+        out["numeric"] = profile_numeric(df, numbers)
+    if kinds:
+        out |= {"categorical": profile_categorical(df, kinds), "case_conflicts": case_conflicts(df, kinds)}
+    if target and target in df.columns:
+        out["target"] = profile_target(df, target)
+    return out

@@ -86,7 +86,7 @@ class Pipeline:
     def init(self, reset: bool = False) -> dict:
         """Split the sources into periods; nothing is rewritten while the data and the table are as they were."""
         sources = batches.sources_from_config(self.config.data)
-        digest = batches.sources_hash(sources)
+        digest = batches.sources_hash(sources, self.spark)
         if not reset and digest == self.state.source_hash and self.state.batches:
             return {"fresh": False, "batches": len(self.state.batches)}
         found = batches.split_sources(self.spark, sources, self.table, self.time_col, self.fmt, self.config.get("batching.size", "month"), self.config.get("schema.required_columns", []))
@@ -140,7 +140,9 @@ class Pipeline:
                     raise ValueError("nothing is left after cleaning")
                 clean = self.with_target(clean).persist()
             with watch.stage("profile"):
-                report |= {"target": profile.profile_target(clean, self.label).first().asDict(), "profile": {"numeric": _rows(profile.profile_numeric(raw, [c for c in self.numeric if c in raw.columns])), "categorical": _rows(profile.profile_categorical(raw, [c for c in self.categorical if c in raw.columns])), "case_conflicts": _rows(profile.case_conflicts(raw, [c for c in self.categorical if c in raw.columns]))}}
+                parts = {name: _rows(made) for name, made in profile.profile_frame(raw, self.numeric, self.categorical).items()}
+                empty = {"numeric": [], "categorical": [], "case_conflicts": []}
+                report |= {"target": profile.profile_target(clean, self.label).first().asDict(), "profile": empty | parts}
             with watch.stage("rules"):
                 report["dynamic_rules"] = self._mined(clean, raw)
             with watch.stage("drift"):

@@ -54,42 +54,93 @@ def findings(report: dict) -> list[str]:
     return said
 
 
+def _by_rule(records: list[dict], part: str, value: str) -> dict[str, list[float]]:
+    """Values of a part's rows by rule, over the batches that have one."""
+    out: dict[str, list[float]] = {}
+    for q in records:
+        for r in q.get(part) or []:
+            if r.get(value) is not None:
+                out.setdefault(r["rule"], []).append(r[value])
+    return out
+
+
+def _worst(pairs: list[tuple[str, float]], most: int = 5) -> list[tuple[str, float]]:
+    """The largest values that are above 0, the earlier batch first."""
+    return sorted([p for p in pairs if p[1]], key=lambda p: -p[1])[:most]
+
+
 def sections(pipeline: Pipeline, analysis: dict | None = None) -> dict[str, list[str]]:
-    """Eleven sections of lines."""
-    ms, qs = pipeline.manifests(), [q for _, q in read_artifacts(pipeline.meta, "quality_")]
-    state, summary = pipeline.state, pipeline.registry.summary()
+    """Twelve sections of lines, from the records of all batches."""
+    ms, numbered = pipeline.manifests(), read_artifacts(pipeline.meta, "quality_")
+    qs, state, summary = [q for _, q in numbered], pipeline.state, pipeline.registry.summary()
+    name = {m["batch_idx"]: m["batch"] for m in ms}
+    labelled = [(name.get(i, str(i)), q) for i, q in numbered]
+    mean = lambda v: sum(v) / len(v) if v else 0.0
+
+    kept = [(n, q["cleaning"]["rows_out"]) for n, q in labelled]
+    data = [f"rows in {sum(q['cleaning']['rows_in'] for q in qs)}, kept {sum(r for _, r in kept)}"]
+    if kept:
+        small, large = min(kept, key=lambda p: p[1]), max(kept, key=lambda p: p[1])
+        data += [f"mean a batch {mean([r for _, r in kept]):.0f}, least {small[1]} ({small[0]}), most {large[1]} ({large[0]})"]
+    data += [f"{n}: {q['timeliness']['min_date']} to {q['timeliness']['max_date']}" for n, q in labelled[-1:] if (q.get("timeliness") or {}).get("min_date")]
+
+    gaps = [(n, q["completeness"]["max_column_ratio"], q["completeness"]["max_column"]) for n, q in labelled if q.get("completeness")]
+    complete = [f"largest missing share {max((g[1] or 0 for g in gaps), default=0):.4f}", f"mean missing share {mean([q['completeness']['total_missing_ratio'] or 0 for q in qs if q.get('completeness')]):.4f}"]
+    complete += [f"{n}: {share:.4f} of {next(g[2] for g in gaps if g[0] == n)}" for n, share in _worst([(g[0], g[1] or 0) for g in gaps])]
+
     dropped: dict[str, list[int]] = {}
+    skipped: dict[str, int] = {}
     for q in qs:
         for rule, n in q["cleaning"]["dropped_by_rule"].items():
             dropped.setdefault(rule, []).append(n)
+        for rule in q["cleaning"].get("skipped_by_rule") or {}:
+            skipped[rule] = skipped.get(rule, 0) + 1
+    cleaning = [f"sparse rows {sum(q['cleaning']['sparse_rows'] for q in qs)}, repeated rows {sum(q['cleaning']['duplicates'] for q in qs)}"]
+    cleaning += [f"{r}: {sum(n)} rows in {sum(x > 0 for x in n)} batches" for r, n in sorted(dropped.items())]
+    cleaning += [f"{r}: not applied in {n} batches, as it would take too much" for r, n in sorted(skipped.items())]
+
     types: dict[str, int] = {}
+    shown: dict[str, str] = {}
     for q in qs:
         for t in q["types"]:
             types[t["column"]] = types.get(t["column"], 0) + t["non_numeric"]
+            shown[t["column"]] = t.get("examples") or ""
+    valid, mined = _by_rule(qs, "validity", "ratio"), _by_rule(qs, "dynamic_rules", "violation_ratio")
+
+    status = [m["drift"]["status"] for m in ms]
+    moved = [f"{x}: {status.count(x)}" for x in ("ok", "warn", "alert") if x in status]
+    moved += [f"{n}: largest PSI {p:.4f}" for n, p in _worst([(m["batch"], m["drift"].get("max_psi") or 0) for m in ms])]
+    moved += [f"{n}: largest KS {p:.4f}" for n, p in _worst([(m["batch"], m["drift"].get("max_ks") or 0) for m in ms], 3)]
+
+    models: list[str] = []
+    for model in ORDER:
+        own = [(m["batch"], m["metrics"][model]) for m in ms if model in m["metrics"]]
+        if own:
+            last, best = own[-1][1], max(own, key=lambda p: p[1]["f1"])
+            auc = f", roc auc {last['roc_auc']:.4f}" if last.get("roc_auc") is not None else ""
+            models += [f"{model}: f1 {last['f1']:.4f}{auc}; mean f1 {mean([x['f1'] for _, x in own]):.4f}, best {best[1]['f1']:.4f} ({best[0]})"]
+    wins: dict[str, int] = {}
+    for w in (analysis or {}).get("winners", []):
+        wins[w["model"]] = wins.get(w["model"], 0) + 1
+    models += [f"{model} is the best in {n} batches" for model, n in sorted(wins.items(), key=lambda p: -p[1])]
+
     seconds: dict[str, float] = {}
     for m in ms:
-        for k, s in m["seconds"].items():
-            seconds[k] = seconds.get(k, 0.0) + s
-    mined: dict[str, list[float]] = {}
-    for q in qs:
-        for r in q["dynamic_rules"]:
-            if r["violation_ratio"] is not None:
-                mined.setdefault(r["rule"], []).append(r["violation_ratio"])
-    status = [m["drift"]["status"] for m in ms]
-    last = ms[-1] if ms else None
+        for k, t in m["seconds"].items():
+            seconds[k] = seconds.get(k, 0.0) + t
+    spent = [f"{k}: {format_duration(t)}" for k, t in sorted(seconds.items(), key=lambda x: -x[1])]
+    spent += [f"all: {format_duration(sum(seconds.values()))}, {format_duration(sum(seconds.values()) / len(ms))} a batch"] if ms else []
+    spent += [f"peak memory of the driver's Python {max(m.get('peak_mb', 0) for m in ms):.0f} MB"] if ms else []
     return {
-        "State": [f"batches {len(state.batches)}, processed {len(state.done)}, pending {len(state.remaining)}"],
-        "Data": [f"rows in {sum(q['cleaning']['rows_in'] for q in qs)}, kept {sum(q['cleaning']['rows_out'] for q in qs)}"],
-        "Completeness": [f"largest missing share {max((q['completeness']['max_column_ratio'] for q in qs), default=0):.4f}"],
-        "Cleaning": [f"{r}: {sum(n)} rows in {sum(x > 0 for x in n)} batches" for r, n in sorted(dropped.items())],
-        "Types": [f"{c}: {n} values are no numbers" for c, n in sorted(types.items())],
-        "Mined rules": [f"{r}: mean violation {sum(x) / len(x):.4f} in {len(x)} batches" for r, x in sorted(mined.items())],
-        "Drift": [f"{s}: {status.count(s)}" for s in ("ok", "warn", "alert") if s in status],
-        "Models": [f"{n}: f1 {x['f1']:.4f}" + (f", roc auc {x['roc_auc']:.4f}" if x.get("roc_auc") is not None else "") for n, x in (last["metrics"].items() if last else ())],
+        "State": [f"batches {len(state.batches)}, processed {len(state.done)}, pending {len(state.remaining)}", *[f"last {b}" for b in state.done[-1:]], *[f"next {b}" for b in state.remaining[:1]]],
+        "Data": data, "Completeness": complete,
+        "Validity": [f"{r}: mean violation {mean(x):.4f}, most {max(x):.4f}" for r, x in sorted(valid.items(), key=lambda p: -mean(p[1]))],
+        "Cleaning": cleaning, "Types": [f"{c}: {n} values are no numbers, such as {shown[c]}" for c, n in sorted(types.items())],
+        "Mined rules": [f"{r}: mean violation {mean(x):.4f} in {len(x)} batches" for r, x in sorted(mined.items())],
+        "Drift": moved, "Models": models,
         "Registry": [f"{n}: {x['versions']} versions, {x['rejected']} rejected, {x['pruned']} pruned" for n, x in summary["models"].items()] + [f"best: {summary['best']}"],
-        "Time": [f"{k}: {format_duration(s)}" for k, s in sorted(seconds.items(), key=lambda x: -x[1])],
-        "Findings": (analysis or {}).get("findings", []),
-    }
+        "Time": spent, "Findings": (analysis or {}).get("findings", []),
+    }
 
 
 def text_report(pipeline: Pipeline, out: Path, analysis: dict | None = None) -> Path:
@@ -134,8 +185,16 @@ def dashboard(pipeline: Pipeline, out: Path, analysis: dict | None = None) -> Pa
     names = [n for n in ORDER if any(n in m["metrics"] for m in ms)]
     charts = [
         chart("f1", {n: of(lambda m, n=n: (m["metrics"].get(n) or {}).get("f1")) for n in names}), chart("roc auc", {n: of(lambda m, n=n: (m["metrics"].get(n) or {}).get("roc_auc")) for n in names}),
-        chart("largest PSI", {"psi": of(lambda m: m["drift"]["max_psi"])}, {"warn": pipeline.thresholds.psi_warn, "alert": pipeline.thresholds.psi_alert}), chart("positive rate", {"rate": of(lambda m: m["target"]["rate"])}), chart("rows", {"clean": of(lambda m: m["rows_clean"])}),
+        chart("largest PSI", {"psi": of(lambda m: m["drift"].get("max_psi"))}, {"warn": pipeline.thresholds.psi_warn, "alert": pipeline.thresholds.psi_alert}), chart("positive rate", {"rate": of(lambda m: m["target"].get("rate"))}), chart("rows", {"clean": of(lambda m: m["rows_clean"])}),
+        chart("largest KS", {"ks": of(lambda m: m["drift"].get("max_ks"))}, {"warn": pipeline.thresholds.ks_warn}), chart("seconds", {k: of(lambda m, k=k: m["seconds"].get(k)) for k in ("train", "drift", "quality")}),
+        chart("predicted share of positives", {n: of(lambda m, n=n: (m["metrics"].get(n) or {}).get("predicted_positive_rate")) for n in names}),
     ] if ms else []
+    qs = [q for _, q in read_artifacts(pipeline.meta, "quality_")]
+    charts += [
+        chart("missing values", {"all": [q["completeness"]["total_missing_ratio"] for q in qs], "worst column": [q["completeness"]["max_column_ratio"] for q in qs]}),
+        chart("rows taken by cleaning", {"rules": [sum(q["cleaning"]["dropped_by_rule"].values()) for q in qs], "repeated": [q["cleaning"]["duplicates"] for q in qs], "sparse": [q["cleaning"]["sparse_rows"] for q in qs]}),
+        chart("violations", {r: [next((x["ratio"] for x in q["validity"] if x["rule"] == r), None) for q in qs] for r in sorted(_by_rule(qs, "validity", "ratio"))[:4]}),
+    ] if qs else []
     body = "".join(f"<h2>{html.escape(t)}</h2><ul>{''.join(f'<li>{html.escape(r)}</li>' for r in rows)}</ul>" for t, rows in sections(pipeline, analysis).items())
     out.mkdir(parents=True, exist_ok=True)
     page = out / "dashboard.html"

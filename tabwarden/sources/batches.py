@@ -56,8 +56,18 @@ def prepare(sources: list[Source]) -> dict[str, Path]:
     return out
 
 
-def sources_hash(sources: list[Source]) -> str:
-    return dataset_hash(dict(prepare(sources)))
+def sources_hash(sources: list[Source], spark: SparkSession | None = None) -> str:
+    """One hash over all sources: of the content of local files, and of names, lengths and times of what a URI holds, which Spark lists."""
+    found = prepare(sources)
+    listed = {n: listing_hash(spark, p) for n, p in found.items() if "://" in str(p)}
+    return dataset_hash({n: p for n, p in found.items() if n not in listed}, listed)
+
+
+def listing_hash(spark: SparkSession, uri: str) -> str:
+    """A hash of the files under a URI by name, length and time; no content is read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(uri).select("path", "length", "modificationTime")
+    n, total = files.agg(F.count("*"), F.sum(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)"))).first()
+    return f"{n}:{total}"
 
 
 def read_raw(spark: SparkSession, path: str | Path, source: str = "default") -> DataFrame:

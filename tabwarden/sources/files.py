@@ -83,9 +83,10 @@ def file_hash(path: str | Path) -> str:
     return digest.hexdigest()[:16]
 
 
-def dataset_hash(paths: dict[str, str | Path]) -> str:
-    """One hash over all sources by name."""
-    return hashlib.sha256("\n".join(f"{n}:{file_hash(p)}" for n, p in sorted(paths.items())).encode()).hexdigest()[:16]
+def dataset_hash(paths: dict[str, str | Path], known: dict[str, str] | None = None) -> str:
+    """One hash over all sources by name; ``known`` ones have a hash already."""
+    each = {n: file_hash(p) for n, p in paths.items()} | (known or {})
+    return hashlib.sha256("\n".join(f"{n}:{h}" for n, h in sorted(each.items())).encode()).hexdigest()[:16]
 
 
 def unzipped(path: str | Path, folder: str | Path, say=lambda text: None) -> Path:

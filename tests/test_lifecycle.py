@@ -61,7 +61,8 @@ def test_reports(trained, tmp_path):
     assert {k: v for k, v in got.items() if k != "broken"} == dict.fromkeys(["meta", "text", "html", "site"], "ok") and "zero" in got["broken"]
     text = (tmp_path / "report.txt").read_text()
     assert "Registry" in text and "<svg" in (tmp_path / "dashboard.html").read_text() and (tmp_path / "site/index.html").exists()
-    assert len(json.loads((tmp_path / "report.json").read_text())) == 11
+    made = json.loads((tmp_path / "report.json").read_text())
+    assert len(made) == 12 and any("PROD_YEAR" in x and "4D" in x for x in made["Types"]) and any(x.startswith("mlp: f1") for x in made["Models"]) and len(made["Time"]) > 5
     assert reports.chart("t", {"a": [1.0, None, 2.0]}).count("M") >= 2 and "no data" in reports.chart("<t>", {"a": []})
     assert runs(p.spark, p.manifests()).count() == 8
 
@@ -94,6 +95,8 @@ def test_cli(trained, spark, tmp_path, capsys):
     at = ["--config", str(root / "config.json")]
     assert cli.main(["collect", *at], spark) == 2 and cli.main(["collect", "--describe", "--json", *at], spark) == 0
     assert json.loads(capsys.readouterr().out)["batches"] == 2
+    assert cli.main(["collect", "--save", str(tmp_path / "c.json"), "--log", str(tmp_path / "run.log"), *at], spark) == 0 and (tmp_path / "run.log").exists()
+    assert batches.Collector.load(spark, str(tmp_path / "c.json")).describe()["batches"] == 2
     assert cli.main(["update", *at], spark) == 0 and cli.main(["infer", "--file", "/nope.csv", *at], spark) == 1 and cli.main(["init", "--config", "/nope.json"], spark) == 1
 
 
@@ -202,6 +205,16 @@ def test_stream_equals_batch(spark, tmp_path):
     assert late.isStreaming
 
 
+def test_sources_of_a_store_are_hashed_by_listing(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x\n1\n")
+    source = batches.Source("a", f"file://{tmp_path}/a.csv")
+    one = batches.sources_hash([source], spark)
+    assert one == batches.sources_hash([source], spark)
+    (tmp_path / "a.csv").write_text("x\n1\n2\n")
+    assert one != batches.sources_hash([source], spark)
+    assert files.prune_none({"a": None, "b": {"c": None}, "d": [None, {"e": 0}], "f": ""}) == {"d": [{"e": 0}], "f": ""}
+
+
 def test_sources_are_checked():
     with pytest.raises(ValueError) as e:
         batches.sources_from_config({"sources": [{"name": "a", "path": "x", "share": 2}, {"name": "b", "path": "y"}]})
