@@ -17,16 +17,19 @@ PART_ROWS, MOST, _BLOCK = 2_000_000, 4096, 64
 
 
 def _cuts(rows: DataFrame, key: str, scale: Column, part_rows: int) -> DataFrame | None:
-    """(key, _cuts) with range bounds in blocks, or None where every key has few rows."""
-    wanted = F.array(*[F.lit(i / MOST) for i in range(1, MOST)])
-    found = rows.groupBy(key).agg(F.count("*").alias("n"), F.percentile_approx(scale, wanted, 20_000).alias("at")).collect()  # a row a key
-    if all(r["n"] <= part_rows for r in found):
+    """(key, _cuts) with range bounds in blocks, or None where every key has few rows; only keys with many rows are cut."""
+    sizes = {r[key]: r["n"] for r in rows.groupBy(key).agg(F.count("*").alias("n")).collect()}  # a row a key
+    many = [k for k, n in sizes.items() if n > part_rows]
+    if not many:
         return None
+    wanted = F.array(*[F.lit(i / MOST) for i in range(1, MOST)])
+    found = rows.groupBy(key).agg(F.percentile_approx(scale, wanted, 20_000).alias("at")).collect()
     made = []
     for r in found:
-        step = max(1, MOST * part_rows // max(r["n"], 1))
-        at = sorted(set((r["at"] or [])[step - 1 :: step]))
-        made.append((r[key], [at[i : i + _BLOCK] for i in range(0, len(at), _BLOCK)]))
+        if r[key] in many:
+            step = max(1, MOST * part_rows // sizes[r[key]])
+            at = sorted(set((r["at"] or [])[step - 1 :: step]))
+            made.append((r[key], [at[i : i + _BLOCK] for i in range(0, len(at), _BLOCK)]))
     kind = T.StructType([T.StructField(key, rows.schema[key].dataType), T.StructField("_cuts", T.ArrayType(T.ArrayType(T.DoubleType())))])
     return rows.sparkSession.createDataFrame(made, kind)
 
@@ -37,7 +40,7 @@ def _parted(df: DataFrame, key: str, scale: Column, cuts: DataFrame | None) -> D
         return df.withColumn("_part", F.lit(0))
     cuts = cuts.withColumnRenamed(key, "_key")
     at = df.withColumn("_scale", F.coalesce(scale, F.lit(float("-inf")))).join(F.broadcast(cuts), F.col(key).eqNullSafe(F.col("_key")), "left")
-    block = F.size(F.filter("_cuts", lambda b: F.col("_scale") >= b[0]))
+    block = F.coalesce(F.size(F.filter("_cuts", lambda b: F.col("_scale") >= b[0])), F.lit(0))  # keys without cuts are one range
     inside = F.size(F.filter(F.get("_cuts", block - 1), lambda x: F.col("_scale") >= x))
     return at.withColumn("_part", F.when(block > 0, (block - 1) * _BLOCK + inside).otherwise(0)).drop("_cuts", "_scale", "_key")
 
@@ -76,11 +79,6 @@ def counted(values: DataFrame) -> DataFrame:
     return ranked(values.select("column", "value", F.lit(1).cast("long").alias("n")), ["n"])
 
 
-def quantiles(values: DataFrame, wanted: dict[str, float]) -> DataFrame:
-    """(column, names...) with the exact quantiles of (column, value) rows."""
-    return counted(values).groupBy("column").agg(*[quantile(q).alias(name) for name, q in wanted.items()])
-
-
 def _scale(df: DataFrame, name: str) -> Column:
     """A number that grows with the column's order: the value, the time in seconds, or the first bytes of a text."""
     kind, c = df.schema[name].dataType, F.col(name)
