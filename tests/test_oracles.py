@@ -17,5 +17,5 @@ def test_query_equals_its_sql(spark, name):
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    there = importlib.util.find_spec("tabwarden.llm") is not None
+    there = importlib.util.find_spec("tabwarden.llm") is not None and importlib.util.find_spec("tabwarden.llm.queries") is not None
     assert ("pipeline" in entry.queries()) == there
