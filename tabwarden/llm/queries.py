@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, contamination, neardup, packing, passages, pii, quality, toxicity, urls, warc
+from . import bpe, chat, contamination, neardup, packing, passages, pii, quality, toxicity, urls, warc
 
 #: The rules of the query on URLs: (verdict, host, path).
 URL_RULES = [("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow", "net", "/de/"), ("block", "example.net", "/de/8"), ("block", "org", "/es/")]
@@ -209,6 +209,32 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def byte_tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encode all documents, and decode the ids that came out."""
+    made = bpe.encoded(_read(spark, sf_dir, "documents", "doc_id", "text"), byte_tokenizer())
+    told = made.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        "ids",
+    )
+    return bpe.decoded(told, byte_tokenizer()).select("doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256"))
+
+
+def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part of encoding and decoding that SQL can say: texts come back as they were."""
+    return op11_bpe(spark, sf_dir).select("doc_id", "decoded_sha256")
+
+
+ROUND_TRIP_SQL = "SELECT doc_id, sha256(coalesce(text, '')) AS decoded_sha256 FROM documents"
+
+
 def quality_base_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The part of the quality rules that SQL can say: base counts and the base verdict of every document."""
     made = quality.with_counts(_read(spark, sf_dir, "documents", "doc_id", "text"))
@@ -263,5 +289,30 @@ a AS (SELECT doc_id, {counts}, sha256(string_agg({said}, ',' ORDER BY start, num
 SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in kinds)}, coalesce(base_sha256, sha256('')) AS base_sha256 FROM t LEFT JOIN a USING (doc_id)"""
 
 
-QUERIES = {"op1_chat_formatting": op1_chat_formatting, "op2_substring_dedup": op2_substring_dedup, "op3_url_filters": op3_url_filters, "op4_benchmark_decontamination": op4_benchmark_decontamination, "op5_minhash_near_dedup": op5_minhash_near_dedup, "op6_packing": op6_packing, "op7_warc": op7_warc, "op8_pii": op8_pii, "op9_toxicity": op9_toxicity, "op10_quality_rules": op10_quality_rules, "quality_base_counts": quality_base_counts, "pii_base_spans": pii_base_spans}
-ORACLES = {"op1_chat_formatting": OP1_SQL, "op2_substring_dedup": OP2_SQL, "op3_url_filters": OP3_SQL, "op4_benchmark_decontamination": OP4_SQL, "op5_minhash_near_dedup": OP5_SQL, "op7_warc": OP7_SQL, "quality_base_counts": BASE_COUNTS_SQL, "pii_base_spans": _base_spans_sql()}
+QUERIES = {
+    "op1_chat_formatting": op1_chat_formatting,
+    "op2_substring_dedup": op2_substring_dedup,
+    "op3_url_filters": op3_url_filters,
+    "op4_benchmark_decontamination": op4_benchmark_decontamination,
+    "op5_minhash_near_dedup": op5_minhash_near_dedup,
+    "op6_packing": op6_packing,
+    "op7_warc": op7_warc,
+    "op8_pii": op8_pii,
+    "op9_toxicity": op9_toxicity,
+    "op10_quality_rules": op10_quality_rules,
+    "op11_bpe": op11_bpe,
+    "quality_base_counts": quality_base_counts,
+    "pii_base_spans": pii_base_spans,
+    "bpe_round_trip": bpe_round_trip,
+}
+ORACLES = {
+    "op1_chat_formatting": OP1_SQL,
+    "op2_substring_dedup": OP2_SQL,
+    "op3_url_filters": OP3_SQL,
+    "op4_benchmark_decontamination": OP4_SQL,
+    "op5_minhash_near_dedup": OP5_SQL,
+    "op7_warc": OP7_SQL,
+    "quality_base_counts": BASE_COUNTS_SQL,
+    "pii_base_spans": _base_spans_sql(),
+    "bpe_round_trip": ROUND_TRIP_SQL,
+}
