@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, contamination, neardup, packing, passages, pii, quality, toxicity, urls, warc
+from . import bpe, chat, codes, contamination, neardup, packing, passages, pii, quality, toxicity, urls, warc
 
 #: The rules of the query on URLs: (verdict, host, path).
 URL_RULES = [("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow", "net", "/de/"), ("block", "example.net", "/de/8"), ("block", "org", "/es/")]
@@ -235,6 +235,51 @@ def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 ROUND_TRIP_SQL = "SELECT doc_id, sha256(coalesce(text, '')) AS decoded_sha256 FROM documents"
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all vectors, their errors, and the errors of their labels."""
+    vectors = _read(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
+    made, books = codes.compressed(vectors, keep=("label",))
+    labels = made.groupBy(F.col("label").alias("_label")).agg(F.sum("error").alias("label_error"))
+    digits = F.array_join(F.transform("near", lambda c: F.lower(F.lpad(F.hex(c), 2, "0"))), "")
+    return made.join(labels, F.col("label").eqNullSafe(F.col("_label"))).select(
+        F.col("id").alias("vec_id"), digits.alias("code"), "error", "label_error", F.sha2(F.lit(books.written_out()), 256).alias("codebooks_sha256")
+    )
+
+
+def _codes_sql(rounds: int = 4) -> str:
+    """The rounds one after another; products of these whole numbers are exact as doubles."""
+    near = (
+        "SELECT vec_id, part, any_value(x) AS x, min(CAST(list_inner_product(x, x) - 2 * list_inner_product(x, c)"
+        " + list_inner_product(c, c) AS BIGINT) * 256 + i) AS best FROM p JOIN c{k} USING (part) GROUP BY vec_id, part"
+    )
+    steps = []
+    for k in range(rounds):
+        steps.append(f"a{k} AS MATERIALIZED ({near.format(k=k)})")
+        steps.append(f"""m{k} AS MATERIALIZED (
+  SELECT part, i, list(mean ORDER BY pos) AS c FROM (
+    SELECT part, best % 256 AS i, pos, floor(sum(x[pos]) / count(*)) AS mean FROM a{k}, (SELECT unnest(range(1, w + 1)) AS pos FROM width) GROUP BY ALL
+  ) GROUP BY part, i)""")
+        steps.append(f"c{k + 1} AS MATERIALIZED (SELECT part, i, coalesce(m{k}.c, c{k}.c) AS c FROM c{k} LEFT JOIN m{k} USING (part, i))")
+    return f"""
+WITH k AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), width AS (SELECT CAST(len(v) // 4 AS BIGINT) AS w FROM k LIMIT 1
+), p AS MATERIALIZED (
+  SELECT vec_id, part, v[part * w + 1:(part + 1) * w] AS x FROM k, width, (SELECT unnest(range(0, 4)) AS part)
+), c0 AS MATERIALIZED (
+  SELECT part, i, x AS c FROM p JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS i FROM k ORDER BY vec_id LIMIT 256) USING (vec_id)
+), {", ".join(steps)}, last AS MATERIALIZED ({near.format(k=rounds)}
+), book AS (
+  SELECT sha256(string_agg(CAST(CAST(x AS BIGINT) AS VARCHAR), ',' ORDER BY part, i, pos)) AS codebooks_sha256
+  FROM (SELECT part, i, unnest(c) AS x, unnest(range(1, len(c) + 1)) AS pos FROM c{rounds})
+), coded AS (
+  SELECT vec_id, string_agg(printf('%02x', best % 256), '' ORDER BY part) AS code, CAST(sum(best // 256) AS BIGINT) AS error FROM last GROUP BY vec_id
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM coded JOIN k USING (vec_id), book
+"""
+
+
 def quality_base_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The part of the quality rules that SQL can say: base counts and the base verdict of every document."""
     made = quality.with_counts(_read(spark, sf_dir, "documents", "doc_id", "text"))
@@ -301,6 +346,7 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_quality_rules": op10_quality_rules,
     "op11_bpe": op11_bpe,
+    "op12_vector_codes": op12_vector_codes,
     "quality_base_counts": quality_base_counts,
     "pii_base_spans": pii_base_spans,
     "bpe_round_trip": bpe_round_trip,
@@ -312,6 +358,7 @@ ORACLES = {
     "op4_benchmark_decontamination": OP4_SQL,
     "op5_minhash_near_dedup": OP5_SQL,
     "op7_warc": OP7_SQL,
+    "op12_vector_codes": _codes_sql(),
     "quality_base_counts": BASE_COUNTS_SQL,
     "pii_base_spans": _base_spans_sql(),
     "bpe_round_trip": ROUND_TRIP_SQL,
