@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, codes, contamination, neardup, packing, passages, pii, quality, toxicity, urls, warc
+from . import bpe, chat, codes, contamination, divergence, neardup, packing, passages, pii, quality, toxicity, urls, warc
 
 #: The rules of the query on URLs: (verdict, host, path).
 URL_RULES = [("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow", "net", "/de/"), ("block", "example.net", "/de/8"), ("block", "org", "/es/")]
@@ -280,6 +280,44 @@ SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT)
 """
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far each source is from the others of its language, and the terms that set it apart."""
+    return divergence.source_divergences(_read(spark, sf_dir, "documents", "text", "lang", "source"))
+
+
+OP13_SQL = r"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+), x AS MATERIALIZED (
+  SELECT doc, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d
+), l AS MATERIALIZED (
+  SELECT lang, term, count(*) AS n FROM x GROUP BY ALL HAVING count(DISTINCT doc) >= 10
+), v AS (
+  SELECT lang, count(*) AS v, sum(n) AS n FROM l GROUP BY lang
+), c AS MATERIALIZED (
+  SELECT lang, source, term, count(*) AS n FROM x SEMI JOIN l USING (lang, term) GROUP BY ALL
+), g AS MATERIALIZED (
+  SELECT d.lang, d.source, coalesce(any_value(s.n), 0) AS n FROM d LEFT JOIN (SELECT lang, source, sum(n) AS n FROM c GROUP BY ALL) s USING (lang, source) GROUP BY ALL
+), p AS MATERIALIZED (
+  SELECT g.lang, g.source, l.term, coalesce(c.n, 0) AS n,
+    CAST(1 + CAST(1000000000 AS HUGEINT) * (coalesce(c.n, 0) + 2) // (g.n + 2 * v.v) AS BIGINT) AS p,
+    CAST(1 + CAST(1000000000 AS HUGEINT) * (l.n + 2) // (v.n + 2 * v.v) AS BIGINT) AS q
+  FROM g JOIN l USING (lang) JOIN v USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = l.term
+), s AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), u AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM p WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, value, rank FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS INT) AS rank FROM u
+) WHERE part = 'pair' OR rank <= 10
+"""
+
+
 def quality_base_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The part of the quality rules that SQL can say: base counts and the base verdict of every document."""
     made = quality.with_counts(_read(spark, sf_dir, "documents", "doc_id", "text"))
@@ -347,6 +385,7 @@ QUERIES = {
     "op10_quality_rules": op10_quality_rules,
     "op11_bpe": op11_bpe,
     "op12_vector_codes": op12_vector_codes,
+    "op13_source_divergence": op13_source_divergence,
     "quality_base_counts": quality_base_counts,
     "pii_base_spans": pii_base_spans,
     "bpe_round_trip": bpe_round_trip,
@@ -359,6 +398,7 @@ ORACLES = {
     "op5_minhash_near_dedup": OP5_SQL,
     "op7_warc": OP7_SQL,
     "op12_vector_codes": _codes_sql(),
+    "op13_source_divergence": OP13_SQL,
     "quality_base_counts": BASE_COUNTS_SQL,
     "pii_base_spans": _base_spans_sql(),
     "bpe_round_trip": ROUND_TRIP_SQL,
