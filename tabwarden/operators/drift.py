@@ -108,11 +108,12 @@ def new_categories(reference: DataFrame, actual: DataFrame, most: int = 8) -> Da
 def thinned(values: DataFrame, order: list[str], extend: bool = False, limit: int = LIMIT) -> DataFrame:
     """(column, seq, value): every k-th value in the given order, so that about ``limit`` are left a column.
 
+    The value is the last key of the order, so that equal places have equal values and a retry keeps the same ones.
     Setting takes k = n // limit + 1 beyond the limit, extending k = max(n // limit, 1).
     """
     n = F.col("total")
     step = F.when(n > limit, F.greatest(F.floor(n / limit), F.lit(1)) if extend else F.floor(n / limit) + 1).otherwise(1)
-    return numbered(values, "column", order).where(F.col("place") % step == 0).select("column", F.col("place").alias("seq"), "value")
+    return numbered(values, "column", [*order, "value"]).where(F.col("place") % step == 0).select("column", F.col("place").alias("seq"), "value")
 
 
 @dataclass

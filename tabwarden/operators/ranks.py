@@ -1,65 +1,59 @@
 """Ranks, exact quantiles and places in an order, without a task that sorts a whole column.
 
-Values are counted first, so that a frequent value is one row.  Where a column has more rows than a task should sort, approximate
-quantiles cut it into ranges; each range is sorted alone, and the sums of the ranges before it are added.  The cuts are at most
-``MOST`` numbers a column and go through the driver, so that every part of a plan has the same ones; they decide only
-how work is dealt out, never a result.
+:func:`ranked` counts values first, so that a frequent value is one row.  Each value has a bucket that grows with it, by arithmetic on the
+value and its column's bounds; a bucket is sorted alone, and the sums of the buckets before it, at most ``3 * BUCKETS`` a
+column, are added.  It is one lazy plan over one scan: all parts read the shuffle that counts.
+
+:func:`numbered` places rows by several columns.  Spark deals rows out by cut points over all of them, and over a last number of chance,
+so that equal rows are split too; what is dealt out is a table in the shared folder, so that counts and rows agree whenever tasks run again.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-#: Rows that one task sorts, about; cuts of a column at most (in blocks of _BLOCK).
-PART_ROWS, MOST, _BLOCK = 2_000_000, 4096, 64
-
-
-def _cuts(rows: DataFrame, key: str, scale: Column, part_rows: int) -> DataFrame | None:
-    """(key, _cuts) with range bounds in blocks, or None where every key has few rows; only keys with many rows are cut."""
-    sizes = {r[key]: r["n"] for r in rows.groupBy(key).agg(F.count("*").alias("n")).collect()}  # a row a key
-    many = [k for k, n in sizes.items() if n > part_rows]
-    if not many:
-        return None
-    wanted = F.array(*[F.lit(i / MOST) for i in range(1, MOST)])
-    found = rows.groupBy(key).agg(F.percentile_approx(scale, wanted, 20_000).alias("at")).collect()
-    made = []
-    for r in found:
-        if r[key] in many:
-            step = max(1, MOST * part_rows // sizes[r[key]])
-            at = sorted(set((r["at"] or [])[step - 1 :: step]))
-            made.append((r[key], [at[i : i + _BLOCK] for i in range(0, len(at), _BLOCK)]))
-    kind = T.StructType([T.StructField(key, rows.schema[key].dataType), T.StructField("_cuts", T.ArrayType(T.ArrayType(T.DoubleType())))])
-    return rows.sparkSession.createDataFrame(made, kind)
-
-
-def _parted(df: DataFrame, key: str, scale: Column, cuts: DataFrame | None) -> DataFrame:
-    """``df`` with _part, the range that a row lies in; ranges are in the order of ``scale``."""
-    if cuts is None:
-        return df.withColumn("_part", F.lit(0))
-    cuts = cuts.withColumnRenamed(key, "_key")
-    at = df.withColumn("_scale", F.coalesce(scale, F.lit(float("-inf")))).join(F.broadcast(cuts), F.col(key).eqNullSafe(F.col("_key")), "left")
-    block = F.coalesce(F.size(F.filter("_cuts", lambda b: F.col("_scale") >= b[0])), F.lit(0))  # keys without cuts are one range
-    inside = F.size(F.filter(F.get("_cuts", block - 1), lambda x: F.col("_scale") >= x))
-    return at.withColumn("_part", F.when(block > 0, (block - 1) * _BLOCK + inside).otherwise(0)).drop("_cuts", "_scale", "_key")
-
-
-def ranked(rows: DataFrame, weights: list[str], part_rows: int = PART_ROWS) -> DataFrame:
+
+from ..session import written
+
+#: Steps between a column's bounds in a linear and in a root scale.
+BUCKETS = 1 << 16
+
+
+def _bucket(buckets: int) -> Column:
+    """A whole number that never falls as ``value`` grows, from the finite bounds _lo and _hi of its column.
+
+    A linear scale parts what is dense between the bounds, an eighth root what is dense near 0.  Differences, quotients and square
+    roots are rounded to the nearest, so each step keeps the order, and so does the sum.
+    """
+    x, lo, hi = F.col("value"), F.col("_lo"), F.col("_hi")
+    inside = F.greatest(F.least(x, hi), lo)
+    linear = F.coalesce(F.floor((inside - lo) / F.nullif(hi - lo, F.lit(0.0)) * buckets), F.lit(0))
+    share = F.abs(inside) / F.nullif(F.greatest(F.abs(lo), F.abs(hi)), F.lit(0.0))
+    root = F.coalesce(F.floor(F.sqrt(F.sqrt(F.sqrt(share))) * buckets), F.lit(0))
+    both = linear + F.when(inside < 0, -root).otherwise(root)
+    return F.when(x.isNull(), F.lit(-(1 << 40))).when(F.isnan(x), F.lit(1 << 40)).otherwise(F.coalesce(both, F.lit(0)))
+
+
+def ranked(rows: DataFrame, weights: list[str], buckets: int = BUCKETS) -> DataFrame:
     """(column, value, weights..., before_*, total_*) of rows (column, value, weights...): a row per distinct value.
 
     ``before_w`` is the sum of weight w over the column's smaller values, ``total_w`` over all of its values.
     """
     counts = rows.groupBy("column", "value").agg(*[F.sum(w).alias(w) for w in weights])
-    at = _parted(counts, "column", F.col("value"), _cuts(rows, "column", F.col("value"), part_rows))
-    per = at.groupBy("column", "_part").agg(*[F.sum(w).alias(w) for w in weights])
+    # half of the largest double: differences of bounds stay finite
+    finite = F.when(F.abs("value") < 8e307, F.col("value"))
+    bounds = counts.groupBy("column").agg(F.min(finite).alias("_lo"), F.max(finite).alias("_hi"))
+    at = counts.join(F.broadcast(bounds), "column").withColumn("_bucket", _bucket(buckets)).drop("_lo", "_hi")  # a row a column
+    per = at.groupBy("column", "_bucket").agg(*[F.sum(w).alias(w) for w in weights])
     column = Window.partitionBy("column")
-    earlier = column.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    per = per.select("column", "_part", *[F.coalesce(F.sum(w).over(earlier), F.lit(0)).alias(f"_b_{w}") for w in weights], *[F.sum(w).over(column).alias(f"total_{w}") for w in weights])
-    smaller = Window.partitionBy("column", "_part").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
-    inside = at.select("*", *[F.coalesce(F.sum(w).over(smaller), F.lit(0)).alias(f"_i_{w}") for w in weights])
-    made = inside.join(F.broadcast(per), ["column", "_part"])  # at most MOST rows a column
-    return made.select("column", "value", *weights, *[(F.col(f"_i_{w}") + F.col(f"_b_{w}")).alias(f"before_{w}") for w in weights], *[f"total_{w}" for w in weights])
+    earlier = column.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sums = {f"_b_{w}": F.coalesce(F.sum(w).over(earlier), F.lit(0)) for w in weights} | {f"total_{w}": F.sum(w).over(column) for w in weights}
+    per = per.withColumns(sums).select("column", "_bucket", *sums)
+    smaller = Window.partitionBy("column", "_bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    inside = at.withColumns({f"_i_{w}": F.coalesce(F.sum(w).over(smaller), F.lit(0)) for w in weights})
+    made = inside.join(per, ["column", "_bucket"])
+    before = [(F.col(f"_i_{w}") + F.col(f"_b_{w}")).alias(f"before_{w}") for w in weights]
+    return made.select("column", "value", *weights, *before, *[f"total_{w}" for w in weights])
 
 
 def quantile(q: float, weight: str = "n") -> Column:
@@ -79,27 +73,21 @@ def counted(values: DataFrame) -> DataFrame:
     return ranked(values.select("column", "value", F.lit(1).cast("long").alias("n")), ["n"])
 
 
-def _scale(df: DataFrame, name: str) -> Column:
-    """A number that grows with the column's order: the value, the time in seconds, or the first bytes of a text."""
-    kind, c = df.schema[name].dataType, F.col(name)
-    if isinstance(kind, T.StringType):
-        return F.conv(F.rpad(F.hex(F.substring(F.encode(c, "utf-8"), 1, 6)), 12, "0"), 16, 10).cast("double")
-    if isinstance(kind, T.DateType | T.TimestampType | T.TimestampNTZType):
-        return F.unix_seconds(c.cast("timestamp")).cast("double")
-    return c.cast("double")
-
-
-def numbered(df: DataFrame, key: str, order: list[str], part_rows: int = PART_ROWS) -> DataFrame:
+def numbered(df: DataFrame, key: str, order: list[str], ranges: int | None = None) -> DataFrame:
     """``df`` with place (from 0) and total: each row's place among those of its key, in the order of the columns, and their number.
 
-    Ranges are cut by the first column of the order; rows that are equal in it stay together.
+    Rows that are equal in the order go by a hash of the whole row, so only equal rows are interchangeable.
     """
-    scale = _scale(df, order[0])
-    at = _parted(df, key, scale, _cuts(df, key, scale, part_rows))
-    per = at.groupBy(key, "_part").agg(F.count("*").alias("_n"))
-    whole = Window.partitionBy(key)
-    earlier = F.coalesce(F.sum("_n").over(whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    per = per.select(F.col(key).alias("_key"), F.col("_part").alias("_p"), earlier.alias("_before"), F.sum("_n").over(whole).alias("total"))
-    inside = at.withColumn("_i", F.row_number().over(Window.partitionBy(key, "_part").orderBy(*order)) - 1)
-    made = inside.join(F.broadcast(per), F.col(key).eqNullSafe(F.col("_key")) & (F.col("_part") == F.col("_p")))
-    return made.withColumn("place", (F.col("_i") + F.col("_before")).cast("long")).drop("_i", "_part", "_p", "_key", "_before")
+    ties = {"_hash": F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), "_chance": F.rand(7)}
+    by = [F.col(f"`{c}`") for c in (key, *order)] + [F.col(c) for c in ties]
+    dealt = df.withColumns(ties)
+    dealt = dealt.repartitionByRange(ranges, *by) if ranges else dealt.repartitionByRange(*by)
+    table = written(dealt.sortWithinPartitions(*by).withColumn("_id", F.monotonically_increasing_id()).drop(*ties), "numbered")
+    part = F.shiftright("_id", 33)
+    per = table.groupBy(F.col(f"`{key}`").alias("_key"), part.alias("_p")).agg(F.count("*").alias("_n"), F.min("_id").alias("_first"))
+    whole = Window.partitionBy("_key")
+    earlier = F.coalesce(F.sum("_n").over(whole.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    per = per.select("_key", "_p", (earlier - F.col("_first")).alias("_shift"), F.sum("_n").over(whole).alias("total"))
+    # a key's rows of a range stand together, so a row's place is its number with one shift
+    made = table.join(per, F.col(f"`{key}`").eqNullSafe(F.col("_key")) & (part == F.col("_p")))
+    return made.withColumn("place", F.col("_id") + F.col("_shift")).drop("_id", "_p", "_key", "_shift")

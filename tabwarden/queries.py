@@ -340,7 +340,7 @@ def _thin_sql(where: str, extend: bool) -> str:
     """Every k-th value of all numeric columns in the stated order."""
     each = _union(f"SELECT '{c}' AS \"column\", ORDER_KEY, LINE, PREMIUM, CAST({c} AS DOUBLE) AS value FROM policy WHERE {where} AND {c} IS NOT NULL" for c in _DRIFT)
     k = f"greatest(n // {_LIMIT}, 1)" if extend else f"n // {_LIMIT} + 1"
-    places = f'SELECT "column", value, row_number() OVER (PARTITION BY "column" ORDER BY ORDER_KEY, LINE, PREMIUM NULLS FIRST) - 1 AS seq, count(*) OVER (PARTITION BY "column") AS n FROM ({each})'
+    places = f'SELECT "column", value, row_number() OVER (PARTITION BY "column" ORDER BY ORDER_KEY, LINE, PREMIUM NULLS FIRST, value) - 1 AS seq, count(*) OVER (PARTITION BY "column") AS n FROM ({each})'
     return f'SELECT "column", seq, value FROM ({places}) WHERE seq % CASE WHEN n > {_LIMIT} THEN {k} ELSE 1 END = 0'
 
 
@@ -356,9 +356,9 @@ def _first_reference(spark: SparkSession, sf_dir: str) -> drift.Reference:
     return drift.set_reference(first, _DRIFT, list(_SHIFTED), None, _ORDER)
 
 
-def _extended(spark: SparkSession, sf_dir: str) -> drift.Reference:
+def _extended(spark: SparkSession, sf_dir: str, window: int = _WINDOW) -> drift.Reference:
     batch = policy(spark, sf_dir).where(_MIDDLE.replace("TIMESTAMP ", "TIMESTAMP_NTZ ")).withColumn("MAKE", F.expr(_ACT_MAKE))
-    return drift.extend_reference(_first_reference(spark, sf_dir), batch, _ORDER, _WINDOW)
+    return drift.extend_reference(_first_reference(spark, sf_dir), batch, _ORDER, window)
 
 
 @query(f'{_KEPT} FROM ({_thin_sql(_REF, False)}) GROUP BY 1')
@@ -367,13 +367,24 @@ def drift_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _kept(_first_reference(spark, sf_dir).numeric)
 
 
-@query(f"""WITH r AS ({_thin_sql(_REF, False)}), x AS ({_thin_sql(_MIDDLE, True)}), b AS (SELECT * FROM r UNION ALL SELECT x."column", x.seq + l.base, x.value FROM x JOIN (SELECT "column", max(seq) + 1 AS base FROM r GROUP BY 1) l USING ("column")),
-k AS (SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY seq DESC) AS i FROM b) {_KEPT} FROM k WHERE i <= {_LIMIT * _WINDOW} GROUP BY 1""")
+def _extended_sql(window: int) -> str:
+    return f"""WITH r AS ({_thin_sql(_REF, False)}), x AS ({_thin_sql(_MIDDLE, True)}), b AS (
+  SELECT * FROM r UNION ALL SELECT x."column", x.seq + l.base, x.value FROM x JOIN (SELECT "column", max(seq) + 1 AS base FROM r GROUP BY 1) l USING ("column")
+), k AS (SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY seq DESC) AS i FROM b) {_KEPT} FROM k WHERE i <= {_LIMIT * window} GROUP BY 1"""
+
+
+@query(_extended_sql(_WINDOW))
 def drift_reference_extended(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rolling reference after one more batch: the newest values within the window."""
     return _kept(_extended(spark, sf_dir).numeric)
 
 
+@query(_extended_sql(1))
+def drift_reference_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with a window of one batch, so that the oldest values go."""
+    return _kept(_extended(spark, sf_dir, 1).numeric)
+
+
 @query(f"""WITH r AS ({_shares_sql(_REF, 'MAKE')}), c AS ({_shares_sql(_MIDDLE, _ACT_MAKE)})
 SELECT "column", value, round(CASE WHEN r.share IS NULL THEN c.share WHEN c.share IS NULL THEN r.share ELSE (r.share + c.share) / 2 END, 9) AS share FROM r FULL JOIN c USING ("column", value)""")
 def drift_reference_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -701,7 +712,7 @@ def unknown_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""WITH t AS (SELECT *, row_number() OVER (ORDER BY event_id) - 1 AS i FROM events) SELECT event_type, count(*) AS n, sum(event_id)::BIGINT AS ids FROM t WHERE i % 7 = 0 GROUP BY 1""")
 def systematic_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every seventh event in id order; places come from counts before each range of ids, not from one sorted partition."""
-    at = ranks.numbered(spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("all", F.lit(0)), "all", ["event_id"], part_rows=1000)
+    at = ranks.numbered(spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("all", F.lit(0)), "all", ["event_id"], ranges=16)
     return at.where(F.col("place") % 7 == 0).groupBy("event_type").agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"))
 
 

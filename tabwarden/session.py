@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def session(name: str = "tabwarden", **conf: str) -> SparkSession:
@@ -46,6 +46,25 @@ def rename(spark: SparkSession, old: str, new: str) -> None:
         raise OSError(f"{old} could not be renamed")
 
 
+#: Tables of :func:`written` that are still there.
+_TABLES: set[str] = set()
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder: all readings agree, and lost executors cost only the reading."""
+    spark, path = df.sparkSession, scratch(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    _TABLES.add(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def discard_written(spark: SparkSession) -> None:
+    """Delete the tables of :func:`written`; results that were not saved elsewhere go with them."""
+    for path in list(_TABLES):
+        delete(spark, path)
+    _TABLES.clear()
+
+
 @cache
 def _own_dir() -> str:
     return f"file://{tempfile.mkdtemp(prefix='tabwarden-')}"

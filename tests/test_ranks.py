@@ -18,10 +18,10 @@ def values():
     return out + [("d", x) for x in (-math.inf, -0.0, 0.0, 1e300, math.inf, 2.0, 2.0)]
 
 
-@pytest.mark.parametrize("part", [50, ranks.PART_ROWS])
-def test_ranks_and_quantiles(spark, part):
+@pytest.mark.parametrize("buckets", [1, 50, ranks.BUCKETS])
+def test_ranks_and_quantiles(spark, buckets):
     rows = values()
-    at = ranks.ranked(spark.createDataFrame(rows, ROWS).withColumn("n", F.lit(1).cast("long")), ["n"], part)
+    at = ranks.ranked(spark.createDataFrame(rows, ROWS).withColumn("n", F.lit(1).cast("long")), ["n"], buckets)
     got = {(r.column, r.value): (r.n, r.before_n, r.total_n) for r in at.collect()}
     for column in "abcd":
         own = [v for c, v in rows if c == column]
@@ -33,14 +33,14 @@ def test_ranks_and_quantiles(spark, part):
             assert math.isclose(made[column][f"q{q}"], np.quantile(own, q / 100), abs_tol=1e-12)
 
 
-@pytest.mark.parametrize("part", [30, ranks.PART_ROWS])
+@pytest.mark.parametrize("ranges", [None, 7])
 @pytest.mark.parametrize("order", [["x", "i"], ["s", "i"], ["t", "i"]])
-def test_places(spark, part, order):
+def test_places(spark, ranges, order):
     r = random.Random(2)
     names = ["", "a", "ab", "b", "é", "zz", None]
     rows = [(r.choice(["p", "q", None]), r.choice([None, 1.5, -2.0, 7.0, float(r.randrange(90))]), r.choice(names) if i % 3 else f"k{r.randrange(50)}", i) for i in range(400)]
     df = spark.createDataFrame(rows, "key string, x double, s string, i int").withColumn("t", F.timestamp_seconds(F.col("x") * 1000))
-    got = ranks.numbered(df, "key", order, part).collect()
+    got = ranks.numbered(df, "key", order, ranges).collect()
     assert len(got) == 400 and {tuple(x[:4]) for x in got} == set(rows)
     for key in ("p", "q", None):
         own = [x for x in got if x.key == key]
