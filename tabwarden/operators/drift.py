@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import finite, interpret_psi, numeric
-from .ranks import numbered, quantile, ranked
+from .ranks import counted_by_value, holds_places, numbered, quantile, ranked_where
 
 LIMIT = 20_000
 
@@ -28,9 +28,33 @@ def _psi_term(a: Column, e: Column) -> Column:
 
 
 def compared(reference: DataFrame, actual: DataFrame) -> DataFrame:
-    """:func:`ranks.ranked` of the stacked values of both sides, with weights e (expected) and a (actual)."""
+    """The stacked values of both sides counted by value, with weights e (expected) and a (actual)."""
     side = lambda df, e, a: df.select("column", "value", F.lit(e).cast("long").alias("e"), F.lit(a).cast("long").alias("a"))
-    return ranked(side(reference, 1, 0).unionByName(side(actual, 0, 1)), ["e", "a"])
+    return counted_by_value(side(reference, 1, 0).unionByName(side(actual, 0, 1)), ["e", "a"])
+
+
+def _share(x: Column, side: str) -> Column:
+    return x / F.nullif(F.col(f"total_{side}"), F.lit(0))
+
+
+def _telling(both: DataFrame, bins: int | None, gap: bool, medians: bool = False) -> DataFrame:
+    """The ranked values that edges, medians and the largest gap need; of each column those of the first bucket at least."""
+
+    def keep(per: DataFrame) -> DataFrame:
+        wanted = ["before_e = 0 AND before_a = 0"]
+        if bins:
+            wanted.append(holds_places([i / bins for i in range(bins + 1)], "e"))
+        if medians:
+            wanted += [holds_places([0.5], "e"), holds_places([0.5], "a")]
+        if gap:
+            # within a bucket the gap differs from that at its ends by its larger share at most
+            gaps = "abs(({0}) / nullif(total_e, 0) - ({1}) / nullif(total_a, 0))"
+            ends = f"greatest({gaps.format('before_e', 'before_a')}, {gaps.format('before_e + e', 'before_a + a')})"
+            per = per.selectExpr("*", f"{ends} AS _ends", f"max({ends}) OVER (PARTITION BY column) AS _best")
+            wanted.append("coalesce(_ends + greatest(e / nullif(total_e, 0), a / nullif(total_a, 0)) >= _best - 1e-9, false)")
+        return per.where(" OR ".join(f"({w})" for w in wanted)).drop("_ends", "_best")
+
+    return ranked_where(both, ["e", "a"], keep)
 
 
 def _edges(bins: int) -> Column:
@@ -39,7 +63,7 @@ def _edges(bins: int) -> Column:
 
 
 def _largest_gap() -> Column:
-    share = lambda x: (F.col(f"before_{x}") + F.col(x)) / F.nullif(F.col(f"total_{x}"), F.lit(0))
+    share = lambda x: _share(F.col(f"before_{x}") + F.col(x), x)
     return F.coalesce(F.max(F.abs(share("e") - share("a"))), F.lit(float("nan")))
 
 
@@ -47,7 +71,9 @@ def _psi(both: DataFrame, edges: DataFrame, eps: float) -> DataFrame:
     """(column, psi) of compared values and each column's edges, of which the outer ones are open."""
     inner = F.slice("edges", F.lit(2), F.greatest(F.size("edges") - 2, F.lit(0)))
     binned = both.join(F.broadcast(edges.select("column", "edges")), "column").withColumn("bin", F.size(F.filter(inner, lambda x: F.col("value") >= x)))
-    counts = binned.groupBy("column", "bin").agg(F.sum("e").alias("e"), F.sum("a").alias("a"), F.first("total_e").alias("te"), F.first("total_a").alias("ta"), F.first(F.size("edges")).alias("k"))
+    counts = binned.groupBy("column", "bin").agg(F.sum("e").alias("e"), F.sum("a").alias("a"), F.first(F.size("edges")).alias("k"))
+    column = Window.partitionBy("column")  # a row a bin
+    counts = counts.withColumns({"te": F.sum("e").over(column), "ta": F.sum("a").over(column)})
     share = lambda x, t: F.greatest(F.col(x) / F.nullif(F.col(t), F.lit(0)), F.lit(eps))
     made = counts.withColumn("term", _psi_term(share("a", "ta"), share("e", "te"))).groupBy("column").agg(F.sum("term").alias("psi"), F.max("k").alias("k"), F.max("ta").alias("ta"))
     return made.select("column", F.when((F.col("k") >= 3) & (F.col("ta") > 0), F.col("psi")).otherwise(F.lit(float("nan"))).alias("psi"))
@@ -56,12 +82,12 @@ def _psi(both: DataFrame, edges: DataFrame, eps: float) -> DataFrame:
 def psi_numeric(reference: DataFrame, actual: DataFrame, bins: int = 10, eps: float = 1e-6) -> DataFrame:
     """(column, psi) of stacked values: bins are the reference's quantiles, the outer ones open; NaN with under two bins."""
     both = compared(reference, actual)
-    return _psi(both, both.groupBy("column").agg(_edges(bins).alias("edges")), eps)
+    return _psi(both, _telling(both, bins, False).groupBy("column").agg(_edges(bins).alias("edges")), eps)
 
 
 def ks_statistic(reference: DataFrame, actual: DataFrame) -> DataFrame:
     """(column, ks): the largest difference of the two empirical distribution functions."""
-    return compared(reference, actual).groupBy("column").agg(_largest_gap().alias("ks"))
+    return _telling(compared(reference, actual), None, True).groupBy("column").agg(_largest_gap().alias("ks"))
 
 
 def binary_psi(reference_rate: Column, actual_rate: Column, eps: float = 1e-6) -> Column:
@@ -99,10 +125,15 @@ def psi_categorical(reference: DataFrame, actual: DataFrame, rare: float = 0.01,
 
 
 def new_categories(reference: DataFrame, actual: DataFrame, most: int = 8) -> DataFrame:
-    """(column, n_new, share, examples) of values without a share in the reference."""
+    """(column, n_new, share, examples) of values without a share in the reference.
+
+    Values are counted by an aggregate; the first ones are found by ranks that every task cuts before the shuffle.
+    """
     unseen = actual.join(reference.select("column", "value"), ["column", "value"], "left_anti")
-    ranked = unseen.withColumn("r", F.row_number().over(Window.partitionBy("column").orderBy("value")))
-    return ranked.groupBy("column").agg(F.count("*").alias("n_new"), F.sum("share").alias("share"), F.array_join(F.sort_array(F.collect_list(F.when(F.col("r") <= most, F.col("value")))), "|").alias("examples"))
+    told = unseen.groupBy("column").agg(F.count("*").alias("n_new"), F.sum("share").alias("share"))
+    first = unseen.select("column", "value").withColumn("r", F.row_number().over(Window.partitionBy("column").orderBy("value"))).where(F.col("r") <= most)
+    shown = first.groupBy("column").agg(F.array_join(F.sort_array(F.collect_list("value")), "|").alias("examples"))
+    return told.join(shown, "column")
 
 
 def thinned(values: DataFrame, order: list[str], extend: bool = False, limit: int = LIMIT) -> DataFrame:
@@ -178,7 +209,7 @@ def numeric_drift(ref: DataFrame, actual: DataFrame, bins: int = 10, eps: float
     """(column, psi, ks, level, reference_median, actual_median) of the reference's columns; values are ranked once."""
     both = compared(ref, actual)
     median = lambda x: F.round(quantile(0.5, x), 4)
-    each = both.groupBy("column").agg(_edges(bins).alias("edges"), _largest_gap().alias("ks"), median("e").alias("reference_median"), median("a").alias("actual_median"), F.max("total_e").alias("te"))
+    each = _telling(both, bins, True, True).groupBy("column").agg(_edges(bins).alias("edges"), _largest_gap().alias("ks"), median("e").alias("reference_median"), median("a").alias("actual_median"), F.max("total_e").alias("te"))
     made = each.join(_psi(both, each, eps), "column").where("te > 0")
     return made.select("column", "psi", "ks", interpret_psi(F.col("psi")).alias("level"), "reference_median", "actual_median")
 

@@ -2,38 +2,44 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import numeric
-from .ranks import counted, quantile
+from .ranks import counted_by_value, near_quantiles, quantile
 
 QUANTILES = {"q01": 0.01, "q25": 0.25, "median": 0.5, "q75": 0.75, "q99": 0.99}
 
 
-def corrected_skewness(x: Column) -> Column:
-    """Skewness with the correction for small samples; null under three values."""
-    n = F.count(x).cast("double")
-    return F.when(n > 2, F.skewness(x) * F.sqrt(n * (n - 1)) / (n - 2))
-
-
 def profile_numeric(df: DataFrame, columns: list[str]) -> DataFrame:
-    """A row per column: counts and shares of missing, junk and zero values, and the distribution."""
-    from .rules import stacked
-
-    def measures(c: str) -> dict[str, Column]:
-        x = numeric(df, c)
-        return {
-            "missing": F.count_if(F.col(c).isNull()), "missing_ratio": F.avg(F.col(c).isNull().cast("int")), "non_numeric": F.count_if(F.col(c).isNotNull() & x.isNull()),
-            "zeros": F.count_if(x == 0), "zeros_ratio": F.count_if(x == 0) / F.count("*"), "min": F.min(x), "max": F.max(x), "mean": F.avg(x), "std": F.stddev_samp(x), "skew": corrected_skewness(x),
-        }
-
-    # one scan for the measures of all columns, one for the counts by value, from which places and quantiles come
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), numeric(df, c).alias("value")) for c in columns])
-    at = counted(df.select(F.inline(pairs)).where("value IS NOT NULL"))
-    placed = at.groupBy("column").agg(F.count("*").alias("n_unique"), *[quantile(q).alias(name) for name, q in QUANTILES.items()])
-    made = stacked(df, "column", {c: measures(c) for c in columns}).join(placed, "column", "left").withColumn("n_unique", F.coalesce("n_unique", F.lit(0)))
-    return made.withColumn("heavy_tailed", F.col("skew") > 2)
+    """A row per column: counts and shares of missing, junk and zero values, and the distribution; the skewness is that of samples.
+
+    Values are counted once by value, and all else follows from these counts: moments about the mean, and quantiles.
+    """
+    kind = lambda c: F.when(F.col(c).isNull(), "missing").when(numeric(df, c).isNull(), "junk").otherwise("number")
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), numeric(df, c).alias("value"), kind(c).alias("kind")) for c in columns])
+    rows = df.select(F.inline(pairs))
+    one = lambda of: F.when(F.col("kind") == of, 1).otherwise(0).cast("long").alias(of)
+    at = counted_by_value(rows.select("column", "value", one("number"), one("missing"), one("junk")), ["number", "missing", "junk"])
+    numbers = at.where("number > 0")
+    n, x = F.col("number"), F.col("value")
+    told = at.groupBy("column").agg(
+        F.sum(F.col("number") + F.col("missing") + F.col("junk")).alias("rows"), F.sum("missing").alias("missing"), F.sum("junk").alias("non_numeric"), F.sum("number").alias("n"),
+        F.coalesce(F.sum(F.when(x == 0, n)), F.lit(0)).alias("zeros"), F.min("value").alias("min"), F.max("value").alias("max"), F.count("value").alias("n_unique"), (F.sum(n * x) / F.nullif(F.sum("number"), F.lit(0))).alias("mean"),
+    )
+    about = numbers.join(F.broadcast(told.select("column", "mean")), "column")  # a row a column
+    power = lambda k: F.sum(n * F.pow(x - F.col("mean"), F.lit(k))).alias(f"m{k}")
+    moments = about.groupBy("column").agg(power(2), power(3))
+    near = near_quantiles(numbers.select("column", "value", F.col("number").alias("n"), "_bucket"), QUANTILES.values())
+    placed = near.groupBy("column").agg(*[quantile(q).alias(name) for name, q in QUANTILES.items()])
+    total = F.col("n").cast("double")
+    spread = F.nullif(F.col("m2") / total, F.lit(0.0))
+    made = told.join(moments, "column", "left").join(placed, "column", "left").withColumns({
+        "missing_ratio": F.col("missing") / F.col("rows"), "zeros_ratio": F.col("zeros") / F.col("rows"), "std": F.when(total > 1, F.sqrt(F.col("m2") / (total - 1))),
+        "skew": F.when(total > 2, F.col("m3") / total / F.pow(spread, F.lit(1.5)) * F.sqrt(total * (total - 1)) / (total - 2)),
+    })
+    shown = ["column", "missing", "missing_ratio", "non_numeric", "zeros", "zeros_ratio", "min", "max", "mean", "std", "skew", "n_unique", *QUANTILES]
+    return made.select(*shown, (F.col("skew") > 2).alias("heavy_tailed"))
 
 
 def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:

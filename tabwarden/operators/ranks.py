@@ -1,8 +1,8 @@
 """Ranks, exact quantiles and places in an order, without a task that sorts a whole column.
 
-:func:`ranked` counts values first, so that a frequent value is one row.  Each value has a bucket that grows with it, by arithmetic on the
-value and its column's bounds; a bucket is sorted alone, and the sums of the buckets before it, at most ``3 * BUCKETS`` a
-column, are added.  It is one lazy plan over one scan: all parts read the shuffle that counts.
+Values are counted first, so that a frequent value is one row.  Each value has a bucket that grows with it, by arithmetic on the value
+alone; sums of buckets, whose number is bounded, are added up, and a bucket is sorted alone.
+Quantiles and largest gaps need the values of a few buckets only.  It is one lazy plan over one scan: all parts read the shuffle that counts.
 
 :func:`numbered` places rows by several columns.  Spark deals rows out by cut points over all of them, and over a last number of chance,
 so that equal rows are split too; what is dealt out is a table in the shared folder, so that counts and rows agree whenever tasks run again.
@@ -10,28 +10,50 @@ so that equal rows are split too; what is dealt out is a table in the shared fol
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import written
 
-#: Steps between a column's bounds in a linear and in a root scale.
-BUCKETS = 1 << 16
+#: Buckets of numbers between 0 and 1; larger ones have more, by the eighth root.
+BUCKETS = 1 << 14
 
 
 def _bucket(buckets: int) -> Column:
-    """A whole number that never falls as ``value`` grows, from the finite bounds _lo and _hi of its column.
+    """A whole number that never falls as ``value`` grows.
 
-    A linear scale parts what is dense between the bounds, an eighth root what is dense near 0.  Differences, quotients and square
-    roots are rounded to the nearest, so each step keeps the order, and so does the sum.
+    Eighth roots part numbers up to 10^16, whatever their size; a linear scale parts those up to 2^63, such as hashes; a
+    64th root parts what is beyond.  Products, and roots that are square roots, are rounded to the nearest, so each step keeps the order,
+    and so does the sum.  A column has about 4 million buckets at most, and about 100,000 if its numbers are under 10^6.
     """
-    x, lo, hi = F.col("value"), F.col("_lo"), F.col("_hi")
-    inside = F.greatest(F.least(x, hi), lo)
-    linear = F.coalesce(F.floor((inside - lo) / F.nullif(hi - lo, F.lit(0.0)) * buckets), F.lit(0))
-    share = F.abs(inside) / F.nullif(F.greatest(F.abs(lo), F.abs(hi)), F.lit(0.0))
-    root = F.coalesce(F.floor(F.sqrt(F.sqrt(F.sqrt(share))) * buckets), F.lit(0))
-    both = linear + F.when(inside < 0, -root).otherwise(root)
-    return F.when(x.isNull(), F.lit(-(1 << 40))).when(F.isnan(x), F.lit(1 << 40)).otherwise(F.coalesce(both, F.lit(0)))
+    eighth = "sqrt(sqrt(sqrt(abs(value))))"
+    size = f"floor(least({eighth}, 100D) * {buckets}) + floor(least(sqrt(sqrt(sqrt({eighth}))), 65536D) * 16)"
+    linear = "floor(greatest(least(value, 9.2e18D), -9.2e18D) / 1.4e14D)"
+    whole = f"{linear} + CASE WHEN value < 0 THEN -({size}) ELSE {size} END"
+    return F.expr(f"CASE WHEN value IS NULL THEN {-(1 << 40)}L WHEN isnan(value) THEN {1 << 40}L ELSE {whole} END")
+
+
+def counted_by_value(rows: DataFrame, weights: list[str], buckets: int = BUCKETS) -> DataFrame:
+    """(column, value, weights..., _bucket) of rows (column, value, weights...): a row per distinct value."""
+    counts = rows.groupBy("column", "value").agg(*[F.sum(w).alias(w) for w in weights])
+    return counts.withColumn("_bucket", _bucket(buckets))
+
+
+def _sums(at: DataFrame, weights: list[str]) -> DataFrame:
+    """(column, _bucket, weights..., before_*, total_*) by bucket."""
+    per = at.groupBy("column", "_bucket").agg(*[F.expr(f"sum({w}) AS {w}") for w in weights])
+    before = "coalesce(sum({0}) OVER (PARTITION BY column ORDER BY _bucket ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0L) AS before_{0}"
+    return per.selectExpr("*", *[before.format(w) for w in weights], *[f"sum({w}) OVER (PARTITION BY column) AS total_{w}" for w in weights])
+
+
+def _placed(at: DataFrame, per: DataFrame, weights: list[str], few: bool = False) -> DataFrame:
+    """The values of the buckets in ``per`` with all sums; few of them are dealt out by column alone."""
+    both = at.join(per.drop(*weights), ["column", "_bucket"])
+    both = both.repartition("column") if few else both
+    smaller = "before_{0} + coalesce(sum({0}) OVER (PARTITION BY column, _bucket ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0L) AS before_{0}"
+    return both.selectExpr("column", "value", *weights, *[smaller.format(w) for w in weights], *[f"total_{w}" for w in weights])
 
 
 def ranked(rows: DataFrame, weights: list[str], buckets: int = BUCKETS) -> DataFrame:
@@ -39,38 +61,60 @@ def ranked(rows: DataFrame, weights: list[str], buckets: int = BUCKETS) -> DataF
 
     ``before_w`` is the sum of weight w over the column's smaller values, ``total_w`` over all of its values.
     """
-    counts = rows.groupBy("column", "value").agg(*[F.sum(w).alias(w) for w in weights])
-    # half of the largest double: differences of bounds stay finite
-    finite = F.when(F.abs("value") < 8e307, F.col("value"))
-    bounds = counts.groupBy("column").agg(F.min(finite).alias("_lo"), F.max(finite).alias("_hi"))
-    at = counts.join(F.broadcast(bounds), "column").withColumn("_bucket", _bucket(buckets)).drop("_lo", "_hi")  # a row a column
-    per = at.groupBy("column", "_bucket").agg(*[F.sum(w).alias(w) for w in weights])
-    column = Window.partitionBy("column")
-    earlier = column.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    sums = {f"_b_{w}": F.coalesce(F.sum(w).over(earlier), F.lit(0)) for w in weights} | {f"total_{w}": F.sum(w).over(column) for w in weights}
-    per = per.withColumns(sums).select("column", "_bucket", *sums)
-    smaller = Window.partitionBy("column", "_bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
-    inside = at.withColumns({f"_i_{w}": F.coalesce(F.sum(w).over(smaller), F.lit(0)) for w in weights})
-    made = inside.join(per, ["column", "_bucket"])
-    before = [(F.col(f"_i_{w}") + F.col(f"_b_{w}")).alias(f"before_{w}") for w in weights]
-    return made.select("column", "value", *weights, *before, *[f"total_{w}" for w in weights])
+    at = counted_by_value(rows, weights, buckets)
+    return _placed(at, _sums(at, weights), weights)
+
+
+def ranked_where(at: DataFrame, weights: list[str], keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """:func:`ranked` rows of values from :func:`counted_by_value` in those buckets that ``keep`` leaves of the buckets' sums.
+
+    It should leave a number of buckets that does not grow with the values: they are broadcast, and only their values are sorted.
+    """
+    return _placed(at, F.broadcast(keep(_sums(at, weights))), weights, few=True)
+
+
+def holds_places(quantiles: Iterable[float], weight: str = "n") -> str:
+    """SQL: whether a bucket holds a value that one of the quantiles needs."""
+    inside = "{at} >= before_{w} AND {at} < before_{w} + {w}"
+    places = [f"{end}((total_{weight} - 1) * {q}D)" for q in quantiles for end in ("floor", "ceil")]
+    return " OR ".join(f"({inside.format(at=at, w=weight)})" for at in dict.fromkeys(places))
+
+
+def near_quantiles(at: DataFrame, quantiles: Iterable[float], weight: str = "n") -> DataFrame:
+    """The rows of :func:`ranked` that these quantiles need, at most a few buckets a column."""
+    return ranked_where(at, [weight], lambda per: per.where(holds_places(quantiles, weight)))
 
 
 def quantile(q: float, weight: str = "n") -> Column:
     """An aggregate over rows of :func:`ranked`: the exact quantile, interpolated between neighbours; null without rows."""
-    place = (F.col(f"total_{weight}") - 1) * F.lit(q)
+    place = f"((total_{weight} - 1) * {float(q)}D)"
+    at = f"max(CASE WHEN {weight} > 0 AND before_{weight} <= {{k}}{place} AND {{k}}{place} < before_{weight} + {weight} THEN value END)"
+    low, high = at.format(k="floor"), at.format(k="ceil")
+    return F.expr(f"CASE WHEN {low} = {high} THEN {low} ELSE {low} + ({high} - {low}) * max({place} - floor{place}) END")
 
-    def at(k: Column) -> Column:
-        return F.max(F.when((F.col(weight) > 0) & (F.col(f"before_{weight}") <= k) & (k < F.col(f"before_{weight}") + F.col(weight)), F.col("value")))
 
-    low, high = at(F.floor(place)), at(F.ceil(place))
-    share = F.max(place - F.floor(place))
-    return F.when(low == high, low).otherwise(low + (high - low) * share)
+def counted(values: DataFrame) -> DataFrame:
+    """:func:`counted_by_value` of (column, value) rows, each of weight n = 1."""
+    return counted_by_value(values.select("column", "value", F.lit(1).cast("long").alias("n")), ["n"])
 
 
-def counted(values: DataFrame) -> DataFrame:
-    """:func:`ranked` of (column, value) rows, each of weight 1."""
-    return ranked(values.select("column", "value", F.lit(1).cast("long").alias("n")), ["n"])
+def first_share(df: DataFrame, key: str, order: list[str], share: float, flag: str) -> DataFrame:
+    """``df`` with a flag on the first ``round(n * share)`` of the n rows of each key in the order of the columns; keys of one row have none.
+
+    The first column is a number, spread well.  Its buckets are counted, only the bucket that the last flagged row lies in is
+    sorted, and rows are compared with that row: none is moved.  Rows that are equal in the order are on one side, so the order should name all
+    that tells rows apart.
+    """
+    whole = F.struct(*[F.col(f"`{c}`") for c in order])
+    at = df.select(F.col(f"`{key}`").alias("column"), F.col(f"`{order[0]}`").cast("double").alias("value"), whole.alias("_row")).select("column", "_row", _bucket(BUCKETS).alias("_bucket"))
+    per = _sums(at.groupBy("column", "_bucket").agg(F.count("*").alias("n")), ["n"])
+    left = F.round(F.col("total_n") * share).cast("long") - F.col("before_n")
+    cut = per.withColumn("_left", left).where("total_n >= 2 AND _left > 0 AND _left <= n")
+    cut = cut.select(F.col("column").alias("_key"), F.col("_bucket").alias("_in"), "_left")
+    inside = at.join(F.broadcast(cut), F.col("column").eqNullSafe(F.col("_key")) & (F.col("_bucket") == F.col("_in")))  # a bucket a key
+    last = inside.withColumn("_place", F.row_number().over(Window.partitionBy("_key").orderBy("_row"))).where("_place = _left").select("_key", F.col("_row").alias("_last"))
+    made = df.withColumn("_whole", whole).join(F.broadcast(last), F.col(f"`{key}`").eqNullSafe(F.col("_key")), "left")
+    return made.withColumn(flag, F.coalesce(F.col("_whole") <= F.col("_last"), F.lit(False))).drop("_whole", "_key", "_last")
 
 
 def numbered(df: DataFrame, key: str, order: list[str], ranges: int | None = None) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import finite, numeric
-from .ranks import counted, numbered, quantile, ranked
+from .ranks import counted, first_share, near_quantiles, quantile, ranked
 
 
 def confusion(df: DataFrame, label: str, predicted: str, by: list[str] | None = None) -> DataFrame:
@@ -42,10 +42,12 @@ def choose_threshold(df: DataFrame, probability: str, target_rate: float, defaul
     """One row: the probability that the wanted share of rows reaches, and what it achieves."""
     p = df.select(F.lit("").alias("column"), finite(F.col(probability).cast("double")).alias("value")).where("value IS NOT NULL")
     at = counted(p)
-    cut = quantile(1.0 - target_rate) if 0 < target_rate < 1 else F.lit(None).cast("double")
-    found = at.agg(F.coalesce(cut, F.lit(default)).alias("cut"), quantile(0.5).alias("mid"), F.count("*").alias("n_distinct"))
+    known = 0 < target_rate < 1
+    cut = quantile(1.0 - target_rate) if known else F.lit(None).cast("double")
+    near = near_quantiles(at, [0.5, *([1.0 - target_rate] if known else [])])
+    found = near.agg(F.coalesce(cut, F.lit(default)).alias("cut"), quantile(0.5).alias("mid"))
     share = lambda of: F.sum(F.when(of, F.col("n")).otherwise(0)) / F.sum("n")
-    made = at.join(F.broadcast(found)).agg(F.first("cut").alias("cut"), share(F.col("value") >= F.col("cut")).alias("achieved"), share(F.col("value") >= 0.5).alias("half"), F.first("mid").alias("mid"), F.coalesce(F.first("n_distinct"), F.lit(0)).alias("n_distinct"))
+    made = at.join(F.broadcast(found)).agg(F.first("cut").alias("cut"), share(F.col("value") >= F.col("cut")).alias("achieved"), share(F.col("value") >= 0.5).alias("half"), F.first("mid").alias("mid"), F.count("*").alias("n_distinct"))
     return made.select(
         F.round(F.coalesce("cut", F.lit(default)), 6).alias("threshold"), F.lit(round(float(target_rate), 6)).alias("target_rate"), F.round("achieved", 6).alias("achieved_rate"), F.round("half", 6).alias("raw_rate_at_half"),
         F.round("mid", 6).alias("median_probability"), "n_distinct", F.coalesce(F.col("achieved") > min(1.0, target_rate * 1.5), F.lit(False)).alias("ties_limit_calibration"),
@@ -57,7 +59,8 @@ def tukey_ranges(df: DataFrame, columns: list[str]) -> DataFrame:
     from .drift import stacked_values
 
     q = {"a": 0.005, "q1": 0.25, "q3": 0.75, "b": 0.995}
-    made = counted(stacked_values(df, columns)).groupBy("column").agg(*[quantile(x).alias(name) for name, x in q.items()], F.min("value").alias("lo"), F.max("value").alias("hi"))
+    near = near_quantiles(counted(stacked_values(df, columns)), [0.0, *q.values(), 1.0])
+    made = near.groupBy("column").agg(*[quantile(x).alias(name) for name, x in q.items()], F.min("value").alias("lo"), F.max("value").alias("hi"))
     iqr = F.col("q3") - F.col("q1")
     low = F.when(iqr > 0, F.greatest(F.col("q1") - 3 * iqr, F.col("lo"))).otherwise(F.col("a"))
     high = F.when(iqr > 0, F.least(F.col("q3") + 3 * iqr, F.col("hi"))).otherwise(F.col("b"))
@@ -80,8 +83,9 @@ def count_outliers(df: DataFrame, ranges: dict[str, tuple[float, float]]) -> Dat
 
 
 def stratified_split(df: DataFrame, label: str, order: list[Column], validation: float = 0.2) -> DataFrame:
-    """``df`` with is_validation: in each class the first rows in the given (hashed) order; a class with one row has none."""
+    """``df`` with is_validation: in each class the first rows in the given (hashed) order; a class with one row has none.
+
+    Rows that are equal as a whole are all on one side.
+    """
     names = [f"_order{i}" for i in range(len(order))]
-    at = numbered(df.withColumns(dict(zip(names, order, strict=True))), label, names)
-    first = (F.col("place") < F.round(F.col("total") * validation)) & (F.col("total") >= 2)
-    return at.withColumn("is_validation", first).drop("place", "total", *names)
+    return first_share(df.withColumns(dict(zip(names, order, strict=True))), label, names, validation, "is_validation").drop(*names)

@@ -52,8 +52,28 @@ def test_places(spark, ranges, order):
         assert sorted(x.place for x in own) == list(range(len(own)))
 
 
+def test_quantiles_of_few_buckets_and_first_shares(spark):
+    rows = values()
+    at = ranks.near_quantiles(ranks.counted(spark.createDataFrame(rows, ROWS)), [0.0, 0.3, 0.5, 1.0])
+    assert at.count() < 60  # of over 700
+    made = {r.column: r for r in at.groupBy("column").agg(*[ranks.quantile(q).alias(f"q{int(q * 100)}") for q in (0.0, 0.3, 0.5, 1.0)]).collect()}
+    for column in "abc":
+        own = [v for c, v in rows if c == column]
+        for q in (0, 30, 50, 100):
+            assert math.isclose(made[column][f"q{q}"], np.quantile(own, q / 100), abs_tol=1e-12)
+    r = random.Random(3)
+    keyed = [(r.choice(["p", "q", None]), r.randrange(30), r.randrange(5), i) for i in range(500)] + [("one", 1, 1, 1)]
+    got = ranks.first_share(spark.createDataFrame(keyed, "key string, a int, `b` int, i int"), "key", ["a", "b", "i"], 0.3, "first").collect()
+    assert len(got) == len(keyed)
+    for key in ("p", "q", None, "one"):
+        own = sorted((x.a, x.b, x.i, x.first) for x in got if x.key == key)
+        want = math.floor(len(own) * 0.3 + 0.5) if len(own) > 1 else 0
+        assert [x[3] for x in own] == [True] * want + [False] * (len(own) - want)
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], ROWS)
+    assert ranks.first_share(none, "column", ["value"], 0.2, "f").count() == 0
     assert ranks.counted(none).count() == 0 and ranks.numbered(none, "column", ["value"]).count() == 0
     assert scoring.roc_auc(spark.createDataFrame([], "y int, s double"), "y", "s").first()[0] is None
     got = scoring.choose_threshold(spark.createDataFrame([], "p double"), "p", 0.05).first()
