@@ -204,18 +204,23 @@ class Pipeline:
         warm = {}
         if index and self.registry.production("mlp") and self.registry.production("mlp")["files"]:
             warm["mlp"] = self.registry.load("mlp")
+        preparation = self.config.get("training.preparation")
+        every = self.config.get("training.sweep_every", 0)
+        if self.config.get("training.sweep") and (index == 0 or (every and index % every == 0)):
+            swept = training.sweep(typed, self.config.get("training.sweep"), columns, self.categorical, self.label, key)
+            save_json(self.meta / f"sweep_{index}.json", swept)
+            save_json(self.root / "preparation.json", {"batch_idx": index, "winner": swept["winner"], "options": swept["options"]})
+        # the last sweep's winner is laid over the configured preparation
+        preparation = {**(preparation or {}), **((load_json(self.root / "preparation.json") or {}).get("options") or {})}
         outcome = training.train_batch(
             typed, columns, self.categorical, self.label, key, history, self.config.get("training.models"), self.config.get("training.balance", "balanced"), self.config.get("training.validation", 0.2),
-            self.config.get("training.preparation"), warm, self.config.get("training.names", training.ORDER),
+            preparation, warm, self.config.get("training.names", training.ORDER),
         )
         save_json(self.root / "ranges.json", inference.training_ranges(outcome.train, self.numeric))  # calendar features leave their range by nature
         for name, t in outcome.models.items():
             self.registry.register(name, index, t.model, t.metrics, moved.max_psi, preparation=outcome.preparation.to_json())
         self.registry.prune(self.config.get("training.keep", 5))
         self.store.append(index, outcome.train.select(*[c for c in clean.columns]))
-        every = self.config.get("training.sweep_every", 0)
-        if self.config.get("training.sweep") and (index == 0 or (every and index % every == 0)):
-            save_json(self.meta / f"sweep_{index}.json", training.sweep(typed, self.config.get("training.sweep"), columns, self.categorical, self.label, key))
         return outcome
 
     # new data and reports

@@ -1,15 +1,24 @@
-"""Model versions: every one is kept as a record; a gate and a comparison decide which is in production."""
+"""Model versions: every one is kept as a record; a gate and a comparison decide which is in production.
+
+A version's files are a folder of their own that is never written again.  Records and pointers change by commits: numbered files, each
+made whole under a name that must be new.  So a reader finds whole models at any time, a writer that stops halfway leaves nothing that a
+record names, and of two writers the second one sees the first one's commit before it makes its own.
+"""
 
 from __future__ import annotations
 
+import os
 import shutil
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from pathlib import Path
 from typing import Any
 
 from pyspark.sql import SparkSession
 
-from ..session import delete, rename
+from ..operators.perceptron import Perceptron
+from ..session import delete
 from ..sources.files import load_json, save_json
 
 VERSION = 1
@@ -41,21 +50,48 @@ class QualityGate:
 
 @dataclass
 class Registry:
-    """A folder of saved models and one record file; versions are keyed by batch and model, so a repeated batch adds none.
+    """Folders of saved models and a folder of commits; versions are keyed by batch and model, so a repeated batch adds none.
 
-    ``files`` is the folder or URI of the models, which all nodes see; by default they lie beside the record file.
+    ``files`` is the folder or URI of the models, which all nodes see; by default they lie beside the commits.
     """
 
     folder: Path
     gate: QualityGate = field(default_factory=QualityGate)
     files: str | None = None
+    kept_commits: int = 20
 
     def __post_init__(self):
         self.folder = Path(self.folder)
-        self.data = load_json(self.folder / "registry.json") or {"schema_version": VERSION, "versions": [], "production": {}, "latest": None}
-
-    def _save(self) -> None:
-        save_json(self.folder / "registry.json", self.data)
+        self.refresh()
+
+    def _commits(self) -> list[int]:
+        return sorted(int(p.stem) for p in (self.folder / "commits").glob("*.json") if p.stem.isdigit())
+
+    def refresh(self) -> None:
+        """Read the last commit."""
+        done = self._commits()
+        self.revision = done[-1] if done else 0
+        self.data = (load_json(self.folder / "commits" / f"{self.revision}.json") if done else None) or {"schema_version": VERSION, "versions": [], "production": {}, "latest": None}
+
+    def _commit(self, change: Callable[[], Any]) -> Any:
+        """Apply a change to the last commit and make the next one; if another writer was first, to that one's."""
+        folder = self.folder / "commits"
+        while True:
+            self.refresh()
+            result = change()
+            self._point()
+            part = folder / f"{uuid.uuid4().hex}.part"
+            save_json(part, self.data)
+            try:
+                os.link(part, folder / f"{self.revision + 1}.json")  # fails if the commit is there
+            except FileExistsError:
+                continue
+            finally:
+                part.unlink()
+            self.revision += 1
+            for old in self._commits()[: -self.kept_commits]:
+                (folder / f"{old}.json").unlink(missing_ok=True)
+            return result
 
     def versions(self, model: str | None = None) -> list[dict]:
         return [v for v in self.data["versions"] if model in (None, v["model"])]
@@ -65,40 +101,42 @@ class Registry:
 
     def path(self, version: dict) -> Path:
         """The local folder of a version's files."""
-        return self.folder / version["model"] / f"v{version['batch_idx']:05d}"
+        return self.folder / version["folder"]
 
     def uri(self, version: dict) -> str:
-        name = f"{version['model']}/v{version['batch_idx']:05d}"
-        return f"{self.files.rstrip('/')}/{name}" if self.files else f"file://{self.path(version).resolve()}"
+        return f"{self.files.rstrip('/')}/{version['folder']}" if self.files else f"file://{self.path(version).resolve()}"
 
     def register(self, model: str, batch_idx: int, fitted: Any, metrics: dict, max_psi: float | None = None, **info) -> dict:
-        known = next((v for v in self.versions(model) if v["batch_idx"] == batch_idx), None)
-        if known:
+        self.refresh()
+        find = lambda: next((v for v in self.versions(model) if v["batch_idx"] == batch_idx), None)
+        if known := find():
             return known
-        now = self.production(model)
-        verdict = self.gate.evaluate(metrics, now["metrics"] if now else None, max_psi)
-        better = now is None or metrics["f1"] > now["metrics"]["f1"]
-        status = "rejected" if not verdict["passed"] else "production" if better else "candidate"
-        version = {"model": model, "batch_idx": batch_idx, "metrics": metrics, "gate": verdict, "status": status, "files": True, **info}
+        version = {"model": model, "batch_idx": batch_idx, "metrics": metrics, "files": True, "folder": f"{model}/v{batch_idx:05d}-{uuid.uuid4().hex[:8]}", **info}
         self._save_model(fitted, version)
-        if status == "production" and now:
-            now["status"] = "previous"
-        self.data["versions"].append(version)
-        self.refresh_pointers()
-        return version
+
+        def add() -> dict:
+            if known := find():  # another writer was first
+                return known
+            now = self.production(model)
+            verdict = self.gate.evaluate(metrics, now["metrics"] if now else None, max_psi)
+            better = now is None or metrics["f1"] > now["metrics"]["f1"]
+            status = "rejected" if not verdict["passed"] else "production" if better else "candidate"
+            if status == "production" and now:
+                now["status"] = "previous"
+            made = version | {"gate": verdict, "status": status}
+            self.data["versions"].append(made)
+            return made
+
+        made = self._commit(add)
+        if made["folder"] != version["folder"]:
+            self._delete_model(version)
+        return made
 
     def _save_model(self, fitted: Any, version: dict) -> None:
-        """Save beside the target and rename when complete, so that a reader never sees half a model."""
-        target = self.uri(version)
-        fitted.write().overwrite().save(f"{target}.part")
-        if self.files:
-            spark = SparkSession.getActiveSession()
-            delete(spark, target)
-            rename(spark, f"{target}.part", target)
+        if isinstance(fitted, Perceptron):
+            fitted.save(SparkSession.getActiveSession(), self.uri(version))
         else:
-            path = self.path(version)
-            shutil.rmtree(path, ignore_errors=True)
-            path.with_name(f"{path.name}.part").rename(path)
+            fitted.write().save(self.uri(version))
 
     def _delete_model(self, version: dict) -> None:
         if self.files:
@@ -106,35 +144,45 @@ class Registry:
         else:
             shutil.rmtree(self.path(version), ignore_errors=True)
 
-    def refresh_pointers(self) -> None:
+    def _point(self) -> None:
         """Name the production version of each model, the best of these, and the latest version."""
         on = [v for v in self.data["versions"] if v["status"] == "production"]
         self.data["production"] = {v["model"]: v["batch_idx"] for v in on}
         self.data["best"] = max(on, key=lambda v: v["metrics"]["f1"])["model"] if on else None
         last = self.data["versions"][-1] if self.data["versions"] else None
         self.data["latest"] = {"model": last["model"], "batch_idx": last["batch_idx"]} if last else None
-        self._save()
+
+    def refresh_pointers(self) -> None:
+        self._commit(lambda: None)
 
     def prune(self, keep: int) -> int:
-        """Delete the files of all but the newest ``keep`` versions of each model; records and production stay.  0 or less keeps all."""
-        gone = 0
-        if keep > 0:
-            for model in {v["model"] for v in self.data["versions"]}:
-                for v in sorted(self.versions(model), key=lambda v: v["batch_idx"])[:-keep]:
-                    if v["files"] and v["status"] != "production":
-                        self._delete_model(v)
-                        v["files"], gone = False, gone + 1
-            self._save()
-        return gone
+        """Delete the files of all but the newest ``keep`` versions of each model; records and production stay.  0 or less keeps all.
+
+        The records say so before the files go, so that no reader looks for them.
+        """
+        if keep <= 0:
+            return 0
+
+        def mark() -> list[dict]:
+            old = [v for model in {v["model"] for v in self.data["versions"]} for v in sorted(self.versions(model), key=lambda v: v["batch_idx"])[:-keep]]
+            gone = [v for v in old if v["files"] and v["status"] != "production"]
+            for v in gone:
+                v["files"] = False
+            return gone
+
+        gone = self._commit(mark)
+        for v in gone:
+            self._delete_model(v)
+        return len(gone)
 
     def load(self, model: str, version: dict | None = None) -> Any:
-        from pyspark.ml.classification import DecisionTreeClassificationModel, LogisticRegressionModel, MultilayerPerceptronClassificationModel, RandomForestClassificationModel
+        from pyspark.ml.classification import DecisionTreeClassificationModel, LogisticRegressionModel, RandomForestClassificationModel
 
-        kinds = {"lr": LogisticRegressionModel, "dt": DecisionTreeClassificationModel, "rf": RandomForestClassificationModel, "mlp": MultilayerPerceptronClassificationModel}
+        kinds = {"lr": LogisticRegressionModel, "dt": DecisionTreeClassificationModel, "rf": RandomForestClassificationModel}
         version = version or self.production(model)
         if not version or not version["files"]:
             raise FileNotFoundError(f"no saved version of {model}")
-        return kinds[model].load(self.uri(version))
+        return Perceptron.load(SparkSession.getActiveSession(), self.uri(version)) if model == "mlp" else kinds[model].load(self.uri(version))
 
     def summary(self) -> dict:
         by: dict[str, dict] = {}

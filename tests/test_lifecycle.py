@@ -1,5 +1,8 @@
 import json
+import os
 import zipfile
+from concurrent.futures import ThreadPoolExecutor
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -115,23 +118,73 @@ def test_state(tmp_path):
         s.mark_processed("nope")
 
 
+class FileModel:
+    """Something to save: a file with a number; ``fails`` stops halfway."""
+
+    def __init__(self, number=0, fails=False):
+        self.number, self.fails = number, fails
+
+    def write(self):
+        return self
+
+    def save(self, path):
+        folder = Path(path.removeprefix("file://"))
+        folder.mkdir(parents=True)  # a version's folder is new
+        (folder / "a").write_text(str(self.number))
+        if self.fails:
+            raise OSError("disk full")
+        (folder / "b").write_text(str(self.number))
+
+
+def whole(r):
+    """What a reader of a registry finds: the numbers of the production model's two files."""
+    v = r.production("lr")
+    return v and tuple((r.path(v) / n).read_text() for n in "ab")
+
+
+def test_readers_find_whole_models_whenever_a_writer_stops(tmp_path, monkeypatch):
+    w = registry.Registry(tmp_path)
+    assert whole(registry.Registry(tmp_path)) is None
+    w.register("lr", 0, FileModel(7), {"f1": 0.3})
+    with pytest.raises(OSError, match="disk full"):  # while the files are written
+        w.register("lr", 1, FileModel(8, fails=True), {"f1": 0.9})
+    assert whole(registry.Registry(tmp_path)) == ("7", "7")
+    for step in ("link", "fsync", "replace"):  # while the commit is made
+        with monkeypatch.context() as m:
+            m.setattr(os, step, lambda *a, **k: (_ for _ in ()).throw(KeyboardInterrupt))
+            with pytest.raises(KeyboardInterrupt):
+                w.register("lr", 1, FileModel(8), {"f1": 0.9})
+        assert whole(registry.Registry(tmp_path)) == ("7", "7")
+    old = registry.Registry(tmp_path)
+    w.register("lr", 1, FileModel(8), {"f1": 0.9})
+    assert whole(old) == ("7", "7") and whole(registry.Registry(tmp_path)) == ("8", "8")  # the replaced one stays whole for its readers
+    with monkeypatch.context() as m:
+        m.setattr(registry.shutil, "rmtree", lambda *a, **k: (_ for _ in ()).throw(KeyboardInterrupt))
+        with pytest.raises(KeyboardInterrupt):
+            w.prune(1)
+    assert not registry.Registry(tmp_path).versions("lr")[0]["files"]
+
+
+def test_two_writers_see_each_others_commits(tmp_path):
+    a, b = registry.Registry(tmp_path), registry.Registry(tmp_path)
+    a.register("lr", 0, FileModel(1), {"f1": 0.5})
+    b.register("lr", 1, FileModel(2), {"f1": 0.4})
+    a.register("rf", 0, FileModel(3), {"f1": 0.6})
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(lambda i: registry.Registry(tmp_path).register("dt", i % 10, FileModel(i), {"f1": i / 100}), range(30)))
+    end = registry.Registry(tmp_path)
+    assert [v["status"] for v in end.versions("lr")] == ["production", "candidate"] and end.data["best"] == "rf"
+    assert sorted(v["batch_idx"] for v in end.versions("dt")) == list(range(10)) and sum(v["status"] == "production" for v in end.versions("dt")) == 1
+    assert {p.name for p in (tmp_path / "dt").iterdir()} == {v["folder"].split("/")[1] for v in end.versions("dt")}
+    assert len(list((tmp_path / "commits").iterdir())) <= end.kept_commits + 1
+
+
 def test_gate_and_registry(tmp_path, spark):
     gate = registry.QualityGate(min_f1=0.2, min_roc_auc=0.6, max_regression_f1=0.1, max_psi=0.3)
     assert not gate.evaluate({"f1": 0.5, "roc_auc": None})["passed"] and gate.evaluate({"f1": 0.5, "roc_auc": 0.7})["checks"]["max_psi"]["skipped"]
     assert not gate.evaluate({"f1": 0.3, "roc_auc": 0.7}, {"f1": 0.5})["passed"] and registry.QualityGate().evaluate({"f1": 0.0})["passed"]
 
-    class Model:
-        def write(self):
-            return self
-
-        def overwrite(self):
-            return self
-
-        def save(self, path):
-            from pathlib import Path
-
-            Path(path.removeprefix("file://")).mkdir(parents=True, exist_ok=True)
-
+    Model = FileModel
     r = registry.Registry(tmp_path, registry.QualityGate(min_f1=0.1))
     status = [r.register("lr", i, Model(), {"f1": f})["status"] for i, f in enumerate([0.3, 0.2, 0.5, 0.05, 0.5])]
     assert status == ["production", "candidate", "production", "rejected", "candidate"] and r.versions("lr")[0]["status"] == "previous"
@@ -184,6 +237,10 @@ def test_training_needs_two_classes_and_sweeps(spark):
         training.train_batch(df, ["nope"], [], "y", [F.col("i")])
     got = training.sweep(df, {"a": {"imputer": "median"}, "b": {"imputer": "mean", "scaler": "robust"}, "bad": {"imputer": "zz"}}, ["x"], ["c"], "y", [F.col("i")])
     assert got["winner"] in ("a", "b") and "bad" in got["failed"] and got["results"]["a"]["roc_auc"] > 0.95
+    assert got["n_tied"] >= 1 and got["options"] == {"a": {"imputer": "median"}, "b": {"imputer": "mean", "scaler": "robust"}}[got["winner"]]
+    assert [r["status"] for r in got["records"]] == ["ok", "ok", "failed"] and got["statistics"] <= 3  # moments, counts, categories: once for all
+    alone = training.train_batch(df, ["x"], ["c"], "y", [F.col("i")], prep=got["options"], names=["lr"]).models["lr"].metrics
+    assert abs(alone["roc_auc"] - got["results"][got["winner"]]["roc_auc"]) < 1e-9
     cut = training.stratified_split(df, "y", [F.xxhash64("i")])
     assert cut.where("is_validation").groupBy("y").count().orderBy("y").collect()[0]["count"] in range(20, 30)
 
