@@ -106,15 +106,15 @@ def first_share(df: DataFrame, key: str, order: list[str], share: float, flag: s
     that tells rows apart.
     """
     whole = F.struct(*[F.col(f"`{c}`") for c in order])
-    at = df.select(F.col(f"`{key}`").alias("column"), F.col(f"`{order[0]}`").cast("double").alias("value"), whole.alias("_row")).select("column", "_row", _bucket(BUCKETS).alias("_bucket"))
+    at = df.select(F.col(f"`{key}`").alias("column"), F.col(f"`{order[0]}`").cast("double").alias("value"), whole.alias("_share_row")).select("column", "_share_row", _bucket(BUCKETS).alias("_bucket"))
     per = _sums(at.groupBy("column", "_bucket").agg(F.count("*").alias("n")), ["n"])
     left = F.round(F.col("total_n") * share).cast("long") - F.col("before_n")
-    cut = per.withColumn("_left", left).where("total_n >= 2 AND _left > 0 AND _left <= n")
-    cut = cut.select(F.col("column").alias("_key"), F.col("_bucket").alias("_in"), "_left")
-    inside = at.join(F.broadcast(cut), F.col("column").eqNullSafe(F.col("_key")) & (F.col("_bucket") == F.col("_in")))  # a bucket a key
-    last = inside.withColumn("_place", F.row_number().over(Window.partitionBy("_key").orderBy("_row"))).where("_place = _left").select("_key", F.col("_row").alias("_last"))
-    made = df.withColumn("_whole", whole).join(F.broadcast(last), F.col(f"`{key}`").eqNullSafe(F.col("_key")), "left")
-    return made.withColumn(flag, F.coalesce(F.col("_whole") <= F.col("_last"), F.lit(False))).drop("_whole", "_key", "_last")
+    cut = per.withColumn("_share_left", left).where("total_n >= 2 AND _share_left > 0 AND _share_left <= n")
+    cut = cut.select(F.col("column").alias("_share_key"), F.col("_bucket").alias("_share_in"), "_share_left")
+    inside = at.join(F.broadcast(cut), F.col("column").eqNullSafe(F.col("_share_key")) & (F.col("_bucket") == F.col("_share_in")))  # a bucket a key
+    last = inside.withColumn("_share_place", F.row_number().over(Window.partitionBy("_share_key").orderBy("_share_row"))).where("_share_place = _share_left").select("_share_key", F.col("_share_row").alias("_share_last"))
+    made = df.withColumn("_share_whole", whole).join(F.broadcast(last), F.col(f"`{key}`").eqNullSafe(F.col("_share_key")), "left")
+    return made.withColumn(flag, F.coalesce(F.col("_share_whole") <= F.col("_share_last"), F.lit(False))).drop("_share_whole", "_share_key", "_share_last")
 
 
 def numbered(df: DataFrame, key: str, order: list[str], ranges: int | None = None) -> DataFrame:
