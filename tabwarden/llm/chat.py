@@ -6,8 +6,9 @@ is selected by *fingerprint*, the hash of those of the record's paths that the l
 most paths is taken, then the first of the registry.  Everything is a DataFrame expression.
 
 Defined cases: a null text or role, and an item of a list without one, is empty; content in parts is the parts' texts, one after another;
-roles are taken as they stand, but for layouts that declare other names for them; nothing is dropped silently: a record that no layout
-fits has no turns, layout null and a reason; unknown extra fields are ignored; turns with equal positions are
+roles are taken as they stand, but for layouts that declare other names for them; a system text beside a list of turns is the first turn;
+nothing is dropped silently: a record that no layout fits has no turns, layout null and a reason, and the turns of a record with a text
+field that its layout does not read, but another one does, have that as their reason; fields that no layout knows are no text; turns with equal positions are
 ordered by role, then text, so repeated rows stay as repeated turns; very long conversations are read whole; only the two named columns
 of the input are read, so others may have any name; an empty table gives an empty one.
 """
@@ -49,11 +50,16 @@ class Layout:
     order: str | None = None
     roles: tuple[tuple[str, str], ...] = ()
 
+    @property
+    def texts(self) -> list[str]:
+        """The top fields that hold texts or turns."""
+        return [self.items] if self.items else [p for _, p in self.fields] + [p for p in (self.text_field,) if p]
+
     @property
     def paths(self) -> list[str]:
         """All paths that the layout knows."""
         if self.items:
-            return sorted([self.items, f"{self.items}[].{self.role_field}", f"{self.items}[].{self.text_field}"])
+            return sorted([self.items, f"{self.items}[].{self.role_field}", f"{self.items}[].{self.text_field}", *self.optional])
         return sorted([p for _, p in self.fields] + [p for p in (self.role_field, self.text_field, self.order) if p])
 
     @property
@@ -69,7 +75,11 @@ class Layout:
         turn = lambda at, role, text: F.struct(at.cast("bigint").alias("position"), F.coalesce(self.canonical(role), F.lit("")).alias("role"), F.coalesce(text, F.lit("")).alias("text"))
         if self.items:
             listed = F.from_json(value(self.items), f"array<struct<`{self.role_field}`:string,`{self.text_field}`:variant>>")
-            return F.transform(listed, lambda x, i: turn(i, x[self.role_field], said(x[self.text_field])))
+            own = F.transform(listed, lambda x, i: turn(i, x[self.role_field], said(x[self.text_field])))
+            if not self.optional:
+                return own
+            first = F.filter(F.array(turn(F.lit(-1), F.lit("system"), value("system"))), lambda t: t["text"] != "")
+            return F.concat(first, own)
         if self.role_field:
             return F.array(turn(value(self.order), value(self.role_field), value(self.text_field)))
         every = F.array(*[F.struct(turn(F.lit(i), F.lit(role), value(path)).alias("turn"), F.lit(path in self.optional).alias("may")) for i, (role, path) in enumerate(self.fields)])
@@ -96,9 +106,9 @@ def _flat(name: str, *fields: tuple[str, str], optional: tuple[str, ...] = ("sys
 
 LAYOUTS = [
     Layout("turn rows", role_field="role", text_field="text", order="turn"),
-    Layout("messages", items="messages", role_field="role", text_field="content"),
-    Layout("share", items="conversations", role_field="from", text_field="value", roles=OTHER_ROLES),
-    Layout("dialogue", items="turns", role_field="speaker", text_field="text", roles=OTHER_ROLES),
+    Layout("messages", items="messages", role_field="role", text_field="content", optional=("system",)),
+    Layout("share", items="conversations", role_field="from", text_field="value", optional=("system",), roles=OTHER_ROLES),
+    Layout("dialogue", items="turns", role_field="speaker", text_field="text", optional=("system",), roles=OTHER_ROLES),
     _flat("prompt and response", ("user", "prompt"), ("user", "input"), ("assistant", "response"), optional=("system", "input")),
     _flat("prompt and completion", ("user", "prompt"), ("assistant", "completion")),
     _flat("instruction", ("user", "instruction"), ("user", "input"), ("assistant", "output"), optional=("system", "input")),
@@ -141,13 +151,19 @@ def select_layout(paths: Column, layouts: list[Layout] = LAYOUTS) -> Column:
 def canonical_turns(records: DataFrame, id_col: str, record_col: str, layouts: list[Layout] = LAYOUTS) -> DataFrame:
     """A row (id, layout, reason, position, role, text) per turn; a record without turns keeps one row without a position."""
     df = records.select(F.col(id_col).alias("id"), unwrapped(F.col(record_col), layouts).alias("record"), F.col(record_col).isNull().alias("none"))
-    df = df.withColumn("place", let(field_paths(F.col("record"), layouts), lambda p: F.struct(p.isNotNull().alias("object"), select_layout(p, layouts).alias("layout"))))
-    place, turns = F.col("place.layout"), F.lit(None)
+    texts = sorted({t for x in layouts for t in [*x.texts, *x.optional]})
+    told = lambda p: F.struct(p.isNotNull().alias("object"), select_layout(p, layouts).alias("layout"), F.array_intersect(p, F.array(*map(F.lit, texts))).alias("texts"))
+    df = df.withColumn("place", let(field_paths(F.col("record"), layouts), told))
+    place, turns, unread, lists = F.col("place.layout"), F.lit(None), F.lit(None), F.lit(False)
     for i, x in enumerate(layouts):
         turns = F.when(place == i, x.turns(F.col("record"))).otherwise(turns)
+        unread = F.when(place == i, F.array_except("place.texts", F.array(*map(F.lit, [*x.texts, *x.optional])))).otherwise(unread)
+        if x.items:
+            lists = lists | F.coalesce(F.get_json_object("record", f"$.{x.items}") == "[]", F.lit(False))
     name = F.get(F.array(*[F.lit(x.name) for x in layouts]), place)
-    df = df.select("id", name.alias("layout"), F.col("place.object").alias("object"), "none", turns.alias("turns"))
-    reason = F.when(F.col("none"), "no record").when(~F.col("object"), "no JSON object").when(F.col("layout").isNull(), "no layout has its fields").when(F.coalesce(F.size("turns"), F.lit(0)) <= 0, "no turns")
+    df = df.select("id", name.alias("layout"), F.col("place.object").alias("object"), "none", turns.alias("turns"), unread.alias("unread"), lists.alias("empty"))
+    reason = F.when(F.col("none"), "no record").when(~F.col("object"), "no JSON object").when(F.col("layout").isNull() & F.col("empty"), "no turns").when(F.col("layout").isNull(), "no layout has its fields")
+    reason = reason.when(F.coalesce(F.size("turns"), F.lit(0)) <= 0, "no turns").when(F.size("unread") > 0, F.concat(F.lit("texts that its layout does not read: "), F.array_join("unread", ", ")))
     return df.select("id", "layout", reason.alias("reason"), F.explode_outer("turns").alias("t")).select("id", "layout", "reason", "t.position", "t.role", "t.text")
 
 

@@ -48,6 +48,14 @@ def discard(table: DataFrame) -> None:
         _PATHS.discard(path)
 
 
+def discard_others(spark: SparkSession, *keep: DataFrame) -> None:
+    """Delete all tables of :func:`written` but these."""
+    stay = {getattr(t, "_written", None) for t in keep}
+    for path in _PATHS - stay:
+        delete(spark, path)
+    _PATHS.intersection_update(stay)
+
+
 def discard_all(spark: SparkSession) -> None:
     """Delete all tables that this process has written for the operators; results that were not saved elsewhere go with them."""
     for path in list(_PATHS):

@@ -17,6 +17,7 @@ harm; an empty table gives an empty one.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -71,18 +72,21 @@ def repeated_words(words: Column) -> Column:
 def with_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words."""
     made = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    text = F.coalesce(F.col(text_col), F.lit(""))
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     by_word = let(words_of(text), lambda w: F.struct(F.size(w).cast("bigint").alias("n_words"), repeated_words(w).alias("n_repeat_words")))
     lines = F.filter(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(GAP_CHARS)) != "")
     dup = let(lines, lambda a: F.size(a) - F.size(F.array_distinct(a)))
     long = lambda c: c.cast("bigint")
+    word = "_words"
+    while word in docs.columns:  # a working name that no column of the caller has
+        word += "_"
     return docs.select(
-        *[c for c in docs.columns if c not in made],
-        by_word.alias("_w"),
+        *[F.col(f"`{c.replace('`', '``')}`") for c in docs.columns if c not in made],
+        by_word.alias(word),
         long(F.length(F.translate(text, GAP_CHARS, ""))).alias("word_chars"),
         long(F.length(text) - F.length(F.translate(text, "#*$%&|<>", ""))).alias("n_symbols"),
         long(dup).alias("n_dup_lines"),
-    ).withColumns({"n_words": F.col("_w.n_words"), "n_repeat_words": F.col("_w.n_repeat_words")}).drop("_w")
+    ).withColumns({"n_words": F.col(f"{word}.n_words"), "n_repeat_words": F.col(f"{word}.n_repeat_words")}).drop(word)
 
 
 def base_failed() -> Column:
@@ -188,38 +192,47 @@ def _distances(rows: DataFrame, model: DataFrame, names: list[str]) -> DataFrame
     return df.select(*kept, *[sum((F.col(f"z{i}_{s}") * F.col(f"z{i}_{s}") for i in range(DIMS)), F.lit(0.0)).alias(f"d_{s}") for s in names])
 
 
-def _step(sized: DataFrame, model: DataFrame, names: list[str], support: float) -> DataFrame:
-    """The models estimated from the rows that are nearest to the named models."""
+def _step(sized: DataFrame, model: DataFrame, names: list[str], support: float, then: Callable[[DataFrame], DataFrame] = lambda made: made) -> DataFrame:
+    """The models estimated from the rows that are nearest to the named models; what ``then`` makes of them is written."""
     near = _distances(sized, model, names)
     cut = near.groupBy("g").agg(*[F.percentile_approx(f"d_{s}", support, 10_000).alias(f"cut_{s}") for s in names])
     cut = written(cut, "cut")  # of known size, so that Spark need not shuffle the rows to join it
-    made = written(_sums(near.join(_per_salt(cut), ["g", "salt"]), names), "model")
+    made = written(then(_sums(near.join(_per_salt(cut), ["g", "salt"]), names)), "model")
     discard(cut)
     return made
 
 
 def least_determinants(sized: DataFrame, support: float, min_rows: int, most: int = 40, close: float = 1e-3) -> DataFrame:
-    """(g, best): the model of each group with enough rows.
+    """(g, best, settled): the model of each group with enough rows.
 
-    Two steps from each start, then the start with the least determinant goes on until no group's determinant changes by
-    more than a thousandth; what has not settled after ``most`` steps raises.
+    Two steps from each start, then the start with the least determinant goes on.  A group settles alone, when a step changes the
+    logarithm of its determinant by less than ``close``, and keeps that model.  Cuts are approximate, so a group may swing for ever: after
+    ``most`` steps such a group has the model of the least determinant it has had, and says that it has not settled.
     """
     model = written(_starts(sized, min_rows), "model")
     for _ in range(2):
-        model = _step(sized, model, STARTS, support)
-    model = model.select("g", F.array_min(F.array(*STARTS)).alias("best"))
+        last, model = model, _step(sized, model, STARTS, support)
+        discard(last)
+    first = F.array_min(F.array(*STARTS))
+    last, model = model, written(model.select("g", first.alias("best"), first.alias("least"), F.lit(False).alias("settled")), "state")
+    discard(last)
     for _ in range(most):
-        made = _step(sized, model, ["best"], support)
-        moved = made.select("g", F.col("best.logdet").alias("now")).join(model.select("g", F.col("best.logdet").alias("was")), "g").agg(F.max(F.abs(F.col("now") - F.col("was")))).first()[0]
-        last, model = model, made
+
+        def after(made: DataFrame, was: DataFrame = model) -> DataFrame:
+            now = F.coalesce("now", "best")
+            still = F.abs(now["logdet"] - F.col("best.logdet")) < close
+            both = was.join(made.select("g", F.col("best").alias("now")), "g", "left")
+            return both.select("g", F.when(F.col("settled"), F.col("best")).otherwise(now).alias("best"), F.array_min(F.array(F.col("least"), now)).alias("least"), (F.col("settled") | still).alias("settled"))
+
+        last, model = model, _step(sized, model.select("g", "best"), ["best"], support, after)
         discard(last)
-        if moved is None or moved < close:
-            return model
-    raise RuntimeError(f"concentration steps have not settled after {most}")
+        if model.where(~F.col("settled")).isEmpty():
+            break
+    return model.select("g", F.when(F.col("settled"), F.col("best")).otherwise(F.col("least")).alias("best"), "settled")
 
 
 def robust_distances(rows: DataFrame, support: float = 0.75, min_rows: int = 200) -> DataFrame:
-    """``rows`` (lang, source, salt and x0, x1, ...) with pool, and d2, scaled so that it is chi-square for normal rows."""
+    """``rows`` (lang, source, salt and x0, x1, ...) with pool, settled, and d2, scaled so that it is chi-square for normal rows."""
     name = lambda *c: F.to_json(F.struct(*[F.col(x).alias(x) for x in c]))
     sized = rows.withColumns({"g2": name("lang", "source"), "g1": name("lang")})
     groups = sized.groupBy("g2", "g1").agg(F.count("*").alias("n")).withColumn("own", F.col("n") >= min_rows)
@@ -230,15 +243,17 @@ def robust_distances(rows: DataFrame, support: float = 0.75, min_rows: int = 200
     sized = sized.withColumn("g", F.when(F.col("pool") == "own", F.col("g2")).when(F.col("pool") == "language", F.col("g1")).otherwise("rest")).drop("g1", "g2", "own", "lang_own")
     sized = written(sized, "statistics")
     model, q = least_determinants(sized, support, min_rows), chi_square_bound(support, DIMS)
-    return _distances(sized, model, ["best"]).withColumn("d2", F.col("d_best") * (chi_square(q, DIMS + 2) / support)).drop("g", "salt", "d_best")
+    judged = _distances(sized, model.select("g", "best"), ["best"]).withColumn("d2", F.col("d_best") * (chi_square(q, DIMS + 2) / support))
+    settled = _per_salt(model.select("g", "settled"))
+    return judged.join(settled, ["g", "salt"], "left").drop("g", "salt", "d_best")
 
 
 def judge_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tail: float = 1e-11, **how) -> DataFrame:
-    """(id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, pool, distance, kept) of every row."""
+    """(id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, pool, settled, distance, kept) of every row."""
     df = docs.select(F.col(id_col).alias("id"), F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"), F.col(text_col).alias("text"))
     df = with_counts(df).drop("text").withColumn("base_failed", base_failed())
     df = df.withColumns({f"x{i}": x for i, x in enumerate(vector())}).withColumn("salt", F.floor(F.rand() * SALTS).cast("int"))
     df = written(df, "counts")  # salts are drawn once
     judged = robust_distances(df, **how).withColumn("distance", F.sqrt("d2"))
     kept = ~F.col("base_failed") & (F.coalesce(F.col("d2"), F.lit(0.0)) <= chi_square_bound(1 - tail, DIMS))
-    return judged.select("id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "pool", "distance", kept.alias("kept"))
+    return judged.select("id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "pool", "settled", "distance", kept.alias("kept"))

@@ -206,7 +206,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts of every document, and whether the base rules and the outlier test of its language and source keep it."""
     made = quality.judge_quality(_read(spark, sf_dir, "documents", "doc_id", "lang", "source", "text"))
-    return made.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return made.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "pool", "settled", "distance")
 
 
 def byte_tokenizer() -> str:

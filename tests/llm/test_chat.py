@@ -82,7 +82,8 @@ def test_layouts_by_fingerprint(spark):
     assert got[15][1:] == [("system", "s"), ("user", "do"), ("assistant", "")] and got[16] == ["prompt and completion", ("user", "q"), ("assistant", "c")]
     assert got[17] == ["prompt and response", ("user", "q"), ("assistant", "a")]
     why = {r.id: r.reason for r in chat.canonical_turns(df, "id", "record").where("reason IS NOT NULL").collect()}
-    assert why == {7: "no layout has its fields", 13: "no layout has its fields", 20: "no JSON object", 21: "no record"}
+    unread = "texts that its layout does not read: "
+    assert why == {7: "no layout has its fields", 10: unread + "prompt", 13: "no turns", 17: unread + "messages", 20: "no JSON object", 21: "no record"}
     made = {r.id: r.formatted for r in chat.format_chats(chat.canonical_turns(df, "id", "record")).collect()}
     assert made[7] == "" and made[3] == formatted([("user", "q"), ("assistant", "a")])
 
@@ -99,3 +100,19 @@ def test_fingerprints_differ_and_nothing(spark):
     assert [(r.role, r.text) for r in chat.canonical_turns(odd, "id", "record").orderBy("position").collect()] == [("r", ""), ("", "c")]
     none = spark.createDataFrame([], "id long, record string")
     assert chat.format_chats(chat.canonical_turns(none, "id", "record")).count() == 0
+
+
+def test_no_text_is_lost_without_a_word(spark):
+    said = '[{"role": "user", "content": "a"}]'
+    records = {
+        1: f'{{"messages": {said}, "system": "sys"}}', 2: f'{{"messages": {said}, "prompt": "lost?"}}', 3: '{"messages": []}', 4: f'{{"messages": {said}, "system": ""}}',
+        5: '{"prompt": "p", "response": "r", "output": "o"}', 6: f'{{"messages": {said}, "id": 3}}', 7: '{"data": {"conversations": [{"from": "gpt", "value": "v"}], "system": "s"}}',
+    }
+    df = spark.createDataFrame(list(records.items()), "position long, record string").withColumn("turns", F.lit("x"))
+    got = {}
+    for r in sorted(chat.canonical_turns(df, "position", "record").collect(), key=lambda r: (r.id, r.position if r.position is not None else 0)):
+        got.setdefault(r.id, []).append((r.role, r.text, r.reason))
+    assert got[1] == [("system", "sys", None), ("user", "a", None)] and got[4] == got[6] == [("user", "a", None)]
+    assert got[2] == [("user", "a", "texts that its layout does not read: prompt")] and got[3] == [(None, None, "no turns")]
+    assert got[5] == [(x, y, "texts that its layout does not read: output") for x, y in (("user", "p"), ("assistant", "r"))]
+    assert got[7] == [("system", "s", None), ("assistant", "v", None)]

@@ -162,3 +162,29 @@ def test_containment_of_nothing(spark):
     assert contamination.contained_items(none, one).count() == 0
     assert contamination.contained_items(documents(spark, ["a b c d e f"]), one.limit(0)).count() == 0
     assert contamination.decontaminated(documents(spark, ["a b c d e f x", "b c", None]), one).count() == 2
+
+
+def test_groups_that_swing_keep_their_least_determinant(spark, monkeypatch):
+    r = random.Random(2)
+    rows = [("en", "a", i % 4, *[r.gauss(0, 1) for _ in range(quality.DIMS)]) for i in range(600)] + [("en", "b", i % 4, *[r.gauss(3, 1) for _ in range(quality.DIMS)]) for i in range(400)]
+    df = spark.createDataFrame(rows, "lang string, source string, salt int, " + ", ".join(f"x{i} double" for i in range(quality.DIMS)))
+    whole, calls = quality._sums, []
+
+    def swing(near, names):
+        """From the third step on, the models of one source grow and shrink in turn."""
+        made = whole(near, names)
+        calls.append(names)
+        if names == ["best"]:
+            wide = 0.5 if len(calls) % 2 else -0.5
+            far = F.col("best").withField("logdet", F.col("best.logdet") + wide)
+            made = made.withColumn("best", F.when(F.col("g").contains('"b"'), far).otherwise(F.col("best")))
+        return made
+
+    monkeypatch.setattr(quality, "_sums", swing)
+    got = quality.robust_distances(df, min_rows=200).collect()
+    assert len(got) == 1000 and {(x.source, x.settled) for x in got} == {("a", True), ("b", False)} and all(x.d2 is not None for x in got)
+
+
+def test_counts_beside_columns_of_any_name(spark):
+    df = spark.createDataFrame([("one two", 1, "y", 5)], "text string, _words int, `_w` string, n_words int")
+    assert quality.with_counts(df).select("_words", "_w", "n_words").collect() == [(1, "y", 2)]
