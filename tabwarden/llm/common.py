@@ -48,12 +48,16 @@ def discard(table: DataFrame) -> None:
         _PATHS.discard(path)
 
 
-def discard_others(spark: SparkSession, *keep: DataFrame) -> None:
-    """Delete all tables of :func:`written` but these."""
-    stay = {getattr(t, "_written", None) for t in keep}
-    for path in _PATHS - stay:
+def tables() -> frozenset[str]:
+    """The tables of :func:`written` that are there now."""
+    return frozenset(_PATHS)
+
+
+def discard_since(spark: SparkSession, before: frozenset[str], *keep: DataFrame) -> None:
+    """Delete the tables written since ``before``, but for these."""
+    for path in _PATHS - before - {getattr(t, "_written", None) for t in keep}:
         delete(spark, path)
-    _PATHS.intersection_update(stay)
+        _PATHS.discard(path)
 
 
 def discard_all(spark: SparkSession) -> None:
