@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabwarden.llm import contamination, neardup, packing, pii, quality
-from tabwarden.llm.common import discard_others, written
+from tabwarden.llm.common import discard_since, tables, written
 from tabwarden.llm.queries import word_tokenizer
 
 
@@ -69,8 +69,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages one after another; a stage's tables and its input go when its result is written."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before, docs = tables(), spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
-        discard_others(spark, docs)
+        discard_since(spark, before, docs)
     return STAGES[-1][1](spark, docs, sf_dir)
