@@ -234,7 +234,9 @@ class Pipeline:
             raise FileNotFoundError("no model is in production")
         versions = {n: self.registry.production(n) for n in self.registry.data["production"]}
         prep = Preparation.from_json(versions[best]["preparation"])
-        df, _ = features.engineer(batches.read_raw(self.spark, path).drop("source"), self.time_col, self.fmt)
+        read = batches.read_raw(self.spark, path)
+        placed = read if path.endswith(".zip") else batches.with_places(read)
+        df, _ = features.engineer(placed.drop("source"), self.time_col, self.fmt)
         ranges = {k: tuple(v) for k, v in (load_json(self.root / "ranges.json") or {}).items()}
         fixed, report = inference.validate_input(df, prep, ranges, self.config.get("inference.max_outlier_ratio", 0.5))
         if report.status == "rejected":
@@ -242,8 +244,8 @@ class Pipeline:
         # models of other versions have transforms of their own; only those of the best one's are in the chain
         models = {n: self.registry.load(n, v) for n, v in versions.items() if v["preparation"] == versions[best]["preparation"]}
         made = inference.predict(fixed, prep, models, best, self.config.target_positive_rate(self.meta), self.config.get("inference.method", "quantile"))
-        original = [c for c in self.spark.read.option("header", True).csv(path).columns]
-        batches.write_predictions(made.rows.select(*original, "predict", "predict_proba"), out)
+        original = [c for c in read.columns if c != "source"]
+        batches.write_predictions(made.rows.select(*original, *[c for c in (batches.PLACE,) if c in placed.columns], "predict", "predict_proba"), out)
         summary = {"status": report.status, "findings": report.findings, "model": made.model, "threshold": made.threshold, "notes": made.notes}
         save_json(f"{out.rstrip('/')}_inference.json", summary)
         return summary

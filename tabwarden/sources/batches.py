@@ -6,13 +6,15 @@ import logging
 import re
 from dataclasses import dataclass
 from pathlib import Path
+from zipfile import BadZipFile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import period_name
 from ..functions.dates import parse_datetime
-from .files import dataset_hash, load_json, save_json, unzipped
+from .archives import archives, members, read_zipped
+from .files import dataset_hash, file_hash, load_json, save_json
 
 log = logging.getLogger(__name__)
 PERIOD = re.compile(r"\d{4}(-\d{2}|Q[1-4])?")
@@ -44,14 +46,20 @@ def sources_from_config(config: dict) -> list[Source]:
     return sources
 
 
-def prepare(sources: list[Source]) -> dict[str, Path]:
-    """File by source name; a broken source is logged and left out."""
+def prepare(sources: list[Source]) -> dict[str, str]:
+    """Path by source name; a broken source is logged and left out.  Archives stay archives: tasks read their members."""
     out = {}
     for s in sources:
         if s.enabled:
             try:
-                out[s.name] = s.path if "://" in s.path else unzipped(s.path, s.extracted_to, log.warning)
-            except (OSError, ValueError) as e:
+                if s.path.endswith(".zip"):
+                    for a in archives(s.path):
+                        if len(names := members(a)) > 1:
+                            log.warning("%s holds %d CSV files; the first is read", a, len(names))
+                elif "://" not in s.path and not Path(s.path).exists():
+                    raise FileNotFoundError(s.path)
+                out[s.name] = s.path
+            except (OSError, ValueError, BadZipFile) as e:
                 log.error("source %s is left out: %s", s.name, e)
     return out
 
@@ -59,7 +67,8 @@ def prepare(sources: list[Source]) -> dict[str, Path]:
 def sources_hash(sources: list[Source], spark: SparkSession | None = None) -> str:
     """One hash over all sources: of the content of local files, and of names, lengths and times of what a URI holds, which Spark lists."""
     found = prepare(sources)
-    listed = {n: listing_hash(spark, p) for n, p in found.items() if "://" in str(p)}
+    listed = {n: listing_hash(spark, p) for n, p in found.items() if "://" in p and not p.endswith(".zip")}
+    listed |= {n: ",".join(file_hash(a) for a in archives(p)) for n, p in found.items() if p.endswith(".zip")}
     return dataset_hash({n: p for n, p in found.items() if n not in listed}, listed)
 
 
@@ -72,10 +81,23 @@ def listing_hash(spark: SparkSession, uri: str) -> str:
 
 def read_raw(spark: SparkSession, path: str | Path, source: str = "default") -> DataFrame:
     """All columns as text, so that junk survives until a rule or a type check names it."""
-    reader = spark.read.parquet(str(path)) if str(path).endswith(".parquet") else spark.read.option("header", True).option("escape", '"').csv(str(path))
+    path = str(path)
+    if path.endswith(".zip"):
+        return read_zipped(spark, path).withColumn("source", F.lit(source))
+    reader = spark.read.parquet(path) if path.endswith(".parquet") else spark.read.option("header", True).option("escape", '"').csv(path)
     return reader.withColumn("source", F.lit(source))
 
 
+#: Where a row stands in its files; carried along so that results can be written in the same order.
+PLACE = "_place"
+
+
+def with_places(df: DataFrame) -> DataFrame:
+    """Rows that come straight from files with their place: file, block of the file, and the number that Spark gives while it reads the block."""
+    at = F.col("_metadata")
+    return df.select("*", F.struct(at["file_path"].alias("file"), at["file_block_start"].alias("block"), F.monotonically_increasing_id().alias("row")).alias(PLACE))
+
+
 def require(df: DataFrame, columns: list[str]) -> DataFrame:
     missing = [c for c in columns if c not in df.columns]
     if missing:
@@ -230,5 +252,11 @@ class TrainingStore:
 
 
 def write_predictions(df: DataFrame, path: str) -> None:
-    """Original columns, predict and predict_proba (six decimals) as CSV."""
-    df.withColumn("predict_proba", F.round("predict_proba", 6)).write.mode("overwrite").option("header", True).csv(path)
+    """Original columns, predict and predict_proba (six decimals) as CSV; with places, lines stand in the order of the input.
+
+    Rows are dealt out by ranges of places, so the files in the order of their names, one after another, are the input's files.
+    """
+    df = df.withColumn("predict_proba", F.round("predict_proba", 6))
+    if PLACE in df.columns:
+        df = df.repartitionByRange(PLACE).sortWithinPartitions(PLACE).drop(PLACE)
+    df.write.mode("overwrite").option("header", True).csv(path)

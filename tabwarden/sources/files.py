@@ -7,7 +7,6 @@ import json
 import math
 import os
 import re
-import zipfile
 from pathlib import Path
 from typing import Any
 
@@ -87,27 +86,3 @@ def dataset_hash(paths: dict[str, str | Path], known: dict[str, str] | None = No
     """One hash over all sources by name; ``known`` ones have a hash already."""
     each = {n: file_hash(p) for n, p in paths.items()} | (known or {})
     return hashlib.sha256("\n".join(f"{n}:{h}" for n, h in sorted(each.items())).encode()).hexdigest()[:16]
-
-
-def unzipped(path: str | Path, folder: str | Path, say=lambda text: None) -> Path:
-    """The first CSV of a zip archive, unpacked once; other files are returned as they are."""
-    path = Path(path)
-    if not path.exists():
-        raise FileNotFoundError(path)
-    if path.suffix.lower() != ".zip":
-        return path
-    with zipfile.ZipFile(path) as z:
-        names = sorted(n for n in z.namelist() if n.lower().endswith(".csv"))
-        if not names:
-            raise ValueError(f"no CSV in {path}")
-        if len(names) > 1:
-            say(f"{path} holds {len(names)} CSV files; the first is read")
-        out = Path(folder) / Path(names[0]).name
-        if not out.exists() or out.stat().st_size != z.getinfo(names[0]).file_size:
-            out.parent.mkdir(parents=True, exist_ok=True)
-            part = out.with_suffix(".part")
-            with z.open(names[0]) as src, part.open("wb") as dst:
-                while block := src.read(1 << 20):
-                    dst.write(block)
-            os.replace(part, out)
-    return out
