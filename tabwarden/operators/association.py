@@ -10,6 +10,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import written
 from .quality import MISSING
 
 ITEM = "struct<column:string,value:string>"
@@ -31,25 +32,40 @@ def itemsets(df: DataFrame, columns: list[str], min_support: float, max_len: int
 
 
 def apriori_itemsets(df: DataFrame, columns: list[str], min_support: float, max_len: int) -> DataFrame:
-    """The same level by level: a row makes only those sets of k values whose parts of k - 1 values are all frequent.
+    """The same level by level: sets of k values are looked for only where all their parts of k - 1 values are frequent.
 
-    The frequent sets of a level are at most 1 / min_support for each choice of columns, which bounds what is broadcast.
+    Rows of equal values are one row with a weight.  Candidates are a tree dealt out by prefix: two frequent sets that differ in their last
+    value make one, and a prefix has the list of values that may follow, at most 1 / min_support a column.  Rows meet the tree by a join on the
+    frequent sets that they have, so no task holds more than the followers of its prefixes, and nothing needs to be broadcast.
     """
     rows = df.count()
-    items = df.select(F.monotonically_increasing_id().alias("_row"), *[_item(c).alias(c) for c in columns])
-    found, last = None, None
+    each = df.select(F.array(*[_item(c) for c in columns]).alias("row")).groupBy("row").agg(F.count("*").alias("w"))
+    order = F.array(*map(F.lit, columns))
+    place = lambda x: F.array_position(order, x["column"])
+    have = each.select("row", "w", F.explode("row").alias("x")).select("row", "w", F.array("x").alias("items"))
+    found = None
     for k in range(1, max_len + 1):
-        each = [F.array(*[F.col(c) for c in some]) for some in itertools.combinations(columns, k)]
-        made = items.select(F.explode(F.array(*each)).alias("items"))
-        if last is not None:
-            known = last.agg(F.collect_set("items").alias("known"))
-            parts = F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.filter("items", lambda x, j: j != i))
-            made = made.join(F.broadcast(known)).where(F.forall(parts, lambda p: F.array_contains("known", p))).select("items")
-        level = made.groupBy("items").agg(F.count("*").alias("n")).where(F.col("n") / F.lit(float(max(rows, 1))) >= min_support)
-        found, last = level if found is None else found.unionByName(level), level.select("items")
+        if k > 1:
+            have = have.join(_followers(level, k, place), have["items"] == F.col("prefix")).select("row", "w", "items", F.explode(F.array_intersect("row", "next")).alias("x"))
+            have = have.select("row", "w", F.concat("items", F.array("x")).alias("items"))
+        level = written(have.groupBy("items").agg(F.sum("w").alias("n")).where(F.col("n") / F.lit(float(max(rows, 1))) >= min_support), "itemsets")
+        have = have.join(level.select("items"), "items", "left_semi")
+        found = level if found is None else found.unionByName(level)
     return found.select("items", "n", F.lit(rows).cast("long").alias("rows"), (F.col("n") / F.lit(float(max(rows, 1)))).alias("support"))
 
 
+def _followers(level: DataFrame, k: int, place) -> DataFrame:
+    """(prefix, next) of the candidates of k values: the values that may follow a frequent set of k - 1."""
+    stem, last = F.slice("items", 1, k - 2), F.element_at("items", -1)
+    ends = level.select(stem.alias("stem"), last.alias("last"))
+    pairs = ends.join(ends.select(F.col("stem").alias("_stem"), F.col("last").alias("after")), F.col("stem") == F.col("_stem")).where(place(F.col("last")) < place(F.col("after")))
+    made = pairs.select(F.concat("stem", F.array("last")).alias("prefix"), "after")
+    for i in range(k - 2):  # the other parts of k - 1 values have to be frequent too
+        part = F.concat(F.slice("prefix", 1, i), F.slice("prefix", i + 2, k), F.array("after"))
+        made = made.withColumn("_part", part).join(level.select(F.col("items").alias("_part")), "_part", "left_semi").drop("_part")
+    return made.groupBy("prefix").agg(F.collect_list("after").alias("next"))
+
+
 def fpgrowth_itemsets(df: DataFrame, columns: list[str], min_support: float, max_len: int) -> DataFrame:
     """The same by FP-growth, for longer itemsets."""
     from pyspark.ml.fpm import FPGrowth

@@ -1,4 +1,5 @@
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -127,3 +128,17 @@ def test_features_skip_and_never_overwrite(spark):
     r = out.collect()
     assert r[0].POLICY_MONTH == 99 and "POLICY_MONTH" not in new and "IS_CAPACITY_MISSING" not in new
     assert r[0].VEHICLE_AGE == 5.0 and r[1].VEHICLE_AGE is None and r[0].VALUE_TO_PREMIUM is None and r[1].IS_INSURED_VALUE_ZERO == 0.0
+
+
+def test_apriori_needs_no_broadcast(spark):
+    r = random.Random(6)
+    rows = [(r.choice("aab"), r.choice(["x", "y", None]), r.choice("pq"), r.choice("mno")) for _ in range(400)]
+    df = spark.createDataFrame(rows, "A string, B string, C string, D string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        want = {str(x.items_): x.n for x in association.itemsets(df, list("ABCD"), 0.06, 4).withColumnRenamed("items", "items_").collect()}
+        got = {str(x.items_): x.n for x in association.apriori_itemsets(df, list("ABCD"), 0.06, 4).withColumnRenamed("items", "items_").collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == want and any(len(k.split("column")) == 4 for k in got) and any(n < 0.1 * 400 for n in got.values())
