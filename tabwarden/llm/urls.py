@@ -152,11 +152,19 @@ def _mapped(url: DataFrame, table: DataFrame, default: str) -> DataFrame:
     return url.withColumn("digests", F.transform("keys", lambda k: F.xxhash64(k))).mapInArrow(probe, schema)
 
 
+def groups_for(rules: int, candidates: int) -> int:
+    """How many groups keep both the rules and the candidates of each at about ``ARRAY_RULES``."""
+    return max(1, -(-max(rules, candidates) // ARRAY_RULES))
+
+
 def _dealt(url: DataFrame, table: DataFrame, count: int, default: str) -> DataFrame:
-    """The same with rules too many to send: arrays by digest, each probed with its part of the distinct candidates."""
+    """The same with rules too many to send: arrays by digest, each probed with its part of the distinct candidates.
+
+    Rules and distinct candidates are both dealt out by digest into as many groups as the more numerous of them needs.
+    """
     rows = written(url.withColumn("number", F.monotonically_increasing_id()), "urls", compression="zstd")
-    arrays = -(-count // ARRAY_RULES)
-    asked = rows.select(F.explode("keys").alias("rule")).distinct().withColumn("digest", F.xxhash64("rule"))
+    asked = written(rows.select(F.explode("keys").alias("rule")).distinct().withColumn("digest", F.xxhash64("rule")), "asked", compression="zstd")
+    arrays = groups_for(count, asked.count())
     dealt = lambda x: x.withColumn("array", F.pmod(F.xxhash64("digest"), F.lit(arrays))).groupBy("array")
 
     def probe(mine: pa.Table, asks: pa.Table) -> pa.Table:

@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from tabwarden.llm import queries, urls
 
@@ -80,3 +81,15 @@ def test_block_comes_before_allow_of_one_string(spark, most):
     df = spark.createDataFrame([(1, "http://a.com/x", None), (2, "http://b.com/", None), (3, "http://a.com/x/y", None)], PAGES)
     got = urls.judge_urls(df, rules, max_rules=most).collect()
     assert sorted((r.page_id, r.rule, r.verdict) for r in got) == [(1, "a.com/x", "block"), (2, "b.com/", "block"), (3, "a.com/x/y", "allow")]
+
+
+def test_groups_stay_small_whichever_side_is_large(spark, monkeypatch):
+    monkeypatch.setattr(urls, "ARRAY_RULES", 200)
+    for rules, pages in ((20, 3000), (3000, 20)):
+        made = [("block", f"h{i}.org", "/") for i in range(rules)]
+        df = spark.createDataFrame([(i, f"http://h{i}.org/x{i}") for i in range(pages)], "page_id long, url string")
+        got = {r.page_id: r.verdict for r in urls.judge_urls(df, made, max_rules=0).collect()}
+        assert got == {i: "block" if i < rules else "allow" for i in range(pages)}
+        groups = urls.groups_for(rules, pages)
+        sizes = spark.range(max(rules, pages)).groupBy(F.pmod(F.xxhash64(F.xxhash64(F.concat(F.lit("h"), F.col("id"), F.lit(".org/")))), F.lit(groups))).count()
+        assert groups == 15 and sizes.agg(F.max("count")).first()[0] < 1.5 * 200
