@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import itertools
 import json
+import math
 import os
+from collections.abc import Iterable
 from pathlib import Path
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -67,16 +70,59 @@ def _followers(level: DataFrame, k: int, place) -> DataFrame:
 
 
 def fpgrowth_itemsets(df: DataFrame, columns: list[str], min_support: float, max_len: int) -> DataFrame:
-    """The same by FP-growth, for longer itemsets."""
-    from pyspark.ml.fpm import FPGrowth
+    """The same by FP-growth, dealt out by item, for longer itemsets.
 
-    text = [F.concat(F.lit(c), F.lit("="), F.coalesce(F.col(c).cast("string"), F.lit(MISSING))) for c in columns]
+    Rows of equal values are one row with a weight, and so are equal conditional rows; what a task reads grows with the variety of rows, not with
+    their number, and nothing is kept in memory beside it.
+    """
     rows = df.count()
-    found = FPGrowth(itemsCol="items", minSupport=min_support).fit(df.select(F.array(*text).alias("items"))).freqItemsets
-    pair = F.expr("transform(items, x -> named_struct('column', substring_index(x, '=', 1), 'value', substring(x, instr(x, '=') + 1)))")
+    least = F.col("n") / F.lit(float(max(rows, 1))) >= min_support
+    each = written(df.select(*[_item(c).alias(f"c{k}") for k, c in enumerate(columns)]).groupBy(*[f"c{k}" for k in range(len(columns))]).agg(F.count("*").alias("w")), "rows")
+    items = each.select("w", F.explode(F.array(*[f"c{k}" for k in range(len(columns))])).alias("x")).groupBy("x").agg(F.sum("w").alias("n")).where(least)
+    frequent = [(r["x"], r["n"]) for r in items.select("x", "n").orderBy(F.desc("n"), "x").collect()]  # at most 1 / min_support a column
+    named = df.sparkSession.createDataFrame([(k, x) for k, (x, _) in enumerate(frequent)], f"id int, x {ITEM}")
+    rank = [F.broadcast(named.where(F.col("x")["column"] == c).select(F.col("id").alias(f"r{k}"), F.col("x").alias(f"c{k}"))) for k, c in enumerate(columns)]
+    for k, r in enumerate(rank):
+        each = each.join(r, f"c{k}", "left")
+    path = each.select("w", F.array_sort(F.array_compact(F.array(*[f"r{k}" for k in range(len(columns))]))).alias("path"))
+    below = path.select("w", F.posexplode("path").alias("at", "item"), "path").select("item", F.slice("path", 1, F.col("at")).alias("path"), "w")
+    bases = below.groupBy("item", "path").agg(F.sum("w").alias("w"))
+    need = next((n for n in range(math.ceil(rows * min_support) - 1, rows + 1) if n / max(rows, 1) >= min_support), rows + 1)
+
+    def grown(base: pd.DataFrame) -> pd.DataFrame:
+        item = int(base["item"].iloc[0])
+        found = _grown(_merged(zip(map(tuple, base["path"]), base["w"].tolist(), strict=True)), (item,), need, max_len)
+        return pd.DataFrame({"ids": [list(i) for i, _ in found], "n": [n for _, n in found]})
+
+    sets = bases.groupBy("item").applyInPandas(grown, "ids array<int>, n long")
     order = F.array(*map(F.lit, columns))
-    sort = F.array_sort(pair, lambda a, b: F.array_position(order, a["column"]).cast("int") - F.array_position(order, b["column"]).cast("int"))
-    return found.where(F.size("items") <= max_len).select(sort.alias("items"), F.col("freq").alias("n"), F.lit(rows).cast("long").alias("rows"), (F.col("freq") / F.lit(float(max(rows, 1)))).alias("support"))
+    place = lambda x: F.array_position(order, x["column"]).cast("int")
+    told = F.array_sort(F.transform("ids", lambda i: F.col("known")[i]), lambda a, b: place(a) - place(b))
+    known = F.broadcast(named.agg(F.array_sort(F.collect_list(F.struct("id", "x"))).alias("known")).select(F.transform("known", lambda k: k["x"]).alias("known")))
+    return sets.crossJoin(known).select(told.alias("items"), "n", F.lit(rows).cast("long").alias("rows"), (F.col("n") / F.lit(float(max(rows, 1)))).alias("support"))
+
+
+def _merged(base: Iterable[tuple[tuple, int]]) -> dict[tuple, int]:
+    out: dict[tuple, int] = {}
+    for path, w in base:
+        out[path] = out.get(path, 0) + w
+    return out
+
+
+def _grown(base: dict[tuple, int], suffix: tuple, need: int, most: int) -> list[tuple[tuple, int]]:
+    """The frequent sets that end in ``suffix``, whose conditional rows are ``base``."""
+    total = sum(base.values())
+    if total < need:
+        return []
+    out, counts = [(suffix, total)], {}
+    if len(suffix) < most:
+        for path, w in base.items():
+            for i in path:
+                counts[i] = counts.get(i, 0) + w
+        for i, n in counts.items():
+            if n >= need:
+                out += _grown(_merged((p[: p.index(i)], w) for p, w in base.items() if i in p), (i, *suffix), need, most)
+    return out
 
 
 def _label(items: Column) -> Column:

@@ -142,3 +142,17 @@ def test_apriori_needs_no_broadcast(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert got == want and any(len(k.split("column")) == 4 for k in got) and any(n < 0.1 * 400 for n in got.values())
+
+
+def test_fpgrowth_reads_rows_of_equal_values_once(spark, monkeypatch):
+    r = random.Random(9)
+    rows = [(r.choice("aab"), r.choice(["x=1", "y", None]), r.choice("pq"), r.choice("mno")) for _ in range(700)]
+    df = spark.createDataFrame(rows, "A string, B string, C string, D string")
+    kept, write = [], association.written
+    monkeypatch.setattr(association, "written", lambda df, name: kept.append(write(df, name)) or kept[-1])
+    for least, longest in ((0.06, 4), (0.01, 3), (0.1, 2), (1.0, 2)):
+        want = {str(x.items_): (x.n, x.rows, x.support) for x in association.itemsets(df, list("ABCD"), least, longest).withColumnRenamed("items", "items_").collect()}
+        got = {str(x.items_): (x.n, x.rows, x.support) for x in association.fpgrowth_itemsets(df, list("ABCD"), least, longest).withColumnRenamed("items", "items_").collect()}
+        assert got == want
+    assert kept and all(k.count() <= 2 * 3 * 2 * 3 for k in kept)
+    assert association.fpgrowth_itemsets(df.limit(0), list("ABCD"), 0.1, 2).count() == 0
