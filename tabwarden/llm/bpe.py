@@ -25,6 +25,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,7 +50,7 @@ def byte_letters() -> list[str]:
 class Vocabulary:
     """Tokens, sorted pair keys with their ranks, and the ids of remembered words."""
 
-    def __init__(self, path: str, remember: int = 1_000_000, remember_chars: int = 12_000_000):
+    def __init__(self, path: str, remember: int = 250_000, remember_chars: int = 3_000_000):
         with open(path, encoding="utf-8") as f:
             told = json.load(f)
         model, letters = told["model"], byte_letters()
@@ -269,6 +270,16 @@ def encoded(docs: DataFrame, tokenizer: str, text_col: str = "text", ids_col: st
     return _last(docs, stay, text_col, lambda c: c.cast("binary")).mapInArrow(run, schema)
 
 
+def _parts(size: np.ndarray, most: int = 250_000) -> Iterator[tuple[int, int]]:
+    """Ranges of at most 500 rows that have about ``most`` ids together; a longer row comes alone."""
+    stop, at = np.cumsum(size), 0
+    while at < len(size):
+        end = int(np.searchsorted(stop, stop[at] - size[at] + most, "right"))
+        end = min(max(end, at + 1), at + 500)
+        yield at, end
+        at = end
+
+
 def decoded(tokens: DataFrame, tokenizer: str, ids_col: str = "ids", text_col: str = "text") -> DataFrame:
     """``tokens`` with the text of each list of ids in the place of the ids."""
     stay, schema = _replaced(tokens, ids_col, text_col, T.StringType())
@@ -276,8 +287,9 @@ def decoded(tokens: DataFrame, tokenizer: str, ids_col: str = "ids", text_col: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _vocabulary(tokenizer)
         for b in batches:
-            for at in range(0, b.num_rows, 500):
-                part = b.slice(at, 500)
+            size = pc.fill_null(pc.list_value_length(b.column(b.num_columns - 1)), 0).to_numpy()
+            for at, stop in _parts(size):
+                part = b.slice(at, stop - at)
                 ids = part.column(b.num_columns - 1).fill_null([])
                 flat, bounds = ids.flatten(), ids.offsets.to_numpy() - ids.offsets[0].as_py()
                 texts = vocabulary.decode(bounds, flat.to_numpy(zero_copy_only=False).astype(np.int64))

@@ -102,3 +102,14 @@ def test_files_whose_merges_are_out_of_order_are_refused(tmp_path):
     (tmp_path / "t.json").write_text(json.dumps(told), encoding="utf-8")
     with pytest.raises(ValueError, match="merge"):
         bpe.Vocabulary(str(tmp_path / "t.json"))
+
+
+def test_memory_is_bounded_by_words_and_ids():
+    made = bpe.Vocabulary(queries.byte_tokenizer())
+    r, most = random.Random(2), 0
+    for _ in range(16):  # over 300,000 different words
+        made.encode([" ".join(str(r.randrange(10**9)) for _ in range(20_000))])
+        most = max(most, len(made.known))
+    assert most < 300_000
+    parts = list(bpe._parts(np.array([0, 5, 240_000, 20_000, 900_000, *[1] * 1200, 0])))
+    assert parts == [(0, 3), (3, 4), (4, 5), (5, 505), (505, 1005), (1005, 1206)] and not list(bpe._parts(np.array([], np.int64)))
