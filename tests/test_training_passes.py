@@ -53,3 +53,13 @@ def test_shuffles_of_a_written_table_go(spark):
     with session.shuffles_deleted(spark):
         assert spark.conf.get(session._CLEANUP) == "true"
     assert spark.conf.get(session._CLEANUP) == "false" and ranks.near_quantiles_read(spark.range(9), [F.col("id").cast("double")], [0.5]).first()["value"] == 4
+
+
+def test_a_written_table_is_read_in_small_splits_without_a_shuffle(spark):
+    kept = session.written(spark.range(400_000).select("id", F.rand(3).alias("x")).coalesce(1), "splits", row_group=1 << 18)
+    small = session.in_splits(kept, 1 << 18)
+    assert small.rdd.getNumPartitions() >= 8 > 1 and "Exchange" not in small._jdf.queryExecution().executedPlan().toString()
+    assert max(small.groupBy(F.spark_partition_id()).count().select("count").collect())[0] < 200_000
+    assert small.agg(F.sum("id")).first()[0] == sum(range(400_000)) and small.sparkSession.conf.get("spark.sql.shuffle.partitions") == "4"
+    session.discard(spark, kept)
+    assert kept.sparkSession.conf.get("spark.sql.files.maxPartitionBytes") != str(1 << 18)
